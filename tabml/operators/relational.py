@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabml.functions import hash_unit
-
 # A top-k key table is broadcast only while k stays under this bound (its size is the bound itself).
 BROADCAST_MAX_ROWS = 100_000
 
@@ -152,11 +150,6 @@ def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> D
     return df.orderBy(h, *keys).limit(n)
 
 
-def hash_fraction(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
-    """Repeatable Bernoulli-style sample of about ``fraction`` of rows; no shuffle, no row cap."""
-    return df.filter(hash_unit(keys, seed, 10000) < int(round(fraction * 10000)))
-
-
 def schema_rows(df: DataFrame) -> list[tuple[int, str, str]]:
     """(ordinal, column, SQL type) for each field, types in ANSI spelling."""
     def sql_type(dt: T.DataType) -> str:
