@@ -66,3 +66,303 @@ def ols_holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("mae", 3).alias("mae"),
         F.round("mape", 5).alias("mape"),
     )
+
+
+# --- J04 / I03: one-feature OLS with a custom prediction column ---------------------------------------------------
+@query(
+    "ols_single_coefficients",
+    kind="C",
+    sql="""
+SELECT regr_count(l_extendedprice, l_quantity)::BIGINT AS n,
+       round(regr_slope(l_extendedprice, l_quantity), 8) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept,
+       round(regr_r2(l_extendedprice, l_quantity), 12) AS r2
+FROM lineitem
+""",
+)
+def ols_single_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem: quantity -> extended price, ``maxIter=10`` and a custom prediction column; slope, intercept
+    and the training R² from the model summary."""
+    li = load_table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    lr = linear_regression(features="f", label="l_extendedprice", prediction="predicted_price", max_iter=10)
+    model = fit_on(Pipeline(stages=[assembler(["l_quantity"], "f"), lr]), li)
+    m = model.stages[-1]
+    row = (int(m.summary.numInstances), round(float(m.coefficients[0]), 8), round(float(m.intercept), 6),
+           round(float(m.summary.r2), 12))
+    return spark.createDataFrame([row], "n bigint, slope double, intercept double, r2 double")
+
+
+_MULTI_X = ["l_quantity", "l_discount", "l_tax"]
+
+
+@query(
+    "ols_multi_coefficients",
+    kind="C",
+    sql=f"""
+WITH {ols_ctes('lineitem', _MULTI_X, 'l_extendedprice')}
+SELECT 'l_quantity' AS term, round(b_1, 6) AS coefficient FROM ols_b
+UNION ALL SELECT 'l_discount', round(b_2, 4) FROM ols_b
+UNION ALL SELECT 'l_tax', round(b_3, 4) FROM ols_b
+UNION ALL SELECT 'intercept', round(b_0, 4) FROM ols_b
+""",
+)
+def ols_multi_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-feature OLS (default parameters): (term, coefficient) table with the intercept."""
+    from tabml.operators.inspect import coefficients
+
+    li = load_table(spark, sf_dir, "lineitem").select(*_MULTI_X, "l_extendedprice")
+    model = fit_on(Pipeline(stages=[assembler(_MULTI_X), linear_regression(label="l_extendedprice")]), li)
+    digits = {"l_quantity": 6, "l_discount": 4, "l_tax": 4, "intercept": 4}
+    rows = [(t, round(v, digits[t])) for t, v in coefficients(spark, model, _MULTI_X).collect()]
+    return spark.createDataFrame(rows, "term string, coefficient double")
+
+
+@query(
+    "ols_train_summary",
+    kind="C",
+    sql=f"""
+WITH {_ORDERS_TIME_SQL},
+{ols_ctes('train', ['month', 'day_of_week'], 'o_totalprice')},
+pred AS (SELECT o_totalprice AS y, {ols_prediction(['month', 'day_of_week'])} AS p FROM train, ols_b)
+SELECT count(*) AS n, round(1 - avg((y - p) ^ 2) / var_pop(y), 10) AS r2, round(sqrt(avg((y - p) ^ 2)), 4) AS rmse,
+       round(avg(abs(y - p)), 4) AS mae
+FROM pred
+""",
+)
+def ols_train_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training-set R², RMSE, MAE recorded by the fit (the model summary: no extra scoring pass)."""
+    from tabml.operators.inspect import regression_summary
+
+    train, _ = hash_split(orders_time(spark, sf_dir), ["o_orderkey"], (0.7, 0.3), seed=42)
+    model = fit_on(Pipeline(stages=[assembler(["month", "day_of_week"]), linear_regression(label="o_totalprice")]), train)
+    s = regression_summary(model)
+    row = (int(s["n"]), round(s["r2"], 10), round(s["rmse"], 4), round(s["mae"], 4))
+    return spark.createDataFrame([row], "n bigint, r2 double, rmse double, mae double")
+
+
+@query(
+    "ols_score_rows",
+    kind="C",
+    sql="""
+SELECT l_orderkey, l_linenumber, round(3 * l_quantity + 200 * l_discount - 50 * l_tax + 7, 6) AS prediction
+FROM lineitem WHERE l_returnflag = 'R'
+""",
+)
+def ols_score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch scoring: a model fitted on rows with return flag A/N scores the R rows.  The label is an exact
+    linear rule of the features, so the least-squares fit recovers it and each scored value is known."""
+    li = load_table(spark, sf_dir, "lineitem").withColumn(
+        "y", 3 * F.col("l_quantity") + 200 * F.col("l_discount") - 50 * F.col("l_tax") + 7
+    )
+    fit_rows = li.filter(F.col("l_returnflag") != "R")
+    score_rows = li.filter(F.col("l_returnflag") == "R")
+    model = fit_on(Pipeline(stages=[assembler(_MULTI_X), linear_regression(label="y")]), fit_rows)
+    return model.transform(score_rows).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
+
+
+# --- J01 / J02 / J12 / I04: logistic regression ------------------------------------------------------------------
+def _doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their labels (inner equi-join on doc_id; only the needed columns are read)."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    labels = load_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("toxic"))
+    return docs.join(labels, "doc_id")
+
+
+_DOC_LABELS_SQL = "dl AS (SELECT doc_id, lang, n_chars, toxic FROM documents JOIN labels USING (doc_id))"
+
+
+@query(
+    "logit_binary_rates",
+    kind="C",
+    sql=f"WITH {_DOC_LABELS_SQL} SELECT lang, count(*) AS n, round(avg(toxic), 5) AS rate FROM dl GROUP BY lang",
+)
+def logit_binary_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary logistic regression on one one-hot factor: at the optimum each level's predicted probability is
+    the level's positive rate.  Probability column -> array (J12)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tabml.operators.features import FeatureSpec, feature_stages
+    from tabml.operators.models import logistic_regression
+
+    dl = _doc_labels(spark, sf_dir)
+    spec = FeatureSpec(one_hot=["lang"])
+    lr = logistic_regression(label="toxic", tol=1e-10)
+    model = fit_on(Pipeline(stages=feature_stages(spec) + [lr]), dl)
+    p1 = vector_to_array("probability")[1]
+    return model.transform(dl).groupBy("lang").agg(F.count("*").alias("n"), F.round(F.avg(p1), 5).alias("rate"))
+
+
+def _orders_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+def _multi_fit(spark: SparkSession, sf_dir: str):
+    from pyspark.ml.feature import StringIndexer
+
+    from tabml.operators.features import FeatureSpec, feature_stages
+    from tabml.operators.models import logistic_regression
+
+    o = _orders_status(spark, sf_dir)
+    spec = FeatureSpec(one_hot=["o_orderpriority"])
+    stages = [StringIndexer(inputCol="o_orderstatus", outputCol="label")] + feature_stages(spec)
+    lr = logistic_regression(family="multinomial", tol=1e-10, max_iter=200)
+    return o, fit_on(Pipeline(stages=stages + [lr]), o)
+
+
+@query(
+    "logit_multi_rates",
+    kind="C",
+    sql="""
+SELECT o_orderpriority, o_orderstatus AS class,
+       round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority), 5) AS rate
+FROM orders GROUP BY o_orderpriority, o_orderstatus
+""",
+)
+def logit_multi_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multinomial logistic regression, 3 classes, one one-hot factor: predicted class probabilities per
+    level equal the class shares per level.  Class indices are mapped back to names (Q15)."""
+    from pyspark.ml.functions import vector_to_array
+
+    o, model = _multi_fit(spark, sf_dir)
+    names = F.array(*[F.lit(x) for x in model.stages[0].labels])  # bounded: one entry per class
+    scored = model.transform(o).select("o_orderpriority", F.posexplode(vector_to_array("probability")).alias("k", "p"))
+    return scored.groupBy("o_orderpriority", names[F.col("k")].alias("class")).agg(F.round(F.avg("p"), 5).alias("rate"))
+
+
+@query(
+    "logit_train_accuracy",
+    kind="C",
+    sql="""
+WITH c AS (SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2),
+m AS (SELECT o_orderpriority, max(n) AS top, sum(n) AS tot FROM c GROUP BY 1)
+SELECT round(sum(top) / sum(tot), 10) AS accuracy FROM m
+""",
+)
+def logit_train_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training accuracy from the model summary; with one factor the model predicts each level's modal class."""
+    from tabml.operators.inspect import classification_summary
+
+    _, model = _multi_fit(spark, sf_dir)
+    acc = classification_summary(model)["accuracy"]
+    return spark.range(1).select(F.lit(round(acc, 10)).alias("accuracy"))
+
+
+_SCORE_X = ["kchars", "lang_en"]
+
+
+@query(
+    "logit_binary_score_eq",
+    kind="S",
+    sql=f"""
+WITH {_DOC_LABELS_SQL}, x AS (SELECT toxic, n_chars / 1000.0 AS kchars, CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END AS lang_en FROM dl)
+SELECT 'one' AS term, round(sum(toxic), 3) AS moment FROM x
+UNION ALL SELECT 'kchars', round(sum(toxic * kchars), 3) FROM x
+UNION ALL SELECT 'lang_en', round(sum(toxic * lang_en), 3) FROM x
+""",
+)
+def logit_binary_score_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Default-style binary logistic regression on two features.  At the likelihood optimum the score
+    equations hold: Σp = Σy and Σp·x = Σy·x for every feature, so the fitted moments equal the label moments."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tabml.operators.models import logistic_regression
+
+    dl = _doc_labels(spark, sf_dir).select(
+        "toxic",
+        (F.col("n_chars") / 1000.0).alias("kchars"),
+        F.when(F.col("lang") == "en", 1.0).otherwise(0.0).alias("lang_en"),
+    )
+    lr = logistic_regression(label="toxic", tol=1e-12, max_iter=300)
+    model = fit_on(Pipeline(stages=[assembler(_SCORE_X), lr]), dl)
+    p = vector_to_array("probability")[1]
+    m = model.transform(dl).agg(
+        F.sum(p).alias("one"), *[F.sum(p * F.col(x)).alias(x) for x in _SCORE_X]
+    )
+    cols = ["one"] + _SCORE_X
+    return m.select(*[F.round(c, 3).alias(c) for c in cols]).unpivot([], cols, "term", "moment")
+
+
+# --- J05 / J06: forests ----------------------------------------------------------------------------------------------
+_STUMP_SQL = """
+WITH v AS (SELECT p_size AS x, count(*) AS c, sum(p_retailprice) AS s, sum(p_retailprice * p_retailprice) AS q
+           FROM part GROUP BY p_size),
+cum AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx,
+               sum(c) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) AS cl,
+               sum(s) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) AS sl,
+               sum(q) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) AS ql FROM v),
+tot AS (SELECT sum(c) AS n, sum(s) AS s, sum(q) AS q FROM v),
+cand AS (SELECT x, nx, cl, sl, tot.n - cl AS cr, tot.s - sl AS sr,
+                (ql - sl * sl / cl) + ((tot.q - ql) - (tot.s - sl) * (tot.s - sl) / (tot.n - cl)) AS sse
+         FROM cum, tot WHERE nx IS NOT NULL),
+best AS (SELECT * FROM cand ORDER BY sse, x LIMIT 1)
+SELECT (x + nx) / 2.0 AS threshold, CAST(cl AS BIGINT) AS n_left, CAST(cr AS BIGINT) AS n_right,
+       round(sl / cl, 6) AS left_mean, round(sr / cr, 6) AS right_mean
+FROM best
+"""
+
+
+@query("rf_stump_regress", kind="C", sql=_STUMP_SQL)
+def rf_stump_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One unbagged depth-1 regression tree on one feature with a bin per distinct value: the split is the
+    least-SSE threshold (midpoint of consecutive values), leaves predict their means.  Leaf statistics are read
+    from the scored rows (2 leaves -> 2 rows to the driver)."""
+    from tabml.operators.models import random_forest_regressor
+
+    part = load_table(spark, sf_dir, "part").select(F.col("p_size").cast("double").alias("x"), "p_retailprice")
+    rf = random_forest_regressor(
+        label="p_retailprice", num_trees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", maxBins=64
+    )
+    model = fit_on(Pipeline(stages=[assembler(["x"]), rf]), part)
+    leaves = (
+        model.transform(part)
+        .groupBy("prediction")
+        .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .orderBy("lo")
+        .collect()
+    )
+    left, right = leaves[0], leaves[-1]
+    row = ((left["hi"] + right["lo"]) / 2.0, left["n"], right["n"], round(left["prediction"], 6), round(right["prediction"], 6))
+    return spark.createDataFrame([row], "threshold double, n_left bigint, n_right bigint, left_mean double, right_mean double")
+
+
+def _part_features():
+    from tabml.operators.features import FeatureSpec
+
+    return FeatureSpec(numeric=["p_size"], one_hot=["p_brand", "p_type"])
+
+
+@query("rf_tree_mean", kind="S", sql="SELECT count(*) AS n, round(avg(p_retailprice), 6) AS mean_prediction FROM part")
+def rf_tree_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One unbagged regression tree (depth 5): every leaf predicts its rows' mean, so the mean training
+    prediction equals the mean label."""
+    from tabml.operators.features import feature_stages
+    from tabml.operators.models import random_forest_regressor
+
+    part = load_table(spark, sf_dir, "part")
+    rf = random_forest_regressor(label="p_retailprice", num_trees=1, bootstrap=False, featureSubsetStrategy="all")
+    model = fit_on(Pipeline(stages=feature_stages(_part_features()) + [rf]), part)
+    return model.transform(part).agg(F.count("*").alias("n"), F.round(F.avg("prediction"), 6).alias("mean_prediction"))
+
+
+@query(
+    "rf_class_priors",
+    kind="S",
+    sql="SELECT o_orderstatus AS class, round(count(*) / sum(count(*)) OVER (), 8) AS share FROM orders GROUP BY 1",
+)
+def rf_class_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One unbagged classification tree: leaf probabilities are leaf class shares, so the mean training
+    probability of each class equals its share of rows."""
+    from pyspark.ml.feature import StringIndexer
+    from pyspark.ml.functions import vector_to_array
+
+    from tabml.operators.models import random_forest_classifier
+
+    o = load_table(spark, sf_dir, "orders").select(
+        "o_orderstatus", "o_totalprice", F.month("o_orderdate").alias("month")
+    )
+    idx = StringIndexer(inputCol="o_orderstatus", outputCol="label")
+    rf = random_forest_classifier(num_trees=1, bootstrap=False, featureSubsetStrategy="all")
+    model = fit_on(Pipeline(stages=[idx, assembler(["o_totalprice", "month"]), rf]), o)
+    names = F.array(*[F.lit(x) for x in model.stages[0].labels])
+    scored = model.transform(o).select(F.posexplode(vector_to_array("probability")).alias("k", "p"))
+    return scored.groupBy(names[F.col("k")].alias("class")).agg(F.round(F.avg("p"), 8).alias("share"))
