@@ -366,3 +366,152 @@ def rf_class_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(x) for x in model.stages[0].labels])
     scored = model.transform(o).select(F.posexplode(vector_to_array("probability")).alias("k", "p"))
     return scored.groupBy(names[F.col("k")].alias("class")).agg(F.round(F.avg("p"), 8).alias("share"))
+
+
+# --- J07 / I01 / K09 / K14: k-means -----------------------------------------------------------------------------------
+def _planted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events with two features where each event type sits in its own band: d1 = type index × 1000 + value
+    (value < 500), d2 = hour.  Bands are 500+ apart, so the k-means optimum puts each type in its own cluster."""
+    from tabml.operators.features import string_indexer
+
+    ev = load_table(spark, sf_dir, "events").select("event_type", "value", F.hour("ts").alias("hour"))
+    idx = string_indexer(["event_type"]).fit(ev).transform(ev)
+    return idx.select(
+        "event_type",
+        (F.col("event_type_index") * 1000 + F.col("value")).alias("d1"),
+        F.col("hour").cast("double").alias("d2"),
+    )
+
+
+def _planted_sql() -> str:
+    from tabml.plans.feature_queries import rank_sql
+
+    return (
+        f"{rank_sql('events', 'event_type', 'r')},\n"
+        "pe AS (SELECT event_type, r.idx * 1000 + value AS d1, CAST(hour(ts) AS DOUBLE) AS d2 "
+        "FROM events JOIN r ON event_type = r.lvl)"
+    )
+
+
+def _planted_fit(spark: SparkSession, sf_dir: str):
+    from tabml.operators.models import kmeans
+
+    pe = _planted_events(spark, sf_dir)
+    model = fit_on(Pipeline(stages=[assembler(["d1", "d2"]), kmeans(k=5, seed=42, max_iter=20)]), pe)
+    return pe, model
+
+
+@query(
+    "kmeans_planted_profile",
+    kind="P",
+    sql=f"""
+WITH {_planted_sql()}
+SELECT event_type, count(*) AS size, 1::BIGINT AS n_types, round(avg(d1), 6) AS avg_d1, round(avg(d2), 6) AS avg_d2
+FROM pe GROUP BY event_type
+""",
+)
+def kmeans_planted_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-means (k=5, seed 42) on planted clusters, then the cluster report: size, purity and feature means per
+    cluster.  Clusters are named by their members' event type, never by id."""
+    pe, model = _planted_fit(spark, sf_dir)
+    return (
+        model.transform(pe)
+        .groupBy("prediction")
+        .agg(
+            F.min("event_type").alias("event_type"),
+            F.count("*").alias("size"),
+            F.countDistinct("event_type").alias("n_types"),
+            F.round(F.avg("d1"), 6).alias("avg_d1"),
+            F.round(F.avg("d2"), 6).alias("avg_d2"),
+        )
+        .drop("prediction")
+    )
+
+
+@query(
+    "kmeans_centers",
+    kind="P",
+    sql=f"""
+WITH {_planted_sql()}
+SELECT event_type, 0 AS dim, round(avg(d1), 6) AS value FROM pe GROUP BY event_type
+UNION ALL SELECT event_type, 1, round(avg(d2), 6) FROM pe GROUP BY event_type
+""",
+)
+def kmeans_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster centres as a (cluster, dim, value) table, clusters named through their members."""
+    from tabml.operators.inspect import cluster_centers
+
+    pe, model = _planted_fit(spark, sf_dir)
+    names = model.transform(pe).groupBy(F.col("prediction").alias("cluster")).agg(F.min("event_type").alias("event_type"))
+    cent = cluster_centers(spark, model, ["d1", "d2"])
+    return cent.join(names, "cluster").select("event_type", "dim", F.round("value", 6).alias("value"))
+
+
+@query(
+    "eval_wssse",
+    kind="P",
+    sql=f"""
+WITH {_planted_sql()}
+SELECT round(sum(n * (v1 + v2)), 2) AS wssse, sum(n)::BIGINT AS n
+FROM (SELECT count(*) AS n, var_pop(d1) AS v1, var_pop(d2) AS v2 FROM pe GROUP BY event_type)
+""",
+)
+def eval_wssse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Within-cluster sum of squared distances to the fitted centres, one aggregate over the scored rows with
+    the (k-row) centre table broadcast; at the planted optimum it is Σ n · var_pop per cluster."""
+    from tabml.operators.evaluate import wssse
+    from tabml.operators.inspect import last_stage
+
+    pe, model = _planted_fit(spark, sf_dir)
+    centers = [c.tolist() for c in last_stage(model).clusterCenters()]
+    w = wssse(model.transform(pe), "features", "prediction", centers)
+    return w.select(F.round("wssse", 2).alias("wssse"), "n")
+
+
+@query("kmeans_free_k")
+def kmeans_free_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unplanted k-means as the analyses run it: four numeric lineitem columns, k=3, seed 42, maxIter 10;
+    cluster sizes and the training cost (rows-only check; properties in tests)."""
+    from tabml.operators.inspect import kmeans_summary
+    from tabml.operators.models import kmeans
+
+    li = load_table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    model = fit_on(Pipeline(stages=[assembler(li.columns), kmeans(k=3, seed=42, max_iter=10)]), li)
+    cost = kmeans_summary(model)["training_cost"]
+    return model.transform(li).groupBy("prediction").agg(F.count("*").alias("size")).withColumn(
+        "training_cost", F.lit(cost)
+    )
+
+
+@query("rf_regress_10")
+def rf_regress_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10-tree forest regressor (seed 42) on size + one-hot brand/type -> retail price; hash split 80/20;
+    held-out RMSE / R² / MAE (rows-only check)."""
+    from tabml.operators.evaluate import regression_metrics
+    from tabml.operators.features import feature_stages
+    from tabml.operators.models import random_forest_regressor
+
+    part = load_table(spark, sf_dir, "part")
+    train, test = hash_split(part, ["p_partkey"], (0.8, 0.2), seed=42)
+    pipe = Pipeline(stages=feature_stages(_part_features()) + [random_forest_regressor(label="p_retailprice")])
+    model = fit_on(pipe, train, persist=True)
+    m = regression_metrics(model.transform(test), "p_retailprice", "prediction")
+    return m.select("n", "rmse", "r2", "mae")
+
+
+@query("rf_classify_10")
+def rf_classify_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10-tree forest classifier (seed 42): part type from size, price and one-hot brand; held-out accuracy
+    and weighted F1 (rows-only check)."""
+    from pyspark.ml.feature import StringIndexer
+
+    from tabml.operators.evaluate import classification_metrics
+    from tabml.operators.features import FeatureSpec, feature_stages
+    from tabml.operators.models import random_forest_classifier
+
+    part = load_table(spark, sf_dir, "part")
+    train, test = hash_split(part, ["p_partkey"], (0.8, 0.2), seed=42)
+    spec = FeatureSpec(numeric=["p_size", "p_retailprice"], one_hot=["p_brand"], handle_invalid="skip")
+    stages = [StringIndexer(inputCol="p_type", outputCol="label", handleInvalid="skip")] + feature_stages(spec)
+    model = fit_on(Pipeline(stages=stages + [random_forest_classifier()]), train, persist=True)
+    return classification_metrics(model.transform(test), "label", "prediction")
