@@ -27,6 +27,10 @@ class FeatureSpec:
     scale: str | None = None  # None | "std" (unit stddev) | "zscore" (centre and unit stddev)
     drop_last: bool = True
 
+    def __post_init__(self) -> None:  # tuples keep the spec hashable (it keys the fitted-feature cache)
+        for name in ("numeric", "one_hot", "indexed"):
+            object.__setattr__(self, name, tuple(getattr(self, name)))
+
     def assembled_inputs(self) -> list[str]:
         return list(self.numeric) + [f"{c}_index" for c in self.indexed] + [f"{c}_encoded" for c in self.one_hot]
 

@@ -1,5 +1,251 @@
-"""job_queries"""
+"""The 20 composite analyses as job specifications over the fixture tables, one ``job_<id>`` query per task.
+
+Each source does the cleaning the analysis needs (derived columns, range / set filters, safe casts) as one
+DataFrame plan; the runner does split, features, fit, score and metrics.  Model quality on synthetic fixtures is
+not meaningful, so these queries are checked on rows (one metric row per reported number) and by the
+properties in ``tests/``; the operators they use are checked exactly by the other queries.
+"""
 
 from __future__ import annotations
 
-from tabml.plans.catalog import query  # noqa: F401
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabml.functions import parse_duration, ratio
+from tabml.operators.features import FeatureSpec
+from tabml.operators.relational import top_k_semi_filter
+from tabml.plans.catalog import query
+from tabml.plans.jobs import JobSpec, TaskSpec, run_job
+from tabml.sources import load_table
+
+
+# --- sources ---------------------------------------------------------------------------------------------------------
+def lineitem_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load_table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus", F.year("l_shipdate").alias("ship_year"),
+    )
+
+
+def events_source(spark: SparkSession, sf_dir: str, max_value: float | None = None) -> DataFrame:
+    """Trip-like events: a duration parsed from `000 days HH:MM:SS` text, hour / weekday / month of the start,
+    and the cleaning filters (positive duration and value, known event types)."""
+    ev = load_table(spark, sf_dir, "events")
+    txt = F.concat(F.lit("000 days "), F.date_format("ts", "HH:mm:ss"))
+    df = ev.select(
+        "event_id",
+        F.col("user_id").cast("double").alias("user_id"),
+        "value",
+        parse_duration(txt).alias("duration_sec"),
+        F.hour("ts").alias("hour"),
+        F.dayofweek("ts").alias("day_of_week"),
+        F.month("ts").alias("month"),
+        F.when(F.col("event_type") == "click", "click").otherwise("other").alias("is_click"),
+        "event_type",
+    )
+    cond = (F.col("value") > 0) & (F.col("duration_sec") > 0) & F.col("event_type").isin(
+        "click", "view", "purchase", "signup", "error"
+    )
+    if max_value is not None:
+        cond = cond & (F.col("value") <= max_value)
+    return df.filter(cond)
+
+
+def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load_table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey", F.col("o_custkey").cast("double").alias("o_custkey"), "o_totalprice", "o_orderstatus",
+        F.month("o_orderdate").alias("month"), F.dayofweek("o_orderdate").alias("day_of_week"),
+    )
+
+
+def orders_trimmed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anomaly trim before clustering (price band, key band)."""
+    o = orders_source(spark, sf_dir)
+    return o.filter((F.col("o_totalprice") > 1000) & (F.col("o_totalprice") < 4.5e5) & (F.col("o_custkey") > 0))
+
+
+def part_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_table(spark, sf_dir, "part").na.drop()
+
+
+def customer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load_table(spark, sf_dir, "customer")
+    return c.select(
+        "c_custkey", "c_acctbal", F.col("c_nationkey").cast("double").alias("c_nationkey"), "c_mktsegment",
+        (F.col("c_custkey") % 7).cast("double").alias("c_keyband"),
+    )
+
+
+def doc_labels_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = load_table(spark, sf_dir, "labels").select(
+        "doc_id", F.when(F.col("toxic") == 1, "yes").otherwise("no").alias("toxic")
+    )
+    return docs.join(labels, "doc_id")
+
+
+def top_nations_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of the 5 most frequent nations (broadcast semi join), with a positive balance ratio."""
+    c = load_table(spark, sf_dir, "customer")
+    c = c.select(
+        F.col("c_custkey"), F.col("c_custkey").cast("double").alias("key"), "c_acctbal",
+        F.col("c_nationkey").cast("string").alias("nation"), "c_nationkey",
+        ratio("c_acctbal", "c_custkey").alias("bal_per_key"),
+    ).filter(F.col("bal_per_key").isNotNull() & (F.col("bal_per_key") > 0))
+    return top_k_semi_filter(c, "c_nationkey", 5)
+
+
+# --- job specifications --------------------------------------------------------------------------------------------
+_LI4 = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LI_ALL = ["l_quantity", "l_discount", "l_tax", "ship_year", "l_partkey", "l_suppkey", "l_linenumber"]
+
+IRIS = JobSpec(
+    "iris", lineitem_source, ["l_orderkey"],
+    [
+        TaskSpec("iris_clf", "classification", FeatureSpec(numeric=_LI4), "l_returnflag", "logistic",
+                 {"maxIter": 10}),
+        TaskSpec("iris_clu", "clustering", FeatureSpec(numeric=_LI4), None, "kmeans",
+                 {"k": 3, "maxIter": 10}, fit_scope="all", eval_split="all", reports=("silhouette", "centers")),
+    ],
+)
+
+AVOCADO = JobSpec(
+    "avocado", lineitem_source, ["l_orderkey"],
+    [
+        TaskSpec("avocado_clf", "classification", FeatureSpec(numeric=_LI_ALL + ["l_extendedprice"], output="features_clf"),
+                 "l_linestatus", "logistic", binary=True),
+        TaskSpec("avocado_reg", "regression", FeatureSpec(numeric=_LI_ALL, output="features_reg"), "l_extendedprice",
+                 "linear"),
+        TaskSpec("avocado_clu", "clustering",
+                 FeatureSpec(numeric=["l_quantity", "l_extendedprice", "l_discount", "l_tax", "ship_year"],
+                             output="scaled_features", scale="std"),
+                 None, "kmeans", {"k": 3}, fit_scope="all", eval_split="all",
+                 reports=("silhouette", "cluster_means")),
+    ],
+)
+
+_BIKE_CLF = FeatureSpec(numeric=["user_id", "duration_sec", "hour", "day_of_week"])
+BIKE = JobSpec(
+    "bike", events_source, ["event_id"],
+    [
+        TaskSpec("bike_clf", "classification", _BIKE_CLF, "is_click", "logistic", binary=True),
+        TaskSpec("bike_clu", "clustering", _BIKE_CLF, None, "kmeans", {"k": 5}, fit_scope="all", eval_split="all"),
+        TaskSpec("bike_reg", "regression", FeatureSpec(numeric=["user_id", "hour", "day_of_week"], output="reg_features"),
+                 "value", "linear", {"maxIter": 10}, reports=("train_summary",)),
+    ],
+)
+
+BIKE2 = JobSpec(
+    "bike2", lambda s, d: events_source(s, d, max_value=400.0), ["event_id"],
+    [
+        TaskSpec("bike2_clf", "classification", _BIKE_CLF, "is_click", "logistic", binary=True),
+        TaskSpec("bike2_clu", "clustering", _BIKE_CLF, None, "kmeans", {"k": 5}, fit_scope="all", eval_split="all",
+                 reports=("centers",)),
+    ],
+)
+
+BIKE2_REG = JobSpec(
+    "bike2_reg", orders_source, ["o_orderkey"],
+    [
+        TaskSpec("bike2_reg", "regression",
+                 FeatureSpec(numeric=["o_custkey", "month", "day_of_week"], output="reg_features"),
+                 "o_totalprice", "linear", {"maxIter": 10},
+                 reports=("coefficients", "label_stats", "banded"), band_col="month", band_bounds=(4, 7, 10)),
+    ],
+)
+
+_CARS = FeatureSpec(numeric=["p_size"], one_hot=["p_brand", "p_type"], handle_invalid="skip")
+CARS = JobSpec(
+    "cars", part_source, ["p_partkey"],
+    [
+        TaskSpec("cars_reg", "regression", _CARS, "p_retailprice", "forest", {"numTrees": 10, "seed": 42}),
+        TaskSpec("cars_clf", "classification",
+                 FeatureSpec(numeric=["p_size", "p_retailprice"], one_hot=["p_brand"], handle_invalid="skip",
+                             output="classifier_features"),
+                 "p_type", "forest", {"numTrees": 10, "seed": 42}),
+        TaskSpec("cars_clu", "clustering", _CARS, None, "kmeans", {"k": 3}, reports=("silhouette",)),
+    ],
+    weights=(0.8, 0.2),
+)
+
+MEDICAL = JobSpec(
+    "medical", customer_source, ["c_custkey"],
+    [
+        TaskSpec("medical_reg", "regression",
+                 FeatureSpec(numeric=["c_nationkey", "c_keyband"], one_hot=["c_mktsegment"]), "c_acctbal", "linear"),
+        TaskSpec("medical_clu", "clustering",
+                 FeatureSpec(numeric=["c_acctbal", "c_nationkey", "c_keyband"], output="cluster_features"),
+                 None, "kmeans", {"k": 3}, fit_scope="all", eval_split="all",
+                 reports=("silhouette", "wssse", "centers")),
+    ],
+)
+
+MEDICAL_CLF = JobSpec(
+    "medical_clf", doc_labels_source, ["doc_id"],
+    [
+        TaskSpec("medical_clf", "classification",
+                 FeatureSpec(numeric=["n_chars"], one_hot=["lang", "source"], handle_invalid="keep",
+                             output="features_class"),
+                 "toxic", "logistic", binary=True, reports=("auc", "class_balance")),
+    ],
+)
+
+YOUTUBE_REG = JobSpec(
+    "youtube_reg", lineitem_source, ["l_orderkey"],
+    [
+        TaskSpec("youtube_reg", "regression", FeatureSpec(numeric=["l_quantity"], output="features_reg"),
+                 "l_extendedprice", "linear", {"maxIter": 10, "predictionCol": "predicted_price"},
+                 reports=("train_summary",)),
+    ],
+    weights=(0.8, 0.2),
+)
+
+YOUTUBE_CLF = JobSpec(
+    "youtube_clf", top_nations_source, ["c_custkey"],
+    [
+        TaskSpec("youtube_clf", "classification",
+                 FeatureSpec(numeric=["key", "c_acctbal", "bal_per_key"], output="features_clf"),
+                 "nation", "logistic", {"maxIter": 10, "predictionCol": "predicted_nation"},
+                 reports=("train_accuracy",)),
+    ],
+    weights=(0.8, 0.2),
+)
+
+YOUTUBE_CLU = JobSpec(
+    "youtube_clu", orders_trimmed_source, ["o_orderkey"],
+    [
+        TaskSpec("youtube_clu", "clustering",
+                 FeatureSpec(numeric=["o_totalprice", "o_custkey", "month"], output="features_cluster", scale="zscore"),
+                 None, "kmeans", {"k": 4, "maxIter": 20, "predictionCol": "cluster"}, fit_scope="all",
+                 eval_split="all", reports=("centers", "cluster_means")),
+    ],
+)
+
+JOBS = [IRIS, AVOCADO, BIKE, BIKE2, BIKE2_REG, CARS, MEDICAL, MEDICAL_CLF, YOUTUBE_REG, YOUTUBE_CLF, YOUTUBE_CLU]
+JOB_BY_NAME = {j.name: j for j in JOBS}
+
+
+def task_job(task_name: str) -> JobSpec:
+    for job in JOBS:
+        for t in job.tasks:
+            if t.name == task_name:
+                return replace(job, tasks=[t])
+    raise KeyError(task_name)
+
+
+def _register(task_name: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run_job(spark, task_job(task_name), sf_dir)
+
+    run.__name__ = f"job_{task_name}"
+    run.__doc__ = f"Composite analysis task {task_name}: metric rows (job, task, split, metric, value)."
+    query(f"job_{task_name}")(run)
+
+
+for _job in JOBS:
+    for _t in _job.tasks:
+        _register(_t.name)
