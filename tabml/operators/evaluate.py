@@ -65,12 +65,16 @@ def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Accuracy and weighted precision / recall / F1.
+    """Accuracy and weighted precision / recall / F1 from one confusion pass (see ``metrics_from_confusion``)."""
+    return metrics_from_confusion(confusion(df, label, prediction))
+
+
+def metrics_from_confusion(conf: DataFrame) -> DataFrame:
+    """Accuracy and weighted precision / recall / F1 from a (label, prediction, count) table.
 
     Per label: precision = tp / predicted (0 when nothing is predicted as it), recall = tp / actual,
-    F1 = 2PR / (P + R) (0 when P + R = 0); weighted by the label's share of rows.  Everything after the first
-    aggregate works on the (#classes²)-row confusion table."""
-    conf = confusion(df, label, prediction)
+    F1 = 2PR / (P + R) (0 when P + R = 0); weighted by the label's share of rows.  Everything here works on the
+    (#classes²)-row confusion table; when built from data, its one aggregation exchange is reused."""
     actual = conf.groupBy("label").agg(
         F.sum("count").alias("actual"),
         F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)).alias("tp"),
@@ -97,15 +101,7 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
     )
 
 
-def binary_metrics(df: DataFrame, label: str, prediction: str, positive: float = 1.0) -> DataFrame:
-    y = F.col(label) == F.lit(positive)
-    p = F.col(prediction) == F.lit(positive)
-    counts = df.agg(
-        F.count_if(p & y).alias("tp"),
-        F.count_if(~p & ~y).alias("tn"),
-        F.count_if(p & ~y).alias("fp"),
-        F.count_if(~p & y).alias("fn"),
-    )
+def _binary_from_counts(counts: DataFrame) -> DataFrame:
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
     total = tp + tn + fp + fn
     precision = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
@@ -124,6 +120,33 @@ def binary_metrics(df: DataFrame, label: str, prediction: str, positive: float =
     return out.withColumn("f1", F.when(p_ + r_ > 0, 2 * p_ * r_ / (p_ + r_)).otherwise(F.lit(0.0)))
 
 
+def binary_metrics(df: DataFrame, label: str, prediction: str, positive: float = 1.0) -> DataFrame:
+    """TP/TN/FP/FN as one aggregate, then positive-class accuracy / precision / recall / F1 (zero-guarded)."""
+    y = F.col(label) == F.lit(positive)
+    p = F.col(prediction) == F.lit(positive)
+    counts = df.agg(
+        F.count_if(p & y).alias("tp"),
+        F.count_if(~p & ~y).alias("tn"),
+        F.count_if(p & ~y).alias("fp"),
+        F.count_if(~p & y).alias("fn"),
+    )
+    return _binary_from_counts(counts)
+
+
+def binary_from_confusion(conf: DataFrame, positive: float = 1.0) -> DataFrame:
+    """Binary metrics from a (label, prediction, count) table (no extra pass over the data)."""
+    y = F.col("label") == F.lit(positive)
+    p = F.col("prediction") == F.lit(positive)
+    c = F.col("count")
+    counts = conf.agg(
+        *[
+            F.coalesce(F.sum(F.when(cond, c)), F.lit(0)).cast("bigint").alias(name)
+            for name, cond in (("tp", p & y), ("tn", ~p & ~y), ("fp", p & ~y), ("fn", ~p & y))
+        ]
+    )
+    return _binary_from_counts(counts)
+
+
 def area_under_roc(df: DataFrame, label: str, score: str) -> float:
     """Exact area under the ROC curve.  Scores are grouped by distinct value and range-sorted across the
     cluster by Spark's evaluator; ``numBins=0`` keeps every distinct score (the default 1000 bins
@@ -158,6 +181,33 @@ def wssse(df: DataFrame, features: str, prediction: str, centers: Sequence[Seque
     return joined.agg(F.sum(sq).alias("wssse"), F.count("*").alias("n"))
 
 
+def cluster_profile(
+    df: DataFrame,
+    features: str,
+    prediction: str,
+    centers: Sequence[Sequence[float]],
+    numeric: Sequence[str] = (),
+) -> DataFrame:
+    """Per cluster, in ONE grouped pass: size, within-cluster sum of squared distances to the centre, and the
+    mean of each listed column.  The k-row centre table is broadcast; partial aggregation keeps the shuffle at
+    (#partitions × k) rows however skewed the clusters are."""
+    spark = df.sparkSession
+    cent = F.broadcast(centers_frame(spark, centers, "_cluster"))
+    x = df.select(
+        vector_to_array(F.col(features)).alias("_x"),
+        F.col(prediction).cast("int").alias("_cluster"),
+        *[F.col(c).cast("double").alias(c) for c in numeric],
+    )
+    sq = F.aggregate(
+        F.zip_with("_x", "_center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v
+    )
+    return (
+        x.join(cent, "_cluster")
+        .groupBy(F.col("_cluster").alias("cluster"))
+        .agg(F.count("*").alias("size"), F.sum(sq).alias("sse"), *[F.avg(c).alias(f"mean_{c}") for c in numeric])
+    )
+
+
 def banded_errors(
     df: DataFrame, band_col: Column, label: str, prediction: str, band_name: str = "band"
 ) -> DataFrame:

@@ -113,25 +113,24 @@ def _run_task(spark: SparkSession, job: JobSpec, task: TaskSpec, parts: dict, fe
         scored = km.transform(eval_x)
         pred = task.params.get("predictionCol", "prediction")
         s = I.kmeans_summary(km)
-        sizes = [r["count"] for r in scored.groupBy(pred).count().orderBy(F.desc("count")).collect()]  # k rows
+        centers = [c.tolist() for c in km.clusterCenters()]
+        numeric = list(task.features.numeric) if "cluster_means" in task.reports else []
+        # sizes, WSSSE and cluster means in one grouped pass (k rows come back)
+        prof = K.cluster_profile(scored, task.features.output, pred, centers, numeric).collect()
         metrics = {"training_cost": s["training_cost"], "iterations": s["iterations"], "k": s["k"]}
         if "silhouette" in task.reports:
             metrics["silhouette"] = K.silhouette(scored, task.features.output, pred)
         if "wssse" in task.reports:
-            centers = [c.tolist() for c in km.clusterCenters()]
-            metrics["wssse"] = _first_row(K.wssse(scored, task.features.output, pred, centers))["wssse"]
-        for i, n in enumerate(sizes):
+            metrics["wssse"] = sum(r["sse"] for r in prof)
+        for i, n in enumerate(sorted((r["size"] for r in prof), reverse=True)):
             metrics[f"size_rank{i + 1}"] = n
         if "centers" in task.reports:
-            for ci, c in enumerate(km.clusterCenters()):
+            for ci, c in enumerate(centers):
                 for d, v in enumerate(c):
                     metrics[f"center{ci}_dim{d}"] = float(v)
-        if "cluster_means" in task.reports:
-            num = list(task.features.numeric)
-            means = scored.groupBy(pred).agg(*[F.avg(c).alias(c) for c in num]).orderBy(pred).collect()
-            for r in means:
-                for c in num:
-                    metrics[f"mean_{c}_cluster{r[pred]}"] = r[c]
+        for r in sorted(prof, key=lambda r: r["cluster"]):
+            for c in numeric:
+                metrics[f"mean_{c}_cluster{r['cluster']}"] = r[f"mean_{c}"]
         out.add(task.eval_split, metrics)
         return out.rows
 
@@ -175,18 +174,20 @@ def _run_task(spark: SparkSession, job: JobSpec, task: TaskSpec, parts: dict, fe
                 out.add(task.eval_split, {f"mae_band_{r['band']}": r["avg_abs_error"], f"n_band_{r['band']}": r["count"]})
         return out.rows
 
-    # classification
-    m = _first_row(K.classification_metrics(scored, label_col, pred_col))
+    # classification: one confusion pass; every count-based metric derives from that (#classes²)-row table
+    conf_rows = K.confusion(scored, label_col, pred_col).collect()
+    conf = spark.createDataFrame(conf_rows, "label double, prediction double, count bigint")
+    m = _first_row(K.metrics_from_confusion(conf))
     out.add(task.eval_split, {k: m[k] for k in ("n", "accuracy", "weighted_precision", "weighted_recall", "weighted_f1")})
     if task.binary:
-        b = _first_row(K.binary_metrics(scored, label_col, pred_col))
+        b = _first_row(K.binary_from_confusion(conf))
         out.add(task.eval_split, {k: b[k] for k in ("tp", "tn", "fp", "fn", "precision", "recall", "f1")})
         if "auc" in task.reports:
             sc = scored.select(label_col, vector_to_array("probability")[1].alias("_score"))
             out.add(task.eval_split, {"auc": K.area_under_roc(sc, label_col, "_score")})
-        if "class_balance" in task.reports:
-            for r in scored.groupBy(label_col).count().collect():
-                out.add(task.eval_split, {f"n_label{int(r[label_col])}": r["count"]})
+    if "class_balance" in task.reports:
+        for r in conf.groupBy("label").agg(F.sum("count").alias("n")).collect():
+            out.add(task.eval_split, {f"n_label{int(r['label'])}": r["n"]})
     if "train_accuracy" in task.reports and task.estimator == "logistic":
         out.add("train", {"accuracy": I.classification_summary(model)["accuracy"]})
     return out.rows

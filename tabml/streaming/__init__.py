@@ -1,0 +1,29 @@
+"""Streaming: fitted pipelines applied to streaming frames.
+
+The analyses this library covers are batch jobs; there are no streaming operators of their own.  A fitted
+``PipelineModel`` (indexers, encoders, assembler, scaler, model) is a chain of row-wise transformations, so the
+same object scores a Structured Streaming frame; ``score_stream`` wires that to a sink that appends each
+micro-batch to parquet in the shared checkpoint folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+
+def score_stream(
+    model: PipelineModel, stream: DataFrame, out_path: str, checkpoint: str, columns: list[str] | None = None
+) -> StreamingQuery:
+    """Append ``model.transform(stream)`` (optionally projected) to parquet at ``out_path``."""
+    scored = model.transform(stream)
+    if columns:
+        scored = scored.select(*columns)
+    return (
+        scored.writeStream.format("parquet")
+        .option("path", out_path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .start()
+    )
