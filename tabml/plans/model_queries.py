@@ -370,15 +370,21 @@ def rf_class_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- J07 / I01 / K09 / K14: k-means -----------------------------------------------------------------------------------
 def _planted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events with two features where each event type sits in its own band: d1 = type index × 1000 + value
-    (value < 500), d2 = hour.  Bands are 500+ apart, so the k-means optimum puts each type in its own cluster."""
+    """events with two features where each event type sits in its own band: d1 = type index × S + value,
+    d2 = hour, with the band spacing S = 10 × the power of ten above the value range (one scalar aggregate).
+    Bands are then more than twice the range apart, so the k-means optimum puts each type in its own cluster
+    at any data size."""
+    import math
+
     from tabml.operators.features import string_indexer
 
     ev = load_table(spark, sf_dir, "events").select("event_type", "value", F.hour("ts").alias("hour"))
+    rng = ev.agg((F.max("value") - F.min("value")).alias("r")).first()["r"]
+    spacing = float(10 ** math.ceil(math.log10(rng + 1)) * 10)
     idx = string_indexer(["event_type"]).fit(ev).transform(ev)
     return idx.select(
         "event_type",
-        (F.col("event_type_index") * 1000 + F.col("value")).alias("d1"),
+        (F.col("event_type_index") * spacing + F.col("value")).alias("d1"),
         F.col("hour").cast("double").alias("d2"),
     )
 
@@ -388,8 +394,9 @@ def _planted_sql() -> str:
 
     return (
         f"{rank_sql('events', 'event_type', 'r')},\n"
-        "pe AS (SELECT event_type, r.idx * 1000 + value AS d1, CAST(hour(ts) AS DOUBLE) AS d2 "
-        "FROM events JOIN r ON event_type = r.lvl)"
+        "sp AS (SELECT 10 ^ ceil(log10(max(value) - min(value) + 1)) * 10 AS s FROM events),\n"
+        "pe AS (SELECT event_type, r.idx * sp.s + value AS d1, CAST(hour(ts) AS DOUBLE) AS d2 "
+        "FROM events JOIN r ON event_type = r.lvl, sp)"
     )
 
 
