@@ -5,10 +5,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 
-def hash_unit_sql(keys: Sequence[str], seed: int = 42, modulus: int = 10000) -> str:
-    """DuckDB twin of ``tabml.functions.hash_unit``."""
+def _mix32_sql(x: str) -> str:
+    from tabml.functions import MASK32, MIX_MULT
+
+    y = f"(xor(({x}), ({x}) >> 16) * {MIX_MULT}) & {MASK32}"
+    z = f"(xor(({y}), ({y}) >> 16) * {MIX_MULT}) & {MASK32}"
+    return f"xor(({z}), ({z}) >> 16)"
+
+
+def hash32_sql(keys: Sequence[str], seed: int = 42, integer: bool = True) -> str:
+    """DuckDB twin of ``tabml.functions.hash32``."""
+    from tabml.functions import MASK32, seed_mix
+
+    if integer:
+        h = str(seed_mix(seed))
+        for k in keys:
+            kk = f"CAST({k} AS BIGINT)"
+            h = _mix32_sql(f"xor(xor({h}, {kk} & {MASK32}), (({kk} >> 32) & {MASK32}) * 31) & {MASK32}")
+        return f"({h})"
     cat = " || '#' || ".join(f"CAST({k} AS VARCHAR)" for k in keys) + f" || '#{seed}'"
-    return f"(('0x' || substr(md5({cat}), 1, 8))::BIGINT % {modulus})"
+    return f"('0x' || substr(md5({cat}), 1, 8))::BIGINT"
+
+
+def hash_unit_sql(keys: Sequence[str], seed: int = 42, modulus: int = 10000, integer: bool = True) -> str:
+    """DuckDB twin of ``tabml.functions.hash_unit``."""
+    return f"({hash32_sql(keys, seed, integer)} % {modulus})"
 
 
 def _det(m: list[list[str]]) -> str:
