@@ -168,6 +168,20 @@ def centers_frame(spark: SparkSession, centers: Sequence[Sequence[float]], clust
     return spark.createDataFrame(rows, f"{cluster_col} int, _center array<double>")
 
 
+# Up to this many dimensions the squared distance is written out element by element (generated code); wider
+# vectors use a higher-order function over the arrays instead (no expression blow-up).
+ELEMENTWISE_MAX_DIMS = 64
+
+
+def _sq_dist(dims: int) -> Column:
+    """Squared distance between array columns ``_x`` and ``_center``."""
+    if dims <= ELEMENTWISE_MAX_DIMS:
+        return sum(((F.col("_x")[i] - F.col("_center")[i]) ** 2 for i in range(dims)), F.lit(0.0))
+    return F.aggregate(
+        F.zip_with("_x", "_center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v
+    )
+
+
 def wssse(df: DataFrame, features: str, prediction: str, centers: Sequence[Sequence[float]]) -> DataFrame:
     """Sum over rows of the squared distance to the row's own centre, as one aggregate.  The centre table
     (k rows) is broadcast; the data is never shuffled."""
@@ -175,9 +189,7 @@ def wssse(df: DataFrame, features: str, prediction: str, centers: Sequence[Seque
     cent = F.broadcast(centers_frame(spark, centers, "_cluster"))
     x = df.select(vector_to_array(F.col(features)).alias("_x"), F.col(prediction).cast("int").alias("_cluster"))
     joined = x.join(cent, "_cluster")
-    sq = F.aggregate(
-        F.zip_with("_x", "_center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v
-    )
+    sq = _sq_dist(len(centers[0]) if centers else 0)
     return joined.agg(F.sum(sq).alias("wssse"), F.count("*").alias("n"))
 
 
@@ -198,9 +210,7 @@ def cluster_profile(
         F.col(prediction).cast("int").alias("_cluster"),
         *[F.col(c).cast("double").alias(c) for c in numeric],
     )
-    sq = F.aggregate(
-        F.zip_with("_x", "_center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v
-    )
+    sq = _sq_dist(len(centers[0]) if centers else 0)
     return (
         x.join(cent, "_cluster")
         .groupBy(F.col("_cluster").alias("cluster"))
