@@ -78,7 +78,7 @@ f1 AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f
     "eval_accuracy",
     sql=f"""
 WITH {MULTICLASS_SQL}
-SELECT count(*) AS n, count_if(label = prediction) AS correct,
+SELECT count(*) AS n, CAST(count_if(label = prediction) AS BIGINT) AS correct,
        round(count_if(label = prediction) / count(*), 10) AS accuracy FROM mc
 """,
 )
@@ -148,8 +148,10 @@ def eval_builtin_evaluators(spark: SparkSession, sf_dir: str) -> DataFrame:
     "eval_confusion_binary",
     sql=f"""
 WITH {BINARY_SQL},
-c AS (SELECT count_if(prediction = 1 AND label = 1) AS tp, count_if(prediction = 0 AND label = 0) AS tn,
-             count_if(prediction = 1 AND label = 0) AS fp, count_if(prediction = 0 AND label = 1) AS fn FROM bf),
+c AS (SELECT CAST(count_if(prediction = 1 AND label = 1) AS BIGINT) AS tp,
+             CAST(count_if(prediction = 0 AND label = 0) AS BIGINT) AS tn,
+             CAST(count_if(prediction = 1 AND label = 0) AS BIGINT) AS fp,
+             CAST(count_if(prediction = 0 AND label = 1) AS BIGINT) AS fn FROM bf),
 m AS (SELECT *, tp + tn + fp + fn AS total,
              CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
              CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall FROM c)
@@ -215,7 +217,7 @@ def eval_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     "eval_mape",
     sql="""
 SELECT round(avg(CASE WHEN l_tax <> 0 THEN abs((l_tax - l_discount / 2) / l_tax) END) * 100, 8) AS mape,
-       count_if(l_tax = 0) AS mape_excluded, count(*) AS n
+       CAST(count_if(l_tax = 0) AS BIGINT) AS mape_excluded, count(*) AS n
 FROM lineitem
 """,
 )

@@ -130,7 +130,7 @@ def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "derive_columns",
     sql="""
-SELECT c_custkey, c_acctbal + 100.0 AS c_acctbal, length(c_name) AS c_name_len,
+SELECT c_custkey, c_acctbal + 100.0 AS c_acctbal, CAST(length(c_name) AS INTEGER) AS c_name_len,
        c_mktsegment = 'BUILDING' AS is_building
 FROM customer
 """,
