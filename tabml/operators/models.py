@@ -3,8 +3,9 @@
 Iterative fits (logistic regression, forests, k-means) read their input many times; Spark ML caches the
 compact training instances itself.  ``fit_on`` can additionally persist a prepared input (MEMORY_AND_DISK, so it
 spills instead of failing) for the duration of a multi-stage fit and releases it afterwards; lost blocks are
-recomputed from lineage.  Forests also checkpoint their node-id cache to the shared
-checkpoint directory every ``checkpointInterval`` iterations so long lineages are cut.
+recomputed from lineage.  Forests cache node ids (instead of shipping the growing trees to executors at every
+level) and checkpoint that cache to the shared checkpoint directory every ``checkpointInterval`` iterations, so
+deep forests keep a short lineage.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ def random_forest_regressor(
     features: str = "features", label: str = "label", num_trees: int = 10, seed: int = 42, **kw
 ) -> RandomForestRegressor:
     kw.setdefault("checkpointInterval", 10)
+    kw.setdefault("cacheNodeIds", True)
     return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees, seed=seed, **kw)
 
 
@@ -49,6 +51,7 @@ def random_forest_classifier(
     features: str = "features", label: str = "label", num_trees: int = 10, seed: int = 42, **kw
 ) -> RandomForestClassifier:
     kw.setdefault("checkpointInterval", 10)
+    kw.setdefault("cacheNodeIds", True)
     return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=num_trees, seed=seed, **kw)
 
 

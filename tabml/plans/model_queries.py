@@ -522,3 +522,40 @@ def rf_classify_10(spark: SparkSession, sf_dir: str) -> DataFrame:
     stages = [StringIndexer(inputCol="p_type", outputCol="label", handleInvalid="skip")] + feature_stages(spec)
     model = fit_on(Pipeline(stages=stages + [random_forest_classifier()]), train, persist=True)
     return classification_metrics(model.transform(test), "label", "prediction")
+
+
+_MULTI_SCORE_X = ["l_quantity", "disc", "tax"]
+
+
+@query(
+    "logit_multi_score_eq",
+    kind="S",
+    sql="""
+WITH x AS (SELECT l_returnflag AS class, l_quantity, l_discount * 100 AS disc, l_tax * 100 AS tax FROM lineitem)
+SELECT class, 'one' AS term, CAST(count(*) AS DOUBLE) AS moment FROM x GROUP BY class
+UNION ALL SELECT class, 'l_quantity', round(sum(l_quantity), 1) FROM x GROUP BY class
+UNION ALL SELECT class, 'disc', round(sum(disc), 1) FROM x GROUP BY class
+UNION ALL SELECT class, 'tax', round(sum(tax), 1) FROM x GROUP BY class
+""",
+)
+def logit_multi_score_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multinomial logistic regression (3 classes, 3 features) fitted to convergence.  At the optimum, for every
+    class k and feature j, Σ p_k · x_j = Σ [y = k] · x_j (and Σ p_k = n_k): the fitted moments per class equal
+    the observed ones.  Moments are summed over the scored rows with the class names mapped back."""
+    from pyspark.ml.feature import StringIndexer
+    from pyspark.ml.functions import vector_to_array
+
+    from tabml.operators.models import logistic_regression
+
+    li = load_table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_quantity", (F.col("l_discount") * 100).alias("disc"), (F.col("l_tax") * 100).alias("tax")
+    )
+    idx = StringIndexer(inputCol="l_returnflag", outputCol="label")
+    lr = logistic_regression(family="multinomial", tol=1e-12, max_iter=300)
+    model = fit_on(Pipeline(stages=[idx, assembler(_MULTI_SCORE_X), lr]), li)
+    names = F.array(*[F.lit(x) for x in model.stages[0].labels])
+    scored = model.transform(li).select(*_MULTI_SCORE_X, F.posexplode(vector_to_array("probability")).alias("k", "p"))
+    sums = scored.groupBy(names[F.col("k")].alias("class")).agg(
+        F.round(F.sum("p"), 1).alias("one"), *[F.round(F.sum(F.col("p") * F.col(x)), 1).alias(x) for x in _MULTI_SCORE_X]
+    )
+    return sums.unpivot(["class"], ["one"] + _MULTI_SCORE_X, "term", "moment")

@@ -1,0 +1,22 @@
+from pyspark.ml import Pipeline
+
+from tabml.operators.features import FeatureSpec, feature_stages
+from tabml.operators.models import linear_regression
+from tabml.streaming import score_stream
+from tests.conftest import SF_SMALL
+
+
+def test_fitted_pipeline_scores_a_stream(spark, tmp_path):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    spec = FeatureSpec(numeric=["user_id"], one_hot=["event_type"])
+    model = Pipeline(stages=feature_stages(spec) + [linear_regression(label="value")]).fit(events)
+    src = str(tmp_path / "in")
+    events.write.parquet(src)  # a stream source reads a directory
+    stream = spark.readStream.schema(events.schema).parquet(src)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    q = score_stream(model, stream, out, ckpt, columns=["event_id", "prediction"])
+    q.processAllAvailable()
+    q.stop()
+    got = {r.event_id: r.prediction for r in spark.read.parquet(out).collect()}
+    want = {r.event_id: r.prediction for r in model.transform(events).select("event_id", "prediction").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
