@@ -101,10 +101,12 @@ def top_nations_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- job specifications --------------------------------------------------------------------------------------------
 _LI4 = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# Split unit for lineitem: the order line, so one very large order cannot tilt the train/test proportions.
+_LI_KEYS = ["l_orderkey", "l_linenumber"]
 _LI_ALL = ["l_quantity", "l_discount", "l_tax", "ship_year", "l_partkey", "l_suppkey", "l_linenumber"]
 
 IRIS = JobSpec(
-    "iris", lineitem_source, ["l_orderkey"],
+    "iris", lineitem_source, _LI_KEYS,
     [
         TaskSpec("iris_clf", "classification", FeatureSpec(numeric=_LI4), "l_returnflag", "logistic",
                  {"maxIter": 10}),
@@ -114,7 +116,7 @@ IRIS = JobSpec(
 )
 
 AVOCADO = JobSpec(
-    "avocado", lineitem_source, ["l_orderkey"],
+    "avocado", lineitem_source, _LI_KEYS,
     [
         TaskSpec("avocado_clf", "classification", FeatureSpec(numeric=_LI_ALL + ["l_extendedprice"], output="features_clf"),
                  "l_linestatus", "logistic", binary=True),
@@ -195,7 +197,7 @@ MEDICAL_CLF = JobSpec(
 )
 
 YOUTUBE_REG = JobSpec(
-    "youtube_reg", lineitem_source, ["l_orderkey"],
+    "youtube_reg", lineitem_source, _LI_KEYS,
     [
         TaskSpec("youtube_reg", "regression", FeatureSpec(numeric=["l_quantity"], output="features_reg"),
                  "l_extendedprice", "linear", {"maxIter": 10, "predictionCol": "predicted_price"},

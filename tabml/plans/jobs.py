@@ -179,6 +179,8 @@ def _run_task(spark: SparkSession, job: JobSpec, task: TaskSpec, parts: dict, fe
     conf = spark.createDataFrame(conf_rows, "label double, prediction double, count bigint")
     m = _first_row(K.metrics_from_confusion(conf))
     out.add(task.eval_split, {k: m[k] for k in ("n", "accuracy", "weighted_precision", "weighted_recall", "weighted_f1")})
+    # rows dropped by handleInvalid='skip' (unseen or NULL levels in the evaluated part) are counted, not hidden
+    out.add(task.eval_split, {"rows_skipped": eval_df.count() - (m["n"] or 0)})
     if task.binary:
         b = _first_row(K.binary_from_confusion(conf))
         out.add(task.eval_split, {k: b[k] for k in ("tp", "tn", "fp", "fn", "precision", "recall", "f1")})

@@ -467,6 +467,22 @@ def parse_duration_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", txt.alias("duration_text")).withColumn("duration_sec", parse_duration("duration_text"))
 
 
+@query(
+    "duration_parse_report",
+    sql=f"""
+SELECT CASE WHEN duration_sec = 0 THEN 'zero' ELSE 'parsed' END AS outcome, count(*) AS n
+FROM ({_DURATION_SQL}) GROUP BY 1
+""",
+)
+def duration_parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many duration texts parse to 0 (bad text, other prefix width, NULL) — counted, since the cleaning
+    step then drops them with ``duration_sec > 0``."""
+    d = parse_duration_q(spark, sf_dir)
+    return d.groupBy(F.when(F.col("duration_sec") == 0, "zero").otherwise("parsed").alias("outcome")).agg(
+        F.count("*").alias("n")
+    )
+
+
 @query(
     "time_features",
     sql="SELECT event_id, hour(ts) AS hour, dayofweek(ts) + 1 AS day_of_week, month(ts) AS month FROM events",
