@@ -91,17 +91,18 @@ def seed_mix(seed: int) -> int:
 def hash32(keys: Sequence[str | Column], seed: int = 42, integer: bool = False) -> Column:
     """A 32-bit hash of the row's key values and a seed; depends only on the values, never on partitioning.
 
-    ``integer=True`` (all keys integral) folds each 64-bit key into a xor-shift-multiply mixer: a few integer
-    operations inside generated code.  Otherwise the first 32 bits of ``md5(key1#key2...#seed)`` are used
+    ``integer=True`` (all keys integral) folds the 64-bit keys into 32 bits and finishes with a xor-shift-multiply
+    mixer: a few integer operations inside generated code.  Otherwise the first 32 bits of ``md5(key1#key2...#seed)`` are used
     (any key type, several times dearer per row)."""
     if integer:
-        h: Column = F.lit(seed_mix(seed))
+        # Fold the keys linearly (each key referenced once, 32-bit masked), then mix once: the expression stays
+        # small for any number of keys, because only the final mixer repeats its input.
+        h: Column = F.lit(seed_mix(seed)).cast("bigint")
         for k in keys:
             kk = _c(k).cast("bigint")
-            lo = kk.bitwiseAND(MASK32)
-            hi = F.shiftright(kk, 32).bitwiseAND(MASK32) * 31
-            h = _mix32(h.bitwiseXOR(lo).bitwiseXOR(hi).bitwiseAND(MASK32))
-        return h
+            h = (h * 31 + kk.bitwiseAND(MASK32)).bitwiseAND(MASK32)
+            h = (h * 31 + F.shiftright(kk, 32).bitwiseAND(MASK32)).bitwiseAND(MASK32)
+        return _mix32(h)
     parts = [_c(k).cast("string") for k in keys] + [F.lit(str(seed))]
     digest = F.md5(F.concat_ws("#", *parts))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")

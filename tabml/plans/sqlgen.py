@@ -21,8 +21,9 @@ def hash32_sql(keys: Sequence[str], seed: int = 42, integer: bool = True) -> str
         h = str(seed_mix(seed))
         for k in keys:
             kk = f"CAST({k} AS BIGINT)"
-            h = _mix32_sql(f"xor(xor({h}, {kk} & {MASK32}), (({kk} >> 32) & {MASK32}) * 31) & {MASK32}")
-        return f"({h})"
+            h = f"((({h}) * 31 + ({kk} & {MASK32})) & {MASK32})"
+            h = f"((({h}) * 31 + (({kk} >> 32) & {MASK32})) & {MASK32})"
+        return f"({_mix32_sql(h)})"
     cat = " || '#' || ".join(f"CAST({k} AS VARCHAR)" for k in keys) + f" || '#{seed}'"
     return f"('0x' || substr(md5({cat}), 1, 8))::BIGINT"
 
