@@ -4,7 +4,7 @@
 * ``safe_double``     — text to double; unparsable text (or text failing a guard pattern) becomes NULL.
 * ``band``            — multi-branch ``when`` banding with labels derived from the bounds.
 * ``ratio``           — division that yields NULL for a zero or NULL denominator.
-* ``hash_unit``       — a repeatable pseudo-random integer in ``[0, modulus)`` from row keys and a seed.
+* ``hash32`` / ``hash_unit`` — a repeatable pseudo-random integer from row keys and a seed.
 * ``time_parts``      — hour, day of week (1 = Sunday) and month of a timestamp.
 """
 
@@ -70,57 +70,16 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-# Fixed values of the integer key mixer: 32-bit mask, odd multiplier of the xor-shift-multiply rounds, and the
-# golden-ratio constant that spreads the seed.  Every product stays below 2**59, so ANSI overflow checks never fire
-# and any SQL engine with 64-bit integers reproduces the value exactly.
-MASK32 = 0xFFFFFFFF
-MIX_MULT = 0x45D9F3B
-SEED_MULT = 0x9E3779B1
+def hash32(keys: Sequence[str | Column], seed: int = 42) -> Column:
+    """Spark's 32-bit Murmur3 ``hash(seed, key1, key2, ...)``: one built-in expression inside generated code,
+    any key types, and it depends only on the row's values, never on partitioning or row order."""
+    return F.hash(F.lit(int(seed)), *[_c(k) for k in keys])
 
 
-def _mix32(x: Column) -> Column:
-    x = (x.bitwiseXOR(F.shiftright(x, 16)) * MIX_MULT).bitwiseAND(MASK32)
-    x = (x.bitwiseXOR(F.shiftright(x, 16)) * MIX_MULT).bitwiseAND(MASK32)
-    return x.bitwiseXOR(F.shiftright(x, 16))
-
-
-def seed_mix(seed: int) -> int:
-    return (seed * SEED_MULT) & MASK32
-
-
-def hash32(keys: Sequence[str | Column], seed: int = 42, integer: bool = False) -> Column:
-    """A 32-bit hash of the row's key values and a seed; depends only on the values, never on partitioning.
-
-    ``integer=True`` (all keys integral) folds the 64-bit keys into 32 bits and finishes with a xor-shift-multiply
-    mixer: a few integer operations inside generated code.  Otherwise the first 32 bits of ``md5(key1#key2...#seed)`` are used
-    (any key type, several times dearer per row)."""
-    if integer:
-        # Fold the keys linearly (each key referenced once, 32-bit masked), then mix once: the expression stays
-        # small for any number of keys, because only the final mixer repeats its input.
-        h: Column = F.lit(seed_mix(seed)).cast("bigint")
-        for k in keys:
-            kk = _c(k).cast("bigint")
-            h = (h * 31 + kk.bitwiseAND(MASK32)).bitwiseAND(MASK32)
-            h = (h * 31 + F.shiftright(kk, 32).bitwiseAND(MASK32)).bitwiseAND(MASK32)
-        return _mix32(h)
-    parts = [_c(k).cast("string") for k in keys] + [F.lit(str(seed))]
-    digest = F.md5(F.concat_ws("#", *parts))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-
-
-def hash_unit(keys: Sequence[str | Column], seed: int = 42, modulus: int = 10000, integer: bool = False) -> Column:
+def hash_unit(keys: Sequence[str | Column], seed: int = 42, modulus: int = 10000) -> Column:
     """Integer in ``[0, modulus)`` from ``hash32``: a split or sample built on it is repeatable on any cluster
     size and needs no shuffle."""
-    return hash32(keys, seed, integer) % modulus
-
-
-def integral_keys(df, keys: Sequence[str]) -> bool:
-    """True when every key column is an integral type (the fast hash applies)."""
-    from pyspark.sql import types as T
-
-    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    return all(isinstance(fields.get(k), kinds) for k in keys)
+    return F.pmod(hash32(keys, seed), F.lit(modulus))
 
 
 def time_parts(ts: str | Column, prefix: str = "") -> dict[str, Column]:

@@ -147,10 +147,9 @@ def ordered_limit(df: DataFrame, order: Sequence[str | Column], n: int) -> DataF
 def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """n rows in a repeatable pseudo-random order (hash of key and seed, ties by key), unlike
     ``orderBy(rand())``; runs as a per-partition top-n, so nothing is fully sorted."""
-    from tabml.functions import hash32, integral_keys
+    from tabml.functions import hash32
 
-    h = hash32(keys, seed, integer=integral_keys(df, keys))
-    return df.orderBy(h, *keys).limit(n)
+    return df.orderBy(hash32(keys, seed), *keys).limit(n)
 
 
 def schema_rows(df: DataFrame) -> list[tuple[int, str, str]]:

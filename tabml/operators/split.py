@@ -2,7 +2,7 @@
 
 ``hash_split`` (default) assigns each row by a hash of its key columns and a seed: no shuffle, no sort, the same
 rows land in the same part whatever the partitioning or cluster size, and rows sharing a key stay together.
-Integral keys use an integer mixer (a few ALU operations per row); other key types fall back to md5.
+The hash is Spark's built-in Murmur3 of the seed and the keys (generated code, any key types).
 ``random_split`` is Spark's ``randomSplit`` (per-partition sort + Bernoulli sample); it is only repeatable for the
 same input partitioning.
 """
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.functions import hash_unit, integral_keys
+from tabml.functions import hash_unit
 
 MODULUS = 10000
 
@@ -35,7 +35,7 @@ def cutoffs(weights: Sequence[float], modulus: int = MODULUS) -> list[tuple[int,
 def hash_split(
     df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0.7, 0.3), seed: int = 42
 ) -> list[DataFrame]:
-    u = hash_unit(keys, seed, MODULUS, integer=integral_keys(df, keys))
+    u = hash_unit(keys, seed, MODULUS)
     return [df.filter((u >= lo) & (u < hi)) for lo, hi in cutoffs(weights)]
 
 
@@ -51,7 +51,7 @@ def with_split_column(
     ranges = cutoffs(weights)
     if len(names) != len(ranges):
         raise ValueError("one name per weight")
-    u = hash_unit(keys, seed, MODULUS, integer=integral_keys(df, keys))
+    u = hash_unit(keys, seed, MODULUS)
     expr = None
     for (lo, hi), name in zip(ranges, names):
         cond = (u >= lo) & (u < hi)

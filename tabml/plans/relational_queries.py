@@ -12,7 +12,7 @@ from tabml.functions import band, parse_duration, ratio, safe_double, time_parts
 from tabml.operators import relational as R
 from tabml.operators.split import hash_split
 from tabml.plans.catalog import query
-from tabml.plans.sqlgen import hash32_sql, hash_unit_sql
+from tabml.plans.sqlgen import hashed_sql, unit_sql
 from tabml.session import scratch_dir
 from tabml.sources import TABLES, load_table, read_csv_inferred, read_csv_schema, write_csv
 
@@ -402,7 +402,7 @@ def topn_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "random_sample_n",
-    sql=f"SELECT o_orderkey, o_totalprice FROM orders ORDER BY {hash32_sql(['o_orderkey'])}, o_orderkey LIMIT 10",
+    sql=f"SELECT o_orderkey, o_totalprice FROM {hashed_sql('orders', [('o_orderkey', 'bigint')])} ORDER BY _h, o_orderkey LIMIT 10",
 )
 def random_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10 rows in a repeatable random order (hash of key and seed)."""
@@ -413,7 +413,7 @@ def random_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "split_hash_counts",
     sql=f"""
-WITH b AS (SELECT o_orderkey, {hash_unit_sql(['o_orderkey'])} AS u FROM orders)
+WITH b AS (SELECT o_orderkey, {unit_sql('_h')} AS u FROM {hashed_sql('orders', [('o_orderkey', 'bigint')])})
 SELECT CASE WHEN u < 7000 THEN 'train' ELSE 'test' END AS split, count(*) AS n,
        CAST(sum(o_orderkey) AS BIGINT) AS key_sum
 FROM b GROUP BY 1

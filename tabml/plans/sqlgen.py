@@ -5,32 +5,79 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 
-def _mix32_sql(x: str) -> str:
-    from tabml.functions import MASK32, MIX_MULT
+# The Murmur3 x86 32-bit constants (as in Spark's hash expression, seed 42).
+M32 = 4294967295
+MURMUR_C1, MURMUR_C2 = 0xCC9E2D51, 0x1B873593
+MURMUR_H_ADD, MURMUR_F1, MURMUR_F2 = 0xE6546B64, 0x85EBCA6B, 0xC2B2AE35
+SPARK_HASH_SEED = 42
 
-    y = f"(xor(({x}), ({x}) >> 16) * {MIX_MULT}) & {MASK32}"
-    z = f"(xor(({y}), ({y}) >> 16) * {MIX_MULT}) & {MASK32}"
-    return f"xor(({z}), ({z}) >> 16)"
 
+class _Chain:
+    """Builds a value step by step, one nested SELECT per step, so no step's text is ever repeated."""
 
-def hash32_sql(keys: Sequence[str], seed: int = 42, integer: bool = True) -> str:
-    """DuckDB twin of ``tabml.functions.hash32``."""
-    from tabml.functions import MASK32, seed_mix
+    def __init__(self, source: str):
+        self.sql, self.n, self.temps = f"SELECT * FROM {source}", 0, []
 
-    if integer:
-        h = str(seed_mix(seed))
-        for k in keys:
-            kk = f"CAST({k} AS BIGINT)"
-            h = f"((({h}) * 31 + ({kk} & {MASK32})) & {MASK32})"
-            h = f"((({h}) * 31 + (({kk} >> 32) & {MASK32})) & {MASK32})"
-        return f"({_mix32_sql(h)})"
-    cat = " || '#' || ".join(f"CAST({k} AS VARCHAR)" for k in keys) + f" || '#{seed}'"
-    return f"('0x' || substr(md5({cat}), 1, 8))::BIGINT"
+    def add(self, expr: str) -> str:
+        name = f"_mh{self.n}"
+        self.n += 1
+        self.temps.append(name)
+        self.sql = f"SELECT *, {expr} AS {name} FROM ({self.sql})"
+        return name
 
 
-def hash_unit_sql(keys: Sequence[str], seed: int = 42, modulus: int = 10000, integer: bool = True) -> str:
-    """DuckDB twin of ``tabml.functions.hash_unit``."""
-    return f"({hash32_sql(keys, seed, integer)} % {modulus})"
+def _mul(a: str, c: int) -> str:
+    return f"CAST((CAST({a} AS HUGEINT) * {c}) & {M32} AS BIGINT)"
+
+
+def _rotl(a: str, r: int) -> str:
+    return f"((({a} << {r}) | ({a} >> {32 - r})) & {M32})"
+
+
+def _mix_k1(ch: _Chain, v: str) -> str:
+    a = ch.add(_mul(v, MURMUR_C1))
+    b = ch.add(_rotl(a, 15))
+    return ch.add(_mul(b, MURMUR_C2))
+
+
+def _mix_h1(ch: _Chain, h: str, k: str) -> str:
+    a = ch.add(f"xor({h}, {k})")
+    b = ch.add(_rotl(a, 13))
+    return ch.add(f"(({b} * 5 + {MURMUR_H_ADD}) & {M32})")
+
+
+def _fmix(ch: _Chain, h: str, length: int) -> str:
+    a = ch.add(f"xor({h}, {length})")
+    b = ch.add(f"xor({a}, {a} >> 16)")
+    c = ch.add(_mul(b, MURMUR_F1))
+    d = ch.add(f"xor({c}, {c} >> 13)")
+    e = ch.add(_mul(d, MURMUR_F2))
+    return ch.add(f"xor({e}, {e} >> 16)")
+
+
+def hashed_sql(source: str, keys: Sequence[tuple[str, str]], seed: int = 42, out: str = "_h") -> str:
+    """Subquery over ``source`` adding ``out`` = Spark's ``hash(seed, key1, ...)`` (Murmur3, signed INTEGER),
+    the DuckDB twin of ``tabml.functions.hash32``.  ``keys`` are (expression, 'int' | 'bigint') pairs."""
+    ch = _Chain(source)
+    h = str(SPARK_HASH_SEED)
+    for expr, typ in [(str(int(seed)), "int")] + list(keys):
+        v = f"CAST({expr} AS BIGINT)"
+        if typ == "int":
+            h = _fmix(ch, _mix_h1(ch, h, _mix_k1(ch, ch.add(f"({v} & {M32})"))), 4)
+        elif typ == "bigint":
+            lo = ch.add(f"({v} & {M32})")
+            hi = ch.add(f"(({v} >> 32) & {M32})")
+            h = _mix_h1(ch, h, _mix_k1(ch, lo))
+            h = _fmix(ch, _mix_h1(ch, h, _mix_k1(ch, hi)), 8)
+        else:
+            raise ValueError(f"no SQL twin for key type {typ!r}")
+    signed = f"CAST(CASE WHEN {h} >= 2147483648 THEN {h} - 4294967296 ELSE {h} END AS INTEGER)"
+    return f"(SELECT * EXCLUDE ({', '.join(ch.temps)}), {signed} AS {out} FROM ({ch.sql}))"
+
+
+def unit_sql(col: str, modulus: int = 10000) -> str:
+    """``pmod(col, modulus)``."""
+    return f"((({col}) % {modulus} + {modulus}) % {modulus})"
 
 
 def _det(m: list[list[str]]) -> str:

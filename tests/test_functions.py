@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tabml.functions import band, band_labels, hash_unit, parse_duration, ratio, safe_double
@@ -36,33 +37,32 @@ def test_ratio_zero_and_null(spark):
     assert [r[0] for r in df.select(ratio("a", "b")).collect()] == [2.5, None, None]
 
 
-import pytest
-
 
-@pytest.mark.parametrize("integer", [True, False])
-def test_hash_unit_independent_of_partitioning(spark, integer):
+def test_hash_unit_independent_of_partitioning(spark):
     df = spark.range(2000).withColumnRenamed("id", "k")
-    a = {r.k: r.u for r in df.select("k", hash_unit(["k"], integer=integer).alias("u")).collect()}
-    b = {r.k: r.u for r in df.repartition(7).select("k", hash_unit(["k"], integer=integer).alias("u")).collect()}
+    a = {r.k: r.u for r in df.select("k", hash_unit(["k"]).alias("u")).collect()}
+    b = {r.k: r.u for r in df.repartition(7).select("k", hash_unit(["k"]).alias("u")).collect()}
     assert a == b
     assert all(0 <= v < 10000 for v in a.values())
     assert 0.65 < sum(v < 7000 for v in a.values()) / 2000 < 0.75
 
 
-@pytest.mark.parametrize("integer", [True, False])
-def test_hash_matches_duckdb_twin(spark, integer):
+def test_hash_matches_duckdb_twin(spark):
     import random
 
     import duckdb
 
-    from tabml.plans.sqlgen import hash_unit_sql
+    from tabml.functions import hash32
+    from tabml.plans.sqlgen import hashed_sql, unit_sql
 
     rnd = random.Random(3)
-    keys = [0, 1, 2**31, 2**32 + 5, -1, -(2**63), 2**63 - 1] + [rnd.randint(-(2**63), 2**63 - 1) for _ in range(200)]
-    pairs = [(k, k % 1000) for k in keys]
-    df = spark.createDataFrame(pairs, "a bigint, b bigint")
-    got = {(r.a, r.b): r.u for r in df.select("a", "b", hash_unit(["a", "b"], seed=9, integer=integer).alias("u")).collect()}
-    values = ", ".join(f"(CAST('{a}' AS BIGINT), CAST('{b}' AS BIGINT))" for a, b in pairs)
-    sql = f"SELECT a, b, {hash_unit_sql(['a', 'b'], seed=9, integer=integer)} AS u FROM (VALUES {values}) t(a, b)"
-    want = {(a, b): u for a, b, u in duckdb.connect().execute(sql).fetchall()}
+    rows = [(0, 0), (-1, -1), (2**31, 2**31 - 1), (-(2**63), -(2**31)), (2**63 - 1, 7)]
+    rows += [(rnd.randint(-(2**63), 2**63 - 1), rnd.randint(-(2**31), 2**31 - 1)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "a bigint, b int")
+    got = {(r.a, r.b): (r.h, r.u) for r in df.select(
+        "a", "b", hash32(["a", "b"], seed=9).alias("h"), hash_unit(["a", "b"], seed=9).alias("u")).collect()}
+    values = ", ".join(f"(CAST('{a}' AS BIGINT), CAST('{b}' AS INTEGER))" for a, b in rows)
+    src = hashed_sql(f"(VALUES {values}) t(a, b)", [("a", "bigint"), ("b", "int")], seed=9, out="h")
+    sql = f"SELECT a, b, h, {unit_sql('h')} AS u FROM {src}"
+    want = {(a, b): (h, u) for a, b, h, u in duckdb.connect().execute(sql).fetchall()}
     assert got == want
