@@ -251,3 +251,20 @@ def _register(task_name: str) -> None:
 for _job in JOBS:
     for _t in _job.tasks:
         _register(_t.name)
+
+
+def _register_whole(job: JobSpec) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run_job(spark, job, sf_dir)
+
+    run.__name__ = f"job_{job.name}_all"
+    run.__doc__ = (
+        f"All tasks of analysis {job.name} in one run: the cleaned source is persisted once and shared, feature "
+        "models are fitted once per feature spec."
+    )
+    query(f"job_{job.name}_all")(run)
+
+
+for _job in JOBS:
+    if len(_job.tasks) > 1:
+        _register_whole(_job)
