@@ -58,3 +58,36 @@ def test_regression_job_reports_coefficients_and_bands(spark):
     assert ("train", "intercept") in m and ("train", "coef_month") in m
     bands = [k for (_, k) in m if k.startswith("n_band_")]
     assert sum(m[("test", k)] for k in bands) == m[("test", "n")]
+
+
+def test_runner_refuses_target_as_feature(spark):
+    from dataclasses import replace
+
+    from tabml.operators.features import FeatureSpec
+    from tabml.plans.jobs import TaskSpec
+
+    job = task_job("avocado_reg")
+    bad = TaskSpec("bad", "regression", FeatureSpec(numeric=["l_quantity", "l_extendedprice"]), "l_extendedprice")
+    with pytest.raises(ValueError):
+        run_job(spark, replace(job, tasks=[bad]), SF_SMALL)
+
+
+def test_fit_scope_all_evaluates_every_row(spark):
+    job = task_job("iris_clu")
+    m = _metrics(run_job(spark, job, SF_SMALL))
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert sum(v for (s, k), v in m.items() if k.startswith("size_rank")) == n
+    assert all(s == "all" for (s, _) in m)
+
+
+def test_metrics_sink_round_trip(spark, tmp_path):
+    out = str(tmp_path / "metrics")
+    res = run_job(spark, task_job("youtube_reg"), SF_SMALL, sink=out)
+    back = spark.read.parquet(out)
+    assert back.count() == res.count()
+    assert {r.job for r in back.select("job").distinct().collect()} == {"youtube_reg"}
+
+
+def test_skip_rows_are_counted(spark):
+    m = _metrics(run_job(spark, task_job("cars_clf"), SF_SMALL))
+    assert m[("test", "rows_skipped")] >= 0

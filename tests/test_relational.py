@@ -56,3 +56,19 @@ def test_hash_sample_is_repeatable(spark):
 def test_schema_rows_types(spark):
     df = spark.createDataFrame([(1, "a", 1.0)], "a bigint, b string, c double")
     assert R.schema_rows(df) == [(1, "a", "BIGINT"), (2, "b", "VARCHAR"), (3, "c", "DOUBLE")]
+
+
+def test_csv_inference_narrows_keys_and_query_restores_types(spark):
+    import __spark_entry__ as E
+
+    df = E.queries()["scan_csv_inferred"](spark, SF_SMALL)
+    types = dict(df.dtypes)
+    assert types["o_orderkey"] == "bigint" and types["o_orderdate"] == "timestamp_ntz"
+    assert df.count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+
+
+def test_sql_string_filter_equals_column_filter(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    a = li.filter("l_returnflag = 'R' AND l_linestatus = 'F'").count()
+    b = li.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).count()
+    assert a == b > 0
