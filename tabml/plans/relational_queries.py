@@ -30,12 +30,19 @@ ORDERS_SCHEMA = T.StructType(
 )
 
 
+_STAGED: dict[tuple, str] = {}
+
+
 def _orders_csv(spark: SparkSession, sf_dir: str, header_names: list[str] | None = None) -> str:
-    """Stage the orders table as CSV in the shared scratch folder (the fixture folder is read-only)."""
-    df = load_table(spark, sf_dir, "orders")
-    if header_names:
-        df = df.toDF(*header_names)
-    return write_csv(df, scratch_dir(spark, "csv"))
+    """Stage the orders table as CSV in the shared scratch folder (the fixture folder is read-only and holds
+    parquet); staged once per session, folder and header."""
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(header_names or ()))
+    if key not in _STAGED:
+        df = load_table(spark, sf_dir, "orders")
+        if header_names:
+            df = df.toDF(*header_names)
+        _STAGED[key] = write_csv(df, scratch_dir(spark, "csv"))
+    return _STAGED[key]
 
 
 # --- A01 / A02: CSV sources ----------------------------------------------------------------------------------

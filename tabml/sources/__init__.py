@@ -22,9 +22,10 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """``header=True, inferSchema=True``.  Inference costs a full extra scan; prefer a fixed schema at scale."""
-    return spark.read.csv(path, header=True, inferSchema=True, sep=sep)
+def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",", sampling_ratio: float = 1.0) -> DataFrame:
+    """``header=True, inferSchema=True``.  Inference costs an extra scan; on very large inputs infer from a
+    sample (``sampling_ratio`` < 1) or, better, use a fixed schema."""
+    return spark.read.csv(path, header=True, inferSchema=True, sep=sep, samplingRatio=sampling_ratio)
 
 
 def read_csv_schema(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
