@@ -18,8 +18,12 @@ from tabml.operators.features import FeatureSpec
 from tabml.operators.relational import top_k_semi_filter
 from tabml.plans.catalog import query
 from tabml.plans.jobs import JobSpec, TaskSpec, run_job
+from tabml.plans.sqlgen import hashed_sql, ols_ctes, ols_prediction, unit_sql
 from tabml.sources import load_table
 
+# Metric values of the registered job queries are reported to this many significant digits (counts exact).
+DIGITS = 6
+
 
 # --- sources ---------------------------------------------------------------------------------------------------------
 def lineitem_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,13 +243,111 @@ def task_job(task_name: str) -> JobSpec:
     raise KeyError(task_name)
 
 
+# --- closed-form oracles for the least-squares jobs ------------------------------------------------------------------
+def _sig_sql(v: str, digits: int = DIGITS) -> str:
+    """DuckDB twin of ``round_sig``: significant digits, whole numbers kept."""
+    return (
+        f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} = floor({v}) THEN {v} "
+        f"ELSE round({v}, CAST({digits - 1} - floor(log10(abs({v}))) AS INTEGER)) END"
+    )
+
+
+def _reg_metrics_sql(test: str, train: str | None, features: list[str]) -> list[tuple[str, str, str]]:
+    """(split, metric, value-expression-query) rows: held-out regression metrics, optional training R² / RMSE."""
+    p = ols_prediction(features)
+    rows = [
+        ("test", "n", f"SELECT CAST(count(*) AS DOUBLE) FROM {test}"),
+        ("test", "rmse", f"SELECT sqrt(avg((y - {p}) ^ 2)) FROM {test}, ols_b"),
+        ("test", "mse", f"SELECT avg((y - {p}) ^ 2) FROM {test}, ols_b"),
+        ("test", "mae", f"SELECT avg(abs(y - {p})) FROM {test}, ols_b"),
+        ("test", "r2", f"SELECT 1 - avg((y - {p}) ^ 2) / var_pop(y) FROM {test}, ols_b"),
+        ("test", "mape", f"SELECT avg(CASE WHEN y <> 0 THEN abs((y - {p}) / y) END) * 100 FROM {test}, ols_b"),
+        ("test", "mape_excluded", f"SELECT CAST(count_if(y IS NULL OR y = 0) AS DOUBLE) FROM {test}"),
+    ]
+    if train:
+        rows += [
+            ("train", "r2", f"SELECT 1 - avg((y - {p}) ^ 2) / var_pop(y) FROM {train}, ols_b"),
+            ("train", "rmse", f"SELECT sqrt(avg((y - {p}) ^ 2)) FROM {train}, ols_b"),
+        ]
+    return rows
+
+
+def _job_sql(job: str, ctes: str, rows: list[tuple[str, str, str]], task: str | None = None) -> str:
+    body = "\nUNION ALL ".join(
+        f"SELECT '{split}' AS split, '{metric}' AS metric, ({q}) AS value" for split, metric, q in rows
+    )
+    return (
+        f"WITH {ctes}\nSELECT '{job}' AS job, '{task or job}' AS task, split, metric, {_sig_sql('value')} AS value "
+        f"FROM (\n{body}\n)"
+    )
+
+
+def _youtube_reg_sql() -> str:
+    src = hashed_sql("lineitem", [("l_orderkey", "bigint"), ("l_linenumber", "int")])
+    ctes = (
+        f"s AS (SELECT l_quantity AS x1, l_extendedprice AS y, {unit_sql('_h')} AS u FROM {src}),\n"
+        "tr AS (SELECT * FROM s WHERE u < 8000), te AS (SELECT * FROM s WHERE u >= 8000),\n"
+        + ols_ctes("tr", ["x1"], "y")
+    )
+    return _job_sql("youtube_reg", ctes, _reg_metrics_sql("te", "tr", ["x1"]))
+
+
+_EVENTS_CLEAN_SQL = """
+SELECT event_id, CAST(user_id AS DOUBLE) AS x1, CAST(hour(ts) AS DOUBLE) AS x2,
+       CAST(dayofweek(ts) + 1 AS DOUBLE) AS x3, value AS y,
+       coalesce(TRY_CAST(substring(txt, 10, 2) AS INTEGER) * 3600 + TRY_CAST(substring(txt, 13, 2) AS INTEGER) * 60
+                + TRY_CAST(substring(txt, 16, 2) AS INTEGER), 0) AS duration_sec
+FROM (SELECT *, '000 days ' || strftime(ts, '%H:%M:%S') AS txt FROM events)
+WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error')"""
+
+
+def _bike_reg_sql() -> str:
+    clean = f"(SELECT * FROM ({_EVENTS_CLEAN_SQL}) WHERE y > 0 AND duration_sec > 0)"
+    src = hashed_sql(clean, [("event_id", "bigint")])
+    ctes = (
+        f"s AS (SELECT *, {unit_sql('_h')} AS u FROM {src}),\n"
+        "tr AS (SELECT * FROM s WHERE u < 7000), te AS (SELECT * FROM s WHERE u >= 7000),\n"
+        + ols_ctes("tr", ["x1", "x2", "x3"], "y")
+    )
+    return _job_sql("bike", ctes, _reg_metrics_sql("te", "tr", ["x1", "x2", "x3"]), task="bike_reg")
+
+
+def _bike2_reg_sql() -> str:
+    feats = ["x1", "x2", "x3"]
+    src = hashed_sql("orders", [("o_orderkey", "bigint")])
+    ctes = (
+        f"s AS (SELECT CAST(o_custkey AS DOUBLE) AS x1, month(o_orderdate) AS x2, dayofweek(o_orderdate) + 1 AS x3,"
+        f" o_totalprice AS y, {unit_sql('_h')} AS u FROM {src}),\n"
+        "tr AS (SELECT * FROM s WHERE u < 7000), te AS (SELECT * FROM s WHERE u >= 7000),\n"
+        + ols_ctes("tr", feats, "y")
+        + ",\nbands AS (SELECT CASE WHEN x2 < 4 THEN '<4' WHEN x2 < 7 THEN '4-6' WHEN x2 < 10 THEN '7-9' "
+        f"ELSE '10+' END AS band, abs(y - {ols_prediction(feats)}) AS ae FROM te, ols_b)"
+    )
+    rows = _reg_metrics_sql("te", None, feats)
+    rows += [("train", f"coef_{n}", f"SELECT b_{i} FROM ols_b")
+             for i, n in enumerate(["o_custkey", "month", "day_of_week"], 1)]
+    rows += [("train", "intercept", "SELECT b_0 FROM ols_b")]
+    rows += [("all", f"label_{k}", f"SELECT {f}(y) FROM s")
+             for k, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))]
+    rows += [("test", "rmse_std_ratio",
+              f"SELECT sqrt(avg((y - {ols_prediction(feats)}) ^ 2)) / (SELECT stddev_samp(y) FROM s) FROM te, ols_b")]
+    for b in ("<4", "4-6", "7-9", "10+"):
+        rows += [("test", f"mae_band_{b}", f"SELECT avg(ae) FROM bands WHERE band = '{b}'"),
+                 ("test", f"n_band_{b}", f"SELECT CAST(count(*) AS DOUBLE) FROM bands WHERE band = '{b}'")]
+    return _job_sql("bike2_reg", ctes, rows)
+
+
+JOB_ORACLES = {"youtube_reg": _youtube_reg_sql, "bike_reg": _bike_reg_sql, "bike2_reg": _bike2_reg_sql}
+
+
 def _register(task_name: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run_job(spark, task_job(task_name), sf_dir)
+        return run_job(spark, task_job(task_name), sf_dir, digits=DIGITS)
 
     run.__name__ = f"job_{task_name}"
     run.__doc__ = f"Composite analysis task {task_name}: metric rows (job, task, split, metric, value)."
-    query(f"job_{task_name}")(run)
+    builder = JOB_ORACLES.get(task_name)
+    query(f"job_{task_name}", sql=builder() if builder else None, kind="C")(run)
 
 
 for _job in JOBS:
@@ -255,7 +357,7 @@ for _job in JOBS:
 
 def _register_whole(job: JobSpec) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run_job(spark, job, sf_dir)
+        return run_job(spark, job, sf_dir, digits=DIGITS)
 
     run.__name__ = f"job_{job.name}_all"
     run.__doc__ = (

@@ -81,21 +81,33 @@ def _estimator(task: TaskSpec, label_col: str):
     return est.setParams(**task.params) if task.params else est
 
 
+def round_sig(v, digits: int | None):
+    """Round a metric to ``digits`` significant digits; whole numbers (counts) are kept exact."""
+    if v is None:
+        return None
+    v = float(v)
+    if digits is None or v != v or v in (float("inf"), float("-inf")) or v == int(v):
+        return v
+    return float(f"{v:.{digits}g}")
+
+
 class _Rows:
-    def __init__(self, job: str, task: str):
-        self.job, self.task, self.rows = job, task, []
+    def __init__(self, job: str, task: str, digits: int | None = None):
+        self.job, self.task, self.rows, self.digits = job, task, [], digits
 
     def add(self, split: str, metrics: dict) -> None:
         for k, v in metrics.items():
-            self.rows.append((self.job, self.task, split, k, None if v is None else float(v)))
+            self.rows.append((self.job, self.task, split, k, round_sig(v, self.digits)))
 
 
 def _first_row(df: DataFrame) -> dict:
     return df.collect()[0].asDict()  # one-row aggregate
 
 
-def _run_task(spark: SparkSession, job: JobSpec, task: TaskSpec, parts: dict, feature_cache: dict) -> list:
-    out = _Rows(job.name, task.name)
+def _run_task(
+    spark: SparkSession, job: JobSpec, task: TaskSpec, parts: dict, feature_cache: dict, digits: int | None
+) -> list:
+    out = _Rows(job.name, task.name, digits)
     task.features.check_target(task.target)
     fit_df = parts["all"] if task.fit_scope == "all" else parts["train"]
     eval_df = parts[task.eval_split]
@@ -195,7 +207,10 @@ def _run_task(spark: SparkSession, job: JobSpec, task: TaskSpec, parts: dict, fe
     return out.rows
 
 
-def run_job(spark: SparkSession, job: JobSpec, sf_dir: str, sink: str | None = None) -> DataFrame:
+def run_job(
+    spark: SparkSession, job: JobSpec, sf_dir: str, sink: str | None = None, digits: int | None = None
+) -> DataFrame:
+    """Run every task of ``job``; metric values optionally rounded to ``digits`` significant digits."""
     ensure_checkpoint_dir(spark)
     src = job.source(spark, sf_dir)
     shared = len(job.tasks) > 1
@@ -210,7 +225,7 @@ def run_job(spark: SparkSession, job: JobSpec, sf_dir: str, sink: str | None = N
         feature_cache: dict = {}
         rows: list = []
         for task in job.tasks:
-            rows += _run_task(spark, job, task, parts, feature_cache)
+            rows += _run_task(spark, job, task, parts, feature_cache, digits)
     finally:
         if shared:
             src.unpersist()
