@@ -18,7 +18,7 @@ from tabml.operators.features import FeatureSpec
 from tabml.operators.relational import top_k_semi_filter
 from tabml.plans.catalog import query
 from tabml.plans.jobs import JobSpec, TaskSpec, run_job
-from tabml.plans.sqlgen import hashed_sql, ols_ctes, ols_prediction, unit_sql
+from tabml.plans.sqlgen import hashed_sql, ols_ctes, ols_gauss_ctes, ols_prediction, unit_sql
 from tabml.sources import load_table
 
 # Metric values of the registered job queries are reported to this many significant digits (counts exact).
@@ -337,7 +337,42 @@ def _bike2_reg_sql() -> str:
     return _job_sql("bike2_reg", ctes, rows)
 
 
-JOB_ORACLES = {"youtube_reg": _youtube_reg_sql, "bike_reg": _bike_reg_sql, "bike2_reg": _bike2_reg_sql}
+def _avocado_reg_sql() -> str:
+    feats = [f"x{i}" for i in range(1, 8)]
+    src = hashed_sql("lineitem", [("l_orderkey", "bigint"), ("l_linenumber", "int")])
+    ctes = (
+        "s AS (SELECT l_quantity AS x1, l_discount AS x2, l_tax AS x3, year(l_shipdate) AS x4, l_partkey AS x5,"
+        f" l_suppkey AS x6, l_linenumber AS x7, l_extendedprice AS y, {unit_sql('_h')} AS u FROM {src}),\n"
+        "tr AS (SELECT * FROM s WHERE u < 7000), te AS (SELECT * FROM s WHERE u >= 7000),\n"
+        + ols_gauss_ctes("tr", feats, "y")
+    )
+    return _job_sql("avocado", ctes, _reg_metrics_sql("te", None, feats), task="avocado_reg")
+
+
+def _medical_reg_sql() -> str:
+    from tabml.plans.feature_queries import one_hot_sql, rank_sql
+
+    feats = ["x1", "x2", "d0", "d1", "d2", "d3"]
+    src = hashed_sql("customer", [("c_custkey", "bigint")])
+    ctes = (
+        "s AS (SELECT CAST(c_nationkey AS DOUBLE) AS x1, CAST(c_custkey % 7 AS DOUBLE) AS x2, c_mktsegment,"
+        f" c_acctbal AS y, {unit_sql('_h')} AS u FROM {src}),\n"
+        "tr0 AS (SELECT * FROM s WHERE u < 7000), te0 AS (SELECT * FROM s WHERE u >= 7000),\n"
+        f"{rank_sql('tr0', 'c_mktsegment', 'r')},\n"
+        f"tr AS (SELECT tr0.*, {one_hot_sql('r.idx', 4, 'd')} FROM tr0 JOIN r ON c_mktsegment = r.lvl),\n"
+        f"te AS (SELECT te0.*, {one_hot_sql('r.idx', 4, 'd')} FROM te0 JOIN r ON c_mktsegment = r.lvl),\n"
+        + ols_gauss_ctes("tr", feats, "y")
+    )
+    return _job_sql("medical", ctes, _reg_metrics_sql("te", None, feats), task="medical_reg")
+
+
+JOB_ORACLES = {
+    "youtube_reg": _youtube_reg_sql,
+    "bike_reg": _bike_reg_sql,
+    "bike2_reg": _bike2_reg_sql,
+    "avocado_reg": _avocado_reg_sql,
+    "medical_reg": _medical_reg_sql,
+}
 
 
 def _register(task_name: str) -> None:

@@ -122,5 +122,45 @@ def ols_ctes(source: str, features: Sequence[str], target: str, prefix: str = "o
     )
 
 
+def ols_gauss_ctes(source: str, features: Sequence[str], target: str, prefix: str = "ols") -> str:
+    """Same output as ``ols_ctes`` for any number of features: Gaussian elimination on the augmented centred
+    covariance matrix [S | c], one CTE per pivot step (each cell refers only to the previous step's columns, so
+    the SQL grows as k³, not k!), then back substitution.  S is symmetric positive definite, so no pivoting."""
+    k = len(features)
+    cols = []
+    for i, xi in enumerate(features, 1):
+        for j, xj in enumerate(features, 1):
+            cols.append(f"covar_pop({xi}, {xj}) AS a0_{i}_{j}")
+        cols.append(f"covar_pop({xi}, {target}) AS a0_{i}_{k + 1}")
+        cols.append(f"avg({xi}) AS m_{i}")
+    cols.append(f"avg({target}) AS m_y")
+    ctes = [f"{prefix}_g0 AS (SELECT {', '.join(cols)} FROM {source})"]
+    keep = [f"m_{i}" for i in range(1, k + 1)] + ["m_y"]
+    for step in range(1, k + 1):
+        prev = f"a{step - 1}"
+        cells = []
+        for i in range(1, k + 1):
+            for j in range(1, k + 2):
+                if i <= step:
+                    cells.append(f"{prev}_{i}_{j} AS a{step}_{i}_{j}")
+                else:
+                    cells.append(
+                        f"{prev}_{i}_{j} - {prev}_{i}_{step} / {prev}_{step}_{step} * {prev}_{step}_{j} AS a{step}_{i}_{j}"
+                    )
+        ctes.append(f"{prefix}_g{step} AS (SELECT {', '.join(cells + keep)} FROM {prefix}_g{step - 1})")
+    a = f"a{k}"
+    bs = []
+    for i in range(k, 0, -1):
+        rest = " + ".join(f"{a}_{i}_{j} * b_{j}" for j in range(i + 1, k + 1))
+        num = f"{a}_{i}_{k + 1}" + (f" - ({rest})" if rest else "")
+        bs.append(f"{prefix}_x{i} AS (SELECT *, ({num}) / {a}_{i}_{i} AS b_{i} FROM "
+                  f"{prefix}_x{i + 1 if i < k else 'start'})")
+    ctes.append(f"{prefix}_xstart AS (SELECT * FROM {prefix}_g{k})")
+    ctes += bs
+    b0 = "m_y - (" + " + ".join(f"b_{j}*m_{j}" for j in range(1, k + 1)) + ") AS b_0"
+    ctes.append(f"{prefix}_b AS (SELECT *, {b0} FROM {prefix}_x1)")
+    return ",\n".join(ctes)
+
+
 def ols_prediction(features: Sequence[str], prefix: str = "ols") -> str:
     return f"({prefix}_b.b_0 + " + " + ".join(f"{prefix}_b.b_{j}*{x}" for j, x in enumerate(features, 1)) + ")"
