@@ -147,12 +147,14 @@ def binary_from_confusion(conf: DataFrame, positive: float = 1.0) -> DataFrame:
     return _binary_from_counts(counts)
 
 
-def area_under_roc(df: DataFrame, label: str, score: str) -> float:
-    """Exact area under the ROC curve.  Scores are grouped by distinct value and range-sorted across the
-    cluster by Spark's evaluator; ``numBins=0`` keeps every distinct score (the default 1000 bins
-    approximate).  Ties count one half, as in the Mann-Whitney statistic."""
+def area_under_roc(df: DataFrame, label: str, score: str, num_bins: int = 0) -> float:
+    """Area under the ROC curve.  Scores are grouped by distinct value and range-sorted across the cluster by
+    Spark's evaluator.  ``num_bins=0`` (default) keeps every distinct score, so the area is exact; ties count
+    one half, as in the Mann-Whitney statistic.  A positive ``num_bins`` down-samples the curve to about that
+    many points (the evaluator's own default is 1000), which bounds the curve when there are billions of
+    distinct scores, at the cost of a small approximation."""
     ev = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0
+        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=num_bins
     )
     return ev.evaluate(df.select(F.col(label).cast("double").alias(label), F.col(score).cast("double").alias(score)))
 

@@ -110,3 +110,11 @@ def test_to_long_and_banded(spark):
     assert rep["young"].avg_abs_error == 2.0 and rep["old"]["count"] == 1
     long = K.to_long(K.regression_metrics(df, "label", "prediction"), "j", "t", "test", ["rmse", "mae"]).collect()
     assert {r.metric for r in long} == {"rmse", "mae"} and all(r.job == "j" for r in long)
+
+
+def test_binned_auc_is_close_to_exact(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
+        F.when(F.col("event_type") == "click", 1.0).otherwise(0.0).alias("label"), F.col("value").alias("score")
+    )
+    exact = K.area_under_roc(ev, "label", "score")
+    assert K.area_under_roc(ev, "label", "score", num_bins=100) == pytest.approx(exact, abs=0.02)
