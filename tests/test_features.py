@@ -1,6 +1,5 @@
 import pytest
 from pyspark.ml import Pipeline
-from pyspark.sql.utils import IllegalArgumentException
 
 from tabml.operators.features import (
     FeatureSpec,

@@ -1,5 +1,3 @@
-import pytest
-from pyspark.sql import functions as F
 
 from tabml.functions import band, band_labels, hash_unit, parse_duration, ratio, safe_double
 

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tabml.plans.job_queries import JOBS, JOB_BY_NAME, task_job
 from tabml.plans.jobs import run_job
