@@ -90,3 +90,31 @@ def test_metrics_sink_round_trip(spark, tmp_path):
 def test_skip_rows_are_counted(spark):
     m = _metrics(run_job(spark, task_job("cars_clf"), SF_SMALL))
     assert m[("test", "rows_skipped")] >= 0
+
+
+ALL_TASKS = [t.name for j in JOBS for t in j.tasks]
+
+
+@pytest.mark.parametrize("task", ALL_TASKS)
+def test_every_task_reports_sane_metrics(spark, task):
+    m = {}
+    for r in run_job(spark, task_job(task), SF_SMALL, digits=6).collect():
+        assert r.job and r.task == task and r.split in {"train", "test", "all"}
+        m[(r.split, r.metric)] = r.value
+    assert m, "no metric rows"
+    for (split, name), v in m.items():
+        if v is None:
+            continue
+        if name in {"accuracy", "weighted_precision", "weighted_recall", "weighted_f1", "precision", "recall", "f1",
+                    "auc"}:
+            assert 0.0 <= v <= 1.0, (name, v)
+        if name in {"rmse", "mse", "mae", "mape", "training_cost", "wssse"} or name.startswith(("n", "size_rank")):
+            assert v >= 0.0, (name, v)
+        if name == "r2":
+            assert v <= 1.0
+        if name == "silhouette":
+            assert -1.0 <= v <= 1.0
+    if ("test", "tp") in m:
+        assert sum(m[("test", k)] for k in ("tp", "tn", "fp", "fn")) == m[("test", "n")]
+    sizes = [v for (_, k), v in m.items() if k.startswith("size_rank")]
+    assert sizes == sorted(sizes, reverse=True)
