@@ -62,6 +62,10 @@ class JobSpec:
     weights: Sequence[float] = (0.7, 0.3)
     seed: int = 42
     split_mode: str = "hash"  # hash | random
+    # How a source shared by several tasks is kept: "persist" (MEMORY_AND_DISK; lost blocks are recomputed from
+    # lineage) or "checkpoint" (written once to the shared spark.checkpoint.dir; survives executor loss without
+    # recomputation and cuts the lineage), or "none".
+    materialize: str = "persist"
 
 
 def _estimator(task: TaskSpec, label_col: str):
@@ -213,9 +217,13 @@ def run_job(
     """Run every task of ``job``; metric values optionally rounded to ``digits`` significant digits."""
     ensure_checkpoint_dir(spark)
     src = job.source(spark, sf_dir)
-    shared = len(job.tasks) > 1
-    if shared:
+    shared = len(job.tasks) > 1 and job.materialize == "persist"
+    if len(job.tasks) > 1 and job.materialize == "checkpoint":
+        src = src.checkpoint(eager=True)  # reliable checkpoint in the shared folder, never localCheckpoint
+    elif shared:
         src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    elif job.materialize not in ("persist", "checkpoint", "none"):
+        raise ValueError(f"unknown materialize mode {job.materialize!r}")
     try:
         if job.split_mode == "hash":
             train, test = hash_split(src, job.keys, job.weights, job.seed)

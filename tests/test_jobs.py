@@ -118,3 +118,13 @@ def test_every_task_reports_sane_metrics(spark, task):
         assert sum(m[("test", k)] for k in ("tp", "tn", "fp", "fn")) == m[("test", "n")]
     sizes = [v for (_, k), v in m.items() if k.startswith("size_rank")]
     assert sizes == sorted(sizes, reverse=True)
+
+
+def test_checkpointed_source_gives_same_metrics(spark):
+    from dataclasses import replace
+
+    job = JOB_BY_NAME["medical"]
+    a = _metrics(run_job(spark, job, SF_SMALL, digits=6))
+    b = _metrics(run_job(spark, replace(job, materialize="checkpoint"), SF_SMALL, digits=6))
+    reg = {k: v for k, v in a.items() if k[1] in ("rmse", "r2", "mae", "n")}
+    assert reg and all(b[k] == v for k, v in reg.items())
