@@ -115,7 +115,8 @@ IRIS = JobSpec(
         TaskSpec("iris_clf", "classification", FeatureSpec(numeric=_LI4), "l_returnflag", "logistic",
                  {"maxIter": 10}),
         TaskSpec("iris_clu", "clustering", FeatureSpec(numeric=_LI4), None, "kmeans",
-                 {"k": 3, "maxIter": 10}, fit_scope="all", eval_split="all", reports=("silhouette", "centers")),
+                 {"k": 3, "maxIter": 10}, fit_scope="all", eval_split="all", reports=("silhouette", "centers"),
+                 profile_by="l_returnflag"),
     ],
 )
 
@@ -130,7 +131,7 @@ AVOCADO = JobSpec(
                  FeatureSpec(numeric=["l_quantity", "l_extendedprice", "l_discount", "l_tax", "ship_year"],
                              output="scaled_features", scale="std"),
                  None, "kmeans", {"k": 3}, fit_scope="all", eval_split="all",
-                 reports=("silhouette", "cluster_means")),
+                 reports=("silhouette", "cluster_means"), profile_by="l_linestatus"),
     ],
 )
 

@@ -47,6 +47,10 @@ class TaskSpec:
     params: dict = field(default_factory=dict)
     fit_scope: str = "train"  # train | all  (clustering may fit on all rows)
     eval_split: str = "test"  # test | train | all
+    # Part the feature stages and label indexer are fitted on.  "train" avoids leakage; "all" reproduces
+    # analyses that indexed before splitting.  Defaults to the estimator's fit scope.
+    feature_scope: str | None = None
+    profile_by: str | None = None  # clustering: also count rows per (cluster, this column)
     reports: Sequence[str] = ()
     band_col: str | None = None
     band_bounds: Sequence[float] = ()
@@ -115,11 +119,13 @@ def _run_task(
     task.features.check_target(task.target)
     fit_df = parts["all"] if task.fit_scope == "all" else parts["train"]
     eval_df = parts[task.eval_split]
+    feature_scope = task.feature_scope or task.fit_scope
+    feature_df = parts["all"] if feature_scope == "all" else parts["train"]
 
-    # Feature model: fitted once per (features, fit scope) within a job, on the fitting part only.
-    fkey = (task.features, task.fit_scope)
+    # Feature model: fitted once per (features, scope) within a job, on that part only.
+    fkey = (task.features, feature_scope)
     if fkey not in feature_cache:
-        feature_cache[fkey] = Pipeline(stages=feature_stages(task.features)).fit(fit_df)
+        feature_cache[fkey] = Pipeline(stages=feature_stages(task.features)).fit(feature_df)
     fmodel: PipelineModel = feature_cache[fkey]
     fit_x = fmodel.transform(fit_df)
     eval_x = fmodel.transform(eval_df)
@@ -147,12 +153,17 @@ def _run_task(
         for r in sorted(prof, key=lambda r: r["cluster"]):
             for c in numeric:
                 metrics[f"mean_{c}_cluster{r['cluster']}"] = r[f"mean_{c}"]
+        if task.profile_by:
+            # cluster × class contingency: (k × classes) rows come back
+            for r in scored.groupBy(pred, task.profile_by).count().collect():
+                metrics[f"n_cluster{r[pred]}_{task.profile_by}_{r[task.profile_by]}"] = r["count"]
         out.add(task.eval_split, metrics)
         return out.rows
 
     label_col = "label"
     if task.kind == "classification":
-        lab = StringIndexer(inputCol=task.target, outputCol=label_col, handleInvalid="skip").fit(fit_x)
+        lab_df = fit_x if feature_scope == task.fit_scope else fmodel.transform(feature_df)
+        lab = StringIndexer(inputCol=task.target, outputCol=label_col, handleInvalid="skip").fit(lab_df)
         fit_x, eval_x = lab.transform(fit_x), lab.transform(eval_x)
     else:
         fit_x = fit_x.withColumn(label_col, F.col(task.target).cast("double"))

@@ -128,3 +128,15 @@ def test_checkpointed_source_gives_same_metrics(spark):
     b = _metrics(run_job(spark, replace(job, materialize="checkpoint"), SF_SMALL, digits=6))
     reg = {k: v for k, v in a.items() if k[1] in ("rmse", "r2", "mae", "n")}
     assert reg and all(b[k] == v for k, v in reg.items())
+
+
+def test_feature_scope_all_and_cluster_class_profile(spark):
+    from dataclasses import replace
+
+    job = task_job("iris_clf")
+    t = replace(job.tasks[0], feature_scope="all")
+    m = _metrics(run_job(spark, replace(job, tasks=[t]), SF_SMALL))
+    assert 0.0 <= m[("test", "accuracy")] <= 1.0
+    prof = {k: v for (_, k), v in _metrics(run_job(spark, task_job("iris_clu"), SF_SMALL)).items()
+            if k.startswith("n_cluster")}
+    assert prof and sum(prof.values()) == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
