@@ -164,12 +164,22 @@ def silhouette(df: DataFrame, features: str, prediction: str) -> float:
     return ev.evaluate(df)
 
 
+# The centre table is broadcast only up to this many cells (k × dims); beyond, the planner picks the join.
+BROADCAST_MAX_CELLS = 10_000_000
+
+
 def centers_frame(spark: SparkSession, centers: Sequence[Sequence[float]], cluster_col: str = "prediction") -> DataFrame:
     """k-row table of centres; its size is bounded by the model (k × dims), never by the data."""
     rows = [(i, [float(v) for v in c]) for i, c in enumerate(centers)]
     return spark.createDataFrame(rows, f"{cluster_col} int, _center array<double>")
 
 
+def _centers_side(spark: SparkSession, centers: Sequence[Sequence[float]]) -> DataFrame:
+    cent = centers_frame(spark, centers, "_cluster")
+    cells = len(centers) * (len(centers[0]) if centers else 0)
+    return F.broadcast(cent) if cells <= BROADCAST_MAX_CELLS else cent
+
+
 # Up to this many dimensions the squared distance is written out element by element (generated code); wider
 # vectors use a higher-order function over the arrays instead (no expression blow-up).
 ELEMENTWISE_MAX_DIMS = 64
@@ -188,7 +198,7 @@ def wssse(df: DataFrame, features: str, prediction: str, centers: Sequence[Seque
     """Sum over rows of the squared distance to the row's own centre, as one aggregate.  The centre table
     (k rows) is broadcast; the data is never shuffled."""
     spark = df.sparkSession
-    cent = F.broadcast(centers_frame(spark, centers, "_cluster"))
+    cent = _centers_side(spark, centers)
     x = df.select(vector_to_array(F.col(features)).alias("_x"), F.col(prediction).cast("int").alias("_cluster"))
     joined = x.join(cent, "_cluster")
     sq = _sq_dist(len(centers[0]) if centers else 0)
@@ -206,7 +216,7 @@ def cluster_profile(
     mean of each listed column.  The k-row centre table is broadcast; partial aggregation keeps the shuffle at
     (#partitions × k) rows however skewed the clusters are."""
     spark = df.sparkSession
-    cent = F.broadcast(centers_frame(spark, centers, "_cluster"))
+    cent = _centers_side(spark, centers)
     x = df.select(
         vector_to_array(F.col(features)).alias("_x"),
         F.col(prediction).cast("int").alias("_cluster"),
