@@ -18,8 +18,18 @@ TABLES = (
 ).split()
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
+def load_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
+    """Parquet table ``<sf_dir>/<name>.parquet``.  The relation (file listing and footer schema) is resolved
+    once per session and path and reused: listing a table of a million files is itself a distributed job, and
+    DataFrames are immutable plans, so sharing one is safe.  ``refresh=True`` re-lists (after appends)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if refresh or key not in _RELATIONS:
+        _RELATIONS[key] = spark.read.parquet(path)
+    return _RELATIONS[key]
 
 
 def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",", sampling_ratio: float = 1.0) -> DataFrame:
