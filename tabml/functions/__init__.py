@@ -15,8 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Character offsets (1-based) of hours, minutes and seconds in `000 days HH:MM:SS` text.
+# Character offsets (1-based) of hours, minutes and seconds in `000 days HH:MM:SS` text, and the
+# guard pattern for numeric text (it admits `1.2.3` and `.`, which try_cast then turns into NULL).
 DURATION_OFFSETS = (10, 13, 16)
+NUMERIC_TEXT_PATTERN = "^[0-9.]+$"
 
 
 def _c(c: str | Column) -> Column:

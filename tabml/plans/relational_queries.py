@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabml.functions import band, parse_duration, ratio, safe_double, time_parts
+from tabml.functions import NUMERIC_TEXT_PATTERN, band, parse_duration, ratio, safe_double, time_parts
 from tabml.operators import relational as R
 from tabml.operators.split import hash_split
 from tabml.plans.catalog import query
@@ -518,7 +518,7 @@ def safe_numeric_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "signup", F.lit("n/a"))
         .otherwise(F.col("value").cast("string"))
     )
-    return ev.select("event_id", safe_double(txt, "^[0-9.]+$").alias("value_num"))
+    return ev.select("event_id", safe_double(txt, NUMERIC_TEXT_PATTERN).alias("value_num"))
 
 
 @query(
