@@ -126,6 +126,7 @@ IRIS = JobSpec(
                  {"k": 3, "maxIter": 10}, fit_scope="all", eval_split="all", reports=("silhouette", "centers"),
                  profile_by="l_returnflag"),
     ],
+    report_split_sizes=True,
 )
 
 AVOCADO = JobSpec(
@@ -152,6 +153,7 @@ BIKE = JobSpec(
         TaskSpec("bike_reg", "regression", FeatureSpec(numeric=["user_id", "hour", "day_of_week"], output="reg_features"),
                  "value", "linear", {"maxIter": 10}, reports=("train_summary",)),
     ],
+    profile_cols=("user_id", "duration_sec", "hour"),
 )
 
 BIKE2 = JobSpec(
@@ -161,6 +163,7 @@ BIKE2 = JobSpec(
         TaskSpec("bike2_clu", "clustering", _BIKE_CLF, None, "kmeans", {"k": 5}, fit_scope="all", eval_split="all",
                  reports=("centers",)),
     ],
+    profile_cols=("user_id", "duration_sec", "hour"),
 )
 
 BIKE2_REG = JobSpec(
@@ -245,10 +248,11 @@ JOB_BY_NAME = {j.name: j for j in JOBS}
 
 
 def task_job(task_name: str) -> JobSpec:
+    """One task of its analysis as a job of its own (job-level source reports belong to whole-job runs)."""
     for job in JOBS:
         for t in job.tasks:
             if t.name == task_name:
-                return replace(job, tasks=[t])
+                return replace(job, tasks=[t], report_split_sizes=False, profile_cols=())
     raise KeyError(task_name)
 
 

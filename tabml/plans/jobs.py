@@ -30,7 +30,7 @@ from tabml.operators import evaluate as K
 from tabml.operators import inspect as I
 from tabml.operators import models as M
 from tabml.operators.features import FeatureSpec, feature_stages
-from tabml.operators.split import hash_split, random_split
+from tabml.operators.split import hash_split, random_split, with_split_column
 from tabml.session import ensure_checkpoint_dir
 from tabml.sources import write_metrics
 
@@ -70,6 +70,8 @@ class JobSpec:
     # lineage) or "checkpoint" (written once to the shared spark.checkpoint.dir; survives executor loss without
     # recomputation and cuts the lineage), or "none".
     materialize: str = "persist"
+    report_split_sizes: bool = False  # rows per part, from one aggregate over a split column
+    profile_cols: Sequence[str] = ()  # count / mean / stddev / min / max of the cleaned source, one aggregate
 
 
 def _estimator(task: TaskSpec, label_col: str):
@@ -222,6 +224,21 @@ def _run_task(
     return out.rows
 
 
+def _job_reports(spark: SparkSession, job: JobSpec, src: DataFrame, digits: int | None) -> list:
+    """Job-level reports on the cleaned source (task name ``source``)."""
+    out = _Rows(job.name, "source", digits)
+    if job.report_split_sizes and job.split_mode == "hash":
+        labelled = with_split_column(src, job.keys, job.weights, job.seed, names=("train", "test"))
+        for r in labelled.groupBy("split").count().collect():  # two rows
+            out.add("all", {f"rows_{r['split']}": r["count"]})
+    if job.profile_cols:
+        from tabml.operators.relational import describe_numeric
+
+        for r in describe_numeric(src, list(job.profile_cols)).collect():  # one row per column
+            out.add("all", {f"{stat}_{r['column']}": r[stat] for stat in ("count", "mean", "stddev", "min", "max")})
+    return out.rows
+
+
 def run_job(
     spark: SparkSession, job: JobSpec, sf_dir: str, sink: str | None = None, digits: int | None = None
 ) -> DataFrame:
@@ -243,6 +260,7 @@ def run_job(
         parts = {"all": src, "train": train, "test": test}
         feature_cache: dict = {}
         rows: list = []
+        rows += _job_reports(spark, job, src, digits)
         for task in job.tasks:
             rows += _run_task(spark, job, task, parts, feature_cache, digits)
     finally:

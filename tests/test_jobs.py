@@ -140,3 +140,12 @@ def test_feature_scope_all_and_cluster_class_profile(spark):
     prof = {k: v for (_, k), v in _metrics(run_job(spark, task_job("iris_clu"), SF_SMALL)).items()
             if k.startswith("n_cluster")}
     assert prof and sum(prof.values()) == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+
+
+def test_whole_job_reports_source_profile_and_split_sizes(spark):
+    rows = run_job(spark, JOB_BY_NAME["iris"], SF_SMALL, digits=6).collect()
+    src = {r.metric: r.value for r in rows if r.task == "source"}
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert src["rows_train"] + src["rows_test"] == n
+    prof = {r.metric: r.value for r in run_job(spark, JOB_BY_NAME["bike"], SF_SMALL).collect() if r.task == "source"}
+    assert prof["min_hour"] >= 0 and prof["max_hour"] <= 23 and prof["count_duration_sec"] > 0
