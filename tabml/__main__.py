@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     sub = ap.add_subparsers(dest="cmd", required=True)
     sub.add_parser("list", help="list jobs, tasks and queries")
     run = sub.add_parser("run", help="run an analysis job (all tasks, or one)")
-    run.add_argument("job")
+    run.add_argument("job", help="job name, or a JSON job file (see tabml.plans.config)")
     run.add_argument("--data", required=True, help="folder holding <table>.parquet")
     run.add_argument("--task")
     run.add_argument("--sink", help="append the metric rows to this parquet folder")
@@ -57,7 +57,12 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session()
     if args.cmd == "run":
-        job = JOB_BY_NAME[args.job]
+        if args.job.endswith(".json"):
+            from tabml.plans.config import job_from_json
+
+            job = job_from_json(args.job)
+        else:
+            job = JOB_BY_NAME[args.job]
         if args.task:
             job = replace(job, tasks=[t for t in job.tasks if t.name == args.task])
         run_job(spark, job, args.data, sink=args.sink, digits=DIGITS).show(1000, truncate=False)

@@ -149,3 +149,27 @@ def test_whole_job_reports_source_profile_and_split_sizes(spark):
     assert src["rows_train"] + src["rows_test"] == n
     prof = {r.metric: r.value for r in run_job(spark, JOB_BY_NAME["bike"], SF_SMALL).collect() if r.task == "source"}
     assert prof["min_hour"] >= 0 and prof["max_hour"] <= 23 and prof["count_duration_sec"] > 0
+
+
+def test_config_defined_job_equals_code_defined(spark):
+    from tabml.plans.config import job_from_dict
+
+    cfg = {
+        "name": "bike2_reg",
+        "source": {
+            "table": "orders",
+            "derive": {"o_custkey": "CAST(o_custkey AS DOUBLE)", "month": "month(o_orderdate)",
+                       "day_of_week": "dayofweek(o_orderdate)"},
+            "select": ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "month", "day_of_week"],
+        },
+        "keys": ["o_orderkey"],
+        "tasks": [{
+            "name": "bike2_reg", "kind": "regression", "target": "o_totalprice", "estimator": "linear",
+            "features": {"numeric": ["o_custkey", "month", "day_of_week"], "output": "reg_features"},
+            "params": {"maxIter": 10}, "reports": ["coefficients", "label_stats", "banded"],
+            "band_col": "month", "band_bounds": [4, 7, 10],
+        }],
+    }
+    a = _metrics(run_job(spark, job_from_dict(cfg), SF_SMALL, digits=6))
+    b = _metrics(run_job(spark, task_job("bike2_reg"), SF_SMALL, digits=6))
+    assert a == b
