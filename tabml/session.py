@@ -62,7 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster session")
         conf_dir = tempfile.mkdtemp(prefix="tabml-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        try:  # recorded for readers of the setting; the context below is what Spark uses
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # noqa: BLE001 — some session modes refuse core settings at run time
+            pass
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
