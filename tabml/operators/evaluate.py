@@ -4,14 +4,19 @@ Each metric family is one aggregate over the data (partial aggregation on every
 shuffle), instead of one job per metric as with repeated ``Evaluator.evaluate`` calls or ``filter(...).count()``.
 
 * ``regression_metrics``      — n, MSE, RMSE, MAE, R², explained variance, MAPE (zero labels excluded, counted).
-* ``confusion``               — (label, prediction, count) table.
-* ``classification_metrics``  — accuracy and label-frequency-weighted precision / recall / F1 from the
-                                 confusion table (the same definitions as Spark's multiclass evaluator).
-* ``binary_metrics``          — TP/TN/FP/FN and positive-class accuracy / precision / recall / F1, zero-guarded.
-* ``area_under_roc``          — exact AUC (Spark's binary evaluator with ``numBins=0``: no down-sampling).
+* ``confusion``               — (label, prediction, count) table: the one pass classification metrics need.
+* ``classification_metrics`` / ``metrics_from_confusion``
+                              — accuracy and label-frequency-weighted precision / recall / F1 (the same
+                                definitions as Spark's multiclass evaluator).
+* ``binary_metrics`` / ``binary_from_confusion``
+                              — TP/TN/FP/FN and positive-class accuracy / precision / recall / F1, zero-guarded.
+* ``area_under_roc``          — AUC, exact by default (Spark's binary evaluator with ``numBins=0``).
 * ``silhouette``              — squared-Euclidean silhouette (Spark's clustering evaluator).
-* ``wssse``                   — within-cluster sum of squared distances to a given centre table.
+* ``wssse`` / ``cluster_profile``
+                              — squared distances to given centres (size-checked broadcast of the k-row
+                                centre table); per cluster: size, SSE and column means in one grouped pass.
 * ``banded_errors``           — mean absolute error, mean label and count per band.
+* ``metric_rows`` / ``to_long`` — tidy (job, task, split, metric, value) rows.
 """
 
 from __future__ import annotations
