@@ -11,13 +11,17 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-RELATIONAL = [k for k, fn in E.queries().items() if fn.__module__.endswith(("relational_queries", "evaluate_queries"))]
+RELATIONAL = [
+    k for k, fn in E.queries().items()
+    if fn.__module__.endswith(("relational_queries", "evaluate_queries", "feature_queries"))
+]
 
 
 @pytest.mark.parametrize("name", RELATIONAL)
-def test_no_cross_joins(spark, name):
+def test_no_cross_joins_and_no_python_workers(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "EvalPython" not in plan and "PythonUDF" not in plan and "MapInPandas" not in plan
 
 
 def test_filters_and_columns_reach_the_scan(spark):
