@@ -173,3 +173,13 @@ def test_config_defined_job_equals_code_defined(spark):
     a = _metrics(run_job(spark, job_from_dict(cfg), SF_SMALL, digits=6))
     b = _metrics(run_job(spark, task_job("bike2_reg"), SF_SMALL, digits=6))
     assert a == b
+
+
+def test_random_split_mode_runs_and_partitions(spark):
+    from dataclasses import replace
+
+    job = replace(task_job("youtube_reg"), split_mode="random")
+    m = _metrics(run_job(spark, job, SF_SMALL))
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert 0 < m[("test", "n")] < n
+    assert m[("train", "rmse")] >= 0.0
