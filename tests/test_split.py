@@ -35,3 +35,10 @@ def test_random_split_partitions(spark):
     a, b = random_split(df, (0.8, 0.2), seed=42)
     ids_a, ids_b = {r.id for r in a.collect()}, {r.id for r in b.collect()}
     assert ids_a.isdisjoint(ids_b) and len(ids_a) + len(ids_b) == 3000
+
+
+def test_random_split_repeatable_at_fixed_partitioning(spark):
+    df = spark.range(3000).repartition(4, "id")
+    a1, _ = random_split(df, (0.7, 0.3), seed=42)
+    a2, _ = random_split(df, (0.7, 0.3), seed=42)
+    assert {r.id for r in a1.collect()} == {r.id for r in a2.collect()}
