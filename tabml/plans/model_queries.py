@@ -427,7 +427,7 @@ def kmeans_planted_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.min("event_type").alias("event_type"),
             F.count("*").alias("size"),
-            F.countDistinct("event_type").alias("n_types"),
+            F.count_distinct("event_type").alias("n_types"),
             F.round(F.avg("d1"), 6).alias("avg_d1"),
             F.round(F.avg("d2"), 6).alias("avg_d2"),
         )
