@@ -72,3 +72,23 @@ def test_sql_string_filter_equals_column_filter(spark):
     a = li.filter("l_returnflag = 'R' AND l_linestatus = 'F'").count()
     b = li.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).count()
     assert a == b > 0
+
+
+def test_trip_csv_with_fixed_schema_then_duration_and_filters(spark, tmp_path):
+    from tabml.functions import parse_duration, time_parts
+    from tabml.sources import TRIP_SCHEMA
+
+    p = tmp_path / "trips.csv"
+    p.write_text(
+        "Index,Trip_Id,User_Id,Sex,Birth_year,Trip_start,Trip_end,Origin_Id,Destination_Id,Age,Duration\n"
+        "1,10,100,M,1990,2024-01-01 08:00:00,2024-01-01 08:12:03,5,6,34,000 days 00:12:03\n"
+        "2,11,101,F,1960,2024-01-02 17:30:00,2024-01-02 17:31:00,5,7,x,000 days 00:01:00\n"
+        "3,12,102,F,2001,2024-01-03 23:00:00,2024-01-03 23:05:00,6,5,23,0 days 00:05:00\n"
+    )
+    df = read_csv_schema(spark, str(p), TRIP_SCHEMA)
+    df = df.withColumn("Duration_sec", parse_duration("Duration")).withColumns(time_parts("Trip_start"))
+    rows = {r.Index: r for r in df.collect()}
+    assert rows[1].Duration_sec == 723 and rows[1].hour == 8 and rows[2].Age is None
+    assert rows[3].Duration_sec == 0  # other prefix width -> 0, then removed by the > 0 filter
+    clean = df.filter(R.between("Age", 16, 80) & (F.col("Duration_sec") > 0) & F.col("Sex").isin("M", "F"))
+    assert [r.Index for r in clean.collect()] == [1]
