@@ -16,6 +16,12 @@ from pyspark.sql import types as T
 BROADCAST_MAX_ROWS = 100_000
 
 
+def col(name: str) -> Column:
+    """Column by its literal name: spaces, leading digits and dots (``Total Volume``, ``4046``, ``a.b``) are
+    taken as part of the name, never as struct access."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def drop_columns(df: DataFrame, cols: Sequence[str], strict: bool = False) -> DataFrame:
     """``df.drop`` silently ignores absent names; ``strict`` raises instead."""
     if strict:
@@ -33,12 +39,12 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cond = None
     for c in cols:
-        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+        cond = col(c).isNotNull() if cond is None else cond & col(c).isNotNull()
     return df.filter(cond) if cond is not None else df
 
 
 def between(c: str, lo=None, hi=None, lo_inclusive: bool = True, hi_inclusive: bool = True) -> Column:
-    x = F.col(c)
+    x = col(c)
     cond = F.lit(True)
     if lo is not None:
         cond = cond & ((x >= lo) if lo_inclusive else (x > lo))
@@ -55,9 +61,9 @@ def group_count(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("count"))
 
 
-def global_stats(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
-    p = prefix if prefix is not None else col
-    x = F.col(col).cast("double")
+def global_stats(df: DataFrame, column: str, prefix: str | None = None) -> DataFrame:
+    p = prefix if prefix is not None else column
+    x = col(column).cast("double")
     return df.agg(
         F.avg(x).alias(f"mean_{p}"),
         F.stddev_samp(x).alias(f"std_{p}"),
@@ -68,7 +74,7 @@ def global_stats(df: DataFrame, col: str, prefix: str | None = None) -> DataFram
 
 def group_means(df: DataFrame, key: str | Column, cols: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
     names = list(names) if names is not None else [f"avg_{c}" for c in cols]
-    return df.groupBy(key).agg(*[F.avg(F.col(c).cast("double")).alias(n) for c, n in zip(cols, names)])
+    return df.groupBy(key).agg(*[F.avg(col(c).cast("double")).alias(n) for c, n in zip(cols, names)])
 
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -82,7 +88,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = col(c).cast("double")
         aggs += [
             F.count(x).alias(f"n{i}"),
             F.avg(x).alias(f"m{i}"),
@@ -109,7 +115,7 @@ def describe_string(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Long profile (column, count, min, max) of text columns (mean and stddev are undefined for text)."""
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+        aggs += [F.count(col(c)).alias(f"n{i}"), F.min(col(c)).alias(f"lo{i}"), F.max(col(c)).alias(f"hi{i}")]
     wide = df.agg(*aggs)
     structs = [
         F.struct(

@@ -92,3 +92,13 @@ def test_trip_csv_with_fixed_schema_then_duration_and_filters(spark, tmp_path):
     assert rows[3].Duration_sec == 0  # other prefix width -> 0, then removed by the > 0 filter
     clean = df.filter(R.between("Age", 16, 80) & (F.col("Duration_sec") > 0) & F.col("Sex").isin("M", "F"))
     assert [r.Index for r in clean.collect()] == [1]
+
+
+def test_names_with_spaces_digits_and_dots(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0, "a"), (3.0, 4.0, 5.0, "b")], "`Total Volume` double, `4046` double, `a.b` double, t string")
+    d = {r.column: r for r in R.describe_numeric(df, ["Total Volume", "4046", "a.b"]).collect()}
+    assert d["a.b"].mean == 4.0 and d["4046"].max == 4.0 and d["Total Volume"]["count"] == 2
+    g = {r.t: r for r in R.group_means(df, "t", ["a.b", "4046"], ["m_ab", "m_4046"]).collect()}
+    assert g["a"].m_ab == 3.0 and g["b"].m_4046 == 4.0
+    assert R.not_null(df, ["a.b"]).count() == 2
+    assert R.global_stats(df, "Total Volume", prefix="tv").first().mean_tv == 2.0
