@@ -228,7 +228,7 @@ YOUTUBE_CLF = JobSpec(
         TaskSpec("youtube_clf", "classification",
                  FeatureSpec(numeric=["key", "c_acctbal", "bal_per_key"], output="features_clf"),
                  "nation", "logistic", {"maxIter": 10, "predictionCol": "predicted_nation"},
-                 reports=("train_accuracy",)),
+                 reports=("train_accuracy", "coefficients")),
     ],
     weights=(0.8, 0.2),
 )

@@ -19,8 +19,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ from tabml.functions import band
 from tabml.operators import evaluate as K
 from tabml.operators import inspect as I
 from tabml.operators import models as M
-from tabml.operators.features import FeatureSpec, feature_stages
+from tabml.operators.features import FeatureSpec, fit_features, label_indexer
 from tabml.operators.split import hash_split, random_split, with_split_column
 from tabml.session import ensure_checkpoint_dir
 from tabml.sources import write_metrics
@@ -127,7 +126,7 @@ def _run_task(
     # Feature model: fitted once per (features, scope) within a job, on that part only.
     fkey = (task.features, feature_scope)
     if fkey not in feature_cache:
-        feature_cache[fkey] = Pipeline(stages=feature_stages(task.features)).fit(feature_df)
+        feature_cache[fkey] = fit_features(task.features, feature_df)
     fmodel: PipelineModel = feature_cache[fkey]
     fit_x = fmodel.transform(fit_df)
     eval_x = fmodel.transform(eval_df)
@@ -165,7 +164,7 @@ def _run_task(
     label_col = "label"
     if task.kind == "classification":
         lab_df = fit_x if feature_scope == task.fit_scope else fmodel.transform(feature_df)
-        lab = StringIndexer(inputCol=task.target, outputCol=label_col, handleInvalid="skip").fit(lab_df)
+        lab = label_indexer(task.target, label_col, handle_invalid="skip").fit(lab_df)
         fit_x, eval_x = lab.transform(fit_x), lab.transform(eval_x)
     else:
         fit_x = fit_x.withColumn(label_col, F.col(task.target).cast("double"))
@@ -221,6 +220,10 @@ def _run_task(
             out.add(task.eval_split, {f"n_label{int(r['label'])}": r["n"]})
     if "train_accuracy" in task.reports and task.estimator == "logistic":
         out.add("train", {"accuracy": I.classification_summary(model)["accuracy"]})
+    if "coefficients" in task.reports and task.estimator == "logistic":
+        names = task.features.assembled_inputs()
+        for r in I.multinomial_coefficients(spark, model, names).collect():  # classes × (features + 1) rows
+            out.add("train", {f"coef_class{r['class']}_{r['term']}": r["coefficient"]})
     return out.rows
 
 

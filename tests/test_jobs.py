@@ -183,3 +183,10 @@ def test_random_split_mode_runs_and_partitions(spark):
     n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert 0 < m[("test", "n")] < n
     assert m[("train", "rmse")] >= 0.0
+
+
+def test_logistic_coefficient_report(spark):
+    m = _metrics(run_job(spark, task_job("youtube_clf"), SF_SMALL))
+    coefs = [k for (s, k) in m if s == "train" and k.startswith("coef_class")]
+    # 5 classes × (3 features + intercept)
+    assert len(coefs) == 5 * 4 and all(m[("train", k)] == m[("train", k)] for k in coefs)
