@@ -2,7 +2,7 @@
 
     python -m tabml list
     python -m tabml run <job> --data DIR [--task T] [--sink DIR]
-    python -m tabml query <name> --data DIR [--show N] [--out DIR]
+    python -m tabml query <name> --data DIR [--show N] [--out DIR] [--explain]
 
 Under ``spark-submit`` the submitted session configuration is used as is (master, checkpoint folder, ...);
 started with plain ``python`` it runs on a local session.
@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--data", required=True)
     q.add_argument("--show", type=int, default=20)
     q.add_argument("--out", help="write the full result as parquet here instead of showing it")
+    q.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
     args = ap.parse_args(argv)
 
     from dataclasses import replace
@@ -70,7 +71,9 @@ def main(argv: list[str] | None = None) -> int:
 
     catalog.load_all()
     df = catalog.QUERIES[args.name](spark, args.data)
-    if args.out:
+    if args.explain:
+        df.explain("formatted")
+    elif args.out:
         df.write.mode("overwrite").parquet(args.out)
     else:
         df.show(args.show, truncate=False)
