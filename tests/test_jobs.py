@@ -190,3 +190,27 @@ def test_logistic_coefficient_report(spark):
     coefs = [k for (s, k) in m if s == "train" and k.startswith("coef_class")]
     # 5 classes × (3 features + intercept)
     assert len(coefs) == 5 * 4 and all(m[("train", k)] == m[("train", k)] for k in coefs)
+
+
+def test_rows_skipped_counts_unseen_test_labels(spark):
+    from pyspark.sql import functions as F
+
+    from tabml.operators.features import FeatureSpec
+    from tabml.operators.split import hash_split
+    from tabml.plans.jobs import JobSpec, TaskSpec
+
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    _, test = hash_split(orders, ["o_orderkey"], (0.7, 0.3))
+    rare = [r.o_orderkey for r in test.orderBy("o_orderkey").limit(3).collect()]  # 3 test rows get a new label
+
+    def source(s, d):
+        o = s.read.parquet(f"{d}/orders.parquet")
+        lab = F.when(F.col("o_orderkey").isin(rare), F.lit("RARE")).otherwise(F.col("o_orderstatus"))
+        return o.select("o_orderkey", "o_totalprice", lab.alias("status"))
+
+    job = JobSpec("rare", source, ["o_orderkey"], [
+        TaskSpec("rare_clf", "classification", FeatureSpec(numeric=["o_totalprice"]), "status", "logistic",
+                 {"maxIter": 5})])
+    m = _metrics(run_job(spark, job, SF_SMALL))
+    assert m[("test", "rows_skipped")] == 3
+    assert m[("test", "n")] == test.count() - 3
