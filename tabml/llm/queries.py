@@ -51,3 +51,17 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    "op10_exact_dedup",
+    r"""
+    WITH norm AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents),
+    best AS (SELECT t, first(doc_id ORDER BY n DESC, doc_id) AS keep_id, count(*) AS group_size FROM norm GROUP BY t)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM norm JOIN best USING (t)
+    """,
+)
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.exact_dedup import exact_duplicates
+
+    return exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
