@@ -65,3 +65,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabml.llm.exact_dedup import exact_duplicates
 
     return exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, max_bits=4)
