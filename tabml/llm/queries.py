@@ -72,3 +72,22 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabml.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, max_bits=4)
+
+
+@query(
+    "op8_line_dedup",
+    r"""
+    WITH docs AS (SELECT row_number() OVER () AS n, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    lines AS (SELECT n, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs),
+    keyed AS (SELECT n, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+    common AS (SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT n) >= 10),
+    marked AS (SELECT keyed.*, common.k IS NOT NULL AS gone FROM keyed LEFT JOIN common USING (k)),
+    cut AS (SELECT n, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM marked GROUP BY n)
+    SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM docs JOIN cut USING (n)
+    """,
+)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.line_dedup import drop_common_lines
+
+    cut = drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
