@@ -91,3 +91,21 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cut = drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+#: Fixed values of the contract.
+SEQUENCE_TOKENS, END_ID, TOKENIZER = 4096, 1, "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_packing")
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.packing import pack_documents
+
+    packed = pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), end_id=END_ID, capacity=SEQUENCE_TOKENS)
+    return packed.drop("ids")
