@@ -109,3 +109,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     packed = pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), end_id=END_ID, capacity=SEQUENCE_TOKENS)
     return packed.drop("ids")
+
+
+@query("op7_html_extract")
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.html_extract import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
