@@ -116,3 +116,19 @@ def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabml.llm.html_extract import extract_pages
 
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.secrets import KINDS, scan_secrets
+
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    names = F.array(*[F.lit(k) for k in KINDS])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s.kind), s.start, s.stop)), ",")
+    of_kind = lambda k: F.size(F.filter("spans", lambda s: s.kind == k)).cast("bigint")
+    base = F.filter("spans", lambda s: s.kind < 3)
+    label = lambda name: F.size(F.filter("spans", lambda s: s.label == name)).cast("bigint")
+    return found.select(
+        "doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"), F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"), label("live").alias("n_live"), label("example").alias("n_example"),
+    )
