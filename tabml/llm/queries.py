@@ -132,3 +132,15 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"), F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"), label("live").alias("n_live"), label("example").alias("n_example"),
     )
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm._common import written
+    from tabml.llm.quality import fit, judge, text_stats
+
+    docs = table(spark, sf_dir, "documents")
+    stats = written(docs.select("doc_id", text_stats(F.col("text")).alias("stats")), "stats")
+    rules = fit(stats, table(spark, sf_dir, "labels"))
+    shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judge(stats, rules).select("doc_id", *[f"stats.{c}" for c in shown], "base_failed", "kept", "rule")
