@@ -151,7 +151,7 @@ def _grow(x: np.ndarray, bad: np.ndarray, max_conditions: int, cuts: int) -> Rul
     return rule
 
 
-def learn_rules(x: np.ndarray, bad: np.ndarray, min_precision: float = 0.95, min_rows: int = 10, max_rules: int = 12, max_conditions: int = 4, cuts: int = 256, seed: int = 0) -> list[Rule]:
+def learn_rules(x: np.ndarray, bad: np.ndarray, min_precision: float = 0.95, min_rows: int = 5, max_rules: int = 12, max_conditions: int = 4, cuts: int = 256, seed: int = 0) -> list[Rule]:
     """Ordered rules that reject; empty where there is nothing to learn from."""
     rng, rules = np.random.default_rng(seed), []
     prune = rng.random(len(x)) < 1 / 3
@@ -176,8 +176,8 @@ def learn_rules(x: np.ndarray, bad: np.ndarray, min_precision: float = 0.95, min
 
 
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_rows: int = 20_000, **options) -> list[Rule]:
-    """Learn the list from ``stats`` (id, ``stats``) of documents that ``labels`` covers (label 0: reject)."""
-    x = stats.select(col(id_col).alias("id"), *[f.alias(k) for k, f in features(F.col("stats")).items()])
+    """Learn the list from ``stats`` (id, ``stats``) of documents that pass the base rules and that ``labels`` covers (label 0: reject)."""
+    x = stats.filter(~base_failed(F.col("stats"))).select(col(id_col).alias("id"), *[f.alias(k) for k, f in features(F.col("stats")).items()])
     rows = x.join(F.broadcast(sample_labels(labels, id_col, label_col, max_rows)), "id").orderBy("id", *FEATURES).limit(max_rows).toPandas()
     return learn_rules(rows[FEATURES].to_numpy(float), rows["label"].to_numpy() == 0, **options)
 
