@@ -144,3 +144,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = fit(stats, table(spark, sf_dir, "labels"))
     shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judge(stats, rules).select("doc_id", *[f"stats.{c}" for c in shown], "base_failed", "kept", "rule")
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.langid import fit, held_out, predict
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
