@@ -153,3 +153,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs.filter(~held_out(F.col("doc_id"))))
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+#: Production parameters of the sampler: samples for each text, seed of the row keys.
+SEGMENTATIONS, SEED, PIECES = 2, 0, "piece_bpe_32k.model"
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.segmentation import sample_segmentations
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sample_segmentations(docs, tokenizer_path(PIECES), k=SEGMENTATIONS, seed=SEED, with_ids=False).drop("ids")
