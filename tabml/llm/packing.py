@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -34,52 +35,65 @@ Plan = list[tuple[dict[int, int], int]]  # configurations: length -> copies, and
 TAIL = '.,;:!?%*#$&|"()[]'
 
 
-class WordIds:
+def _byte_letters() -> dict[int, str]:
+    """Byte -> letter of byte-level vocabularies: printable Latin-1 stands for itself, the rest follows from U+0100."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+class WordIds(dict):
     """Token ids (little-endian unsigned 32-bit bytes) of white-space separated chunks, kept in two generations.
 
-    The tokenizer never joins characters across a space, so a text's ids are its chunks' ids in order.  When the young
-    generation has ``limit`` entries it becomes the old one; entries used again move on, so memory is bounded.
+    The tokenizer never joins characters across a space, so a text's ids are its chunks' ids in order.  A chunk of
+    Latin letters, perhaps with ASCII punctuation behind, goes straight to the tokenizer's merges: normalisation only
+    lower-cases it and it is one word.  Any other chunk goes through the whole tokenizer.  When the young generation
+    has ``limit`` entries it becomes the old one; entries used again move on, so memory is bounded.
     """
 
-    def __init__(self, tokenizer, limit: int = 300_000) -> None:
-        self.tokenizer, self.limit = tokenizer, limit
-        self.young: dict[str, bytes] = {}
+    def __init__(self, tokenizer, limit: int = 500_000) -> None:
+        super().__init__()
+        self.tokenizer, self.merges, self.limit = tokenizer, tokenizer.model.tokenize, limit
         self.old: dict[str, bytes] = {}
-
-    @staticmethod
-    def _core(word: str) -> tuple[str, str]:
-        core = word.rstrip(TAIL)
-        if not core or not core[-1].isalnum():
-            return word, ""
-        return (core.lower() if core.isascii() else core), word[len(core) :]
-
-    def learn(self, words: set[str]) -> None:
-        young, old = self.young, self.old
-        missing = []
-        for w in words:
-            if w not in young:
-                if (ids := old.get(w)) is not None:
-                    young[w] = ids
+        self.tails: dict[str, bytes] = {}
+
+    def _whole(self, chunk: str) -> bytes:
+        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _tail(self, tail: str) -> bytes:
+        if (ids := self.tails.get(tail)) is None:
+            ids = self._whole(tail)
+            if len(tail) <= 4:
+                self.tails[tail] = ids
+        return ids
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            core = chunk.rstrip(TAIL)
+            if core.isalpha() and (core.isascii() or max(core) < "\u0180" and "\u0130" not in core):
+                low = core.lower()
+                if low == chunk:
+                    found = self.merges(low if low.isascii() else low.encode().decode("latin-1").translate(BYTE_LETTERS))
+                    ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
                 else:
-                    missing.append(w)
-        parts = [self._core(w) for w in missing]
-        new = {p for pair in parts for p in pair if p and p not in young and p not in old}
-        new = list(new)
-        known = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        find = lambda p: known.get(p) or young.get(p) or old.get(p, b"")
-        for w, (core, tail) in zip(missing, parts):
-            young[w] = find(core) + (find(tail) if tail else b"")
-        for p, ids in known.items():
-            young.setdefault(p, ids)
+                    ids = self[low] if core is chunk else self[low] + self._tail(chunk[len(core) :])
+            else:
+                ids = self._whole(chunk)
+        if len(chunk) <= 64:
+            self[chunk] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 64):
-            split = [t.replace("\n", " ").split(" ") for t in texts[at : at + 64]]
-            if len(self.young) > self.limit:
-                self.young, self.old = {}, self.young
-            self.learn(set().union(*split))
-            for words in split:
-                yield b"".join(map(self.young.__getitem__, words))
+        for text in texts:
+            if len(self) > self.limit:
+                self.old = dict(self)
+                self.clear()
+            yield b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _WORDS: dict[str, WordIds] = {}
