@@ -7,7 +7,6 @@ Layers:
 * ``tabml.operators``  — relational helpers, profiling, splitting, feature stages, estimators,
                          model tables and one-pass evaluators.
 * ``tabml.plans``      — job specifications (in code or as JSON), the job runner and the query catalogue.
-* ``tabml.streaming``  — scoring of streaming frames with fitted models.
 
 ``python -m tabml`` lists, runs jobs (by name or JSON file) and runs or explains single queries.
 

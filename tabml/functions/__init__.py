@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 # guard pattern for numeric text (it admits `1.2.3` and `.`, which try_cast then turns into NULL).
 DURATION_OFFSETS = (10, 13, 16)
 NUMERIC_TEXT_PATTERN = "^[0-9.]+$"
+#: Steps of the hash grid: every value of the 32-bit hash, so that a part of one in a million is not rounded away.
+HASH_GRID = 1 << 32
 
 
 def _c(c: str | Column) -> Column:
@@ -44,14 +46,14 @@ def safe_double(c: str | Column, pattern: str | None = None) -> Column:
 
 
 def band_labels(bounds: Sequence[float]) -> list[str]:
-    """Labels for half-open bands split at ``bounds``: ``<b0``, ``b0-(b1-1)``, ..., ``bn+``."""
+    """Labels for half-open bands split at ``bounds``: ``<b0``, ``[b0,b1)``, ..., ``>=bn`` (true for fractions too)."""
     def fmt(x: float) -> str:
         return str(int(x)) if float(x).is_integer() else str(x)
 
     labels = [f"<{fmt(bounds[0])}"]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
-        labels.append(f"{fmt(lo)}-{fmt(hi - 1)}")
-    labels.append(f"{fmt(bounds[-1])}+")
+        labels.append(f"[{fmt(lo)},{fmt(hi)})")
+    labels.append(f">={fmt(bounds[-1])}")
     return labels
 
 
@@ -78,10 +80,10 @@ def hash32(keys: Sequence[str | Column], seed: int = 42) -> Column:
     return F.hash(F.lit(int(seed)), *[_c(k) for k in keys])
 
 
-def hash_unit(keys: Sequence[str | Column], seed: int = 42, modulus: int = 10000) -> Column:
-    """Integer in ``[0, modulus)`` from ``hash32``: a split or sample built on it is repeatable on any cluster
-    size and needs no shuffle."""
-    return F.pmod(hash32(keys, seed), F.lit(modulus))
+def hash_unit(keys: Sequence[str | Column], seed: int = 42, modulus: int = HASH_GRID) -> Column:
+    """Integer in ``[0, modulus)`` from ``hash32`` (by default all its 2^32 values): a split or sample built on it is
+    repeatable on any cluster size and needs no shuffle."""
+    return F.pmod(hash32(keys, seed).cast("bigint"), F.lit(modulus).cast("bigint"))
 
 
 def time_parts(ts: str | Column, prefix: str = "") -> dict[str, Column]:

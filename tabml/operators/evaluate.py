@@ -13,8 +13,8 @@ shuffle), instead of one job per metric as with repeated ``Evaluator.evaluate``
 * ``area_under_roc``          — AUC, exact by default (Spark's binary evaluator with ``numBins=0``).
 * ``silhouette``              — squared-Euclidean silhouette (Spark's clustering evaluator).
 * ``wssse`` / ``cluster_profile``
-                              — squared distances to given centres (size-checked broadcast of the k-row
-                                centre table); per cluster: size, SSE and column means in one grouped pass.
+                              — squared distances to given centres from per-cluster moments; per cluster: size,
+                                SSE and column means in one grouped pass.
 * ``banded_errors``           — mean absolute error, mean label and count per band.
 * ``metric_rows`` / ``to_long`` — tidy (job, task, split, metric, value) rows.
 """
@@ -23,10 +23,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _c(c: str | Column) -> Column:
@@ -34,12 +36,14 @@ def _c(c: str | Column) -> Column:
 
 
 def regression_metrics(df: DataFrame, label: str | Column, prediction: str | Column) -> DataFrame:
-    y = _c(label).cast("double")
-    p = _c(prediction).cast("double")
-    e = y - p
-    base = df.select(y.alias("_y"), p.alias("_p"), e.alias("_e"))
+    """Metrics over the rows that have both a label and a prediction (``n``); the others are counted in ``excluded``."""
+    usable = _c(label).isNotNull() & _c(prediction).isNotNull()
+    y = F.when(usable, _c(label).cast("double"))
+    p = F.when(usable, _c(prediction).cast("double"))
+    base = df.select(y.alias("_y"), p.alias("_p"), (y - p).alias("_e"))
     agg = base.agg(
-        F.count("*").alias("n"),
+        F.count("_y").alias("n"),
+        F.count_if(F.col("_y").isNull()).alias("excluded"),
         F.avg(F.col("_e") * F.col("_e")).alias("mse"),
         F.avg(F.abs("_e")).alias("mae"),
         F.var_pop("_y").alias("_var_y"),
@@ -60,6 +64,7 @@ def regression_metrics(df: DataFrame, label: str | Column, prediction: str | Col
         (F.col("_var_p") + (F.col("_mean_p") - F.col("_mean_y")) ** 2).alias("explained_variance"),
         (F.col("_ape") * 100).alias("mape"),
         "mape_excluded",
+        "excluded",
     )
 
 
@@ -169,45 +174,28 @@ def silhouette(df: DataFrame, features: str, prediction: str) -> float:
     return ev.evaluate(df)
 
 
-# The centre table is broadcast only up to this many cells (k × dims); beyond, the planner picks the join.
-BROADCAST_MAX_CELLS = 10_000_000
-
-
-def centers_frame(spark: SparkSession, centers: Sequence[Sequence[float]], cluster_col: str = "prediction") -> DataFrame:
-    """k-row table of centres; its size is bounded by the model (k × dims), never by the data."""
-    rows = [(i, [float(v) for v in c]) for i, c in enumerate(centers)]
-    return spark.createDataFrame(rows, f"{cluster_col} int, _center array<double>")
-
-
-def _centers_side(spark: SparkSession, centers: Sequence[Sequence[float]]) -> DataFrame:
-    cent = centers_frame(spark, centers, "_cluster")
-    cells = len(centers) * (len(centers[0]) if centers else 0)
-    return F.broadcast(cent) if cells <= BROADCAST_MAX_CELLS else cent
-
-
-# Up to this many dimensions the squared distance is written out element by element (generated code); wider
-# vectors use a higher-order function over the arrays instead (no expression blow-up).
-ELEMENTWISE_MAX_DIMS = 64
+def _spread(df: DataFrame, features: str, prediction: str, numeric: Sequence[str] = ()) -> DataFrame:
+    """Per cluster, in one grouped pass over the vectors as they are (sparse ones are not expanded per row): size,
+    mean and variance of each dimension, mean of each listed column.  k rows."""
+    moments = Summarizer.metrics("mean", "variance").summary(F.col(features))
+    return df.groupBy(F.col(prediction).cast("int").alias("cluster")).agg(
+        F.count("*").alias("size"), moments.alias("_m"), *[F.avg(F.col(c).cast("double")).alias(f"mean_{c}") for c in numeric]
+    )
 
 
-def _sq_dist(dims: int) -> Column:
-    """Squared distance between array columns ``_x`` and ``_center``."""
-    if dims <= ELEMENTWISE_MAX_DIMS:
-        return sum(((F.col("_x")[i] - F.col("_center")[i]) ** 2 for i in range(dims)), F.lit(0.0))
-    return F.aggregate(
-        F.zip_with("_x", "_center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v
-    )
+def _sse(row, center: Sequence[float]) -> float:
+    """Sum of squared distances to a centre from moments: (n - 1) * variance + n * (mean - centre)^2, summed over
+    dimensions; both terms are non-negative, so nothing cancels."""
+    mean, variance, n = row["_m"]["mean"].toArray(), row["_m"]["variance"].toArray(), row["size"]
+    return float(((n - 1) * variance + n * (mean - np.asarray(center, float)) ** 2).sum())
 
 
 def wssse(df: DataFrame, features: str, prediction: str, centers: Sequence[Sequence[float]]) -> DataFrame:
-    """Sum over rows of the squared distance to the row's own centre, as one aggregate.  The centre table
-    (k rows) is broadcast; the data is never shuffled."""
-    spark = df.sparkSession
-    cent = _centers_side(spark, centers)
-    x = df.select(vector_to_array(F.col(features)).alias("_x"), F.col(prediction).cast("int").alias("_cluster"))
-    joined = x.join(cent, "_cluster")
-    sq = _sq_dist(len(centers[0]) if centers else 0)
-    return joined.agg(F.sum(sq).alias("wssse"), F.count("*").alias("n"))
+    """Sum over rows of the squared distance to the row's own centre.  k rows of moments reach the driver; their size
+    is the model's."""
+    rows = _spread(df, features, prediction).collect()
+    total = (sum(_sse(r, centers[r["cluster"]]) for r in rows), sum(r["size"] for r in rows))
+    return df.sparkSession.createDataFrame([total], "wssse double, n bigint")
 
 
 def cluster_profile(
@@ -217,22 +205,17 @@ def cluster_profile(
     centers: Sequence[Sequence[float]],
     numeric: Sequence[str] = (),
 ) -> DataFrame:
-    """Per cluster, in ONE grouped pass: size, within-cluster sum of squared distances to the centre, and the
-    mean of each listed column.  The k-row centre table is broadcast; partial aggregation keeps the shuffle at
-    (#partitions × k) rows however skewed the clusters are."""
-    spark = df.sparkSession
-    cent = _centers_side(spark, centers)
-    x = df.select(
-        vector_to_array(F.col(features)).alias("_x"),
-        F.col(prediction).cast("int").alias("_cluster"),
-        *[F.col(c).cast("double").alias(c) for c in numeric],
-    )
-    sq = _sq_dist(len(centers[0]) if centers else 0)
-    return (
-        x.join(cent, "_cluster")
-        .groupBy(F.col("_cluster").alias("cluster"))
-        .agg(F.count("*").alias("size"), F.sum(sq).alias("sse"), *[F.avg(c).alias(f"mean_{c}") for c in numeric])
+    """Per cluster, in ONE grouped pass: size, within-cluster sum of squared distances to the centre, and the mean of
+    each listed column.  Partial aggregation keeps the shuffle at (#partitions x k) rows however skewed the clusters."""
+    rows = [
+        (r["cluster"], r["size"], _sse(r, centers[r["cluster"]]), *[r[f"mean_{c}"] for c in numeric])
+        for r in _spread(df, features, prediction, numeric).collect()
+    ]
+    schema = T.StructType(
+        [T.StructField("cluster", T.IntegerType()), T.StructField("size", T.LongType()), T.StructField("sse", T.DoubleType())]
+        + [T.StructField(f"mean_{c}", T.DoubleType()) for c in numeric]
     )
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def banded_errors(

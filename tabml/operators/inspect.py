@@ -27,27 +27,46 @@ def cluster_centers(spark: SparkSession, model, feature_names: Sequence[str] | N
     return spark.createDataFrame(rows, "cluster int, dim int, feature string, value double")
 
 
+def slot_names(transformed: DataFrame, features: str, size: int) -> list[str]:
+    """One name per slot of a feature vector, from the column's ML attributes (``brand_encoded_X`` for a one-hot
+    level); ``f0, f1, ...`` for slots without a name (a scaled vector keeps none)."""
+    attrs = transformed.schema[features].metadata.get("ml_attr", {}).get("attrs", {})
+    named = {a["idx"]: a["name"] for kind in attrs.values() for a in kind if "name" in a}
+    return [named.get(i, f"f{i}") for i in range(size)]
+
+
+def _names(feature_names: Sequence[str] | None, size: int) -> list[str]:
+    names = [f"f{i}" for i in range(size)] if feature_names is None else list(feature_names)
+    if len(names) != size:
+        raise ValueError(f"{len(names)} names for {size} coefficients; a one-hot input has one slot per level (see slot_names)")
+    return names
+
+
 def coefficients(spark: SparkSession, model, feature_names: Sequence[str] | None = None) -> DataFrame:
-    """(term, coefficient) rows for a linear model, intercept last."""
+    """(term, coefficient) rows for a linear model, one per vector slot, intercept last."""
     m = last_stage(model)
     coefs = m.coefficients.toArray().tolist()
-    names = list(feature_names) if feature_names is not None else [f"f{i}" for i in range(len(coefs))]
-    rows = [(n, float(v)) for n, v in zip(names, coefs)] + [("intercept", float(m.intercept))]
+    rows = [*zip(_names(feature_names, len(coefs)), map(float, coefs)), ("intercept", float(m.intercept))]
     return spark.createDataFrame(rows, "term string, coefficient double")
 
 
-def multinomial_coefficients(spark: SparkSession, model, feature_names: Sequence[str] | None = None) -> DataFrame:
-    """(class, term, coefficient) rows for a (multinomial) logistic model."""
+def class_coefficients(model, feature_names: Sequence[str] | None = None, classes: Sequence[str] | None = None) -> list[tuple[str, str, float]]:
+    """(class, term, coefficient) of a logistic model, one per class and vector slot; size fixed by the model.
+
+    ``classes`` are the label names in index order; a binary fit has one row of coefficients, for index 1."""
     m = last_stage(model)
-    mat = m.coefficientMatrix.toArray()
-    icpt = m.interceptVector.toArray()
-    rows = []
-    for ci in range(mat.shape[0]):
-        for j in range(mat.shape[1]):
-            name = feature_names[j] if feature_names is not None else f"f{j}"
-            rows.append((ci, name, float(mat[ci, j])))
-        rows.append((ci, "intercept", float(icpt[ci])))
-    return spark.createDataFrame(rows, "class int, term string, coefficient double")
+    mat, icpt = m.coefficientMatrix.toArray(), m.interceptVector.toArray()
+    names = _names(feature_names, mat.shape[1])
+    index = range(mat.shape[0]) if mat.shape[0] > 1 else [1]
+    label = [str(i) if classes is None else str(classes[i]) for i in index]
+    return [(c, t, float(v)) for c, row, b in zip(label, mat, icpt) for t, v in [*zip(names, row), ("intercept", b)]]
+
+
+def multinomial_coefficients(
+    spark: SparkSession, model, feature_names: Sequence[str] | None = None, classes: Sequence[str] | None = None
+) -> DataFrame:
+    """``class_coefficients`` as a DataFrame."""
+    return spark.createDataFrame(class_coefficients(model, feature_names, classes), "class string, term string, coefficient double")
 
 
 def regression_summary(model) -> dict[str, float]:

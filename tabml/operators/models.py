@@ -11,6 +11,7 @@ deep forests keep a short lineage.
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -61,39 +62,22 @@ def kmeans(
     return KMeans(featuresCol=features, k=k, seed=seed, maxIter=max_iter, predictionCol=prediction, **kw)
 
 
-_ITERATIVE = (LogisticRegression, KMeans, RandomForestRegressor, RandomForestClassifier)
+_FORESTS = (RandomForestRegressor, RandomForestClassifier)
 
 
-def _is_iterative(estimator) -> bool:
-    from pyspark.ml import Pipeline
+def _has_forest(estimator) -> bool:
+    stages = estimator.getStages() if isinstance(estimator, Pipeline) else [estimator]
+    return any(isinstance(st, _FORESTS) for st in stages)
 
-    if isinstance(estimator, Pipeline):
-        return any(isinstance(st, _ITERATIVE) for st in estimator.getStages())
-    return isinstance(estimator, _ITERATIVE)
 
-
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread an input that has fewer partitions than the cluster has task slots (a few large parquet row
-    groups, a small filtered part) over ``defaultParallelism`` partitions, so every pass of an iterative fit
-    uses every core.  Inputs that already have enough partitions (any large table) are left untouched: no
-    shuffle is added at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
-
-def fit_on(estimator, df: DataFrame, persist: bool = False, balance: bool = False):
+def fit_on(estimator, df: DataFrame, persist: bool = False):
     """Fit ``estimator`` on ``df``; with ``persist``, keep ``df`` persisted only while the fit runs.
 
     Spark's iterative estimators already cache their own compact training instances when the input is not
-    persisted, so ``persist`` is for inputs read by several stages (e.g. indexers plus a forest).  ``balance``
-    evens out partitions first (see ``balanced``).  It is off by default: measured on the fixtures, the extra
-    shuffle costs more than the added cores save for iterative fits over ~10^5-10^6 rows (k-means 6.2 s ->
-    8.3 s, logistic 2.7 s -> 5.3 s at sf0.1); it pays off only for compute-heavy fits on very few partitions."""
-    ensure_checkpoint_dir(df.sparkSession)
-    if balance and _is_iterative(estimator):
-        df = balanced(df)
+    persisted, so ``persist`` is for inputs read by several stages (e.g. indexers plus a forest).  Forests checkpoint
+    their node ids and need the shared checkpoint folder; other fits need none."""
+    if _has_forest(estimator):
+        ensure_checkpoint_dir(df.sparkSession)
     if not persist or df.storageLevel != StorageLevel.NONE:
         return estimator.fit(df)
     df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -101,3 +85,11 @@ def fit_on(estimator, df: DataFrame, persist: bool = False, balance: bool = Fals
         return estimator.fit(df)
     finally:
         df.unpersist()
+
+
+def fit_status(model) -> dict[str, float]:
+    """Iterations of an iterative fit and whether it stopped by its tolerance (1) or by the iteration limit (0)."""
+    m = model.stages[-1] if isinstance(model, PipelineModel) else model
+    s = m.summary
+    iterations = s.numIter if hasattr(s, "numIter") else s.totalIterations
+    return {"iterations": float(iterations), "converged": float(iterations < m.getMaxIter())}

@@ -12,9 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A top-k key table is broadcast only while k stays under this bound (its size is the bound itself).
-BROADCAST_MAX_ROWS = 100_000
-
 
 def col(name: str) -> Column:
     """Column by its literal name: spaces, leading digits and dots (``Total Volume``, ``4046``, ``a.b``) are
@@ -129,19 +126,33 @@ def describe_string(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*structs)))
 
 
+def describe_mixed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Long profile (column, count, mean, stddev, min, max) of text and numeric columns together, in one aggregate.
+
+    Minimum and maximum are text; mean and stddev are NULL for text columns."""
+    text = {f.name for f in df.schema.fields if not isinstance(f.dataType, T.NumericType)}
+    aggs, structs = [], []
+    for i, c in enumerate(cols):
+        x = col(c)
+        mean, std = (F.lit(None).cast("double"),) * 2 if c in text else (F.avg(x), F.stddev_samp(x))
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).cast("string").alias(f"lo{i}"), F.max(x).cast("string").alias(f"hi{i}")]
+        aggs += [F.first(mean).alias(f"m{i}"), F.first(std).alias(f"s{i}")] if c in text else [mean.alias(f"m{i}"), std.alias(f"s{i}")]
+        named = (("count", "n"), ("mean", "m"), ("stddev", "s"), ("min", "lo"), ("max", "hi"))
+        structs.append(F.struct(F.lit(c).alias("column"), *[F.col(f"{k}{i}").alias(name) for name, k in named]))
+    return df.agg(*aggs).select(F.inline(F.array(*structs)))
+
+
 def top_k_groups(df: DataFrame, key: str, k: int) -> DataFrame:
     """The k most frequent keys; equal counts are ordered by key so the cut is deterministic."""
     return group_count(df, key).orderBy(F.desc("count"), F.asc(key)).limit(k)
 
 
 def top_k_semi_filter(df: DataFrame, key: str, k: int) -> DataFrame:
-    """Rows whose key is among the k most frequent keys.
+    """Rows whose key is among the k most frequent keys; NULL is no key and takes no place.
 
-    The key list never visits the driver: it stays a k-row DataFrame, broadcast (its size is bounded by k)
-    into a left-semi join.  Above ``BROADCAST_MAX_ROWS`` the semi join is left to the planner (shuffle)."""
-    top = top_k_groups(df, key, k).select(key)
-    if k <= BROADCAST_MAX_ROWS:
-        top = F.broadcast(top)
+    The key list never visits the driver: it stays a k-row DataFrame in a left-semi join.  The planner knows its size
+    (the limit) and broadcasts it under its own threshold; beyond, adaptive execution splits hot keys."""
+    top = top_k_groups(df.filter(col(key).isNotNull()), key, k).select(col(key))
     return df.join(top, on=key, how="left_semi")
 
 

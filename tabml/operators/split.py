@@ -14,10 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabml.functions import HASH_GRID as MODULUS
 from tabml.functions import hash_unit
 
-MODULUS = 10000
-
 
 def cutoffs(weights: Sequence[float], modulus: int = MODULUS) -> list[tuple[int, int]]:
     """Half-open hash ranges ``[lo, hi)`` per weight, normalised like ``randomSplit`` does."""

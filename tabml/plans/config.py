@@ -25,15 +25,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabml.operators.features import FeatureSpec
-from tabml.plans.jobs import JobSpec, TaskSpec
+from tabml.plans.jobs import REPORTS, JobSpec, TaskSpec
 from tabml.sources import load_table
 
+# Keys a job definition may have; anything else (a misspelt option) is an error, never silently left out.
+_SOURCE_KEYS = {"table", "derive", "filter", "select"}
+_FEATURE_KEYS = {"numeric", "one_hot", "indexed", "output", "handle_invalid", "scale", "drop_last"}
 _TASK_FIELDS = {
     "fit_scope", "eval_split", "feature_scope", "profile_by", "band_col", "binary",
 }
 
 
+def _known(what: str, given: Mapping, keys: set[str]) -> None:
+    unknown = sorted(set(given) - keys)
+    if unknown:
+        raise ValueError(f"unknown {what} keys: {', '.join(unknown)}")
+
+
 def source_from_dict(spec: Mapping):
+    _known("source", spec, _SOURCE_KEYS)
     table = spec["table"]
     derive = dict(spec.get("derive", {}))
     cond = spec.get("filter")
@@ -54,6 +64,11 @@ def source_from_dict(spec: Mapping):
 
 def task_from_dict(t: Mapping) -> TaskSpec:
     f = t.get("features", {})
+    _known("feature", f, _FEATURE_KEYS)
+    _known("task", t, _TASK_FIELDS | {"name", "kind", "features", "target", "estimator", "params", "reports", "band_bounds"})
+    unknown = sorted(set(t.get("reports", ())) - REPORTS)
+    if unknown:
+        raise ValueError(f"unknown reports: {', '.join(unknown)}")
     features = FeatureSpec(
         numeric=f.get("numeric", ()),
         one_hot=f.get("one_hot", ()),
@@ -61,6 +76,7 @@ def task_from_dict(t: Mapping) -> TaskSpec:
         output=f.get("output", "features"),
         handle_invalid=f.get("handle_invalid", "error"),
         scale=f.get("scale"),
+        drop_last=bool(f.get("drop_last", True)),
     )
     extra = {k: t[k] for k in _TASK_FIELDS if k in t}
     return TaskSpec(
@@ -77,6 +93,7 @@ def task_from_dict(t: Mapping) -> TaskSpec:
 
 
 def job_from_dict(d: Mapping) -> JobSpec:
+    _known("job", d, {"name", "source", "keys", "tasks", "weights", "seed", "split_mode", "materialize", "report_split_sizes", "profile_cols"})
     return JobSpec(
         name=d["name"],
         source=source_from_dict(d["source"]),

@@ -18,7 +18,7 @@ from tabml.operators.features import assembler
 from tabml.operators.split import hash_split
 from tabml.plans.catalog import query
 from tabml.plans.feature_queries import rank_sql
-from tabml.plans.sqlgen import hashed_sql, unit_sql
+from tabml.plans.sqlgen import EDGE_70, hashed_sql, unit_sql
 from tabml.session import scratch_dir
 from tabml.sources import load_table, write_metrics
 
@@ -325,7 +325,7 @@ def prediction_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
     "class_balance",
     sql=f"""
 WITH {rank_sql('orders', 'o_orderstatus', 'r')},
-t AS (SELECT o_orderstatus FROM {hashed_sql('orders', [('o_orderkey', 'bigint')])} WHERE {unit_sql('_h')} >= 7000)
+t AS (SELECT o_orderstatus FROM {hashed_sql('orders', [('o_orderkey', 'bigint')])} WHERE {unit_sql('_h')} >= {EDGE_70})
 SELECT o_orderstatus, r.idx AS label, count(*) AS count FROM t JOIN r ON o_orderstatus = r.lvl
 GROUP BY o_orderstatus, r.idx
 """,

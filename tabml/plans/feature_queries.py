@@ -20,7 +20,7 @@ from tabml.operators.features import (
 )
 from tabml.operators.split import hash_split
 from tabml.plans.catalog import query
-from tabml.plans.sqlgen import hashed_sql, unit_sql
+from tabml.plans.sqlgen import EDGE_70, hashed_sql, unit_sql
 from tabml.sources import load_table
 
 
@@ -121,7 +121,7 @@ def string_index_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     "index_fit_train_apply_test",
     sql=f"""
 WITH o AS (SELECT o_orderkey, o_orderpriority,
-                  CASE WHEN {unit_sql('_h')} < 7000 THEN 'train' ELSE 'test' END AS split
+                  CASE WHEN {unit_sql('_h')} < {EDGE_70} THEN 'train' ELSE 'test' END AS split
            FROM {hashed_sql('orders', [('o_orderkey', 'bigint')])}),
 {rank_sql('o', 'o_orderpriority', 'r', where="split = 'train'")}
 SELECT split, o_orderkey, r.idx AS o_orderpriority_index FROM o JOIN r ON o_orderpriority = r.lvl

@@ -13,12 +13,12 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.functions import parse_duration, ratio
+from tabml.functions import NUMERIC_TEXT_PATTERN, parse_duration, ratio, safe_double
 from tabml.operators.features import FeatureSpec
-from tabml.operators.relational import top_k_semi_filter
+from tabml.operators.relational import not_null
 from tabml.plans.catalog import query
 from tabml.plans.jobs import JobSpec, TaskSpec, run_job
-from tabml.plans.sqlgen import hashed_sql, ols_ctes, ols_gauss_ctes, ols_prediction, unit_sql
+from tabml.plans.sqlgen import EDGE_70, EDGE_80, hashed_sql, ols_ctes, ols_gauss_ctes, ols_prediction, unit_sql
 from tabml.sources import load_table
 
 # Metric values of the registered job queries are reported to this many significant digits (counts exact).
@@ -34,11 +34,13 @@ def lineitem_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events_source(spark: SparkSession, sf_dir: str, max_value: float | None = None) -> DataFrame:
-    """Trip-like events: a duration parsed from `000 days HH:MM:SS` text, hour / weekday / month of the start,
-    and the cleaning filters (positive duration and value, known event types)."""
+def events_source(spark: SparkSession, sf_dir: str, max_seconds: int | None = None) -> DataFrame:
+    """Trip-like events: a duration (ten seconds for each unit of the event's value) parsed from `000 days HH:MM:SS` text, hour /
+    weekday / month of the start, and the cleaning filters (positive duration, known event types, optional longest trip
+    in seconds)."""
     ev = load_table(spark, sf_dir, "events")
-    txt = F.concat(F.lit("000 days "), F.date_format("ts", "HH:mm:ss"))
+    sec = F.floor(F.col("value") * 10).cast("int")
+    txt = F.format_string("000 days %02d:%02d:%02d", F.floor(sec / 3600).cast("int"), F.floor(sec / 60).cast("int") % 60, sec % 60)
     df = ev.select(
         "event_id",
         F.col("user_id").cast("double").alias("user_id"),
@@ -50,11 +52,11 @@ def events_source(spark: SparkSession, sf_dir: str, max_value: float | None = No
         F.when(F.col("event_type") == "click", "click").otherwise("other").alias("is_click"),
         "event_type",
     )
-    cond = (F.col("value") > 0) & (F.col("duration_sec") > 0) & F.col("event_type").isin(
+    cond = (F.col("duration_sec") > 0) & F.col("event_type").isin(
         "click", "view", "purchase", "signup", "error"
     )
-    if max_value is not None:
-        cond = cond & (F.col("value") <= max_value)
+    if max_seconds is not None:
+        cond = cond & (F.col("duration_sec") <= max_seconds)
     return df.filter(cond)
 
 
@@ -77,10 +79,13 @@ def part_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insured-person-like rows: a charge, two numeric inputs, a region and two binary text columns."""
     c = load_table(spark, sf_dir, "customer")
     return c.select(
         "c_custkey", "c_acctbal", F.col("c_nationkey").cast("double").alias("c_nationkey"), "c_mktsegment",
         (F.col("c_custkey") % 7).cast("double").alias("c_keyband"),
+        F.when(F.col("c_custkey") % 2 == 0, "f").otherwise("m").alias("sex"),
+        F.when((F.col("c_custkey") % 5 == 0) | (F.col("c_acctbal") > 8500), "yes").otherwise("no").alias("smoker"),
     )
 
 
@@ -92,15 +97,21 @@ def doc_labels_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id")
 
 
-def top_nations_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of the 5 most frequent nations (broadcast semi join), with a positive balance ratio."""
+def channel_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel-like rows: numbers that arrive as text (guarded casts: what is no plain number is NULL), a category, NULL
+    rows removed, a ratio of the two numbers and its filter.  All tasks and reports of the analysis read this frame."""
     c = load_table(spark, sf_dir, "customer")
-    c = c.select(
-        F.col("c_custkey"), F.col("c_custkey").cast("double").alias("key"), "c_acctbal",
-        F.col("c_nationkey").cast("string").alias("nation"), "c_nationkey",
-        ratio("c_acctbal", "c_custkey").alias("bal_per_key"),
-    ).filter(F.col("bal_per_key").isNotNull() & (F.col("bal_per_key") > 0))
-    return top_k_semi_filter(c, "c_nationkey", 5)
+    text = c.select(
+        "c_custkey", F.col("c_nationkey").cast("string").alias("country"),
+        F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("subscribers_text"),
+        F.col("c_custkey").cast("string").alias("views_text"),
+    )
+    numbers = text.select(
+        "c_custkey", "country", safe_double("subscribers_text", NUMERIC_TEXT_PATTERN).alias("subscribers"),
+        safe_double("views_text", NUMERIC_TEXT_PATTERN).alias("views"),
+    )
+    clean = not_null(numbers, ["subscribers", "views", "country"]).withColumn("views_per_subscriber", ratio("views", "subscribers"))
+    return clean.filter(F.col("views_per_subscriber") > 0)
 
 
 # --- job specifications --------------------------------------------------------------------------------------------
@@ -151,25 +162,29 @@ BIKE = JobSpec(
         TaskSpec("bike_clf", "classification", _BIKE_CLF, "is_click", "logistic", binary=True),
         TaskSpec("bike_clu", "clustering", _BIKE_CLF, None, "kmeans", {"k": 5}, fit_scope="all", eval_split="all"),
         TaskSpec("bike_reg", "regression", FeatureSpec(numeric=["user_id", "hour", "day_of_week"], output="reg_features"),
-                 "value", "linear", {"maxIter": 10}, reports=("train_summary",)),
+                 "duration_sec", "linear", {"maxIter": 10}, reports=("train_summary",)),
     ],
-    profile_cols=("user_id", "duration_sec", "hour"),
+    profile_cols=("user_id", "duration_sec", "hour", "is_click"),
 )
 
 BIKE2 = JobSpec(
-    "bike2", lambda s, d: events_source(s, d, max_value=400.0), ["event_id"],
+    "bike2", lambda s, d: events_source(s, d, max_seconds=3600), ["event_id"],
     [
         TaskSpec("bike2_clf", "classification", _BIKE_CLF, "is_click", "logistic", binary=True),
         TaskSpec("bike2_clu", "clustering", _BIKE_CLF, None, "kmeans", {"k": 5}, fit_scope="all", eval_split="all",
                  reports=("centers",)),
+        TaskSpec("bike2_reg", "regression",
+                 FeatureSpec(numeric=["user_id", "hour", "day_of_week"], output="reg_features"), "duration_sec",
+                 "linear", {"maxIter": 10}, reports=("coefficients", "label_stats", "banded", "sample_rows"),
+                 band_col="hour", band_bounds=(6, 12, 18)),
     ],
-    profile_cols=("user_id", "duration_sec", "hour"),
+    profile_cols=("user_id", "duration_sec", "hour", "is_click"),
 )
 
-BIKE2_REG = JobSpec(
-    "bike2_reg", orders_source, ["o_orderkey"],
+ORDERS_REG = JobSpec(
+    "orders_reg", orders_source, ["o_orderkey"],
     [
-        TaskSpec("bike2_reg", "regression",
+        TaskSpec("orders_reg", "regression",
                  FeatureSpec(numeric=["o_custkey", "month", "day_of_week"], output="reg_features"),
                  "o_totalprice", "linear", {"maxIter": 10},
                  reports=("coefficients", "label_stats", "banded"), band_col="month", band_bounds=(4, 7, 10)),
@@ -194,65 +209,80 @@ MEDICAL = JobSpec(
     "medical", customer_source, ["c_custkey"],
     [
         TaskSpec("medical_reg", "regression",
-                 FeatureSpec(numeric=["c_nationkey", "c_keyband"], one_hot=["c_mktsegment"]), "c_acctbal", "linear"),
+                 FeatureSpec(numeric=["c_nationkey", "c_keyband"], indexed=["sex", "smoker"], one_hot=["c_mktsegment"]),
+                 "c_acctbal", "linear"),
         TaskSpec("medical_clu", "clustering",
                  FeatureSpec(numeric=["c_acctbal", "c_nationkey", "c_keyband"], output="cluster_features"),
                  None, "kmeans", {"k": 3}, fit_scope="all", eval_split="all",
                  reports=("silhouette", "wssse", "centers")),
+        TaskSpec("medical_clf", "classification",
+                 FeatureSpec(numeric=["c_acctbal", "c_nationkey", "c_keyband"], one_hot=["sex", "c_mktsegment"],
+                             output="features_class"),
+                 "smoker", "logistic", binary=True, reports=("auc", "class_balance", "contingency", "fit_status")),
     ],
 )
 
-MEDICAL_CLF = JobSpec(
-    "medical_clf", doc_labels_source, ["doc_id"],
+DOCLABELS_CLF = JobSpec(
+    "doclabels_clf", doc_labels_source, ["doc_id"],
     [
-        TaskSpec("medical_clf", "classification",
-                 FeatureSpec(numeric=["n_chars"], one_hot=["lang", "source"], handle_invalid="keep",
-                             output="features_class"),
+        TaskSpec("doclabels_clf", "classification",
+                 FeatureSpec(numeric=["n_chars"], one_hot=["lang", "source"], output="features_class"),
                  "toxic", "logistic", binary=True, reports=("auc", "class_balance")),
     ],
 )
 
-YOUTUBE_REG = JobSpec(
-    "youtube_reg", lineitem_source, _LI_KEYS,
+YOUTUBE = JobSpec(
+    "youtube", channel_source, ["c_custkey"],
     [
-        TaskSpec("youtube_reg", "regression", FeatureSpec(numeric=["l_quantity"], output="features_reg"),
-                 "l_extendedprice", "linear", {"maxIter": 10, "predictionCol": "predicted_price"},
-                 reports=("train_summary",)),
+        TaskSpec("youtube_reg", "regression", FeatureSpec(numeric=["views"], output="features_reg"), "subscribers",
+                 "linear", {"maxIter": 10, "predictionCol": "predicted_subscribers"}, reports=("train_summary",)),
+        TaskSpec("youtube_clf", "classification",
+                 FeatureSpec(numeric=["subscribers", "views", "views_per_subscriber"], output="features_clf"),
+                 "country", "logistic", {"maxIter": 10, "predictionCol": "predicted_country"},
+                 reports=("train_accuracy", "coefficients", "contingency"), top_classes=5),
+        TaskSpec("youtube_clu", "clustering",
+                 FeatureSpec(numeric=["subscribers", "views", "views_per_subscriber"], output="features_cluster",
+                             scale="zscore"),
+                 None, "kmeans", {"k": 4, "maxIter": 20, "predictionCol": "cluster"}, fit_scope="all",
+                 eval_split="all", reports=("centers", "cluster_means")),
     ],
     weights=(0.8, 0.2),
+    profile_cols=("subscribers", "views", "views_per_subscriber", "country"),
+    top_report=("subscribers", 10),
 )
 
-YOUTUBE_CLF = JobSpec(
-    "youtube_clf", top_nations_source, ["c_custkey"],
+PRICE_REG = JobSpec(
+    "price_reg", lineitem_source, _LI_KEYS,
     [
-        TaskSpec("youtube_clf", "classification",
-                 FeatureSpec(numeric=["key", "c_acctbal", "bal_per_key"], output="features_clf"),
-                 "nation", "logistic", {"maxIter": 10, "predictionCol": "predicted_nation"},
-                 reports=("train_accuracy", "coefficients")),
+        TaskSpec("price_reg", "regression", FeatureSpec(numeric=["l_quantity"], output="features_reg"),
+                 "l_extendedprice", "linear", {"maxIter": 10, "predictionCol": "predicted_price"},
+                 reports=("train_summary",)),
     ],
     weights=(0.8, 0.2),
 )
 
-YOUTUBE_CLU = JobSpec(
-    "youtube_clu", orders_trimmed_source, ["o_orderkey"],
+TRIMMED_CLU = JobSpec(
+    "trimmed_clu", orders_trimmed_source, ["o_orderkey"],
     [
-        TaskSpec("youtube_clu", "clustering",
+        TaskSpec("trimmed_clu", "clustering",
                  FeatureSpec(numeric=["o_totalprice", "o_custkey", "month"], output="features_cluster", scale="zscore"),
                  None, "kmeans", {"k": 4, "maxIter": 20, "predictionCol": "cluster"}, fit_scope="all",
                  eval_split="all", reports=("centers", "cluster_means")),
     ],
 )
 
-JOBS = [IRIS, AVOCADO, BIKE, BIKE2, BIKE2_REG, CARS, MEDICAL, MEDICAL_CLF, YOUTUBE_REG, YOUTUBE_CLF, YOUTUBE_CLU]
-JOB_BY_NAME = {j.name: j for j in JOBS}
+#: The analyses (20 tasks), and further one-task jobs on other tables.
+JOBS = [IRIS, AVOCADO, BIKE, BIKE2, CARS, MEDICAL, YOUTUBE]
+MORE_JOBS = [ORDERS_REG, DOCLABELS_CLF, PRICE_REG, TRIMMED_CLU]
+JOB_BY_NAME = {j.name: j for j in JOBS + MORE_JOBS}
 
 
 def task_job(task_name: str) -> JobSpec:
     """One task of its analysis as a job of its own (job-level source reports belong to whole-job runs)."""
-    for job in JOBS:
+    for job in JOBS + MORE_JOBS:
         for t in job.tasks:
             if t.name == task_name:
-                return replace(job, tasks=[t], report_split_sizes=False, profile_cols=())
+                return replace(job, tasks=[t], report_split_sizes=False, profile_cols=(), top_report=None)
     raise KeyError(task_name)
 
 
@@ -276,6 +306,7 @@ def _reg_metrics_sql(test: str, train: str | None, features: list[str]) -> list[
         ("test", "r2", f"SELECT 1 - avg((y - {p}) ^ 2) / var_pop(y) FROM {test}, ols_b"),
         ("test", "mape", f"SELECT avg(CASE WHEN y <> 0 THEN abs((y - {p}) / y) END) * 100 FROM {test}, ols_b"),
         ("test", "mape_excluded", f"SELECT CAST(count_if(y IS NULL OR y = 0) AS DOUBLE) FROM {test}"),
+        ("test", "rows_skipped", "SELECT 0::DOUBLE"),
     ]
     if train:
         rows += [
@@ -285,69 +316,111 @@ def _reg_metrics_sql(test: str, train: str | None, features: list[str]) -> list[
     return rows
 
 
-def _job_sql(job: str, ctes: str, rows: list[tuple[str, str, str]], task: str | None = None) -> str:
+def _job_sql(job: str, ctes: str, rows: list[tuple[str, str, str]], task: str | None = None, more: str = "") -> str:
+    """(split, metric, scalar query) rows as one statement; ``more`` adds UNION ALL branches of its own."""
     body = "\nUNION ALL ".join(
         f"SELECT '{split}' AS split, '{metric}' AS metric, ({q}) AS value" for split, metric, q in rows
-    )
+    ) + f"\n{more}"
     return (
         f"WITH {ctes}\nSELECT '{job}' AS job, '{task or job}' AS task, split, metric, {_sig_sql('value')} AS value "
         f"FROM (\n{body}\n)"
     )
 
 
-def _youtube_reg_sql() -> str:
+def _price_reg_sql() -> str:
     src = hashed_sql("lineitem", [("l_orderkey", "bigint"), ("l_linenumber", "int")])
     ctes = (
         f"s AS (SELECT l_quantity AS x1, l_extendedprice AS y, {unit_sql('_h')} AS u FROM {src}),\n"
-        "tr AS (SELECT * FROM s WHERE u < 8000), te AS (SELECT * FROM s WHERE u >= 8000),\n"
+        f"tr AS (SELECT * FROM s WHERE u < {EDGE_80}), te AS (SELECT * FROM s WHERE u >= {EDGE_80}),\n"
         + ols_ctes("tr", ["x1"], "y")
     )
-    return _job_sql("youtube_reg", ctes, _reg_metrics_sql("te", "tr", ["x1"]))
+    return _job_sql("price_reg", ctes, _reg_metrics_sql("te", "tr", ["x1"]))
 
 
-_EVENTS_CLEAN_SQL = """
-SELECT event_id, CAST(user_id AS DOUBLE) AS x1, CAST(hour(ts) AS DOUBLE) AS x2,
-       CAST(dayofweek(ts) + 1 AS DOUBLE) AS x3, value AS y,
-       coalesce(TRY_CAST(substring(txt, 10, 2) AS INTEGER) * 3600 + TRY_CAST(substring(txt, 13, 2) AS INTEGER) * 60
-                + TRY_CAST(substring(txt, 16, 2) AS INTEGER), 0) AS duration_sec
-FROM (SELECT *, '000 days ' || strftime(ts, '%H:%M:%S') AS txt FROM events)
-WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error')"""
+_CHANNEL_SQL = """
+(SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS country, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS subscribers,
+        CAST(c_custkey AS DOUBLE) AS views FROM customer
+ WHERE regexp_matches(CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR), '^[0-9.]+$') AND c_acctbal <> 0 AND c_custkey <> 0
+   AND c_nationkey IS NOT NULL)"""
 
 
-def _bike_reg_sql() -> str:
-    clean = f"(SELECT * FROM ({_EVENTS_CLEAN_SQL}) WHERE y > 0 AND duration_sec > 0)"
-    src = hashed_sql(clean, [("event_id", "bigint")])
+def _youtube_reg_sql() -> str:
+    src = hashed_sql(_CHANNEL_SQL, [("c_custkey", "bigint")])
     ctes = (
+        f"s AS (SELECT views AS x1, subscribers AS y, {unit_sql('_h')} AS u FROM {src}),\n"
+        f"tr AS (SELECT * FROM s WHERE u < {EDGE_80}), te AS (SELECT * FROM s WHERE u >= {EDGE_80}),\n"
+        + ols_ctes("tr", ["x1"], "y")
+    )
+    return _job_sql("youtube", ctes, _reg_metrics_sql("te", "tr", ["x1"]), task="youtube_reg")
+
+
+_EVENTS_CLEAN_SQL = """
+SELECT *, hour(ts) AS hour FROM (
+  SELECT event_id, event_type, ts, CAST(user_id AS DOUBLE) AS x1, CAST(hour(ts) AS DOUBLE) AS x2,
+         CAST(dayofweek(ts) + 1 AS DOUBLE) AS x3, CAST(floor(value * 10) AS INTEGER) AS duration_sec,
+         CAST(floor(value * 10) AS DOUBLE) AS y
+  FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error'))
+WHERE duration_sec > 0"""
+
+
+def _events_parts(trim: str = "") -> str:
+    src = hashed_sql(f"({_EVENTS_CLEAN_SQL} {trim})", [("event_id", "bigint")])
+    return (
         f"s AS (SELECT *, {unit_sql('_h')} AS u FROM {src}),\n"
-        "tr AS (SELECT * FROM s WHERE u < 7000), te AS (SELECT * FROM s WHERE u >= 7000),\n"
-        + ols_ctes("tr", ["x1", "x2", "x3"], "y")
+        f"tr AS (SELECT * FROM s WHERE u < {EDGE_70}), te AS (SELECT * FROM s WHERE u >= {EDGE_70}),\n"
     )
+
+
+def _bike_reg_sql() -> str:
+    ctes = _events_parts() + ols_ctes("tr", ["x1", "x2", "x3"], "y")
     return _job_sql("bike", ctes, _reg_metrics_sql("te", "tr", ["x1", "x2", "x3"]), task="bike_reg")
 
 
-def _bike2_reg_sql() -> str:
-    feats = ["x1", "x2", "x3"]
-    src = hashed_sql("orders", [("o_orderkey", "bigint")])
-    ctes = (
-        f"s AS (SELECT CAST(o_custkey AS DOUBLE) AS x1, month(o_orderdate) AS x2, dayofweek(o_orderdate) + 1 AS x3,"
-        f" o_totalprice AS y, {unit_sql('_h')} AS u FROM {src}),\n"
-        "tr AS (SELECT * FROM s WHERE u < 7000), te AS (SELECT * FROM s WHERE u >= 7000),\n"
-        + ols_ctes("tr", feats, "y")
-        + ",\nbands AS (SELECT CASE WHEN x2 < 4 THEN '<4' WHEN x2 < 7 THEN '4-6' WHEN x2 < 10 THEN '7-9' "
-        f"ELSE '10+' END AS band, abs(y - {ols_prediction(feats)}) AS ae FROM te, ols_b)"
-    )
+def _banded_reg_rows(feats: list[str], names: list[str], bands: list[str]) -> list[tuple[str, str, str]]:
+    """Metrics of a regression with coefficients, label statistics and errors by band (CTE ``bands``)."""
     rows = _reg_metrics_sql("te", None, feats)
-    rows += [("train", f"coef_{n}", f"SELECT b_{i} FROM ols_b")
-             for i, n in enumerate(["o_custkey", "month", "day_of_week"], 1)]
+    rows += [("train", f"coef_{n}", f"SELECT b_{i} FROM ols_b") for i, n in enumerate(names, 1)]
     rows += [("train", "intercept", "SELECT b_0 FROM ols_b")]
     rows += [("all", f"label_{k}", f"SELECT {f}(y) FROM s")
              for k, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))]
     rows += [("test", "rmse_std_ratio",
               f"SELECT sqrt(avg((y - {ols_prediction(feats)}) ^ 2)) / (SELECT stddev_samp(y) FROM s) FROM te, ols_b")]
-    for b in ("<4", "4-6", "7-9", "10+"):
+    for b in bands:
         rows += [("test", f"mae_band_{b}", f"SELECT avg(ae) FROM bands WHERE band = '{b}'"),
                  ("test", f"n_band_{b}", f"SELECT CAST(count(*) AS DOUBLE) FROM bands WHERE band = '{b}'")]
-    return _job_sql("bike2_reg", ctes, rows)
+    return rows
+
+
+def _bike2_reg_sql() -> str:
+    feats = ["x1", "x2", "x3"]
+    pred = ols_prediction(feats)
+    ctes = (
+        _events_parts("AND duration_sec <= 3600") + ols_ctes("tr", feats, "y")
+        + ",\nbands AS (SELECT CASE WHEN x2 < 6 THEN '<6' WHEN x2 < 12 THEN '[6,12)' WHEN x2 < 18 THEN '[12,18)' "
+        f"ELSE '>=18' END AS band, abs(y - {pred}) AS ae FROM te, ols_b),\n"
+        f"shown AS (SELECT event_id, y, {pred} AS p FROM te, ols_b ORDER BY event_id LIMIT 10)"
+    )
+    rows = _banded_reg_rows(feats, ["user_id", "hour", "day_of_week"], ["<6", "[6,12)", "[12,18)", ">=18"])
+    sample = " ".join(
+        f"UNION ALL SELECT 'test' AS split, 'sample_' || event_id || '_{what}' AS metric, {v} AS value FROM shown"
+        for what, v in (("actual", "y"), ("predicted", "p"), ("abs_error", "abs(y - p)"))
+    )
+    return _job_sql("bike2", ctes, rows, task="bike2_reg", more=sample)
+
+
+def _orders_reg_sql() -> str:
+    feats = ["x1", "x2", "x3"]
+    src = hashed_sql("orders", [("o_orderkey", "bigint")])
+    ctes = (
+        f"s AS (SELECT CAST(o_custkey AS DOUBLE) AS x1, month(o_orderdate) AS x2, dayofweek(o_orderdate) + 1 AS x3,"
+        f" o_totalprice AS y, {unit_sql('_h')} AS u FROM {src}),\n"
+        f"tr AS (SELECT * FROM s WHERE u < {EDGE_70}), te AS (SELECT * FROM s WHERE u >= {EDGE_70}),\n"
+        + ols_ctes("tr", feats, "y")
+        + ",\nbands AS (SELECT CASE WHEN x2 < 4 THEN '<4' WHEN x2 < 7 THEN '[4,7)' WHEN x2 < 10 THEN '[7,10)' "
+        f"ELSE '>=10' END AS band, abs(y - {ols_prediction(feats)}) AS ae FROM te, ols_b)"
+    )
+    rows = _banded_reg_rows(feats, ["o_custkey", "month", "day_of_week"], ["<4", "[4,7)", "[7,10)", ">=10"])
+    return _job_sql("orders_reg", ctes, rows)
 
 
 def _avocado_reg_sql() -> str:
@@ -356,7 +429,7 @@ def _avocado_reg_sql() -> str:
     ctes = (
         "s AS (SELECT l_quantity AS x1, l_discount AS x2, l_tax AS x3, year(l_shipdate) AS x4, l_partkey AS x5,"
         f" l_suppkey AS x6, l_linenumber AS x7, l_extendedprice AS y, {unit_sql('_h')} AS u FROM {src}),\n"
-        "tr AS (SELECT * FROM s WHERE u < 7000), te AS (SELECT * FROM s WHERE u >= 7000),\n"
+        f"tr AS (SELECT * FROM s WHERE u < {EDGE_70}), te AS (SELECT * FROM s WHERE u >= {EDGE_70}),\n"
         + ols_gauss_ctes("tr", feats, "y")
     )
     return _job_sql("avocado", ctes, _reg_metrics_sql("te", None, feats), task="avocado_reg")
@@ -365,21 +438,28 @@ def _avocado_reg_sql() -> str:
 def _medical_reg_sql() -> str:
     from tabml.plans.feature_queries import one_hot_sql, rank_sql
 
-    feats = ["x1", "x2", "d0", "d1", "d2", "d3"]
+    feats = ["x1", "x2", "x3", "x4", "d0", "d1", "d2", "d3"]
     src = hashed_sql("customer", [("c_custkey", "bigint")])
     ctes = (
         "s AS (SELECT CAST(c_nationkey AS DOUBLE) AS x1, CAST(c_custkey % 7 AS DOUBLE) AS x2, c_mktsegment,"
+        " CASE WHEN c_custkey % 2 = 0 THEN 'f' ELSE 'm' END AS sex,"
+        " CASE WHEN c_custkey % 5 = 0 OR c_acctbal > 8500 THEN 'yes' ELSE 'no' END AS smoker,"
         f" c_acctbal AS y, {unit_sql('_h')} AS u FROM {src}),\n"
-        "tr0 AS (SELECT * FROM s WHERE u < 7000), te0 AS (SELECT * FROM s WHERE u >= 7000),\n"
-        f"{rank_sql('tr0', 'c_mktsegment', 'r')},\n"
-        f"tr AS (SELECT tr0.*, {one_hot_sql('r.idx', 4, 'd')} FROM tr0 JOIN r ON c_mktsegment = r.lvl),\n"
-        f"te AS (SELECT te0.*, {one_hot_sql('r.idx', 4, 'd')} FROM te0 JOIN r ON c_mktsegment = r.lvl),\n"
+        f"tr0 AS (SELECT * FROM s WHERE u < {EDGE_70}), te0 AS (SELECT * FROM s WHERE u >= {EDGE_70}),\n"
+        f"{rank_sql('tr0', 'c_mktsegment', 'r')},\n{rank_sql('tr0', 'sex', 'a')},\n{rank_sql('tr0', 'smoker', 'b')},\n"
+        + "".join(
+            f"{p} AS (SELECT {p}0.*, a.idx AS x3, b.idx AS x4, {one_hot_sql('r.idx', 4, 'd')} FROM {p}0"
+            " JOIN r ON c_mktsegment = r.lvl JOIN a ON sex = a.lvl JOIN b ON smoker = b.lvl),\n"
+            for p in ("tr", "te")
+        )
         + ols_gauss_ctes("tr", feats, "y")
     )
     return _job_sql("medical", ctes, _reg_metrics_sql("te", None, feats), task="medical_reg")
 
 
 JOB_ORACLES = {
+    "price_reg": _price_reg_sql,
+    "orders_reg": _orders_reg_sql,
     "youtube_reg": _youtube_reg_sql,
     "bike_reg": _bike_reg_sql,
     "bike2_reg": _bike2_reg_sql,
@@ -398,7 +478,7 @@ def _register(task_name: str) -> None:
     query(f"job_{task_name}", sql=builder() if builder else None, kind="C")(run)
 
 
-for _job in JOBS:
+for _job in JOBS + MORE_JOBS:
     for _t in _job.tasks:
         _register(_t.name)
 

@@ -6,11 +6,13 @@ A ``JobSpec`` is one analysis: a source (read + clean + derive, as a DataFrame p
 to the parquet metrics sink.
 
 Plan shape, chosen for scale:
-* the cleaned source is persisted (MEMORY_AND_DISK) only when several tasks read it, and released after;
+* the cleaned source is cut to the columns that keys, features, targets and reports use, persisted (MEMORY_AND_DISK)
+  only when several passes read it, and released after;
 * the split is a hash of the key columns (no shuffle, repeatable on any cluster);
 * label indexers and feature stages are fitted on the train part only, and a feature model shared by several
   tasks of a job is fitted once;
-* every metric family is one aggregate; only model parameters and metric rows reach the driver.
+* every metric family is one aggregate; only model parameters and metrics of a size fixed by the task reach the driver;
+  tables whose size follows a column's values (contingencies, class counts) stay plans and join the result as frames.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabml.functions import band
@@ -29,12 +31,20 @@ from tabml.operators import evaluate as K
 from tabml.operators import inspect as I
 from tabml.operators import models as M
 from tabml.operators.features import FeatureSpec, fit_features, label_indexer
+from tabml.operators.relational import describe_numeric, top_k_groups
 from tabml.operators.split import hash_split, random_split, with_split_column
 from tabml.session import ensure_checkpoint_dir
 from tabml.sources import write_metrics
 
 SourceFn = Callable[[SparkSession, str], DataFrame]
 
+#: Reports a task can ask for.
+REPORTS = frozenset(
+    "silhouette wssse centers cluster_means train_summary coefficients label_stats banded auc class_balance train_accuracy contingency fit_status sample_rows".split()
+)
+SAMPLE_ROWS = 10
+RESULT = "job string, task string, split string, metric string, value double"
+
 
 @dataclass(frozen=True)
 class TaskSpec:
@@ -54,6 +64,7 @@ class TaskSpec:
     band_col: str | None = None
     band_bounds: Sequence[float] = ()
     binary: bool = False
+    top_classes: int | None = None  # classification: keep only rows of the k most frequent classes
 
 
 @dataclass(frozen=True)
@@ -70,7 +81,9 @@ class JobSpec:
     # recomputation and cuts the lineage), or "none".
     materialize: str = "persist"
     report_split_sizes: bool = False  # rows per part, from one aggregate over a split column
-    profile_cols: Sequence[str] = ()  # count / mean / stddev / min / max of the cleaned source, one aggregate
+    # count / mean / stddev / min / max of the cleaned source's columns (text columns: their count), one aggregate
+    profile_cols: Sequence[str] = ()
+    top_report: tuple[str, int] | None = None  # (column, n): the n rows with the largest values, by key
 
 
 def _estimator(task: TaskSpec, label_col: str):
@@ -101,30 +114,163 @@ def round_sig(v, digits: int | None):
 
 
 class _Rows:
+    """Metrics of one task: rows of a size the task fixes, and frames whose size follows the data's values."""
+
     def __init__(self, job: str, task: str, digits: int | None = None):
         self.job, self.task, self.rows, self.digits = job, task, [], digits
+        self.frames: list[DataFrame] = []
+        self.held: list[DataFrame] = []  # persisted while the result is computed
 
     def add(self, split: str, metrics: dict) -> None:
         for k, v in metrics.items():
             self.rows.append((self.job, self.task, split, k, round_sig(v, self.digits)))
 
+    def add_frame(self, split: str, df: DataFrame, metric: Column, value: Column) -> None:
+        value = value.cast("double")
+        if self.digits is not None:
+            short = F.format_string(f"%.{self.digits - 1}e", value).cast("double")
+            value = F.when(value == F.floor(value), value).otherwise(short)
+        self.frames.append(
+            df.select(F.lit(self.job).alias("job"), F.lit(self.task).alias("task"), F.lit(split).alias("split"), metric.alias("metric"), value.alias("value"))
+        )
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        self.held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
 
 def _first_row(df: DataFrame) -> dict:
     return df.collect()[0].asDict()  # one-row aggregate
 
 
-def _run_task(
-    spark: SparkSession, job: JobSpec, task: TaskSpec, parts: dict, feature_cache: dict, digits: int | None
-) -> list:
+def _skipped(spec: FeatureSpec, eval_df: DataFrame, n: int) -> dict:
+    """Rows of the evaluated part that have no prediction: only ``skip`` drops rows, so only it needs a count."""
+    return {"rows_skipped": eval_df.count() - n if spec.handle_invalid == "skip" else 0}
+
+
+def _sample_rows(out: _Rows, split: str, scored: DataFrame, keys: Sequence[str], label: str, prediction: str) -> None:
+    """Label, prediction and absolute error of the first rows by key."""
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    first = scored.select(F.concat_ws("_", *[F.col(k) for k in keys]).alias("key"), *keys, y.alias("y"), p.alias("p")).orderBy(*keys).limit(SAMPLE_ROWS)
+    long = first.select("key", F.col("y").alias("actual"), F.col("p").alias("predicted"), F.abs(F.col("y") - F.col("p")).alias("abs_error"))
+    long = long.unpivot(["key"], ["actual", "predicted", "abs_error"], "what", "v")
+    out.add_frame(split, long, F.concat(F.lit("sample_"), F.col("key"), F.lit("_"), F.col("what")), F.col("v"))
+
+
+def _run_clustering(task: TaskSpec, fit_x: DataFrame, eval_x: DataFrame, eval_df: DataFrame, out: _Rows) -> None:
+    km = M.fit_on(_estimator(task, ""), fit_x)
+    scored = km.transform(eval_x)
+    pred = task.params.get("predictionCol", "prediction")
+    centers = [c.tolist() for c in km.clusterCenters()]
+    numeric = list(task.features.numeric) if "cluster_means" in task.reports else []
+    # sizes, WSSSE and cluster means in one grouped pass (k rows come back)
+    prof = K.cluster_profile(scored, task.features.output, pred, centers, numeric).collect()
+    # clusters are named by their rank in size: the model's own numbering is arbitrary
+    rank = {r["cluster"]: i for i, r in enumerate(sorted(prof, key=lambda r: (-r["size"], r["cluster"])))}
+    rank |= {c: i for i, c in enumerate((c for c in range(len(centers)) if c not in rank), len(rank))}
+    metrics = I.kmeans_summary(km)
+    if "silhouette" in task.reports:
+        metrics["silhouette"] = K.silhouette(scored, task.features.output, pred)
+    if "wssse" in task.reports:
+        metrics["wssse"] = sum(r["sse"] for r in prof)
+    if "fit_status" in task.reports:
+        metrics |= M.fit_status(km)
+    metrics |= _skipped(task.features, eval_df, sum(r["size"] for r in prof))
+    for r in sorted(prof, key=lambda r: rank[r["cluster"]]):
+        metrics[f"size_rank{rank[r['cluster']] + 1}"] = r["size"]
+        for c in numeric:
+            metrics[f"mean_{c}_rank{rank[r['cluster']] + 1}"] = r[f"mean_{c}"]
+    if "centers" in task.reports:
+        for ci, c in enumerate(centers):
+            for d, v in enumerate(c):
+                metrics[f"center_rank{rank[ci] + 1}_dim{d}"] = float(v)
+    out.add(task.eval_split, metrics)
+    if task.profile_by:
+        ranks = F.array(*[F.lit(rank[c] + 1) for c in range(len(centers))])
+        table = scored.groupBy(F.get(ranks, F.col(pred).cast("int")).alias("r"), F.col(task.profile_by).cast("string").alias("v")).count()
+        name = F.concat(F.lit("n_rank"), F.col("r"), F.lit(f"_{task.profile_by}_"), F.coalesce("v", F.lit("NULL")))
+        out.add_frame(task.eval_split, table, name, F.col("count"))
+
+
+def _run_regression(task: TaskSpec, job: JobSpec, model, scored: DataFrame, eval_df: DataFrame, all_df: DataFrame, names: list[str], out: _Rows) -> None:
+    label_col, pred_col = "label", task.params.get("predictionCol", "prediction")
+    m = _first_row(K.regression_metrics(scored, label_col, pred_col))
+    out.add(task.eval_split, {k: m[k] for k in ("n", "rmse", "mse", "mae", "r2", "mape", "mape_excluded")})
+    out.add(task.eval_split, _skipped(task.features, eval_df, m["n"] + m["excluded"]))
+    if "train_summary" in task.reports and task.estimator == "linear":
+        s = I.regression_summary(model)
+        out.add("train", {"r2": s["r2"], "rmse": s["rmse"]})
+    if "coefficients" in task.reports and task.estimator == "linear":
+        coefs = {f"coef_{n}": float(v) for n, v in zip(names, model.coefficients.toArray(), strict=True)}
+        out.add("train", coefs | {"intercept": float(model.intercept)})
+    if "label_stats" in task.reports:
+        st = _first_row(
+            all_df.agg(
+                F.avg(task.target).alias("mean"), F.stddev_samp(task.target).alias("std"),
+                F.min(task.target).alias("min"), F.max(task.target).alias("max"),
+            )
+        )
+        out.add("all", {f"label_{k}": v for k, v in st.items()})
+        if st["std"]:
+            out.add(task.eval_split, {"rmse_std_ratio": m["rmse"] / st["std"]})
+    if "banded" in task.reports and task.band_col:
+        rep = K.banded_errors(scored, band(task.band_col, task.band_bounds), label_col, pred_col).collect()
+        for r in rep:  # one row per band of the task
+            out.add(task.eval_split, {f"mae_band_{r['band']}": r["avg_abs_error"], f"n_band_{r['band']}": r["count"]})
+    if "sample_rows" in task.reports:
+        _sample_rows(out, task.eval_split, scored, job.keys, label_col, pred_col)
+
+
+def _run_classification(task: TaskSpec, model, labels: list[str], scored: DataFrame, eval_df: DataFrame, names: list[str], out: _Rows) -> None:
+    label_col, pred_col = "label", task.params.get("predictionCol", "prediction")
+    auc = task.binary and "auc" in task.reports
+    if auc:  # the rows are scored once for the confusion and the curve
+        score = vector_to_array("probability")[1].alias("_score")
+        scored = out.hold(scored.select(label_col, pred_col, score))
+    # one confusion pass; every count-based metric derives from that table
+    conf = out.hold(K.confusion(scored, label_col, pred_col))
+    m = _first_row(K.metrics_from_confusion(conf))
+    out.add(task.eval_split, {k: m[k] for k in ("n", "accuracy", "weighted_precision", "weighted_recall", "weighted_f1")})
+    out.add(task.eval_split, _skipped(task.features, eval_df, m["n"] or 0))
+    if task.binary:
+        b = _first_row(K.binary_from_confusion(conf))
+        out.add(task.eval_split, {k: b[k] for k in ("tp", "tn", "fp", "fn", "precision", "recall", "f1")})
+    if auc:
+        out.add(task.eval_split, {"auc": K.area_under_roc(scored, label_col, "_score")})
+    named = F.array(*[F.lit(x) for x in labels])  # the indexer's own list
+
+    def name(c: str) -> Column:
+        return F.get(named, F.col(c).cast("int"))
+
+    if "contingency" in task.reports:
+        metric = F.concat(F.lit("n_actual_"), name("label"), F.lit("_predicted_"), name("prediction"))
+        out.add_frame(task.eval_split, conf, metric, F.col("count"))
+    if "class_balance" in task.reports:
+        out.add_frame(task.eval_split, conf.groupBy("label").agg(F.sum("count").alias("n")), F.concat(F.lit("n_label_"), name("label")), F.col("n"))
+    if "train_accuracy" in task.reports and task.estimator == "logistic":
+        out.add("train", {"accuracy": I.classification_summary(model)["accuracy"]})
+    if "fit_status" in task.reports and task.estimator == "logistic":
+        out.add("train", M.fit_status(model))
+    if "coefficients" in task.reports and task.estimator == "logistic":
+        out.add("train", {f"coef_{c}_{t}": v for c, t, v in I.class_coefficients(model, names, labels)})
+
+
+def _run_task(job: JobSpec, task: TaskSpec, parts: dict, feature_cache: dict, digits: int | None) -> _Rows:
     out = _Rows(job.name, task.name, digits)
     task.features.check_target(task.target)
+    unknown = set(task.reports) - REPORTS
+    if unknown:
+        raise ValueError(f"unknown reports: {', '.join(sorted(unknown))}")
+    if task.top_classes:  # a k-row table, the same for every part
+        top = top_k_groups(parts["all"].filter(F.col(task.target).isNotNull()), task.target, task.top_classes).select(task.target)
+        parts = {name: df.join(top, task.target, "left_semi") for name, df in parts.items()}
     fit_df = parts["all"] if task.fit_scope == "all" else parts["train"]
     eval_df = parts[task.eval_split]
     feature_scope = task.feature_scope or task.fit_scope
     feature_df = parts["all"] if feature_scope == "all" else parts["train"]
 
     # Feature model: fitted once per (features, scope) within a job, on that part only.
-    fkey = (task.features, feature_scope)
+    fkey = (task.features, feature_scope, task.top_classes and (task.target, task.top_classes))
     if fkey not in feature_cache:
         feature_cache[fkey] = fit_features(task.features, feature_df)
     fmodel: PipelineModel = feature_cache[fkey]
@@ -132,102 +278,29 @@ def _run_task(
     eval_x = fmodel.transform(eval_df)
 
     if task.kind == "clustering":
-        km = M.fit_on(_estimator(task, ""), fit_x)
-        scored = km.transform(eval_x)
-        pred = task.params.get("predictionCol", "prediction")
-        s = I.kmeans_summary(km)
-        centers = [c.tolist() for c in km.clusterCenters()]
-        numeric = list(task.features.numeric) if "cluster_means" in task.reports else []
-        # sizes, WSSSE and cluster means in one grouped pass (k rows come back)
-        prof = K.cluster_profile(scored, task.features.output, pred, centers, numeric).collect()
-        metrics = {"training_cost": s["training_cost"], "iterations": s["iterations"], "k": s["k"]}
-        if "silhouette" in task.reports:
-            metrics["silhouette"] = K.silhouette(scored, task.features.output, pred)
-        if "wssse" in task.reports:
-            metrics["wssse"] = sum(r["sse"] for r in prof)
-        for i, n in enumerate(sorted((r["size"] for r in prof), reverse=True)):
-            metrics[f"size_rank{i + 1}"] = n
-        if "centers" in task.reports:
-            for ci, c in enumerate(centers):
-                for d, v in enumerate(c):
-                    metrics[f"center{ci}_dim{d}"] = float(v)
-        for r in sorted(prof, key=lambda r: r["cluster"]):
-            for c in numeric:
-                metrics[f"mean_{c}_cluster{r['cluster']}"] = r[f"mean_{c}"]
-        if task.profile_by:
-            # cluster × class contingency: (k × classes) rows come back
-            for r in scored.groupBy(pred, task.profile_by).count().collect():
-                metrics[f"n_cluster{r[pred]}_{task.profile_by}_{r[task.profile_by]}"] = r["count"]
-        out.add(task.eval_split, metrics)
-        return out.rows
-
-    label_col = "label"
+        _run_clustering(task, fit_x, eval_x, eval_df, out)
+        return out
+
+    label_col, labels = "label", []
     if task.kind == "classification":
         lab_df = fit_x if feature_scope == task.fit_scope else fmodel.transform(feature_df)
-        lab = label_indexer(task.target, label_col, handle_invalid="skip").fit(lab_df)
-        fit_x, eval_x = lab.transform(fit_x), lab.transform(eval_x)
+        lab = label_indexer(task.target, label_col, handle_invalid=task.features.handle_invalid).fit(lab_df)
+        fit_x, eval_x, labels = lab.transform(fit_x), lab.transform(eval_x), list(lab.labels)
     else:
         fit_x = fit_x.withColumn(label_col, F.col(task.target).cast("double"))
         eval_x = eval_x.withColumn(label_col, F.col(task.target).cast("double"))
 
-    est = _estimator(task, label_col).setFeaturesCol(task.features.output)
-    model = M.fit_on(est, fit_x)
-    pred_col = task.params.get("predictionCol", "prediction")
+    model = M.fit_on(_estimator(task, label_col).setFeaturesCol(task.features.output), fit_x)
     scored = model.transform(eval_x)
-
+    names = I.slot_names(fit_x, task.features.output, model.numFeatures)
     if task.kind == "regression":
-        m = _first_row(K.regression_metrics(scored, label_col, pred_col))
-        out.add(task.eval_split, {k: m[k] for k in ("n", "rmse", "mse", "mae", "r2", "mape", "mape_excluded")})
-        if "train_summary" in task.reports and task.estimator == "linear":
-            s = I.regression_summary(model)
-            out.add("train", {"r2": s["r2"], "rmse": s["rmse"]})
-        if "coefficients" in task.reports and task.estimator == "linear":
-            names = task.features.assembled_inputs()
-            coefs = {f"coef_{n}": float(v) for n, v in zip(names, model.coefficients.toArray())}
-            coefs["intercept"] = float(model.intercept)
-            out.add("train", coefs)
-        if "label_stats" in task.reports:
-            st = _first_row(
-                parts["all"].agg(
-                    F.avg(task.target).alias("mean"), F.stddev_samp(task.target).alias("std"),
-                    F.min(task.target).alias("min"), F.max(task.target).alias("max"),
-                )
-            )
-            out.add("all", {f"label_{k}": v for k, v in st.items()})
-            if st["std"]:
-                out.add(task.eval_split, {"rmse_std_ratio": m["rmse"] / st["std"]})
-        if "banded" in task.reports and task.band_col:
-            rep = K.banded_errors(scored, band(task.band_col, task.band_bounds), label_col, pred_col).collect()
-            for r in rep:  # one row per band
-                out.add(task.eval_split, {f"mae_band_{r['band']}": r["avg_abs_error"], f"n_band_{r['band']}": r["count"]})
-        return out.rows
-
-    # classification: one confusion pass; every count-based metric derives from that (#classes²)-row table
-    conf_rows = K.confusion(scored, label_col, pred_col).collect()
-    conf = spark.createDataFrame(conf_rows, "label double, prediction double, count bigint")
-    m = _first_row(K.metrics_from_confusion(conf))
-    out.add(task.eval_split, {k: m[k] for k in ("n", "accuracy", "weighted_precision", "weighted_recall", "weighted_f1")})
-    # rows dropped by handleInvalid='skip' (unseen or NULL levels in the evaluated part) are counted, not hidden
-    out.add(task.eval_split, {"rows_skipped": eval_df.count() - (m["n"] or 0)})
-    if task.binary:
-        b = _first_row(K.binary_from_confusion(conf))
-        out.add(task.eval_split, {k: b[k] for k in ("tp", "tn", "fp", "fn", "precision", "recall", "f1")})
-        if "auc" in task.reports:
-            sc = scored.select(label_col, vector_to_array("probability")[1].alias("_score"))
-            out.add(task.eval_split, {"auc": K.area_under_roc(sc, label_col, "_score")})
-    if "class_balance" in task.reports:
-        for r in conf.groupBy("label").agg(F.sum("count").alias("n")).collect():
-            out.add(task.eval_split, {f"n_label{int(r['label'])}": r["n"]})
-    if "train_accuracy" in task.reports and task.estimator == "logistic":
-        out.add("train", {"accuracy": I.classification_summary(model)["accuracy"]})
-    if "coefficients" in task.reports and task.estimator == "logistic":
-        names = task.features.assembled_inputs()
-        for r in I.multinomial_coefficients(spark, model, names).collect():  # classes × (features + 1) rows
-            out.add("train", {f"coef_class{r['class']}_{r['term']}": r["coefficient"]})
-    return out.rows
+        _run_regression(task, job, model, scored, eval_df, parts["all"], names, out)
+    else:
+        _run_classification(task, model, labels, scored, eval_df, names, out)
+    return out
 
 
-def _job_reports(spark: SparkSession, job: JobSpec, src: DataFrame, digits: int | None) -> list:
+def _job_reports(job: JobSpec, src: DataFrame, digits: int | None) -> _Rows:
     """Job-level reports on the cleaned source (task name ``source``)."""
     out = _Rows(job.name, "source", digits)
     if job.report_split_sizes and job.split_mode == "hash":
@@ -235,26 +308,55 @@ def _job_reports(spark: SparkSession, job: JobSpec, src: DataFrame, digits: int
         for r in labelled.groupBy("split").count().collect():  # two rows
             out.add("all", {f"rows_{r['split']}": r["count"]})
     if job.profile_cols:
-        from tabml.operators.relational import describe_numeric
-
-        for r in describe_numeric(src, list(job.profile_cols)).collect():  # one row per column
+        text = [c for c in job.profile_cols if src.schema[c].dataType.typeName() == "string"]
+        numeric = [c for c in job.profile_cols if c not in text]
+        for r in describe_numeric(src, numeric).collect() if numeric else []:  # one row per column
             out.add("all", {f"{stat}_{r['column']}": r[stat] for stat in ("count", "mean", "stddev", "min", "max")})
-    return out.rows
+        if text:
+            counts = src.agg(*[F.count(c).alias(f"count_{c}") for c in text], *[F.count_distinct(c).alias(f"distinct_{c}") for c in text])
+            out.add("all", _first_row(counts))
+    if job.top_report:
+        c, n = job.top_report
+        best = src.select(F.concat_ws("_", *[F.col(k) for k in job.keys]).alias("key"), *job.keys, c).orderBy(F.desc(c), *job.keys).limit(n)
+        for i, r in enumerate(best.collect()):  # n rows
+            out.add("all", {f"top{i + 1}_{c}_{r['key']}": r[c]})
+    return out
+
+
+def used_columns(job: JobSpec) -> set[str]:
+    """Columns of the source that the job reads."""
+    used = {*job.keys, *job.profile_cols} | ({job.top_report[0]} if job.top_report else set())
+    for t in job.tasks:
+        used |= {*t.features.numeric, *t.features.one_hot, *t.features.indexed} | {c for c in (t.target, t.band_col, t.profile_by) if c}
+    return used
+
+
+def _passes(job: JobSpec) -> int:
+    """At least so many passes over the source: a scaler, an iterative fit and a report each read it."""
+    return sum(1 + (t.features.scale is not None) + (t.kind == "clustering") for t in job.tasks)
 
 
 def run_job(
-    spark: SparkSession, job: JobSpec, sf_dir: str, sink: str | None = None, digits: int | None = None
+    spark: SparkSession, job: JobSpec, sf_dir: str, sink: str | None = None, digits: int | None = None, run_id: str | None = None
 ) -> DataFrame:
-    """Run every task of ``job``; metric values optionally rounded to ``digits`` significant digits."""
-    ensure_checkpoint_dir(spark)
+    """Run every task of ``job``; metric values optionally rounded to ``digits`` significant digits.
+
+    ``sink`` also writes the result (see ``write_metrics``; the same ``run_id`` replaces the run's rows)."""
+    if job.materialize not in ("persist", "checkpoint", "none"):
+        raise ValueError(f"unknown materialize mode {job.materialize!r}")
+    if job.split_mode != "hash" and job.materialize != "checkpoint":
+        # randomSplit repeats only for identical rows in identical partitions: a recomputed shuffle could move rows
+        raise ValueError("a random split needs materialize='checkpoint'")
     src = job.source(spark, sf_dir)
-    shared = len(job.tasks) > 1 and job.materialize == "persist"
-    if len(job.tasks) > 1 and job.materialize == "checkpoint":
+    used = used_columns(job)
+    src = src.select(*[F.col("`" + c.replace("`", "``") + "`") for c in src.columns if c in used])
+    shared = job.materialize == "persist" and _passes(job) > 1
+    if job.materialize == "checkpoint":
+        ensure_checkpoint_dir(spark)
         src = src.checkpoint(eager=True)  # reliable checkpoint in the shared folder, never localCheckpoint
     elif shared:
         src = src.persist(StorageLevel.MEMORY_AND_DISK)
-    elif job.materialize not in ("persist", "checkpoint", "none"):
-        raise ValueError(f"unknown materialize mode {job.materialize!r}")
+    done: list[_Rows] = []
     try:
         if job.split_mode == "hash":
             train, test = hash_split(src, job.keys, job.weights, job.seed)
@@ -262,14 +364,21 @@ def run_job(
             train, test = random_split(src, job.weights, job.seed)
         parts = {"all": src, "train": train, "test": test}
         feature_cache: dict = {}
-        rows: list = []
-        rows += _job_reports(spark, job, src, digits)
+        done.append(_job_reports(job, src, digits))
         for task in job.tasks:
-            rows += _run_task(spark, job, task, parts, feature_cache, digits)
+            done.append(_run_task(job, task, parts, feature_cache, digits))
+        result = spark.createDataFrame([r for out in done for r in out.rows], RESULT)
+        frames = [f for out in done for f in out.frames]
+        if frames:
+            for f in frames:
+                result = result.unionByName(f)
+            result = result.persist(StorageLevel.MEMORY_AND_DISK)  # metrics only; computed while the source is held
+            result.count()
     finally:
+        for df in [d for out in done for d in out.held]:
+            df.unpersist()
         if shared:
             src.unpersist()
-    result = spark.createDataFrame(rows, "job string, task string, split string, metric string, value double")
     if sink:
-        write_metrics(result, sink)
+        write_metrics(result, sink, run_id)
     return result

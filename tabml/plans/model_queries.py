@@ -11,7 +11,7 @@ from tabml.operators.features import assembler
 from tabml.operators.models import fit_on, linear_regression
 from tabml.operators.split import hash_split
 from tabml.plans.catalog import query
-from tabml.plans.sqlgen import hashed_sql, ols_ctes, ols_prediction, unit_sql
+from tabml.plans.sqlgen import EDGE_70, hashed_sql, ols_ctes, ols_prediction, unit_sql
 from tabml.sources import load_table
 
 
@@ -31,8 +31,8 @@ base AS (
   SELECT o_orderkey, month(o_orderdate) AS month, dayofweek(o_orderdate) + 1 AS day_of_week, o_totalprice,
          {unit_sql('_h')} AS u
   FROM {hashed_sql('orders', [('o_orderkey', 'bigint')])}),
-train AS (SELECT * FROM base WHERE u < 7000),
-test AS (SELECT * FROM base WHERE u >= 7000)"""
+train AS (SELECT * FROM base WHERE u < {EDGE_70}),
+test AS (SELECT * FROM base WHERE u >= {EDGE_70})"""
 
 
 # --- J09 / I05 / K05 / K06: the minimum slice -------------------------------------------------------------

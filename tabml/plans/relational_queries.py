@@ -12,7 +12,7 @@ from tabml.functions import NUMERIC_TEXT_PATTERN, band, parse_duration, ratio, s
 from tabml.operators import relational as R
 from tabml.operators.split import hash_split
 from tabml.plans.catalog import query
-from tabml.plans.sqlgen import hashed_sql, unit_sql
+from tabml.plans.sqlgen import EDGE_70, hashed_sql, unit_sql
 from tabml.session import scratch_dir
 from tabml.sources import TABLES, load_table, read_csv_inferred, read_csv_schema, write_csv
 
@@ -316,8 +316,8 @@ def group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BANDED_SQL = """
-SELECT CASE WHEN l_quantity < 10 THEN '<10' WHEN l_quantity < 20 THEN '10-19' WHEN l_quantity < 30 THEN '20-29'
-            WHEN l_quantity < 40 THEN '30-39' ELSE '40+' END AS band,
+SELECT CASE WHEN l_quantity < 10 THEN '<10' WHEN l_quantity < 20 THEN '[10,20)' WHEN l_quantity < 30 THEN '[20,30)'
+            WHEN l_quantity < 40 THEN '[30,40)' ELSE '>=40' END AS band,
        round(avg(abs(l_extendedprice - l_quantity * 1530.0)), 4) AS avg_abs_error,
        round(avg(l_extendedprice), 4) AS avg_actual, count(*) AS count
 FROM lineitem GROUP BY 1
@@ -421,7 +421,7 @@ def random_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     "split_hash_counts",
     sql=f"""
 WITH b AS (SELECT o_orderkey, {unit_sql('_h')} AS u FROM {hashed_sql('orders', [('o_orderkey', 'bigint')])})
-SELECT CASE WHEN u < 7000 THEN 'train' ELSE 'test' END AS split, count(*) AS n,
+SELECT CASE WHEN u < {EDGE_70} THEN 'train' ELSE 'test' END AS split, count(*) AS n,
        CAST(sum(o_orderkey) AS BIGINT) AS key_sum
 FROM b GROUP BY 1
 """,
@@ -524,9 +524,9 @@ def safe_numeric_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "age_band",
     sql="""
-SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN '<0' WHEN c_acctbal < 2500 THEN '0-2499'
-                       WHEN c_acctbal < 5000 THEN '2500-4999' WHEN c_acctbal < 7500 THEN '5000-7499'
-                       ELSE '7500+' END AS band
+SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN '<0' WHEN c_acctbal < 2500 THEN '[0,2500)'
+                       WHEN c_acctbal < 5000 THEN '[2500,5000)' WHEN c_acctbal < 7500 THEN '[5000,7500)'
+                       ELSE '>=7500' END AS band
 FROM customer
 """,
 )

@@ -75,9 +75,13 @@ def hashed_sql(source: str, keys: Sequence[tuple[str, str]], seed: int = 42, out
     return f"(SELECT * EXCLUDE ({', '.join(ch.temps)}), {signed} AS {out} FROM ({ch.sql}))"
 
 
-def unit_sql(col: str, modulus: int = 10000) -> str:
+GRID = 1 << 32
+EDGE_70, EDGE_80 = round(0.7 * GRID), round(0.8 * GRID)
+
+
+def unit_sql(col: str, modulus: int = GRID) -> str:
     """``pmod(col, modulus)``."""
-    return f"((({col}) % {modulus} + {modulus}) % {modulus})"
+    return f"(((({col})::BIGINT) % {modulus} + {modulus}) % {modulus})"
 
 
 def _det(m: list[list[str]]) -> str:

@@ -4,12 +4,15 @@
 * ``read_csv_inferred``     — CSV with header and inferred types (one extra pass over the data for inference).
 * ``read_csv_schema``       — CSV with a fixed ``StructType``; fields bind by position, bad cells become NULL.
 * ``write_csv``             — CSV writer used to stage CSV inputs.
-* ``write_metrics``         — parquet sink for tidy metric tables, partitioned by job.
+* ``write_metrics``         — parquet sink for tidy metric tables, partitioned by job and run.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TABLES = (
@@ -18,18 +21,10 @@ TABLES = (
 ).split()
 
 
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
-    """Parquet table ``<sf_dir>/<name>.parquet``.  The relation (file listing and footer schema) is resolved
-    once per session and path and reused: listing a table of a million files is itself a distributed job, and
-    DataFrames are immutable plans, so sharing one is safe.  ``refresh=True`` re-lists (after appends)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if refresh or key not in _RELATIONS:
-        _RELATIONS[key] = spark.read.parquet(path)
-    return _RELATIONS[key]
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet table ``<sf_dir>/<name>.parquet``, listed anew at every call, so that appended files are read.  A job
+    that reads a table for several tasks loads it once and shares the DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",", sampling_ratio: float = 1.0) -> DataFrame:
@@ -56,9 +51,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_metrics(df: DataFrame, path: str, mode: str = "append") -> str:
-    """Parquet sink for metric tables (job, task, split, metric, value); replaces console reports."""
-    df.write.mode(mode).partitionBy("job").parquet(path)
+def write_metrics(df: DataFrame, path: str, run_id: str | None = None) -> str:
+    """Parquet sink for metric tables (job, task, split, metric, value), with ``run_id`` and ``written_at`` added.
+
+    A run's partition is replaced, never appended to: writing the same run again (a retry) doubles no row, other runs
+    stay.  Without ``run_id`` a new one is made."""
+    named = df.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex)).withColumn("written_at", F.current_timestamp())
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job", "run_id").parquet(path)
     return path
 
 

@@ -55,6 +55,6 @@ def test_band_assigns_the_right_interval(spark, bounds, xs):
 @given(st.lists(st.floats(0.0, 10.0, allow_nan=False), min_size=1, max_size=6).filter(lambda w: sum(w) > 0))
 def test_cutoffs_tile_the_hash_range(weights):
     ranges = cutoffs(weights)
-    assert ranges[0][0] == 0 and ranges[-1][1] == 10000
+    assert ranges[0][0] == 0 and ranges[-1][1] == 1 << 32
     assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
     assert all(lo <= hi for lo, hi in ranges)

@@ -4,8 +4,9 @@ from tabml.operators.split import cutoffs, hash_split, random_split, with_split_
 
 
 def test_cutoffs_normalise():
-    assert cutoffs([0.7, 0.3]) == [(0, 7000), (7000, 10000)]
-    assert cutoffs([7, 3]) == [(0, 7000), (7000, 10000)]
+    edge = round(0.7 * (1 << 32))
+    assert cutoffs([0.7, 0.3]) == cutoffs([7, 3]) == [(0, edge), (edge, 1 << 32)]
+    assert all(lo < hi for lo, hi in cutoffs([1 - 1e-9, 1e-9]))
     with pytest.raises(ValueError):
         cutoffs([])
 
