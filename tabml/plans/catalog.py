@@ -37,6 +37,7 @@ def load_all() -> None:
     """Import the query modules (registration happens at import)."""
     from tabml.plans import (  # noqa: F401
         evaluate_queries,
+        exact_job_queries,
         feature_queries,
         job_queries,
         model_queries,
