@@ -47,6 +47,7 @@ def regression_metrics(df: DataFrame, label: str | Column, prediction: str | Col
         F.avg(F.col("_e") * F.col("_e")).alias("mse"),
         F.avg(F.abs("_e")).alias("mae"),
         F.var_pop("_y").alias("_var_y"),
+        F.stddev_samp("_y").alias("label_std"),
         F.var_pop("_p").alias("_var_p"),
         F.avg("_y").alias("_mean_y"),
         F.avg("_p").alias("_mean_p"),
@@ -65,6 +66,8 @@ def regression_metrics(df: DataFrame, label: str | Column, prediction: str | Col
         (F.col("_ape") * 100).alias("mape"),
         "mape_excluded",
         "excluded",
+        "label_std",
+        F.try_divide(F.sqrt("mse"), F.col("label_std")).alias("rmse_std_ratio"),
     )
 
 

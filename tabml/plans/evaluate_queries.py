@@ -83,11 +83,10 @@ SELECT count(*) AS n, CAST(count_if(label = prediction) AS BIGINT) AS correct,
 """,
 )
 def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accuracy as one aggregate (no filter-count plus a second count)."""
-    mc = multiclass_frame(spark, sf_dir)
-    hit = F.col("label") == F.col("prediction")
-    return mc.agg(F.count("*").alias("n"), F.count_if(hit).alias("correct")).select(
-        "n", "correct", F.round(F.col("correct") / F.col("n"), 10).alias("accuracy")
+    """Accuracy from the confusion table (one pass, no filter-count plus a second count)."""
+    m = K.classification_metrics(multiclass_frame(spark, sf_dir), "label", "prediction")
+    return m.select(
+        "n", F.round(F.col("accuracy") * F.col("n")).cast("bigint").alias("correct"), F.round("accuracy", 10).alias("accuracy")
     )
 
 
@@ -241,13 +240,36 @@ FROM rf
 )
 def eval_rmse_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RMSE and the label's standard deviation from the same single pass, and their ratio."""
-    rf = regression_frame(spark, sf_dir)
-    e = F.col("label") - F.col("prediction")
-    agg = rf.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.stddev_samp("label").alias("std_label"))
-    return agg.select(
+    m = K.regression_metrics(regression_frame(spark, sf_dir), "label", "prediction")
+    return m.select(
         F.round("rmse", 6).alias("rmse"),
-        F.round("std_label", 6).alias("std_label"),
-        F.round(F.col("rmse") / F.col("std_label"), 10).alias("rmse_std_ratio"),
+        F.round("label_std", 6).alias("std_label"),
+        F.round("rmse_std_ratio", 10).alias("rmse_std_ratio"),
+    )
+
+
+@query(
+    "eval_regression_nulls",
+    sql="""
+WITH rf AS (SELECT CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_totalprice END AS label,
+                   CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey * 150.0 + 140000.0 END AS prediction FROM orders),
+u AS (SELECT * FROM rf WHERE label IS NOT NULL AND prediction IS NOT NULL)
+SELECT count(*) AS n, (SELECT count(*) FROM rf) - count(*) AS excluded, round(sqrt(avg((label - prediction) ^ 2)), 6) AS rmse,
+       round(1 - avg((label - prediction) ^ 2) / var_pop(label), 10) AS r2,
+       round(var_pop(prediction) + (avg(prediction) - avg(label)) ^ 2, 2) AS explained_variance
+FROM u
+""",
+)
+def eval_regression_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a label or without a prediction count in no metric; they are reported."""
+    rf = load_table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_custkey") % 5 != 0, F.col("o_totalprice")).alias("label"),
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey") * 150.0 + 140000.0).alias("prediction"),
+    )
+    m = K.regression_metrics(rf, "label", "prediction")
+    return m.select(
+        "n", "excluded", F.round("rmse", 6).alias("rmse"), F.round("r2", 10).alias("r2"),
+        F.round("explained_variance", 2).alias("explained_variance"),
     )
 
 

@@ -68,6 +68,23 @@ def assemble_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(part).select("p_partkey", *vector_columns("features", names))
 
 
+@query(
+    "assemble_indexed",
+    sql=f"""
+WITH c AS (SELECT c_custkey, c_acctbal, CASE WHEN c_custkey % 3 = 0 THEN 'f' ELSE 'm' END AS sex, c_mktsegment FROM customer),
+{rank_sql('c', 'sex', 'a')}, {rank_sql('c', 'c_mktsegment', 'b')}
+SELECT c_custkey, c_acctbal AS f0, a.idx AS f1, b.idx AS f2 FROM c JOIN a ON sex = a.lvl JOIN b ON c_mktsegment = b.lvl
+""",
+)
+def assemble_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories that enter the vector as their bare index, without encoding."""
+    c = load_table(spark, sf_dir, "customer")
+    c = c.select("c_custkey", "c_acctbal", F.when(F.col("c_custkey") % 3 == 0, "f").otherwise("m").alias("sex"), "c_mktsegment")
+    spec = FeatureSpec(numeric=["c_acctbal"], indexed=["sex", "c_mktsegment"])
+    model = Pipeline(stages=feature_stages(spec)).fit(c)
+    return model.transform(c).select("c_custkey", *vector_columns("features", ["f0", "f1", "f2"]))
+
+
 # --- G03-G06: indexing -----------------------------------------------------------------------------------------------
 @query(
     "string_index",

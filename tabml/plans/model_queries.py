@@ -11,7 +11,7 @@ from tabml.operators.features import assembler
 from tabml.operators.models import fit_on, linear_regression
 from tabml.operators.split import hash_split
 from tabml.plans.catalog import query
-from tabml.plans.sqlgen import EDGE_70, hashed_sql, ols_ctes, ols_prediction, unit_sql
+from tabml.plans.sqlgen import EDGE_70, hashed_sql, ols_ctes, ols_gauss_ctes, ols_prediction, unit_sql
 from tabml.sources import load_table
 
 
@@ -117,6 +117,35 @@ def ols_multi_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "term string, coefficient double")
 
 
+def _onehot_sql() -> str:
+    from tabml.plans.feature_queries import one_hot_sql, rank_sql
+
+    feats = ["x1", "d0", "d1", "d2", "d3"]
+    terms = "".join(
+        f"\nUNION ALL SELECT 'c_mktsegment_encoded_' || lvl, round(b_{j + 2}, 4) FROM ols_b, r WHERE r.idx = {j}" for j in range(4)
+    )
+    return (
+        f"WITH {rank_sql('customer', 'c_mktsegment', 'r')},\n"
+        f"t AS (SELECT CAST(c_nationkey AS DOUBLE) AS x1, c_acctbal AS y, {one_hot_sql('r.idx', 4, 'd')} FROM customer JOIN r ON c_mktsegment = r.lvl),\n"
+        f"{ols_gauss_ctes('t', feats, 'y')}\n"
+        f"SELECT 'c_nationkey' AS term, round(b_1, 4) AS coefficient FROM ols_b{terms}\n"
+        "UNION ALL SELECT 'intercept', round(b_0, 4) FROM ols_b"
+    )
+
+
+@query("ols_onehot_coefficients", kind="C", sql=_onehot_sql())
+def ols_onehot_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of a model with a one-hot input: one row per vector slot, named by level."""
+    from tabml.operators.features import FeatureSpec, fit_features
+    from tabml.operators.inspect import coefficients, slot_names
+
+    c = load_table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment", "c_acctbal")
+    x = fit_features(FeatureSpec(numeric=["c_nationkey"], one_hot=["c_mktsegment"]), c).transform(c)
+    model = fit_on(linear_regression(label="c_acctbal"), x)
+    table = coefficients(spark, model, slot_names(x, "features", model.numFeatures))
+    return table.select("term", F.round("coefficient", 4).alias("coefficient"))
+
+
 @query(
     "ols_train_summary",
     kind="C",
@@ -205,7 +234,7 @@ def _multi_fit(spark: SparkSession, sf_dir: str):
     o = _orders_status(spark, sf_dir)
     spec = FeatureSpec(one_hot=["o_orderpriority"])
     stages = [StringIndexer(inputCol="o_orderstatus", outputCol="label")] + feature_stages(spec)
-    lr = logistic_regression(family="multinomial", tol=1e-10, max_iter=200)
+    lr = logistic_regression(family="multinomial", tol=1e-8, max_iter=200)
     return o, fit_on(Pipeline(stages=stages + [lr]), o)
 
 

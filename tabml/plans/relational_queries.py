@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tabml.functions import NUMERIC_TEXT_PATTERN, band, parse_duration, ratio, safe_double, time_parts
 from tabml.operators import relational as R
-from tabml.operators.split import hash_split
+from tabml.operators.split import with_split_column
 from tabml.plans.catalog import query
 from tabml.plans.sqlgen import EDGE_70, hashed_sql, unit_sql
 from tabml.session import scratch_dir
@@ -211,6 +211,21 @@ def topk_semi_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.top_k_semi_filter(load_table(spark, sf_dir, "customer"), "c_nationkey", 5)
 
 
+@query(
+    "topk_semi_filter_nulls",
+    sql="""
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS priority FROM orders),
+top AS (SELECT priority FROM o WHERE priority IS NOT NULL GROUP BY priority ORDER BY count(*) DESC, priority LIMIT 2)
+SELECT o_orderkey, priority FROM o WHERE priority IN (SELECT priority FROM top)
+""",
+)
+def topk_semi_filter_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-2 keys where NULL is the most frequent value: NULL takes no place."""
+    o = load_table(spark, sf_dir, "orders")
+    o = o.select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("priority"))
+    return R.top_k_semi_filter(o, "priority", 2).select("o_orderkey", "priority")
+
+
 @query(
     "filter_sql_string",
     sql="SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem "
@@ -427,14 +442,41 @@ FROM b GROUP BY 1
 """,
 )
 def split_hash_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """70/30 hash split of orders: part sizes and key sums (the parts partition the table)."""
+    """70/30 hash split of orders: part sizes and key sums (the parts partition the table), in one pass."""
     o = load_table(spark, sf_dir, "orders").select("o_orderkey")
-    train, test = hash_split(o, ["o_orderkey"], (0.7, 0.3), seed=42)
+    parts = with_split_column(o, ["o_orderkey"], (0.7, 0.3), seed=42, names=("train", "test"))
+    return parts.groupBy("split").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("key_sum"))
 
-    def summary(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.lit(name).alias("split"), F.count("*").alias("n"), F.sum("o_orderkey").alias("key_sum"))
 
-    return summary(train, "train").unionByName(summary(test, "test"))
+@query(
+    "split_small_holdout",
+    sql=f"""
+WITH b AS (SELECT l_orderkey, l_linenumber, {unit_sql('_h')} AS u
+           FROM {hashed_sql('lineitem', [('l_orderkey', 'bigint'), ('l_linenumber', 'int')])})
+SELECT CASE WHEN u < {round(0.9999 * (1 << 32))} THEN 'train' ELSE 'test' END AS split, count(*) AS n FROM b GROUP BY 1
+""",
+)
+def split_small_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hold-out of one row in 10,000: the split grid is the whole 32-bit hash, so small weights are not rounded away."""
+    li = load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    parts = with_split_column(li, ["l_orderkey", "l_linenumber"], (0.9999, 0.0001), seed=42)
+    return parts.groupBy("split").agg(F.count("*").alias("n"))
+
+
+@query(
+    "describe_mixed",
+    sql="""
+SELECT 'event_type' AS column, count(event_type) AS count, NULL::DOUBLE AS mean, NULL::DOUBLE AS stddev,
+       min(event_type) AS min, max(event_type) AS max FROM events
+UNION ALL
+SELECT 'user_id', count(user_id), round(avg(user_id), 6), round(stddev_samp(user_id), 6),
+       CAST(min(user_id) AS VARCHAR), CAST(max(user_id) AS VARCHAR) FROM events
+""",
+)
+def describe_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile of text and numeric columns together (B and D rows of the survey in one report)."""
+    prof = R.describe_mixed(load_table(spark, sf_dir, "events"), ["event_type", "user_id"])
+    return prof.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))
 
 
 @query("split_random")
@@ -536,6 +578,20 @@ def age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", band("c_acctbal", [0, 2500, 5000, 7500]).alias("band"))
 
 
+@query(
+    "band_fractional",
+    sql="""
+SELECT l_orderkey, l_linenumber, CASE WHEN l_discount < 0.025 THEN '<0.025' WHEN l_discount < 0.05 THEN '[0.025,0.05)'
+                                      WHEN l_discount < 0.075 THEN '[0.05,0.075)' ELSE '>=0.075' END AS band
+FROM lineitem
+""",
+)
+def band_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half-open bands with fractional bounds."""
+    li = load_table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", band("l_discount", [0.025, 0.05, 0.075]).alias("band"))
+
+
 @query(
     "ratio_feature",
     sql="SELECT o_orderkey, CASE WHEN o_custkey = 0 THEN NULL ELSE o_totalprice / o_custkey END AS price_per_key "
