@@ -382,5 +382,5 @@ def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = K.to_long(reg, "eval_demo", "regression", "all", ["rmse", "r2"]).unionByName(
         K.to_long(clf, "eval_demo", "classification", "all", ["accuracy", "weighted_f1"])
     )
-    path = write_metrics(rows, scratch_dir(spark, "metrics"), mode="overwrite")
+    path = write_metrics(rows, scratch_dir(spark, "metrics"))
     return spark.read.parquet(path).select("job", "task", "split", "metric", "value")

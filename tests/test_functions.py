@@ -27,7 +27,7 @@ def test_band_labels_from_bounds(spark):
     assert band_labels([25, 35, 45, 55]) == ["<25", "[25,35)", "[35,45)", "[45,55)", ">=55"]
     df = spark.createDataFrame([(16,), (24,), (25,), (54,), (55,), (None,)], "age int")
     got = [r[0] for r in df.select(band("age", [25, 35, 45, 55])).collect()]
-    assert got == ["<25", "<25", "25-34", "45-54", "55+", None]
+    assert got == ["<25", "<25", "[25,35)", "[45,55)", ">=55", None]
 
 
 def test_ratio_zero_and_null(spark):

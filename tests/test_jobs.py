@@ -54,7 +54,13 @@ def test_kmeans_points_at_nearest_centre(spark):
 
 def test_regression_job_reports_coefficients_and_bands(spark):
     m = _metrics(run_job(spark, task_job("bike2_reg"), SF_SMALL))
-    assert ("train", "intercept") in m and ("train", "coef_month") in m
+    assert ("train", "intercept") in m and ("train", "coef_hour") in m
+    sample = {k: v for (_, k), v in m.items() if k.startswith("sample_")}
+    assert len(sample) == 30
+    for k, v in sample.items():
+        if k.endswith("_abs_error"):
+            stem = k.removesuffix("_abs_error")
+            assert v == pytest.approx(abs(sample[f"{stem}_actual"] - sample[f"{stem}_predicted"]))
     bands = [k for (_, k) in m if k.startswith("n_band_")]
     assert sum(m[("test", k)] for k in bands) == m[("test", "n")]
 
@@ -84,7 +90,7 @@ def test_metrics_sink_round_trip(spark, tmp_path):
     res = run_job(spark, task_job("youtube_reg"), SF_SMALL, sink=out)
     back = spark.read.parquet(out)
     assert back.count() == res.count()
-    assert {r.job for r in back.select("job").distinct().collect()} == {"youtube_reg"}
+    assert {r.job for r in back.select("job").distinct().collect()} == {"youtube"}
 
 
 def test_skip_rows_are_counted(spark):
@@ -138,7 +144,7 @@ def test_feature_scope_all_and_cluster_class_profile(spark):
     m = _metrics(run_job(spark, replace(job, tasks=[t]), SF_SMALL))
     assert 0.0 <= m[("test", "accuracy")] <= 1.0
     prof = {k: v for (_, k), v in _metrics(run_job(spark, task_job("iris_clu"), SF_SMALL)).items()
-            if k.startswith("n_cluster")}
+            if k.startswith("n_rank")}
     assert prof and sum(prof.values()) == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
 
 
@@ -155,7 +161,7 @@ def test_config_defined_job_equals_code_defined(spark):
     from tabml.plans.config import job_from_dict
 
     cfg = {
-        "name": "bike2_reg",
+        "name": "orders_reg",
         "source": {
             "table": "orders",
             "derive": {"o_custkey": "CAST(o_custkey AS DOUBLE)", "month": "month(o_orderdate)",
@@ -164,22 +170,28 @@ def test_config_defined_job_equals_code_defined(spark):
         },
         "keys": ["o_orderkey"],
         "tasks": [{
-            "name": "bike2_reg", "kind": "regression", "target": "o_totalprice", "estimator": "linear",
+            "name": "orders_reg", "kind": "regression", "target": "o_totalprice", "estimator": "linear",
             "features": {"numeric": ["o_custkey", "month", "day_of_week"], "output": "reg_features"},
             "params": {"maxIter": 10}, "reports": ["coefficients", "label_stats", "banded"],
             "band_col": "month", "band_bounds": [4, 7, 10],
         }],
     }
     a = _metrics(run_job(spark, job_from_dict(cfg), SF_SMALL, digits=6))
-    b = _metrics(run_job(spark, task_job("bike2_reg"), SF_SMALL, digits=6))
+    b = _metrics(run_job(spark, task_job("orders_reg"), SF_SMALL, digits=6))
     assert a == b
+    for bad in ({"sauce": 1}, {"tasks": [cfg["tasks"][0] | {"band_cols": "month"}]}, {"tasks": [cfg["tasks"][0] | {"reports": ["coeficients"]}]},
+                {"tasks": [cfg["tasks"][0] | {"features": {"numerics": []}}]}):
+        with pytest.raises(ValueError, match="unknown"):
+            job_from_dict(cfg | bad)
 
 
 def test_random_split_mode_runs_and_partitions(spark):
     from dataclasses import replace
 
-    job = replace(task_job("youtube_reg"), split_mode="random")
-    m = _metrics(run_job(spark, job, SF_SMALL))
+    job = replace(task_job("price_reg"), split_mode="random")
+    with pytest.raises(ValueError, match="checkpoint"):
+        run_job(spark, job, SF_SMALL)
+    m = _metrics(run_job(spark, replace(job, materialize="checkpoint"), SF_SMALL))
     n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert 0 < m[("test", "n")] < n
     assert m[("train", "rmse")] >= 0.0
@@ -187,9 +199,12 @@ def test_random_split_mode_runs_and_partitions(spark):
 
 def test_logistic_coefficient_report(spark):
     m = _metrics(run_job(spark, task_job("youtube_clf"), SF_SMALL))
-    coefs = [k for (s, k) in m if s == "train" and k.startswith("coef_class")]
-    # 5 classes × (3 features + intercept)
+    coefs = [k for (s, k) in m if s == "train" and k.startswith("coef_")]
+    # 5 classes × (3 features + intercept), by class name
     assert len(coefs) == 5 * 4 and all(m[("train", k)] == m[("train", k)] for k in coefs)
+    assert len({k.split("_")[1] for k in coefs}) == 5
+    table = {k: v for (_, k), v in m.items() if k.startswith("n_actual_")}
+    assert sum(table.values()) == m[("test", "n")]
 
 
 def test_rows_skipped_counts_unseen_test_labels(spark):
@@ -209,8 +224,96 @@ def test_rows_skipped_counts_unseen_test_labels(spark):
         return o.select("o_orderkey", "o_totalprice", lab.alias("status"))
 
     job = JobSpec("rare", source, ["o_orderkey"], [
-        TaskSpec("rare_clf", "classification", FeatureSpec(numeric=["o_totalprice"]), "status", "logistic",
-                 {"maxIter": 5})])
+        TaskSpec("rare_clf", "classification", FeatureSpec(numeric=["o_totalprice"], handle_invalid="skip"), "status",
+                 "logistic", {"maxIter": 5})])
     m = _metrics(run_job(spark, job, SF_SMALL))
     assert m[("test", "rows_skipped")] == 3
     assert m[("test", "n")] == test.count() - 3
+    strict = TaskSpec("rare_clf", "classification", FeatureSpec(numeric=["o_totalprice"]), "status", "logistic", {"maxIter": 5})
+    with pytest.raises(Exception, match="Unseen label"):
+        run_job(spark, JobSpec("rare", source, ["o_orderkey"], [strict]), SF_SMALL)
+
+
+def test_rows_skipped_for_every_task_kind(spark):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    job = JOB_BY_NAME["cars"]
+
+    def source(s, d):  # a tenth of the brands are NULL
+        p = job.source(s, d)
+        return p.withColumn("p_brand", F.when(F.col("p_partkey") % 10 != 0, F.col("p_brand")))
+
+    rows = run_job(spark, replace(job, source=source), SF_SMALL).collect()
+    skipped = {r.task: r.value for r in rows if r.metric == "rows_skipped"}
+    assert set(skipped) == {"cars_reg", "cars_clf", "cars_clu"} and all(v > 0 for v in skipped.values())
+
+
+def test_source_is_cut_to_the_columns_that_are_used(spark):
+    from dataclasses import replace
+
+    from tabml.plans.jobs import used_columns
+
+    job = JOB_BY_NAME["iris"]
+    seen = {}
+
+    def source(s, d):
+        seen["df"] = job.source(s, d)
+        return seen["df"]
+
+    run_job(spark, replace(job, source=source, tasks=job.tasks[:1]), SF_SMALL)
+    used = used_columns(replace(job, tasks=job.tasks[:1]))
+    assert used == {"l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"}
+    assert used < set(seen["df"].columns)
+
+
+def test_onehot_coefficients_name_every_slot(spark):
+    from tabml.operators.features import FeatureSpec
+    from tabml.plans.jobs import JobSpec, TaskSpec
+
+    def source(s, d):
+        return s.read.parquet(f"{d}/customer.parquet")
+
+    spec = FeatureSpec(numeric=["c_nationkey"], one_hot=["c_mktsegment"])
+    for kind, target, est in (("regression", "c_acctbal", "linear"), ("classification", "c_nationkey_parity", "logistic")):
+        src = source if kind == "regression" else lambda s, d: source(s, d).selectExpr("*", "string(c_nationkey % 2) AS c_nationkey_parity")
+        task = TaskSpec("t", kind, spec, target, est, {"maxIter": 5}, reports=("coefficients", "fit_status")[: 2 if kind != "regression" else 1])
+        m = _metrics(run_job(spark, JobSpec("j", src, ["c_custkey"], [task]), SF_SMALL))
+        assert sum("c_mktsegment_encoded_" in k for _, k in m) == 4
+        if kind != "regression":
+            assert m[("train", "converged")] in (0.0, 1.0)
+
+
+def test_metrics_sink_is_idempotent_per_run(spark, tmp_path):
+    out = str(tmp_path / "metrics")
+    job = task_job("price_reg")
+    n = run_job(spark, job, SF_SMALL, sink=out, run_id="a").count()
+    run_job(spark, job, SF_SMALL, sink=out, run_id="a")
+    run_job(spark, job, SF_SMALL, sink=out, run_id="b")
+    back = spark.read.parquet(out)
+    assert {r.run_id: r["count"] for r in back.groupBy("run_id").count().collect()} == {"a": n, "b": n}
+
+
+def test_appended_files_are_read(spark, tmp_path):
+    from tabml.sources import load_table
+
+    spark.range(3).write.parquet(f"{tmp_path}/t.parquet")
+    assert load_table(spark, str(tmp_path), "t").count() == 3
+    spark.range(2).write.mode("append").parquet(f"{tmp_path}/t.parquet")
+    assert load_table(spark, str(tmp_path), "t").count() == 5
+
+
+def test_sparse_cluster_report_does_not_expand_rows(spark):
+    from tabml.operators import evaluate as K
+    from tabml.operators.features import FeatureSpec, fit_features
+
+    df = spark.range(20_000).selectExpr("string(id % 10000) AS level", "double(id % 3) AS x", "int(id % 2) AS prediction")
+    v = fit_features(FeatureSpec(numeric=["x"], one_hot=["level"]), df).transform(df)
+    spread = K._spread(v, "features", "prediction")
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "vector_to_array" not in plan and "UDF(features" not in plan.split("Aggregate")[0]
+    centers = [[0.0] * 10_000] * 2
+    w = K.wssse(v, "features", "prediction", centers).first()
+    want = sum(x * x for x in (i % 3 for i in range(20_000))) + sum(1 for i in range(20_000) if (i % 10_000) != 9_999)
+    assert w.n == 20_000 and abs(w.wssse - want) < 3
