@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm._common import table
+from tabml.llm._common import small_batches, table
 from tabml.llm.line_dedup import drop_common_lines
 from tabml.llm.packing import pack_documents
 from tabml.llm.quality import keep_good
@@ -38,14 +38,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return keep_one_of_each(docs, shingle_words=4, max_bits=4)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _recounted(redact_secrets(docs), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pack_documents(docs, tokenizer_path(), end_id=END_ID, capacity=SEQUENCE_TOKENS).drop("ids")
 
 

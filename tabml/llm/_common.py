@@ -64,5 +64,17 @@ def text_key(c: Column) -> Column:
     return F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b"))
 
 
+#: Whole texts travel to Python workers in Arrow batches of at most so many rows and bytes: Spark's defaults (10,000 rows,
+#: 64 MB) held in the JVM and in each worker leave little room on small executors.
+ARROW_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set ``ARROW_BATCHES`` for the session; the queries and the pipeline do, operators leave the session alone."""
+    for key, value in ARROW_BATCHES.items():
+        spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -54,7 +54,7 @@ class WordIds(dict):
     has ``limit`` entries it becomes the old one; entries used again move on, so memory is bounded.
     """
 
-    def __init__(self, tokenizer, limit: int = 500_000) -> None:
+    def __init__(self, tokenizer, limit: int = 200_000) -> None:
         super().__init__()
         self.tokenizer, self.merges, self.limit = tokenizer, tokenizer.model.tokenize, limit
         self.old: dict[str, bytes] = {}
