@@ -220,6 +220,7 @@ MEDICAL = JobSpec(
                              output="features_class"),
                  "smoker", "logistic", binary=True, reports=("auc", "class_balance", "contingency", "fit_status")),
     ],
+    profile_cols=("c_acctbal", "c_mktsegment"),
 )
 
 DOCLABELS_CLF = JobSpec(
@@ -498,3 +499,46 @@ def _register_whole(job: JobSpec) -> None:
 for _job in JOBS:
     if len(_job.tasks) > 1:
         _register_whole(_job)
+
+
+# --- whole analyses: the parts with a closed form, taken from the whole run -------------------------------------------
+def _profile_sql(job: str, source: str, numeric: dict[str, str], text: dict[str, str], top: tuple[str, int, str] | None = None) -> str:
+    """Job-level reports on a cleaned source: ``numeric`` and ``text`` name the columns' expressions."""
+    rows = [f"SELECT '{stat}_{c}' AS metric, CAST({f}({e}) AS DOUBLE) AS value FROM src"
+            for c, e in numeric.items()
+            for stat, f in (("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"))]
+    rows += [f"SELECT '{stat}_{c}' AS metric, CAST(count({d}{e}) AS DOUBLE) AS value FROM src"
+             for c, e in text.items() for stat, d in (("count", ""), ("distinct", "DISTINCT "))]
+    if top:
+        col, n, key = top
+        rows.append(f"SELECT 'top' || row_number() OVER (ORDER BY {col} DESC, {key}) || '_{col}_' || {key} AS metric, {col} AS value FROM src ORDER BY {col} DESC, {key} LIMIT {n}")
+    body = "\nUNION ALL ".join(f"({q})" for q in rows)
+    return f"WITH src AS (SELECT * FROM {source}) SELECT '{job}' AS job, 'source' AS task, 'all' AS split, metric, {_sig_sql('value')} AS value FROM ({body})"
+
+
+_EVENT_NUMBERS = {"user_id": "x1", "duration_sec": "duration_sec", "hour": "x2"}
+_EVENT_TEXT = {"is_click": "CASE WHEN event_type = 'click' THEN 'click' ELSE 'other' END"}
+_WHOLE = {
+    "bike": ("bike_reg", _bike_reg_sql, _profile_sql("bike", f"({_EVENTS_CLEAN_SQL})", _EVENT_NUMBERS, _EVENT_TEXT)),
+    "bike2": ("bike2_reg", _bike2_reg_sql, _profile_sql("bike2", f"({_EVENTS_CLEAN_SQL} AND duration_sec <= 3600)", _EVENT_NUMBERS, _EVENT_TEXT)),
+    "medical": ("medical_reg", _medical_reg_sql, _profile_sql("medical", "customer", {"c_acctbal": "c_acctbal"}, {"c_mktsegment": "c_mktsegment"})),
+    "youtube": (
+        "youtube_reg", _youtube_reg_sql,
+        _profile_sql("youtube", f"(SELECT *, views / subscribers AS views_per_subscriber FROM {_CHANNEL_SQL})",
+                     {c: c for c in ("subscribers", "views", "views_per_subscriber")}, {"country": "country"}, ("subscribers", 10, "c_custkey")),
+    ),
+}
+
+
+def _register_fixed(name: str, task: str, task_sql: str, source_sql: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        whole = run_job(spark, JOB_BY_NAME[name], sf_dir, digits=DIGITS)
+        return whole.filter(F.col("task").isin("source", task))
+
+    run.__name__ = f"job_{name}_all_fixed"
+    run.__doc__ = f"Analysis {name} run whole: its source reports and least-squares task."
+    query(f"job_{name}_all_fixed", sql=f"SELECT * FROM ({task_sql}) UNION ALL SELECT * FROM ({source_sql})", kind="C")(run)
+
+
+for _name, (_task, _sql, _source_sql) in _WHOLE.items():
+    _register_fixed(_name, _task, _sql(), _source_sql)

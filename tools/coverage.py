@@ -16,7 +16,7 @@ ROWS = [
     ("A03", "preview n rows", ["preview_n"], "relational.ordered_limit"),
     ("A04", "schema report", ["schema_report"], "relational.schema_rows"),
     ("A05", "scalar stats kept as a one-row frame", ["global_stats"], "relational.global_stats"),
-    ("A06", "collect top-k keys (re-aimed)", ["topk_semi_filter"], "relational.top_k_semi_filter"),
+    ("A06", "collect top-k keys (re-aimed)", ["topk_semi_filter", "topk_semi_filter_nulls"], "relational.top_k_semi_filter"),
     ("A07", "frame to pandas (re-aimed)", ["eval_mape"], "evaluate.regression_metrics"),
     ("A08", "cache a reused frame", ["cached_reuse", "job_cars_all"], "jobs.run_job (persist / checkpoint)"),
     ("A09", "session injected, never stopped", ["(entry)"], "__spark_entry__.entry, session.local_session"),
@@ -28,7 +28,7 @@ ROWS = [
     ("B06", "not-null predicate chain", ["filter_not_null"], "relational.not_null"),
     ("B07", "range predicates", ["filter_range"], "relational.between"),
     ("B08", "isin literal list", ["filter_isin"], "Column.isin"),
-    ("B09", "isin computed list", ["topk_semi_filter"], "relational.top_k_semi_filter"),
+    ("B09", "isin computed list", ["topk_semi_filter", "topk_semi_filter_nulls"], "relational.top_k_semi_filter"),
     ("B10", "SQL-string predicate", ["filter_sql_string"], "DataFrame.filter(str)"),
     ("B11", "column-to-column equality", ["filter_col_equal"], "DataFrame.filter"),
     ("B12", "regex predicate", ["filter_rlike"], "Column.rlike"),
@@ -39,21 +39,21 @@ ROWS = [
     ("D04", "global mean / stddev / min / max", ["global_stats"], "relational.global_stats"),
     ("D05", "group means", ["group_means"], "relational.group_means"),
     ("D06", "group by computed band", ["banded_error_report"], "evaluate.banded_errors, functions.band"),
-    ("D07", "describe (typed long form)", ["describe_numeric", "describe_string"], "relational.describe_numeric"),
+    ("D07", "describe (typed long form)", ["describe_numeric", "describe_string", "describe_mixed"], "relational.describe_numeric"),
     ("D08", "mean of an expression", ["banded_error_report"], "evaluate.banded_errors"),
     ("D09", "sum over mapped rows (re-aimed)", ["eval_wssse"], "evaluate.wssse"),
     ("F01", "sort by one key", ["sort_single"], "DataFrame.orderBy"),
     ("F02", "sort by two keys", ["sort_multi"], "DataFrame.orderBy"),
     ("F03", "sort descending, tie by key", ["topk_groups"], "relational.top_k_groups"),
     ("F04", "limit rows (ordered)", ["limit_rows"], "relational.ordered_limit"),
-    ("F05", "top-k groups as a filter", ["topk_semi_filter"], "relational.top_k_semi_filter"),
+    ("F05", "top-k groups as a filter", ["topk_semi_filter", "topk_semi_filter_nulls"], "relational.top_k_semi_filter"),
     ("F06", "top-n report", ["topn_report"], "relational.top_k_groups"),
     ("F07", "random row sample (repeatable)", ["random_sample_n"], "relational.hash_sample"),
-    ("F08", "train/test split", ["split_hash_counts", "split_random"], "split.hash_split, split.random_split"),
+    ("F08", "train/test split", ["split_hash_counts", "split_small_holdout", "split_random"], "split.hash_split, split.random_split"),
     ("H01-H05", "duration text -> seconds", ["parse_duration", "duration_parse_report"], "functions.parse_duration"),
     ("H06-H08", "hour / dayofweek / month", ["time_features"], "functions.time_parts"),
     ("H09-H10", "safe numeric cast", ["safe_numeric_cast"], "functions.safe_double"),
-    ("H11", "multi-branch banding", ["age_band"], "functions.band"),
+    ("H11", "multi-branch banding", ["age_band", "band_fractional"], "functions.band"),
     ("H12", "arithmetic, ratio", ["ratio_feature"], "functions.ratio"),
     ("H13", "abs", ["abs_error_rows"], "F.abs"),
     ("H14", "rand (re-aimed)", ["random_sample_n"], "relational.hash_sample"),
@@ -111,7 +111,8 @@ ROWS = [
     ("K15", "metric report to a sink", ["metrics_report"], "evaluate.to_long, sources.write_metrics"),
     ("K16", "class balance", ["class_balance"], "DataFrame.groupBy"),
     ("K17", "choose metrics, one pass", ["eval_metric_list", "eval_builtin_evaluators"], "evaluate.*"),
-    ("2.14", "20 composite analyses", ["job_<task> x 20", "job_<name>_all x 6"], "plans.jobs / job_queries"),
+    ("2.14", "20 composite analyses", ["job_<task> x 20", "job_<name>_all x 7", "job_<task>_exact x 15", "job_<name>_all_fixed x 4"],
+     "plans.jobs / job_queries / exact_job_queries"),
 ]
 
 
