@@ -47,7 +47,7 @@ BOILERPLATE_NAME = frozenset(
     respond reply replies related recommended recommendations share sharing social pagination pager widget widgets toolbar skip
     """.split()
 )
-ARTICLE_NAME = frozenset("article post entry story".split())
+MAIN_ID = frozenset("main content main-content maincontent main_content".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -55,6 +55,8 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
+NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 WORD = re.compile(r"[^\W\d_]+")
 SPACE = re.compile(r"\s+")
@@ -77,16 +79,17 @@ def _kind(name: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
     if name in BOILERPLATE and not (name == "header" and in_article):
         return True, False
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)} if "=" in attrs else {}
-    if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in BOILERPLATE_ROLE:
+    if HIDDEN.search(attrs) or NOT_SHOWN.search(found.get("style", "")) or found.get("aria-hidden") == "true" or found.get("role", "").lower() in BOILERPLATE_ROLE:
         return True, False
     if name not in ("html", "body"):
-        words = {w.lower() for k in ("class", "id") for w in NAME_WORD.findall(found.get(k, ""))}
+        named = f"{found.get('class', '')} {found.get('id', '')}"
+        words = {w.lower() for w in NAME_WORD.findall(named)} | {w.replace("-", "").replace("_", "") for w in named.lower().split()}
         if name in ARTICLE or found.get("role") in ("main", "article"):
             return bool(words & {"comment", "comments", "ad", "ads", "advert", "related"}), True
         if words & BOILERPLATE_NAME and not (in_article and words <= {"header"}):
             return True, False
-        if words & ARTICLE_NAME and name in ("div", "section"):
-            return False, bool(words & {"article", "story"}) or {"post", "content"} <= words or {"entry", "content"} <= words
+        if name in ("div", "section", "td"):
+            return False, bool(words & {"article", "story"}) or {"post", "content"} <= words or {"entry", "content"} <= words or found.get("id", "").lower() in MAIN_ID
     return False, False
 
 
@@ -114,6 +117,7 @@ def blocks_of(page: str) -> list[Block]:
             if whole:
                 _, bad, article = stack[-1] if stack else ("", False, False)
                 listed = any(s[0] in ("ul", "ol", "menu") for s in stack[-4:])
+                bad |= open_names["header"] > 0 and not heading  # of an article's own header, the headings
                 blocks.append(Block(whole, link_chars, links, heading, bad, article, listed))
             parts.clear()
         link_chars, links = 0, 1 if link_from is not None else 0

@@ -22,6 +22,13 @@ def test_article_without_boilerplate():
     assert main_text(PAGE).split("\n") == ["A title & more", "Short.", LONG, "After the break é", "a point of the list", "cell one", "cell two"]
 
 
+def test_names_that_mark_boilerplate_or_content():
+    for attrs in ('class="sideBar"', "id=side-bar", 'class="x user-comments"', 'class="cookieNotice"', "hidden", 'style="display: none"', 'role="navigation"', 'class="post__related"', 'aria-hidden="true"'):
+        assert main_text(f"<main><p>kept</p><div {attrs}><p>{LONG}</p></div></main>") == "kept", attrs
+    assert main_text("<article><header><h1>Title</h1><p>By a writer</p></header><p>Text</p></article>") == "Title\nText"
+    assert main_text('<div id="content"><p>a | b</p></div><div id="footer">all rights</div>') == "a | b"
+
+
 def test_pages_without_a_container_use_the_two_passes():
     page = f"<body><div><a href=x>One</a> | <a href=y>Two</a> | <a href=z>Three</a></div><h2>Heading</h2><p>{LONG}</p><p>Yes.</p><p>{LONG}</p><p>End note</p><div><a href=q>Links of the foot</a></div></body>"
     blocks = blocks_of(page)
