@@ -76,7 +76,7 @@ def key_hash(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit(1), key).alias("b"))
 
 
-def drop_common_lines(df: DataFrame, text_col: str = "text", min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 4) -> DataFrame:
+def drop_common_lines(df: DataFrame, text_col: str = "text", min_docs: int = 10, min_chars: int = 1, batches: int = 6, fanout: int = 3) -> DataFrame:
     """All rows of ``df`` with the text's common lines dropped; ``n_lines`` (before) and ``n_dropped`` are added.
 
     Texts are split at ``\\n``.  A line's key is the line stripped of ASCII white space at both ends, A-Z lower-cased;
