@@ -259,20 +259,22 @@ def pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     """``pieces`` (any columns with a ``length`` of 1 to ``capacity``) with ``sequence_id`` and ``offset`` added.
 
     Every piece is placed once; sequences are gapless from 0 and hold at most ``capacity``.  Equal lengths are
-    interchangeable, so rows repeated whole need no identity.  ``pieces`` is read three times: pass a written table.
+    interchangeable, so rows repeated whole need no identity.  Earlier ``sequence_id`` and ``offset`` columns are
+    replaced.  ``pieces`` is read three times: pass a written table.
     """
     spark = pieces.sparkSession
+    pieces = pieces.drop("sequence_id", "offset")
     lengths = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``capacity`` rows
     if any(not 1 <= n <= capacity for n in lengths):
         raise ValueError(f"piece lengths must be 1 to {capacity}")
     places = spark.sparkContext.broadcast(slots(solve(lengths, capacity)))  # size bounded by the plan
     salts = max(256, sum(lengths.values()) // 1_000_000)
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*pieces.columns), F.lit(salts)))
-    sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = checkpointed(sizes.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")))
-    ranked = salted.withColumn("_row", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*pieces.columns)))
-    ranked = ranked.join(firsts, ["length", "_salt"]).select(*[col(c) for c in pieces.columns], (F.col("_first") + F.col("_row") - 1).alias("_rank"))
+    salted = pieces.withColumn("_pack_salt", F.pmod(F.xxhash64(*pieces.columns), F.lit(salts)))
+    sizes = salted.groupBy("length", "_pack_salt").agg(F.count(F.lit(1)).alias("_pack_n"))
+    before = Window.partitionBy("length").orderBy("_pack_salt").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = checkpointed(sizes.select("length", "_pack_salt", F.coalesce(F.sum("_pack_n").over(before), F.lit(0)).alias("_pack_first")))
+    ranked = salted.withColumn("_pack_row", F.row_number().over(Window.partitionBy("length", "_pack_salt").orderBy(*pieces.columns)))
+    ranked = ranked.join(firsts, ["length", "_pack_salt"]).select(*[col(c) for c in pieces.columns], (F.col("_pack_first") + F.col("_pack_row") - 1).alias("_pack_rank"))
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     given, names = pieces.columns, schema.names
@@ -280,7 +282,7 @@ def pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, first, offset, rank0 = places.value
         for batch in batches:
-            rank = batch.column("_rank").to_numpy()
+            rank = batch.column("_pack_rank").to_numpy()
             at = np.searchsorted(key, batch.column("length").to_numpy() << RANK_BITS | rank, side="right") - 1
             kept = [batch.column(c) for c in given]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(first[at] + rank - rank0[at]), pa.array(offset[at])], names=names)
