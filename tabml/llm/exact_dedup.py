@@ -157,7 +157,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = contents.mapInArrow(lambda b: global_classes(b, table_bytes), "local_class bigint, class_id bigint")
     placed = written(members.select("rid", "id", "n_chars", "digest", "local_class").join(classes, "local_class").drop("local_class"), "classes")
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("rid").alias("rid")))
-    groups = placed.groupBy("class_id").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    # written, so that both sides of the join are plain shuffles, whose hot classes adaptive execution splits
+    groups = written(placed.groupBy("class_id").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
     return placed.join(groups, "class_id").select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.rid")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
