@@ -47,15 +47,20 @@ BOILERPLATE_NAME = frozenset(
     respond reply replies related recommended recommendations share sharing social pagination pager widget widgets toolbar skip
     """.split()
 )
+#: Of these, what names other texts than the page's own, also where they are articles.
+OTHER_NAME = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments commentlist disqus respond reply replies related recommended recommendations".split())
+#: A class with one of these tells the state of a container ("no-sidebar", "has-comments"), not what it is.
+STATE = frozenset("no not has have with without free".split())
 MAIN_ID = frozenset("main content main-content maincontent main_content".split())
+NONE, ARTICLE_PART, MAIN_PART = range(3)  # what of the page's content an element is
+LOOSE, NAMED, OTHER = range(3)  # a boilerplate word within a longer name, as the whole name, a name of other texts
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -67,36 +72,73 @@ LOW_STOPS, HIGH_STOPS = 0.15, 0.30
 
 
 class Block:
-    __slots__ = ("text", "link_chars", "links", "heading", "bad", "article", "listed", "good")
+    __slots__ = ("text", "link_chars", "links", "heading", "bad", "mark", "article", "listed", "good")
 
-    def __init__(self, text: str, link_chars: int, links: int, heading: bool, bad: bool, article: bool, listed: bool) -> None:
+    def __init__(self, text: str, link_chars: int, links: int, heading: bool, bad: bool, mark: Mark | None, article: bool, listed: bool) -> None:
         self.text, self.link_chars, self.links, self.heading = text, link_chars, links, heading
-        self.bad, self.article, self.listed, self.good = bad, article, listed, None
-
-
-def _kind(name: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """(boilerplate, article) of an element from its name, role, class and id."""
-    if name in BOILERPLATE and not (name == "header" and in_article):
-        return True, False
-    found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)} if "=" in attrs else {}
-    if HIDDEN.search(attrs) or NOT_SHOWN.search(found.get("style", "")) or found.get("aria-hidden") == "true" or found.get("role", "").lower() in BOILERPLATE_ROLE:
-        return True, False
-    if name not in ("html", "body"):
-        named = f"{found.get('class', '')} {found.get('id', '')}"
-        words = {w.lower() for w in NAME_WORD.findall(named)} | {w.replace("-", "").replace("_", "") for w in named.lower().split()}
-        if name in ARTICLE or found.get("role") in ("main", "article"):
-            return bool(words & {"comment", "comments", "ad", "ads", "advert", "related"}), True
-        if words & BOILERPLATE_NAME and not (in_article and words <= {"header"}):
-            return True, False
+        self.bad, self.mark, self.article, self.listed, self.good = bad, mark, article, listed, None
+
+
+class Mark:
+    """A container that its class or id calls boilerplate; an article or main inside may clear it."""
+
+    __slots__ = ("level", "parent", "named", "mains", "holds", "clear", "bad")
+
+    def __init__(self, level: int, parent: Mark | None, mains: int) -> None:
+        self.level, self.parent, self.mains = level, parent, mains
+        self.named = level != LOOSE or parent is not None and parent.named
+        self.holds, self.clear, self.bad = NONE, False, True
+
+
+def _names(named: str) -> tuple[set[str], int | None]:
+    """(words of a class and id, how its boilerplate words name the element; None without)."""
+    words, level = set(), None
+    for name in named.split():
+        own = {w.lower() for w in NAME_WORD.findall(name)}
+        if own & STATE:
+            continue
+        whole = name.lower().replace("-", "").replace("_", "")
+        found = (own | {whole}) & BOILERPLATE_NAME
+        if found:
+            exact = whole in found or own <= BOILERPLATE_NAME or all(w in BOILERPLATE_NAME or w.isdigit() for w in own)
+            level = max(level or LOOSE, OTHER if found & OTHER_NAME else NAMED if exact else LOOSE)
+        words |= own | {whole}
+    return words, level
+
+
+def _kind(name: str, attrs: str, in_article: bool) -> tuple[bool, int | None, int]:
+    """(boilerplate, level of a name that says so, part of the content) of an element from its name, role, class and id."""
+    own_header = name == "header" and in_article
+    if name in BOILERPLATE and not own_header:
+        return True, None, NONE
+    found = {}
+    for k, a, b, c in ATTRIBUTE.findall(attrs):
+        found.setdefault(k.lower(), a or b or c)
+    if "hidden" in found or NOT_SHOWN.search(found.get("style", "")) or found.get("aria-hidden") == "true" or found.get("role", "").lower() in BOILERPLATE_ROLE:
+        return True, None, NONE
+    if name not in ("html", "body") and not own_header:
+        words, level = _names(f"{found.get('class', '')} {found.get('id', '')}")
+        if name == "main" or found.get("role") == "main":
+            return False, None, MAIN_PART
+        if name == "article" or found.get("role") == "article":
+            return bool(words & {"comment", "comments", "ad", "ads", "advert", "related"}), None, ARTICLE_PART
+        if level is not None and not (in_article and words & BOILERPLATE_NAME <= {"header"}):
+            return False, level, NONE
         if name in ("div", "section", "td"):
-            return False, bool(words & {"article", "story"}) or {"post", "content"} <= words or {"entry", "content"} <= words or found.get("id", "").lower() in MAIN_ID
-    return False, False
+            named = words & {"article", "story"} or {"post", "content"} <= words or {"entry", "content"} <= words or found.get("id", "").lower() in MAIN_ID
+            return False, None, ARTICLE_PART if named else NONE
+    return False, None, NONE
+
+
+NO_ELEMENT = ("", False, None, False, 0)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order with what pass 1 needs."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, boilerplate, article, each with what encloses it
+    stack: list[tuple[str, bool, Mark | None, bool, int]] = []  # open elements: name, boilerplate, mark, article, mains, each with what encloses it
+    marks: list[Mark] = []
+    outside = 0  # article containers outside of any container with a boilerplate name
     parts: list[str] = []
     link_from, link_chars, links, heading = None, 0, 0, False
     open_names: Counter[str] = Counter()
@@ -115,10 +157,10 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             whole = SPACE.sub(" ", "".join(parts)).strip()
             if whole:
-                _, bad, article = stack[-1] if stack else ("", False, False)
+                _, bad, mark, article, _ = stack[-1] if stack else NO_ELEMENT
                 listed = any(s[0] in ("ul", "ol", "menu") for s in stack[-4:])
                 bad |= open_names["header"] > 0 and not heading  # of an article's own header, the headings
-                blocks.append(Block(whole, link_chars, links, heading, bad, article, listed))
+                blocks.append(Block(whole, link_chars, links, heading, bad, mark, article, listed))
             parts.clear()
         link_chars, links = 0, 1 if link_from is not None else 0
 
@@ -169,14 +211,45 @@ def blocks_of(page: str) -> list[Block]:
         if name in ARTICLE or name == "body":  # an unclosed element before the content does not swallow it
             while stack and stack[-1][0] in ("p", "head", "a", "b", "i", "span", "li"):
                 open_names[stack.pop()[0]] -= 1
-        bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        own_bad, own_article = _kind(name, m["attrs"], article)
-        stack.append((name, bad or own_bad, article or own_article))
+        _, bad, mark, article, mains = stack[-1] if stack else NO_ELEMENT
+        own_bad, level, part = _kind(name, m["attrs"], article)
+        if level is not None:
+            mark = Mark(level, mark, mains)
+            marks.append(mark)
+        if part and not own_bad and not bad:
+            if mark is not None:
+                mark.holds = max(mark.holds, part)
+            if mark is None or not mark.named:
+                outside += 1
+                mains += part == MAIN_PART
+        stack.append((name, bad or own_bad, mark, article or part != NONE, mains))
         open_names[name] += 1
     flush()
+    _clear(blocks, marks, outside)
     return blocks
 
 
+def _clear(blocks: list[Block], marks: list[Mark], outside: int) -> None:
+    """Names do not count against a container around the page's article.
+
+    A ``main`` clears every container around it, an article those with a boilerplate word within a longer name.  An
+    article clears one named by such words alone if no other article is outside, and one that names other texts if the
+    page has nothing else.
+    """
+    for mark in reversed(marks):  # the inner ones first
+        if mark.parent is not None:
+            mark.parent.holds = max(mark.parent.holds, mark.holds)
+        mark.clear = mark.holds == MAIN_PART or mark.holds != NONE and (mark.level == LOOSE or mark.level == NAMED and outside == mark.mains)
+    for last in (False, True):
+        for mark in marks:
+            mark.clear |= last and mark.holds != NONE
+            mark.bad = not mark.clear or mark.parent is not None and mark.parent.bad
+        if any(not b.bad and (b.mark is None or not b.mark.bad) for b in blocks):
+            break
+    for b in blocks:
+        b.bad |= b.mark is not None and b.mark.bad
+
+
 def _density(text: str) -> float:
     words = WORD.findall(text.lower())
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0

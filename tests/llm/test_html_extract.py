@@ -29,6 +29,31 @@ def test_names_that_mark_boilerplate_or_content():
     assert main_text('<div id="content"><p>a | b</p></div><div id="footer">all rights</div>') == "a | b"
 
 
+def test_names_around_the_article_do_not_lose_it():
+    story = f"<h1>Title</h1><p>{LONG}</p>"
+    for attrs in ('class="content-sidebar-wrap"', 'class="has-sidebar"', 'id="page" class="no-sidebar"', 'class="site-header-fixed social-on"', 'class="widget"', 'class="notice"', 'id="comments-page"', 'class="related"'):
+        for part in ("main", "article"):
+            assert main_text(f"<body><div {attrs}><{part}>{story}</{part}></div><footer>x</footer></body>") == f"Title\n{LONG}", (attrs, part)
+    assert main_text(f"<main><div class='content-sidebar-wrap'><article>{story}</article></div></main>") == f"Title\n{LONG}"
+    assert main_text(f"<div class='content-sidebar-wrap'><article>{story}</article></div><article><p>More</p></article>") == f"Title\n{LONG}\nMore"
+    assert main_text(f"<div class='has-sidebar'><p>{LONG}</p></div>") == LONG
+    for header in ('<header class="entry-header">', '<header class="page-header masthead" id="top-banner">', '<div class="entry-header">'):
+        assert main_text(f"<article>{header}<h1>Title</h1></{header[1:].split()[0]}><p>{LONG}</p></article>") == f"Title\n{LONG}", header
+    for attrs in ('data-title="The hidden cost"', 'class="x hidden md:block"', "title='is hidden ='"):
+        assert main_text(f"<article {attrs}>{story}</article>") == f"Title\n{LONG}", attrs
+    for attrs in ("hidden", "class=x hidden=''", 'data-a="b"hidden', "HIDDEN/"):
+        assert main_text(f"<article {attrs}>{story}</article><p>{LONG}</p>") == LONG, attrs
+
+
+def test_articles_of_other_texts_stay_out():
+    teaser = f"<article class='post'><h3>Other</h3><p>{LONG}</p></article>"
+    for attrs in ('class="sidebar"', 'id="sidebar-1"', 'class="related-posts"', 'id="comments"', 'class="recommended"', 'class="widget"'):
+        assert main_text(f"<article><p>kept</p></article><div {attrs}>{teaser}</div>") == "kept", attrs
+        assert main_text(f"<main><article><p>kept</p></article><div {attrs}>{teaser}</div></main>") == "kept", attrs
+    assert main_text(f"<div class='content-sidebar-wrap'><main><p>kept</p></main><div class='sidebar'>{teaser}</div></div>") == "kept"
+    assert main_text(f"<p>{LONG}</p><nav>{teaser}</nav><div class='related'>{teaser}</div>") == LONG
+
+
 def test_pages_without_a_container_use_the_two_passes():
     page = f"<body><div><a href=x>One</a> | <a href=y>Two</a> | <a href=z>Three</a></div><h2>Heading</h2><p>{LONG}</p><p>Yes.</p><p>{LONG}</p><p>End note</p><div><a href=q>Links of the foot</a></div></body>"
     blocks = blocks_of(page)
