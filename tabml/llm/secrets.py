@@ -1,8 +1,9 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Each text is scanned once (Arrow batches, nothing of it is shuffled); its candidates are kept with a hash of the secret.
-Candidate hashes are then aggregated over the corpus by distinct owners and repositories: a value that many owners have
-is a widely copied example, one that few owners have and that looks random is a live-looking credential.
+Candidate hashes are then aggregated over the corpus by distinct owners and repositories: a value that several owners have
+in more than a few repositories, or that very many repositories have under whatever owners, is a widely copied example; any
+other that looks random is a live-looking credential.
 
 Base spans (assignments, access keys, hexadecimal keys) are always reported.  The method adds ``token`` spans (mixed
 random-looking strings) and ``pem`` spans (private key blocks) where the ownership says they are live.
@@ -88,45 +89,45 @@ def _scanned(df: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col
 def ownership(scanned: DataFrame) -> DataFrame:
     """(hash, owners, repos): distinct owners and repositories of each candidate over the corpus."""
     held = scanned.select("owner", "repo", F.explode("found.hash").alias("hash")).distinct()
-    return held.groupBy("hash").agg(F.count_distinct("owner").alias("owners"), F.count(F.lit(1)).alias("repos"))
+    return held.groupBy("hash").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"))
 
 
-def _spans(scanned: DataFrame, max_owners: int) -> DataFrame:
+def _spans(scanned: DataFrame, max_owners: int, max_repos: int, many_repos: int) -> DataFrame:
     """(a, b, spans): by text, the sorted spans that hold, each with ``label``."""
     held = scanned.select("a", "b", F.explode("found").alias("c")).distinct()
     common = written(ownership(scanned), "owners")
     joined = held.select("a", "b", "c", F.col("c.hash").alias("hash")).join(common, "hash")
-    copied = F.col("owners") > max_owners
+    copied = (F.col("owners") > max_owners) & (F.col("repos") > max_repos) | (F.col("repos") > many_repos)
     label = F.when(copied, "example").when(F.col("c.random") | (F.col("c.kind") >= 3), "live").otherwise("weak")
     stays = (F.col("c.kind") < 3) | ~copied
     spans = F.sort_array(F.collect_list(F.struct("c.start", "c.kind", "c.stop", label.alias("label"))))
     return joined.filter(stays).groupBy("a", "b").agg(spans.alias("spans"))
 
 
-def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2) -> DataFrame:
+def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, max_repos: int = 4, many_repos: int = 10) -> DataFrame:
     """One row per row of ``df``: id and ``spans``, an array of (start, kind, stop, label) sorted by start, then kind.
 
     ``kind`` indexes ``KINDS``; offsets are code points, the end exclusive; the span is the whole match.  ``label`` is
-    ``example`` where more than ``max_owners`` owners hold the same secret, ``live`` where fewer do and it looks random,
-    else ``weak``.  Method spans that are examples are left out; base spans always stay.  Null and empty texts have no
+    ``example`` where more than ``max_owners`` owners hold the same secret in more than ``max_repos`` repositories, or
+    more than ``many_repos`` repositories do under any owners; else ``live`` where it looks random, else ``weak``.  Method spans that are examples are left out; base spans always stay.  Null and empty texts have no
     spans; a null owner or repository is one of its own; repeated rows are reported each; an empty table gives no row;
     other columns are not looked at.
     """
     scanned = _scanned(df, id_col, text_col, owner_col, repo_col)
-    spans = written(_spans(scanned, max_owners), "spans")
+    spans = written(_spans(scanned, max_owners, max_repos, many_repos), "spans")
     joined = scanned.join(spans, ["a", "b"], "left")
     none = F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,label:string>>")
     return joined.select(F.col("id").alias(id_col), F.coalesce("spans", none).alias("spans"))
 
 
-def redact_secrets(df: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, mask: str = "[SECRET]") -> DataFrame:
+def redact_secrets(df: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, mask: str = "[SECRET]", max_repos: int = 4, many_repos: int = 10) -> DataFrame:
     """All rows and columns of ``df``; in the text every span that holds is replaced by ``mask`` (overlapping spans by one).
 
     Widely copied examples among the base spans are masked too; a null text stays null.
     """
     scanned = _scanned(df, repo_col, text_col, owner_col, repo_col)
     edges = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s.start, s.stop)), ",")
-    spans = written(_spans(scanned, max_owners).select("a", "b", edges.alias("edges")), "spans")
+    spans = written(_spans(scanned, max_owners, max_repos, many_repos).select("a", "b", edges.alias("edges")), "spans")
     keyed = pack(df, text=text_col)
     key = text_key(empty_if_null(F.col("text")))
     joined = keyed.select("row", "text", key["a"].alias("a"), key["b"].alias("b")).join(spans, ["a", "b"], "left")
