@@ -1,9 +1,10 @@
 """Main text of web pages by two-pass block rules.
 
 Pass 1 decides each block by itself: boilerplate containers (navigation, headers, footers, sidebars, forms, notices,
-adverts, comments) are bad; blocks of the article container are good unless they are lists of links; elsewhere length,
-link density and stop-word density decide, and short or half-dense blocks stay open.  Pass 2 gives open blocks the label
-of the nearest decided blocks: good only if both sides, or the only side, are good; headings look forward.
+adverts, comments) are bad; blocks of the article container are good unless they are links for the most part: several
+links are bad, a single one stays open; elsewhere length, link density and stop-word density decide, and short or
+half-dense blocks stay open.  Pass 2 gives open blocks the label of the nearest decided blocks (of the article, for the
+article's): good only if both sides, or the only side, are good; headings look forward.
 
 Pages are parsed by a linear tokenizer inside Arrow batches; nothing of a page is shuffled.
 """
@@ -261,8 +262,8 @@ def decide(blocks: list[Block]) -> None:
         share = b.link_chars / len(b.text)
         if b.bad or (b.article and b.listed and b.links and share > HIGH_LINKS):
             b.good = False
-        elif b.article:
-            b.good = True
+        elif b.article:  # the container is the prior: only what is links for the most part is judged
+            b.good = True if b.heading or share <= HIGH_LINKS else False if b.links > 1 else None
         elif share > HIGH_LINKS or b.text.startswith("©"):
             b.good = False
         elif b.heading or len(b.text) < SHORT:
@@ -275,6 +276,12 @@ def decide(blocks: list[Block]) -> None:
                 b.good = True if len(b.text) > LONG and share <= LOW_LINKS else None
             else:
                 b.good = None if len(b.text) > LONG and not share else False
+    _settle([b for b in blocks if b.article and not b.bad])
+    _settle(blocks)
+
+
+def _settle(blocks: list[Block]) -> None:
+    """Pass 2: open blocks get the label of the nearest decided ones."""
     n = len(blocks)
     before, after = [None] * n, [None] * n
     for order, out in ((range(n), before), (range(n - 1, -1, -1), after)):

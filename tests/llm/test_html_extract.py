@@ -63,6 +63,16 @@ def test_pages_without_a_container_use_the_two_passes():
     assert main_text("bare text &lt;3") == "bare text <3"
 
 
+def test_links_inside_the_article_are_judged():
+    more = "<div><a href=a>One story of ours</a> | <a href=b>Another story of ours</a></div>"
+    assert main_text(f"<article><h1><a href=t>Title</a></h1><p>{LONG}</p>{more}</article>") == f"Title\n{LONG}"
+    only = "<p><a href=s>Read the source</a></p>"
+    assert main_text(f"<article><p>{LONG}</p>{only}<p>Text.</p>{only}</article><footer>x</footer>") == f"{LONG}\nRead the source\nText.\nRead the source"
+    assert main_text(f"<article><p>{LONG}</p>{only}{more}</article>") == LONG
+    linked = f"<p>{LONG} <a href=x>here</a> and <a href=y>there</a></p>"
+    assert main_text(f"<article>{linked}</article>") == f"{LONG} here and there"
+
+
 def test_broken_markup_and_edges():
     assert main_text(None) == main_text("") == main_text("<p>  </p>") == main_text("<script>x") == ""
     assert main_text("<article><p>a < b and <b>c</article>") == "a < b and c"
