@@ -2,7 +2,7 @@
 
 Each stage is written as Parquet and reread as the next one's ``docs``; all but the last return the columns of
 ``documents``.  Decisions take effect: rejected documents go, common lines go from the texts, one document of each
-near-duplicate group stays, secrets are masked, and what remains is packed.
+near-duplicate group stays, live-looking secrets are masked, and what remains is packed.
 """
 
 from __future__ import annotations

@@ -120,14 +120,16 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return joined.select(F.col("id").alias(id_col), F.coalesce("spans", none).alias("spans"))
 
 
-def redact_secrets(df: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, mask: str = "[SECRET]", max_repos: int = 4, many_repos: int = 10) -> DataFrame:
-    """All rows and columns of ``df``; in the text every span that holds is replaced by ``mask`` (overlapping spans by one).
+def redact_secrets(df: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, mask: str = "[SECRET]", max_repos: int = 4, many_repos: int = 10, labels: tuple[str, ...] = ("live",)) -> DataFrame:
+    """All rows and columns of ``df``; in the text the spans with one of ``labels`` are replaced by ``mask`` (overlapping spans by one).
 
-    Widely copied examples among the base spans are masked too; a null text stays null.
+    An access key is a credential by its form, so among ``live`` ones it counts unless it is an example; other examples
+    and weak matches stay unless their label is given.  A null text stays null.
     """
     scanned = _scanned(df, repo_col, text_col, owner_col, repo_col)
-    edges = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s.start, s.stop)), ",")
-    spans = written(_spans(scanned, max_owners, max_repos, many_repos).select("a", "b", edges.alias("edges")), "spans")
+    wanted = F.filter("spans", lambda s: s.label.isin(*labels) | F.lit("live" in labels) & (s.kind == KINDS.index("access")) & (s.label == "weak"))
+    edges = F.array_join(F.transform(wanted, lambda s: F.concat_ws(":", s.start, s.stop)), ",")
+    spans = written(_spans(scanned, max_owners, max_repos, many_repos).select("a", "b", edges.alias("edges")).filter("edges <> ''"), "spans")
     keyed = pack(df, text=text_col)
     key = text_key(empty_if_null(F.col("text")))
     joined = keyed.select("row", "text", key["a"].alias("a"), key["b"].alias("b")).join(spans, ["a", "b"], "left")
