@@ -12,8 +12,10 @@ alone, so documents are joined to their lost lines by content, and no row number
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,24 +23,57 @@ from tabml.llm._common import ASCII_SPACE, ascii_lower, col, empty_if_null, pack
 from tabml.session import scratch_dir
 
 RUN = "a bigint, b bigint, n bigint"
+MANIFEST = "written bigint, state string"
 
 
 class LineRuns:
-    """Runs of (a, b, n): line hash and number of documents, in disjoint batches of documents."""
+    """Runs of (a, b, n): line hash and number of documents, in disjoint batches of documents.
+
+    After each batch a manifest names the levels and settled runs; an instance on the same folder goes on from the last
+    one.  One instance at a time may add to a folder.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, min_docs: int = 10, fanout: int = 4) -> None:
         self.spark, self.folder, self.min_docs, self.fanout = spark, folder or scratch_dir(spark, "runs"), min_docs, fanout
         self.levels: list[list[str]] = [[]]
         self.settled: list[str] = []
         self.written = 0
+        if folder:
+            self._load()
+
+    def _load(self) -> None:
+        """The state of the latest manifest of the folder, if there is one."""
+        try:
+            found = self.spark.read.schema(MANIFEST).json(f"{self.folder}/manifest-*")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return
+        rows = [r for (r,) in found.groupBy().agg(F.max_by("state", "written")).collect() if r]
+        if rows:
+            state = json.loads(rows[0])
+            if state["min_docs"] != self.min_docs:
+                raise ValueError(f"the runs in {self.folder} were settled at {state['min_docs']} documents, not {self.min_docs}")
+            self.written = state["written"]
+            self.settled = [self._path(k) for k in state["settled"]]
+            self.levels = [[self._path(k) for k in level] for level in state["levels"]]
+
+    def _save(self) -> None:
+        number = lambda path: int(path.rpartition("-")[2])
+        state = {"min_docs": self.min_docs, "written": self.written, "settled": [*map(number, self.settled)], "levels": [[*map(number, level)] for level in self.levels]}
+        row = self.spark.range(1).select(F.lit(self.written).cast("bigint").alias("written"), F.lit(json.dumps(state)).alias("state"))
+        row.coalesce(1).write.mode("overwrite").json(f"{self.folder}/manifest-{self.written:05d}")
+
+    def _path(self, number: int) -> str:
+        return f"{self.folder}/run-{number:05d}"
 
     def _read(self, paths: list[str]) -> DataFrame:
         return self.spark.read.schema(RUN).parquet(*paths) if paths else self.spark.createDataFrame([], RUN)
 
     def _write(self, run: DataFrame) -> str:
-        path = f"{self.folder}/run-{self.written:05d}"
+        path = self._path(self.written)
         self.written += 1
-        run.repartitionByRange("a", "b").sortWithinPartitions("a", "b").write.option("compression", "zstd").parquet(path)
+        run.repartitionByRange("a", "b").sortWithinPartitions("a", "b").write.mode("overwrite").option("compression", "zstd").parquet(path)  # over what a broken batch left
         return path
 
     def add(self, lines: DataFrame) -> None:
@@ -49,6 +84,7 @@ class LineRuns:
         while len(self.levels[level]) >= self.fanout:
             self._compact(level)
             level += 1
+        self._save()
 
     def _compact(self, level: int) -> None:
         if level + 1 == len(self.levels):

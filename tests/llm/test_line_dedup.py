@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tabml.llm.line_dedup import LineRuns, drop_common_lines
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -60,6 +62,17 @@ def test_runs_compact_over_many_batches(spark):
     assert [tuple(r) for r in runs.common().collect()] == [(1, 1)]
 
 
+def test_another_instance_goes_on_from_the_runs(spark, tmp_path):
+    batch = lambda *keys: spark.createDataFrame([(k, -k) for k in keys], "a bigint, b bigint")
+    folder = f"{tmp_path}/runs"
+    for keys in ((1, 2), (1, 3), (1, 2), (2, 4), (4, 4)):  # a new instance for each batch
+        LineRuns(spark, folder, min_docs=3, fanout=2).add(batch(*keys))
+    last = LineRuns(spark, folder, min_docs=3, fanout=2)
+    assert {tuple(r) for r in last.common().collect()} == {(1, -1), (2, -2), (4, -4)} and last.settled
+    with pytest.raises(ValueError):
+        LineRuns(spark, folder, min_docs=4)
+
+
 def test_no_python_in_the_plan(spark, docs_of):
     plan = drop_common_lines(docs_of(["a\nb"] * 3))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
