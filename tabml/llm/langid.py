@@ -24,6 +24,7 @@ from tabml.llm._common import col, written
 ORDERS = (1, 2, 3)
 SLOT_BITS = 16  # n-grams of each order are hashed to so many slots
 UNKNOWN = "und"
+LEAST_TEXTS = 15  # texts of each language in the sample, however many languages there are
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -129,17 +130,17 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def training_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, max_rows: int, max_classes: int) -> DataFrame:
-    """(lang, text, place): the first texts by hash of each language, languages alike, at most ``max_rows`` in all."""
+def training_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, max_rows: int) -> DataFrame:
+    """(lang, text, place): the first texts by hash of each language, languages alike, every language with some.
+
+    At most ``max_rows`` in all, or ``LEAST_TEXTS`` for each language if that is more.
+    """
     rows = df.select(col(lang_col).alias("lang"), col(text_col).alias("text"), F.xxhash64(col(id_col).cast("string")).alias("hash")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = df.filter(col(lang_col).isNotNull()).groupBy(col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_classes)
-    sizes = {r.lang: r.n for r in sizes.collect()}
-    each = max(1, max_rows // max(1, len(sizes)))
+    sizes = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language_sizes")
+    each = max(LEAST_TEXTS, max_rows // max(1, sizes.count()))
     # a hash threshold thins each language to about 2 * each + 50 rows before they are ranked
-    cut = F.lit(None).cast("double")
-    for lang, n in sizes.items():
-        cut = F.when(F.col("lang") == lang, float(min(1.0, (2 * each + 50) / n))).otherwise(cut)
-    thin = rows.withColumn("u", F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)).filter(F.col("u") < cut)
+    kept = rows.join(sizes, "lang").withColumn("u", F.pmod("hash", F.lit(1 << 30)) / float(1 << 30))
+    thin = kept.filter(F.col("u") < F.least(F.lit(1.0), F.lit(2.0 * each + 50) / F.col("n"))).drop("n")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("u", "hash", F.xxhash64("text")))
     return thin.withColumn("place", place).filter(F.col("place") <= each).select("lang", "text", "place")
 
@@ -150,9 +151,12 @@ def _batched(batches: Iterable[pa.RecordBatch], size: int = 128) -> Iterator[pa.
             yield batch.slice(at, size)
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 3000, n_landmarks: int = 192, max_classes: int = 200, ridge: float = 1e-3) -> Model:
-    """Train on a sample of ``df``'s labelled rows (``max_rows`` texts, ``n_landmarks`` of them landmarks)."""
-    sample = written(training_sample(df, id_col, text_col, lang_col, max_rows, max_classes), "languages")
+def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 3000, n_landmarks: int = 192, ridge: float = 1e-3) -> Model:
+    """Train on a sample of ``df``'s labelled rows (``max_rows`` texts, ``n_landmarks`` of them landmarks).
+
+    Every language is learned: with many, each has ``LEAST_TEXTS`` texts and one landmark, and the sample grows with them.
+    """
+    sample = written(training_sample(df, id_col, text_col, lang_col, max_rows), "languages")
     classes = sorted(r.lang for r in sample.select("lang").distinct().collect())
     each = max(1, n_landmarks // max(1, len(classes)))
     marks = Landmarks.of([r.text for r in sample.filter(F.col("place") <= each).orderBy("lang", "place").collect()])  # at most n_landmarks texts, or one per language

@@ -46,6 +46,17 @@ def test_only_the_text_of_a_row_decides(spark):
     assert langid.predict(odd.limit(0), model).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    n = 230
+    words = [[f"{chr(0x4E00 + 9 * k + j)}{chr(0x6E00 + 9 * k + j)}" for j in range(8)] for k in range(n)]
+    rows = [(20 * k + i, " ".join(words[k][j % 8] for j in range(i, i + 6)), f"l{k:03d}") for k in range(n) for i in range(2 if k == 229 else 3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(df)
+    assert model.classes == [f"l{k:03d}" for k in range(n)]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(df, model).collect()}
+    assert got == {i: lang for i, _, lang in rows}
+
+
 def test_no_labels_gives_und(spark):
     df = spark.createDataFrame([(1, "some text", None), (2, None, "en"), (3, "77", "en")], "doc_id bigint, text string, lang string")
     for part in (df, df.limit(0), df.filter("doc_id = 1")):
