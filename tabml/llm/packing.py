@@ -1,11 +1,12 @@
-"""Best-fit packing of token sequences by a configuration linear program over the length histogram.
+"""Best-fit packing of token sequences over the length histogram, with configurations priced as in a linear program.
 
 1. ``token_pieces``: tokens per document (Arrow batches), documents over the capacity cut into pieces.
-2. ``solve``: the histogram has at most ``capacity`` lengths however large the corpus, so the program over it is solved
-   on the driver.  Multiplicative weights keep a price for each length, higher the further the length is behind in being
+2. ``solve``: the histogram has at most ``capacity`` lengths however large the corpus, so it is planned on the driver.
+   This is a heuristic: the configuration linear program is not solved, there is no fractional solution and no bound.  Multiplicative weights keep a price for each length, higher the further the length is behind in being
    covered; knapsack dynamic programming prices a block of lengths and gives the most valuable configuration (a
    multiset of lengths that fits one sequence), which is used as often as its scarcest length allows, in whole
-   sequences.  What the rounds leave is rounded up by best fit, longest first, over counts of equal open sequences.
+   sequences.  What a fixed number of rounds leaves is packed by best fit, longest first, over counts of equal open
+   sequences; where plain best fit of everything needs fewer sequences, that is the plan.
 3. ``pack``: pieces of a length get ranks 0, 1, 2, ... (salted windows, so that a hot length is many small groups), and
    rank and length name the place in the plan.
 
@@ -225,7 +226,7 @@ def best_fit(left: dict[int, int], capacity: int) -> Plan:
 
 
 def solve(lengths: dict[int, int], capacity: int, rounds: int = 40, block: int = 256, eta: float = 0.5, seed: int = 0) -> Plan:
-    """Sequences for all pieces of the histogram; of the program's solution and plain best fit the one with fewer."""
+    """Sequences for all pieces of the histogram; of the priced rounds with best fit and plain best fit the one with fewer."""
     plan, left = weighted_rounds(lengths, capacity, rounds, block, eta, seed)
     plan += best_fit(left, capacity)
     plain = best_fit(lengths, capacity)
