@@ -165,3 +165,45 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sample_segmentations(docs, tokenizer_path(PIECES), k=SEGMENTATIONS, seed=SEED, with_ids=False).drop("ids")
+
+
+@query(
+    "op13_merkle",
+    r"""
+    WITH RECURSIVE docs AS (SELECT doc_id, source, lang, n_chars, text,
+        list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+            lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 1, 2, 3, 4, 5, 6, 7]),
+                lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc FROM documents),
+    fields AS (SELECT doc_id, lang, crc, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+        || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+        || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head, text,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text FROM docs),
+    hashed AS (SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+        sha256(head || coalesce(octet_length(encode(lower_text)) || ':' || lower_text, '-')) AS other, xor(crc, 4294967295) % 3 = 0 AS hit FROM fields),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS size FROM hashed),
+    nodes AS (SELECT 0 AS level, lang, i, size, leaf AS h FROM leaves
+        UNION ALL SELECT level + 1, lang, i // 8, (size + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE size > 1 GROUP BY ALL),
+    tops AS (SELECT lang, level, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS size FROM nodes WHERE size = 1),
+    crown AS (SELECT 0 AS level, i, size, h FROM tops
+        UNION ALL SELECT level + 1, i // 8, (size + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM crown WHERE size > 1 GROUP BY ALL),
+    runs AS (SELECT false AS above, lang, level, i // 8 AS up, (any_value(size) + 7) // 8 AS size, list(h ORDER BY i) AS hs FROM nodes WHERE size > 1 GROUP BY ALL
+        UNION ALL SELECT true, NULL, level, i // 8, (any_value(size) + 7) // 8, list(h ORDER BY i) FROM crown WHERE size > 1 GROUP BY ALL),
+    climb AS (SELECT row_number() OVER () AS n, doc_id, leaf, lang, false AS above, 0 AS level, i, size, CASE WHEN hit THEN other ELSE leaf END AS folded, '' AS proof FROM leaves
+        UNION ALL (
+            WITH here AS (SELECT c.n, c.doc_id, c.leaf, c.lang, c.above OR c.size = 1 AS above, CASE WHEN c.size = 1 AND NOT c.above THEN 0 ELSE c.level END AS level,
+                CASE WHEN c.size = 1 AND NOT c.above THEN t.i ELSE c.i END AS i, CASE WHEN c.size = 1 AND NOT c.above THEN t.size ELSE c.size END AS size, c.folded, c.proof
+                FROM climb c JOIN tops t ON c.lang IS NOT DISTINCT FROM t.lang WHERE c.size > 1 OR NOT c.above)
+            SELECT n, doc_id, leaf, here.lang, here.above, here.level + 1, i // 8, coalesce(r.size, 1),
+                CASE WHEN r.hs IS NULL THEN folded ELSE sha256(array_to_string(r.hs[:i % 8] || [folded] || r.hs[i % 8 + 2:], '')) END,
+                CASE WHEN r.hs IS NULL THEN proof ELSE proof || array_to_string(r.hs[:i % 8] || r.hs[i % 8 + 2:], '') END
+            FROM here LEFT JOIN runs r ON r.above = here.above AND (here.above OR r.lang IS NOT DISTINCT FROM here.lang) AND r.level = here.level AND r.up = here.i // 8)),
+    done AS (SELECT *, (SELECT h FROM crown WHERE size = 1) AS root FROM climb WHERE above AND size = 1)
+    SELECT doc_id, leaf, h AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+    FROM done JOIN tops ON done.lang IS NOT DISTINCT FROM tops.lang
+    """,
+)
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.merkle import merkle_manifest
+
+    docs = table(spark, sf_dir, "documents")
+    return merkle_manifest(docs, tampered=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0)
