@@ -207,3 +207,26 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return merkle_manifest(docs, tampered=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0)
+
+
+@query(
+    "op12_lexical",
+    r"""
+    WITH words AS (SELECT row_number() OVER () AS n, doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{00}-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    size AS (SELECT count(DISTINCT n) AS n_docs, count(*) AS n_terms FROM words),
+    doc AS (SELECT n, any_value(doc_id) AS doc_id, 75 + (25 * count(*) * (SELECT n_docs FROM size)) // (SELECT n_terms FROM size) AS m FROM words GROUP BY n),
+    tf AS (SELECT n, term, count(*) AS tf FROM words GROUP BY n, term),
+    weight AS (SELECT term, CAST(floor(1000 * ln((2 * (SELECT n_docs FROM size) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf GROUP BY term),
+    asked AS (SELECT row_number() OVER () AS q, item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{00}-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    scored AS (SELECT q, any_value(item_id) AS item_id, n, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+        FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN doc USING (n) GROUP BY q, n),
+    placed AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+    """,
+)
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.lexical import ranked_search
+
+    return ranked_search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
