@@ -36,11 +36,14 @@ def unpack(df: DataFrame, columns: list[str], replace: dict[str, Column] | None
     return df.select(*kept, *[v.alias(k) for k, v in add.items()])
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared checkpoint folder and read it again."""
+def written(df: DataFrame, name: str, partition_by: str | None = None, group_bytes: int | None = None) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet in the shared checkpoint folder and read it again.
+
+    ``group_bytes`` bounds the row groups of tables with large rows, as a reader holds one row group at a time."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     out = df.write.option("compression", "zstd")
+    out = out.option("parquet.block.size", str(group_bytes)) if group_bytes else out
     (out.partitionBy(partition_by) if partition_by else out).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -164,7 +164,17 @@ def build_treap(rows: np.ndarray, cols: np.ndarray, impacts: np.ndarray, n_rows:
     }
 
 
-INDEX = "n_docs int, levels int, ids binary, missing binary, terms array<string>, counts binary, leaf_step binary, leaf_best binary, depth binary, first binary, best binary, child binary"
+#: Arrays of an index row, zstd-compressed, with their types; the last two columns of ``INDEX`` are their lengths.
+ARRAYS = {"ids": np.int64, "missing": np.bool_, "counts": np.int32, "leaf_step": np.int64, "leaf_best": np.int32, "depth": np.int16, "first": np.int32, "best": np.int32, "child": np.int32}
+INDEX = "n_docs int, levels int, terms array<string>, " + ", ".join(f"{a} binary" for a in ARRAYS) + ", cells int, inner int"
+
+
+def _packed(values: np.ndarray, kind: type) -> bytes:
+    return pa.compress(np.ascontiguousarray(values, kind).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: pa.Scalar, kind: type, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data.as_buffer(), n * np.dtype(kind).itemsize, codec="zstd"), kind)
 
 
 def _block(ids: pa.Array, texts: pa.Array, n_docs: int, n_terms: int) -> dict | None:
@@ -184,19 +194,21 @@ def _block(ids: pa.Array, texts: pa.Array, n_docs: int, n_terms: int) -> dict |
     m = (100 - LENGTH_SHARE) + (LENGTH_SHARE * length[order].astype(np.int64) * n_docs) // n_terms
     impact = (SCALE * tf) // (TF_UNIT * tf + LENGTH_UNIT * m[cols])
     t = build_treap(rows, cols, impact, len(terms), len(order))
-    return {
-        "n_docs": len(order), "levels": t["levels"], "ids": number[order].astype(np.int64).tobytes(), "missing": missing[order].tobytes(), "terms": terms.to_pylist(),
-        "counts": np.bincount(rows, minlength=len(terms)).astype(np.int32).tobytes(), "leaf_step": np.diff(t["leaf_code"], prepend=0).tobytes(),
-        "leaf_best": t["leaf_best"].tobytes(), "depth": t["depth"].tobytes(), "first": t["first"].tobytes(), "best": t["best"].tobytes(), "child": t["child"].tobytes(),
+    arrays = {
+        "ids": number[order], "missing": missing[order], "counts": np.bincount(rows, minlength=len(terms)), "leaf_step": np.diff(t["leaf_code"], prepend=0),
+        **{name: t[name] for name in ("leaf_best", "depth", "first", "best", "child")},
     }
+    sizes = {"n_docs": len(order), "levels": t["levels"], "cells": len(t["leaf_code"]), "inner": len(t["depth"])}
+    return sizes | {"terms": terms.to_pylist()} | {name: _packed(arrays[name], kind) for name, kind in ARRAYS.items()}
 
 
-def _treap(row: dict) -> Treap:
-    read = lambda name, kind: np.frombuffer(row[name], kind)
-    return Treap(
-        np.cumsum(read("leaf_step", np.int64)), read("leaf_best", np.int32), read("depth", np.int16), read("first", np.int32),
-        read("best", np.int32), read("child", np.int32), row["levels"], row["n_docs"],
-    )
+def _treap(batch: pa.RecordBatch, at: int) -> tuple[Treap, np.ndarray, np.ndarray]:
+    """Quadtree, document ids and their null flags of an index row."""
+    n_docs, levels, cells, inner = (batch.column(c)[at].as_py() for c in ("n_docs", "levels", "cells", "inner"))
+    sizes = {"ids": n_docs, "missing": n_docs, "leaf_step": cells, "leaf_best": cells, "depth": inner, "first": inner, "best": inner, "child": 4 * inner}
+    read = {name: _unpacked(batch.column(name)[at], ARRAYS[name], n) for name, n in sizes.items()}
+    treap = Treap(np.cumsum(read["leaf_step"]), *(read[name] for name in ("leaf_best", "depth", "first", "best", "child")), levels, n_docs)
+    return treap, read["ids"], read["missing"]
 
 
 def corpus_size(df: DataFrame, text_col: str = "text") -> tuple[int, int]:
@@ -213,7 +225,7 @@ def corpus_size(df: DataFrame, text_col: str = "text") -> tuple[int, int]:
     return int(total[0] or 0), int(total[1] or 0)
 
 
-def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 16 << 20) -> tuple[DataFrame, int]:
+def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 2 << 20) -> tuple[DataFrame, int]:
     """Index blocks of ``df`` (rows of ``INDEX``, to be written by the caller) and the documents that have a term.
 
     Every row and whole text is indexed.  A block closes after ``block_bytes`` of text; a longer text makes its own
@@ -224,10 +236,8 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        schema = pa.schema(
-            [("n_docs", pa.int32()), ("levels", pa.int32()), ("ids", pa.binary()), ("missing", pa.binary()), ("terms", pa.list_(pa.string()))]
-            + [(c, pa.binary()) for c in ("counts", "leaf_step", "leaf_best", "depth", "first", "best", "child")]
-        )
+        ints = [(c, pa.int32()) for c in ("n_docs", "levels")], [(c, pa.int32()) for c in ("cells", "inner")]
+        schema = pa.schema([*ints[0], ("terms", pa.list_(pa.string())), *[(c, pa.binary()) for c in ARRAYS], *ints[1]])
 
         def close():
             ids, texts = (pa.concat_arrays([b.column(i) for b in held]) for i in (0, 1))
@@ -236,11 +246,12 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
-            held.append(batch)
-            size += batch.column(1).nbytes
-            if size >= block_bytes:
-                yield from close()
-                held, size = [], 0
+            for at in range(0, batch.num_rows, 100):
+                held.append(batch.slice(at, 100))
+                size += pc.sum(pc.binary_length(held[-1].column(1))).as_py() or 0
+                if size >= block_bytes:
+                    yield from close()
+                    held, size = [], 0
         if held:
             yield from close()
 
@@ -333,10 +344,8 @@ def search(index: DataFrame, n_docs: int, items: DataFrame, k: int = 20, id_col:
             rankings = [Ranking(k) for _ in plans]
             for batch in batches:
                 for at in range(batch.num_rows):
-                    row = {c: batch.column(c)[at].as_buffer() for c in batch.schema.names if pa.types.is_binary(batch.schema.field(c).type)}
-                    row |= {"n_docs": batch.column("n_docs")[at].as_py(), "levels": batch.column("levels")[at].as_py()}
                     known = pc.index_in(pa.array(names, pa.string()), value_set=batch.column("terms")[at].values).fill_null(-1).to_numpy(zero_copy_only=False)
-                    treap, ids, missing = _treap(row), np.frombuffer(row["ids"], np.int64), np.frombuffer(row["missing"], bool)
+                    treap, ids, missing = _treap(batch, at)
                     for (_, asked, weights), ranking in zip(plans, rankings):
                         rows = known[asked]
                         here = (rows >= 0) & (weights > 0)
@@ -363,7 +372,7 @@ def _weights(index: DataFrame, names: list[str], n_docs: int) -> list[int]:
             for at in range(batch.num_rows):
                 known = pc.index_in(pa.array(names, pa.string()), value_set=batch.column("terms")[at].values).fill_null(-1).to_numpy(zero_copy_only=False)
                 here = known >= 0
-                total[here] += np.frombuffer(batch.column("counts")[at].as_buffer(), np.int32)[known[here]]
+                total[here] += _unpacked(batch.column("counts")[at], np.int32, len(batch.column("terms")[at]))[known[here]]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "df"])
 
@@ -376,5 +385,5 @@ def _weights(index: DataFrame, names: list[str], n_docs: int) -> list[int]:
 def ranked_search(docs: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
     """Index ``docs`` (doc_id, text) in a written table and search it for ``items`` (item_id, text)."""
     index, n_docs = build_index(docs)
-    index = written(index, "index")
+    index = written(index, "index", group_bytes=8 << 20)
     return search(index, n_docs, items, k)
