@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,3 +84,36 @@ def small_batches(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, bytes]:
+    """Offsets and UTF-8 bytes of a string array, nulls as empty texts."""
+    texts = pa.concat_arrays([texts.cast(pa.large_string()).fill_null(""), pa.array([], pa.large_string())])
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    start = int(offsets[0])
+    return offsets - start, b"" if data is None else bytes(data[start : int(offsets[-1])])
+
+
+def coded_words(texts: pa.Array, byte_map: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words, and the word number and text number of every word in order.
+
+    ``byte_map`` is applied to every byte first (256 bytes, those above ASCII to themselves); then ASCII white space
+    separates."""
+    offsets, data = text_bytes(texts)
+    clean = pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.translate(byte_map))])
+    lists = pc.ascii_split_whitespace(clean)
+    owners, words = pc.list_parent_indices(lists), lists.flatten()
+    real = pc.greater(pc.binary_length(words), 0)
+    coded = words.filter(real).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), owners.filter(real).to_numpy(zero_copy_only=False)
+
+
+def packed(values: np.ndarray, kind: type) -> bytes:
+    """A number array as zstd-compressed bytes."""
+    return pa.compress(np.ascontiguousarray(values, kind).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: pa.Scalar, kind: type, n: int) -> np.ndarray:
+    """``n`` numbers of ``packed`` bytes in an Arrow binary."""
+    return np.frombuffer(pa.decompress(data.as_buffer(), n * np.dtype(kind).itemsize, codec="zstd"), kind)

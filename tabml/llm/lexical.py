@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabml.llm._common import col, written
+from tabml.llm._common import coded_words, col, packed, text_bytes, unpacked, written
 
 #: Fixed values of the contract: ASCII bytes that end a term (all but digits and letters); A-Z are lower-cased.
 BREAKS = [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
@@ -37,18 +37,9 @@ SCALE, TF_UNIT, LENGTH_UNIT, LENGTH_SHARE = 1_000_000_000, 1000, 12, 25
 NO_ID = np.iinfo(np.int64).max  # null ids come last
 
 
-def _buffers(texts: pa.Array) -> tuple[np.ndarray, bytes]:
-    """Offsets and bytes of a string array, nulls as empty texts."""
-    texts = pa.concat_arrays([texts.cast(pa.large_string()).fill_null(""), pa.array([], pa.large_string())])
-    _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    start = int(offsets[0])
-    return offsets - start, b"" if data is None else bytes(data[start : int(offsets[-1])])
-
-
 def count_terms(texts: pa.Array) -> np.ndarray:
     """Number of terms of each text."""
-    offsets, data = _buffers(texts)
+    offsets, data = text_bytes(texts)
     inside = np.frombuffer(data.translate(INSIDE), np.bool_)
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -60,14 +51,7 @@ def count_terms(texts: pa.Array) -> np.ndarray:
 
 def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct terms, and the term number and text number of every term in order."""
-    offsets, data = _buffers(texts)
-    clean = pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.translate(LOWER))])
-    lists = pc.ascii_split_whitespace(clean)
-    owners, words = pc.list_parent_indices(lists), lists.flatten()
-    real = pc.greater(pc.binary_length(words), 0)
-    coded = words.filter(real).dictionary_encode()
-    coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
-    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), owners.filter(real).to_numpy(zero_copy_only=False)
+    return coded_words(texts, LOWER)
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -169,14 +153,6 @@ ARRAYS = {"ids": np.int64, "missing": np.bool_, "counts": np.int32, "leaf_step":
 INDEX = "n_docs int, levels int, terms array<string>, " + ", ".join(f"{a} binary" for a in ARRAYS) + ", cells int, inner int"
 
 
-def _packed(values: np.ndarray, kind: type) -> bytes:
-    return pa.compress(np.ascontiguousarray(values, kind).tobytes(), codec="zstd", asbytes=True)
-
-
-def _unpacked(data: pa.Scalar, kind: type, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data.as_buffer(), n * np.dtype(kind).itemsize, codec="zstd"), kind)
-
-
 def _block(ids: pa.Array, texts: pa.Array, n_docs: int, n_terms: int) -> dict | None:
     """One index row, or None where no document has a term."""
     terms, term, doc = terms_of(texts)
@@ -199,14 +175,14 @@ def _block(ids: pa.Array, texts: pa.Array, n_docs: int, n_terms: int) -> dict |
         **{name: t[name] for name in ("leaf_best", "depth", "first", "best", "child")},
     }
     sizes = {"n_docs": len(order), "levels": t["levels"], "cells": len(t["leaf_code"]), "inner": len(t["depth"])}
-    return sizes | {"terms": terms.to_pylist()} | {name: _packed(arrays[name], kind) for name, kind in ARRAYS.items()}
+    return sizes | {"terms": terms.to_pylist()} | {name: packed(arrays[name], kind) for name, kind in ARRAYS.items()}
 
 
 def _treap(batch: pa.RecordBatch, at: int) -> tuple[Treap, np.ndarray, np.ndarray]:
     """Quadtree, document ids and their null flags of an index row."""
     n_docs, levels, cells, inner = (batch.column(c)[at].as_py() for c in ("n_docs", "levels", "cells", "inner"))
     sizes = {"ids": n_docs, "missing": n_docs, "leaf_step": cells, "leaf_best": cells, "depth": inner, "first": inner, "best": inner, "child": 4 * inner}
-    read = {name: _unpacked(batch.column(name)[at], ARRAYS[name], n) for name, n in sizes.items()}
+    read = {name: unpacked(batch.column(name)[at], ARRAYS[name], n) for name, n in sizes.items()}
     treap = Treap(np.cumsum(read["leaf_step"]), *(read[name] for name in ("leaf_best", "depth", "first", "best", "child")), levels, n_docs)
     return treap, read["ids"], read["missing"]
 
@@ -372,7 +348,7 @@ def _weights(index: DataFrame, names: list[str], n_docs: int) -> list[int]:
             for at in range(batch.num_rows):
                 known = pc.index_in(pa.array(names, pa.string()), value_set=batch.column("terms")[at].values).fill_null(-1).to_numpy(zero_copy_only=False)
                 here = known >= 0
-                total[here] += _unpacked(batch.column("counts")[at], np.int32, len(batch.column("terms")[at]))[known[here]]
+                total[here] += unpacked(batch.column("counts")[at], np.int32, len(batch.column("terms")[at]))[known[here]]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "df"])
 

@@ -230,3 +230,13 @@ def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabml.llm.lexical import ranked_search
 
     return ranked_search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query("op11_language_model")
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabml.llm.maxent import score_texts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
+    scored = score_texts(docs, learned)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
