@@ -110,10 +110,13 @@ def coded_words(texts: pa.Array, byte_map: bytes) -> tuple[pa.Array, np.ndarray,
 
 
 def packed(values: np.ndarray, kind: type) -> bytes:
-    """A number array as zstd-compressed bytes."""
-    return pa.compress(np.ascontiguousarray(values, kind).tobytes(), codec="zstd", asbytes=True)
+    """A number array as zstd-compressed bytes, all lowest bytes first, then the next ones."""
+    planes = np.ascontiguousarray(values, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
+    return pa.compress(np.ascontiguousarray(planes.T).tobytes(), codec="zstd", asbytes=True)
 
 
 def unpacked(data: pa.Scalar, kind: type, n: int) -> np.ndarray:
     """``n`` numbers of ``packed`` bytes in an Arrow binary."""
-    return np.frombuffer(pa.decompress(data.as_buffer(), n * np.dtype(kind).itemsize, codec="zstd"), kind)
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data.as_buffer(), n * width, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).reshape(n)

@@ -32,7 +32,7 @@ from tabml.llm._common import LOWER, UPPER, coded_words, col, packed, unpacked,
 BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 END = " "
 #: Shape of the model: leaves of a class (and classes), leaves of frequent words, hashed rows of each table.
-WIDTH, FREQUENT, ROWS = 24, 432, 1 << 14
+WIDTH, FREQUENT, ROWS = 16, 192, 1 << 14
 UNKNOWN = WIDTH * WIDTH - 1
 FEATURES = 3
 SLICE_ROWS = 1 << 11
@@ -53,17 +53,18 @@ def _encode_block(number: int, ids: pa.Array, texts: pa.Array, train: np.ndarray
     inner = np.ones(len(tokens), bool)
     inner[last] = False
     tokens[inner] = word
-    names = [*words.to_pylist(), END]
-    raw = [w.encode("utf-8", "surrogatepass") for w in names]
-    tail = WIDTH * WIDTH - 1 - FREQUENT
+    words = pa.concat_arrays([words, pa.array([END], pa.large_string())])
+    raw = words.cast(pa.large_binary()).to_pylist()
+    groups: dict[bytes, int] = {}
+    leaves = [groups.get(w[-2:]) or groups.setdefault(w[-2:], FREQUENT + zlib.crc32(w[-2:]) % (UNKNOWN - FREQUENT)) for w in raw]
     row = {
-        "block": number, "n_docs": n, "n_tokens": len(tokens), "n_words": len(names),
+        "block": number, "n_docs": n, "n_tokens": len(tokens), "n_words": len(words),
         "ids": packed(ids.fill_null(0).to_numpy(zero_copy_only=False), np.int64), "missing": packed(ids.is_null().to_numpy(zero_copy_only=False), np.bool_),
         "train": packed(train, np.bool_), "lengths": packed(lengths, np.int32), "tokens": packed(tokens, np.int32),
-        "hashes": packed(np.array([zlib.crc32(w) for w in raw]), np.uint32),
-        "leaves": packed(np.array([FREQUENT + zlib.crc32(w[-2:]) % tail for w in raw]), np.int16),
+        "hashes": packed(np.array([zlib.crc32(w) & 0xFFFF for w in raw]), np.uint16),
+        "leaves": packed(np.array(leaves), np.int16),
     }
-    return row, pa.array(names, pa.string()), np.bincount(tokens[np.repeat(train, lengths)], minlength=len(names))
+    return row, words.cast(pa.string()), np.bincount(tokens[np.repeat(train, lengths)], minlength=len(words))
 
 
 def encode(df: DataFrame, id_col: str, text_col: str, train: Column, block_bytes: int) -> DataFrame:
@@ -71,8 +72,7 @@ def encode(df: DataFrame, id_col: str, text_col: str, train: Column, block_bytes
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, size, made = TaskContext.get().partitionId(), [], 0, 0
-        kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
-        schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in (BLOCK + ", at int, word string, n bigint").split(", "))])
+        schema = _schema(BLOCK + ", at int, word string, n bigint")
 
         def close():
             ids, texts, learned = (pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
@@ -114,8 +114,7 @@ def count_words(rows: DataFrame) -> tuple[DataFrame, Counts]:
     top = counts.filter("c > 0").orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
     ranks = counts.sparkSession.createDataFrame([(r.word, i) for i, r in enumerate(top)], "word string, frequent int")
     known = written(counts.join(F.broadcast(ranks), "word", "left"), "known")
-    tail = WIDTH * WIDTH - 1 - FREQUENT
-    leaf = F.coalesce("frequent", (F.lit(FREQUENT) + F.crc32(_last_bytes(F.col("word"), 2)) % tail).cast("int"))
+    leaf = F.coalesce("frequent", (F.lit(FREQUENT) + F.crc32(F.substring(F.col("word").cast("binary"), -2, 2)) % (UNKNOWN - FREQUENT)).cast("int"))
     sums = known.filter("c > 0").groupBy(leaf.alias("leaf")).agg(
         F.sum(F.when(F.col("c") > 1, F.col("c"))).alias("more"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("words"), F.sum(F.when(F.col("c") == 1, 1)).alias("once")
     )
@@ -128,64 +127,103 @@ def count_words(rows: DataFrame) -> tuple[DataFrame, Counts]:
     return words.join(known, "word").select("block", "at", "c", "frequent"), Counts(tokens, distinct, targets, shares)
 
 
-def _last_bytes(word: Column, n: int) -> Column:
-    raw = word.cast("binary")
-    return F.substring(raw, -n, n) if n else raw
+PARTS = "block bigint, n_words int, places binary, counts binary, ranks binary"
+PART_ARRAYS = {"places": np.int32, "counts": np.int64, "ranks": np.int16}
+ARROW = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+
+
+def _schema(columns: str) -> pa.Schema:
+    return pa.schema([(name, ARROW[kind]) for name, kind in (c.split() for c in columns.split(", "))])
+
+
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, at, c, frequent) rows, as they come, to a compressed row for each block."""
+
+    def close():
+        block, at, c, frequent = (np.concatenate([b.column(i).fill_null(-1).to_numpy(zero_copy_only=False) for b in held]) for i in range(4))
+        order = np.lexsort((at, block))
+        block, arrays = block[order], {"places": at[order], "counts": c[order], "ranks": frequent[order]}
+        starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        for start, stop in zip(starts, np.append(starts[1:], len(block))):
+            some = {name: array[start:stop] for name, array in arrays.items()}
+            some["places"] = np.diff(some["places"], prepend=0)
+            row = {"block": int(block[start]), "n_words": int(stop - start)} | {name: packed(some[name], kind) for name, kind in PART_ARRAYS.items()}
+            yield pa.RecordBatch.from_pylist([row], schema=_schema(PARTS))
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= 1 << 20:
+            yield from close()
+            held, size = [], 0
+    if size:
+        yield from close()
 
 
 def join_counts(rows: DataFrame, placed: DataFrame) -> DataFrame:
-    """Blocks with their words' counts: both are dealt by block, and a block's words come before its row."""
+    """Blocks with their words' counts: a task packs its words by block, and a block's parts are dealt to its row."""
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[pa.RecordBatch] = []
+        found = {}
         for batch in batches:
-            kind = batch.column("n_docs").is_null().to_numpy(zero_copy_only=False)
-            start = 0
-            for at in np.flatnonzero(~kind):
-                parts.append(batch.slice(start, at - start))
-                row = {c: batch.column(c)[at].as_py() for c in batch.schema.names}
-                place, c, frequent = (np.concatenate([p.column(name).fill_null(-1).to_numpy(zero_copy_only=False) for p in parts]) for name in ("at", "c", "frequent"))
-                n = row["n_words"]
-                counts, ranks = np.zeros(n, np.int64), np.full(n, -1, np.int16)
-                counts[place], ranks[place] = c, frequent
-                row |= {"counts": packed(counts, np.int64), "ranks": packed(ranks, np.int16)}
-                yield pa.RecordBatch.from_pylist([{k: row[k] for k in out.names}], schema=out)
-                parts, start = [], at + 1
-            parts.append(batch.slice(start))
-
-    names = [c.split()[0] for c in BLOCK.split(", ")]
-    blocks = rows.filter("n_docs IS NOT NULL").select(*names, F.lit(None).cast("int").alias("at"), F.lit(None).cast("bigint").alias("c"), F.lit(None).cast("int").alias("frequent"))
-    words = placed.select("block", *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in BLOCK.split(", ")[1:]], "at", "c", "frequent")
-    dealt = blocks.unionByName(words).repartition("block").sortWithinPartitions("block", F.col("n_docs").isNotNull(), "at")
+            for at in range(batch.num_rows):
+                n = batch.column("n_words")[at].as_py()
+                if batch.column("n_docs")[at].as_py() is None:  # a part; they come before the block's row
+                    places, counts, ranks = (unpacked(batch.column(name)[at], kind, n) for name, kind in PART_ARRAYS.items())
+                    found.setdefault("places", []).append(np.cumsum(places))
+                    found.setdefault("counts", []).append(counts)
+                    found.setdefault("ranks", []).append(ranks)
+                    continue
+                order = np.argsort(np.concatenate(found["places"]))
+                row = {c: batch.column(c)[at].as_py() for c in schema.names}
+                row |= {name: packed(np.concatenate(found[name])[order], PART_ARRAYS[name]) for name in ("counts", "ranks")}
+                yield pa.RecordBatch.from_pylist([row], schema=schema)
+                found = {}
+
+    null = lambda kind: F.lit(None).cast(kind)
+    kinds = [c.split() for c in BLOCK.split(", ")]
+    blocks = rows.filter("n_docs IS NOT NULL").select(*[name for name, _ in kinds], *[null("binary").alias(a) for a in PART_ARRAYS])
+    parts = placed.select("block", F.col("at").cast("int"), "c", F.col("frequent").cast("int")).mapInArrow(_parts, PARTS)
+    parts = parts.select(*[F.col(name) if name in ("block", "n_words") else null(kind).alias(name) for name, kind in kinds], *PART_ARRAYS)
     result = BLOCK + ", counts binary, ranks binary"
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    out = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in result.split(", ")])
+    schema = _schema(result)
+    dealt = blocks.unionByName(parts).repartition("block").sortWithinPartitions("block", F.col("n_docs").isNotNull())
     return dealt.mapInArrow(merge, result)
 
 
 class Block:
-    """Arrays of one block: features and leaves of every token."""
+    """Arrays of one block, or of some of its texts: features and leaves of every token."""
 
-    def __init__(self, batch: pa.RecordBatch, at: int, model: Counts):
+    def __init__(self, batch: pa.RecordBatch, at: int, model: Counts, turn: int | None = None, rounds: int = 1):
         n_docs, n_tokens, n_words = (batch.column(c)[at].as_py() for c in ("n_docs", "n_tokens", "n_words"))
         self.ids, self.missing, self.train, self.lengths = (unpacked(batch.column(c)[at], kind, n_docs) for c, kind in DOC_ARRAYS.items())
         tokens = unpacked(batch.column("tokens")[at], np.int32, n_tokens)
-        words = {c: unpacked(batch.column(c)[at], kind, n_words) for c, kind in {"hashes": np.uint32, "leaves": np.int16, "counts": np.int64, "ranks": np.int16}.items()}
-        count, leaf = words["counts"], np.where(words["ranks"] >= 0, words["ranks"], words["leaves"])
+        if turn is not None:  # the training texts of a round
+            mine = self.train & (np.arange(n_docs) % rounds == turn)
+            tokens, self.lengths = tokens[np.repeat(mine, self.lengths)], self.lengths[mine]
+        words = {c: unpacked(batch.column(c)[at], kind, n_words) for c, kind in {"hashes": np.uint16, "leaves": np.int16, "counts": np.int64, "ranks": np.int16}.items()}
+        self.model, self.tokens, self.counts = model, tokens, words["counts"]
+        self.words_leaf = np.where(words["ranks"] >= 0, words["ranks"], words["leaves"])
         self.first = np.cumsum(self.lengths) - self.lengths
-        self.known = (count > 0)[tokens]
-        own = np.where(count > 0, leaf, UNKNOWN).astype(np.uint32)
-        self.leaf = own[tokens]
-        self.target = np.where(count > 1, own, UNKNOWN).astype(np.uint32)[tokens]
-        share = np.where(count > 0, np.log10((count + 0.5) / np.where(count > 0, model.shares[leaf], 1.0)), 0.0)
-        self.share = share[tokens]
-        self.base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))[tokens]
-        one = np.roll(words["hashes"][tokens], 1)
+        one = np.roll(words["hashes"].astype(np.uint32)[tokens], 1)
         one[self.first] = BEFORE
         two = np.roll(one, 1)
         two[self.first] = BEFORE_THAT
         self.features = [_mixed(one), _mixed(one * np.uint32(31) + _mixed(two)), _mixed(two + np.uint32(99))]
 
+    def leaves(self, least: int) -> np.ndarray:
+        """Leaf of every token; words with a count below ``least`` are the unknown word."""
+        return np.where(self.counts >= least, self.words_leaf, UNKNOWN).astype(np.uint32)[self.tokens]
+
+    def shares(self) -> np.ndarray:
+        """log10 of each token's share of its leaf."""
+        known = self.counts > 0
+        return np.where(known, np.log10((self.counts + 0.5) / np.where(known, self.model.shares[self.words_leaf], 1.0)), 0.0)[self.tokens]
+
+    def base(self) -> np.ndarray:
+        return np.log10((self.counts + 0.5) / (self.model.tokens + 0.5 * (self.model.distinct + 1)))[self.tokens]
+
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x * MIX
@@ -207,9 +245,8 @@ class Weights:
         for f in range(1, FEATURES):
             z += self.tables[level * FEATURES + f][rows[f]]
         z += bias
-        z -= z.max(1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
+        np.exp(np.minimum(z, 60, out=z), out=z)  # biases are below 0 and weights small: no need to look for the largest
+        z /= np.maximum(z @ np.ones(WIDTH, np.float32), 1e-30)[:, None]
         return z
 
     def _update(self, level: int, rows: list[np.ndarray], gradient: np.ndarray, rate: float) -> None:
@@ -251,12 +288,11 @@ def train(blocks: DataFrame, model: Counts, rounds: int, rate: float, batch_toke
             local = Weights(model, tables.copy(), seen.copy())
             for batch in batches:
                 for at in range(batch.num_rows):
-                    block = Block(batch, at, model)
-                    mine = block.train & (np.arange(len(block.train)) % rounds == turn)
-                    chosen = np.flatnonzero(np.repeat(mine, block.lengths))
-                    for start in range(0, len(chosen), batch_tokens):
-                        some = chosen[start : start + batch_tokens]
-                        local.batch([f[some] for f in block.features], block.target[some], rate)
+                    block = Block(batch, at, model, turn, rounds)
+                    target = block.leaves(2)  # a word seen once is unknown without this place
+                    for start in range(0, len(target), batch_tokens):
+                        some = slice(start, start + batch_tokens)
+                        local.batch([f[some] for f in block.features], target[some], rate)
             gained, part = local.seen - seen, TaskContext.get().partitionId()
             moved = (local.tables - tables) * gained[:, :, None]
             for t in range(2 * FEATURES):
@@ -309,11 +345,12 @@ def score(blocks: DataFrame, model: Counts, weights: Weights, batch_tokens: int)
         for batch in batches:
             for at in range(batch.num_rows):
                 block = Block(batch, at, model)
-                logs = np.concatenate([weights.batch([f[s : s + batch_tokens] for f in block.features], block.leaf[s : s + batch_tokens]) for s in range(0, len(block.leaf), batch_tokens)])
+                leaf = block.leaves(1)
+                logs = np.concatenate([weights.batch([f[s : s + batch_tokens] for f in block.features], leaf[s : s + batch_tokens]) for s in range(0, len(leaf), batch_tokens)])
                 total = lambda x: np.add.reduceat(x, block.first)  # noqa: E731 (every text has at least its end)
                 columns = [
                     pa.array(block.ids, pa.int64(), mask=block.missing), pa.array(block.train), pa.array(block.lengths.astype(np.int64)),
-                    pa.array(total(block.known.astype(np.int64))), pa.array(total(block.base)), pa.array(total(logs / np.log(10) + block.share)),
+                    pa.array(total((block.counts > 0)[block.tokens].astype(np.int64))), pa.array(total(block.base())), pa.array(total(logs / np.log(10) + block.shares())),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "train", "n_tokens", "n_known", "base_score", "score"])
 
@@ -321,7 +358,7 @@ def score(blocks: DataFrame, model: Counts, weights: Weights, batch_tokens: int)
 
 
 def score_texts(
-    df: DataFrame, train_rows: Column, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, rate: float = 0.5, batch_tokens: int = 4096, block_bytes: int = 8 << 20, task_tokens: int = 64 << 20
+    df: DataFrame, train_rows: Column, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, rate: float = 0.5, batch_tokens: int = 4096, block_bytes: int = 12 << 20, task_tokens: int = 64 << 20
 ) -> DataFrame:
     """One row per row of ``df``: id, ``train, n_tokens, n_known, train_tokens, base_score, score``.
 
