@@ -33,6 +33,7 @@ _SOURCE_KEYS = {"table", "derive", "filter", "select"}
 _FEATURE_KEYS = {"numeric", "one_hot", "indexed", "output", "handle_invalid", "scale", "drop_last"}
 _TASK_FIELDS = {
     "fit_scope", "eval_split", "feature_scope", "profile_by", "band_col", "binary",
+    "top_classes", "where", "sample",
 }
 
 
@@ -93,7 +94,7 @@ def task_from_dict(t: Mapping) -> TaskSpec:
 
 
 def job_from_dict(d: Mapping) -> JobSpec:
-    _known("job", d, {"name", "source", "keys", "tasks", "weights", "seed", "split_mode", "materialize", "report_split_sizes", "profile_cols"})
+    _known("job", d, {"name", "source", "keys", "tasks", "weights", "seed", "split_mode", "materialize", "report_split_sizes", "profile_cols", "top_report", "top_groups"})
     return JobSpec(
         name=d["name"],
         source=source_from_dict(d["source"]),
@@ -105,6 +106,8 @@ def job_from_dict(d: Mapping) -> JobSpec:
         materialize=d.get("materialize", "persist"),
         report_split_sizes=bool(d.get("report_split_sizes", False)),
         profile_cols=tuple(d.get("profile_cols", ())),
+        top_report=tuple(d["top_report"]) if "top_report" in d else None,
+        top_groups=tuple(d["top_groups"]) if "top_groups" in d else None,
     )
 
 

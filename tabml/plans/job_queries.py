@@ -122,7 +122,7 @@ def channel_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   random forests 10 trees, seed 42;
 #   k-means seed 42 with k = 3 (iris, maxIter 10), 3 (avocado), 5 (bike, bike2), 3 (cars), 3 (medical),
 #   4 (youtube, maxIter 20); avocado clusters on std-scaled features, youtube on centred and scaled ones;
-#   the youtube classifier keeps the 5 most frequent classes.
+#   the youtube classifier keeps the 5 most frequent classes, its clustering rows in fixed ranges.
 _LI4 = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 # Split unit for lineitem: the order line, so one very large order cannot tilt the train/test proportions.
 _LI_KEYS = ["l_orderkey", "l_linenumber"]
@@ -132,9 +132,9 @@ IRIS = JobSpec(
     "iris", lineitem_source, _LI_KEYS,
     [
         TaskSpec("iris_clf", "classification", FeatureSpec(numeric=_LI4), "l_returnflag", "logistic",
-                 {"maxIter": 10}),
+                 {"maxIter": 10}, reports=("sample_rows",)),
         TaskSpec("iris_clu", "clustering", FeatureSpec(numeric=_LI4), None, "kmeans",
-                 {"k": 3, "maxIter": 10}, fit_scope="all", eval_split="all", reports=("silhouette", "centers"),
+                 {"k": 3, "maxIter": 10}, fit_scope="all", eval_split="all", reports=("silhouette", "centers", "sample_rows"),
                  profile_by="l_returnflag"),
     ],
     report_split_sizes=True,
@@ -174,9 +174,9 @@ BIKE2 = JobSpec(
         TaskSpec("bike2_clu", "clustering", _BIKE_CLF, None, "kmeans", {"k": 5}, fit_scope="all", eval_split="all",
                  reports=("centers",)),
         TaskSpec("bike2_reg", "regression",
-                 FeatureSpec(numeric=["user_id", "hour", "day_of_week"], output="reg_features"), "duration_sec",
+                 FeatureSpec(numeric=["user_id", "hour", "day_of_week", "month"], output="reg_features"), "duration_sec",
                  "linear", {"maxIter": 10}, reports=("coefficients", "label_stats", "banded", "sample_rows"),
-                 band_col="hour", band_bounds=(6, 12, 18)),
+                 band_col="hour", band_bounds=(6, 12, 18), sample="hash"),
     ],
     profile_cols=("user_id", "duration_sec", "hour", "is_click"),
 )
@@ -199,7 +199,7 @@ CARS = JobSpec(
         TaskSpec("cars_clf", "classification",
                  FeatureSpec(numeric=["p_size", "p_retailprice"], one_hot=["p_brand"], handle_invalid="skip",
                              output="classifier_features"),
-                 "p_type", "forest", {"numTrees": 10, "seed": 42}),
+                 "p_type", "forest", {"numTrees": 10, "seed": 42}, reports=("sample_rows",)),
         TaskSpec("cars_clu", "clustering", _CARS, None, "kmeans", {"k": 3}, reports=("silhouette",)),
     ],
     weights=(0.8, 0.2),
@@ -218,7 +218,7 @@ MEDICAL = JobSpec(
         TaskSpec("medical_clf", "classification",
                  FeatureSpec(numeric=["c_acctbal", "c_nationkey", "c_keyband"], one_hot=["sex", "c_mktsegment"],
                              output="features_class"),
-                 "smoker", "logistic", binary=True, reports=("auc", "class_balance", "contingency", "fit_status")),
+                 "smoker", "logistic", binary=True, reports=("auc", "class_balance", "contingency", "fit_status", "sample_rows")),
     ],
     profile_cols=("c_acctbal", "c_mktsegment"),
 )
@@ -236,7 +236,7 @@ YOUTUBE = JobSpec(
     "youtube", channel_source, ["c_custkey"],
     [
         TaskSpec("youtube_reg", "regression", FeatureSpec(numeric=["views"], output="features_reg"), "subscribers",
-                 "linear", {"maxIter": 10, "predictionCol": "predicted_subscribers"}, reports=("train_summary",)),
+                 "linear", {"maxIter": 10, "predictionCol": "predicted_subscribers"}, reports=("train_summary", "sample_rows")),
         TaskSpec("youtube_clf", "classification",
                  FeatureSpec(numeric=["subscribers", "views", "views_per_subscriber"], output="features_clf"),
                  "country", "logistic", {"maxIter": 10, "predictionCol": "predicted_country"},
@@ -245,11 +245,13 @@ YOUTUBE = JobSpec(
                  FeatureSpec(numeric=["subscribers", "views", "views_per_subscriber"], output="features_cluster",
                              scale="zscore"),
                  None, "kmeans", {"k": 4, "maxIter": 20, "predictionCol": "cluster"}, fit_scope="all",
-                 eval_split="all", reports=("centers", "cluster_means")),
+                 eval_split="all", reports=("centers", "cluster_means"),
+                 where="subscribers > 1000 AND subscribers < 1e8 AND views < 1e10"),
     ],
     weights=(0.8, 0.2),
     profile_cols=("subscribers", "views", "views_per_subscriber", "country"),
     top_report=("subscribers", 10),
+    top_groups=("country", 10),
 )
 
 PRICE_REG = JobSpec(
@@ -283,7 +285,7 @@ def task_job(task_name: str) -> JobSpec:
     for job in JOBS + MORE_JOBS:
         for t in job.tasks:
             if t.name == task_name:
-                return replace(job, tasks=[t], report_split_sizes=False, profile_cols=(), top_report=None)
+                return replace(job, tasks=[t], report_split_sizes=False, profile_cols=(), top_report=None, top_groups=None)
     raise KeyError(task_name)
 
 
@@ -345,14 +347,23 @@ _CHANNEL_SQL = """
    AND c_nationkey IS NOT NULL)"""
 
 
+def _shown_sql(key: str) -> str:
+    """Sample rows (CTE ``shown`` of key, y and prediction p)."""
+    return " ".join(
+        f"UNION ALL SELECT 'test' AS split, 'sample_' || {key} || '_{what}' AS metric, {v} AS value FROM shown"
+        for what, v in (("actual", "y"), ("predicted", "p"), ("abs_error", "abs(y - p)"))
+    )
+
+
 def _youtube_reg_sql() -> str:
     src = hashed_sql(_CHANNEL_SQL, [("c_custkey", "bigint")])
     ctes = (
-        f"s AS (SELECT views AS x1, subscribers AS y, {unit_sql('_h')} AS u FROM {src}),\n"
+        f"s AS (SELECT c_custkey, views AS x1, subscribers AS y, {unit_sql('_h')} AS u FROM {src}),\n"
         f"tr AS (SELECT * FROM s WHERE u < {EDGE_80}), te AS (SELECT * FROM s WHERE u >= {EDGE_80}),\n"
         + ols_ctes("tr", ["x1"], "y")
     )
-    return _job_sql("youtube", ctes, _reg_metrics_sql("te", "tr", ["x1"]), task="youtube_reg")
+    ctes += f",\nshown AS (SELECT c_custkey, y, {ols_prediction(['x1'])} AS p FROM te, ols_b ORDER BY c_custkey LIMIT 10)"
+    return _job_sql("youtube", ctes, _reg_metrics_sql("te", "tr", ["x1"]), task="youtube_reg", more=_shown_sql("c_custkey"))
 
 
 _EVENTS_CLEAN_SQL = """
@@ -399,14 +410,12 @@ def _bike2_reg_sql() -> str:
         _events_parts("AND duration_sec <= 3600") + ols_ctes("tr", feats, "y")
         + ",\nbands AS (SELECT CASE WHEN x2 < 6 THEN '<6' WHEN x2 < 12 THEN '[6,12)' WHEN x2 < 18 THEN '[12,18)' "
         f"ELSE '>=18' END AS band, abs(y - {pred}) AS ae FROM te, ols_b),\n"
-        f"shown AS (SELECT event_id, y, {pred} AS p FROM te, ols_b ORDER BY event_id LIMIT 10)"
+        f"shown AS (SELECT event_id, y, {pred} AS p FROM {hashed_sql('te', [('event_id', 'bigint')], seed=43, out='_h2')}, ols_b ORDER BY _h2, event_id LIMIT 10)"
     )
     rows = _banded_reg_rows(feats, ["user_id", "hour", "day_of_week"], ["<6", "[6,12)", "[12,18)", ">=18"])
-    sample = " ".join(
-        f"UNION ALL SELECT 'test' AS split, 'sample_' || event_id || '_{what}' AS metric, {v} AS value FROM shown"
-        for what, v in (("actual", "y"), ("predicted", "p"), ("abs_error", "abs(y - p)"))
-    )
-    return _job_sql("bike2", ctes, rows, task="bike2_reg", more=sample)
+    # the events lie in one month, and the fit leaves a constant column out
+    rows += [("train", "coef_month", "SELECT CASE WHEN count(DISTINCT month(ts)) = 1 THEN 0::DOUBLE END FROM tr")]
+    return _job_sql("bike2", ctes, rows, task="bike2_reg", more=_shown_sql("event_id"))
 
 
 def _orders_reg_sql() -> str:
@@ -502,7 +511,7 @@ for _job in JOBS:
 
 
 # --- whole analyses: the parts with a closed form, taken from the whole run -------------------------------------------
-def _profile_sql(job: str, source: str, numeric: dict[str, str], text: dict[str, str], top: tuple[str, int, str] | None = None) -> str:
+def _profile_sql(job: str, source: str, numeric: dict[str, str], text: dict[str, str], top: tuple[str, int, str] | None = None, groups: tuple[str, int] | None = None) -> str:
     """Job-level reports on a cleaned source: ``numeric`` and ``text`` name the columns' expressions."""
     rows = [f"SELECT '{stat}_{c}' AS metric, CAST({f}({e}) AS DOUBLE) AS value FROM src"
             for c, e in numeric.items()
@@ -512,6 +521,9 @@ def _profile_sql(job: str, source: str, numeric: dict[str, str], text: dict[str,
     if top:
         col, n, key = top
         rows.append(f"SELECT 'top' || row_number() OVER (ORDER BY {col} DESC, {key}) || '_{col}_' || {key} AS metric, {col} AS value FROM src ORDER BY {col} DESC, {key} LIMIT {n}")
+    if groups:
+        col, n = groups
+        rows.append(f"SELECT 'top' || row_number() OVER (ORDER BY count(*) DESC, {col}) || '_n_{col}_' || {col} AS metric, count(*)::DOUBLE AS value FROM src GROUP BY {col} ORDER BY count(*) DESC, {col} LIMIT {n}")
     body = "\nUNION ALL ".join(f"({q})" for q in rows)
     return f"WITH src AS (SELECT * FROM {source}) SELECT '{job}' AS job, 'source' AS task, 'all' AS split, metric, {_sig_sql('value')} AS value FROM ({body})"
 
@@ -525,7 +537,7 @@ _WHOLE = {
     "youtube": (
         "youtube_reg", _youtube_reg_sql,
         _profile_sql("youtube", f"(SELECT *, views / subscribers AS views_per_subscriber FROM {_CHANNEL_SQL})",
-                     {c: c for c in ("subscribers", "views", "views_per_subscriber")}, {"country": "country"}, ("subscribers", 10, "c_custkey")),
+                     {c: c for c in ("subscribers", "views", "views_per_subscriber")}, {"country": "country"}, ("subscribers", 10, "c_custkey"), ("country", 10)),
     ),
 }
 

@@ -17,6 +17,7 @@ Plan shape, chosen for scale:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -26,8 +27,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.functions import band
+from tabml.functions import band, hash32
 from tabml.operators import evaluate as K
+from tabml.operators import fixed_point as P
+from tabml.operators import forest as W
 from tabml.operators import inspect as I
 from tabml.operators import models as M
 from tabml.operators.features import FeatureSpec, fit_features, label_indexer
@@ -40,7 +43,7 @@ SourceFn = Callable[[SparkSession, str], DataFrame]
 
 #: Reports a task can ask for.
 REPORTS = frozenset(
-    "silhouette wssse centers cluster_means train_summary coefficients label_stats banded auc class_balance train_accuracy contingency fit_status sample_rows".split()
+    "silhouette wssse centers cluster_means train_summary coefficients label_stats banded auc class_balance train_accuracy contingency fit_status sample_rows fit_check".split()
 )
 SAMPLE_ROWS = 10
 RESULT = "job string, task string, split string, metric string, value double"
@@ -65,6 +68,8 @@ class TaskSpec:
     band_bounds: Sequence[float] = ()
     binary: bool = False
     top_classes: int | None = None  # classification: keep only rows of the k most frequent classes
+    where: str | None = None  # SQL condition on the source's columns for this task alone (rows it does not hold for go)
+    sample: str = "first"  # the rows of the sample_rows report: first by key, or by "hash" of the key
 
 
 @dataclass(frozen=True)
@@ -84,6 +89,7 @@ class JobSpec:
     # count / mean / stddev / min / max of the cleaned source's columns (text columns: their count), one aggregate
     profile_cols: Sequence[str] = ()
     top_report: tuple[str, int] | None = None  # (column, n): the n rows with the largest values, by key
+    top_groups: tuple[str, int] | None = None  # (column, n): the n most frequent values and their counts
 
 
 def _estimator(task: TaskSpec, label_col: str):
@@ -139,6 +145,17 @@ class _Rows:
         return df
 
 
+#: A fit that its iteration limit stopped is held to these: the share of the cost that one more k-means step would gain,
+#: and the length of a Newton step of a logistic fit.  One that ended by itself is held to the estimator's tolerance, or
+#: to GRADIENT for a logistic fit, whose tolerance is on the loss.
+STEP_GAIN, NEWTON_STEP, GRADIENT = 1e-3, 0.1, 1e-5
+
+
+def _beyond(value: float, limit: float) -> float:
+    """``value`` where it is beyond the limit, else 0."""
+    return value if value > limit else 0.0
+
+
 def _first_row(df: DataFrame) -> dict:
     return df.collect()[0].asDict()  # one-row aggregate
 
@@ -148,16 +165,21 @@ def _skipped(spec: FeatureSpec, eval_df: DataFrame, n: int) -> dict:
     return {"rows_skipped": eval_df.count() - n if spec.handle_invalid == "skip" else 0}
 
 
-def _sample_rows(out: _Rows, split: str, scored: DataFrame, keys: Sequence[str], label: str, prediction: str) -> None:
-    """Label, prediction and absolute error of the first rows by key."""
+def _sampled(task: TaskSpec, job: JobSpec, scored: DataFrame) -> DataFrame:
+    """The rows that ``sample_rows`` lists, under their key."""
+    order = [hash32(job.keys, job.seed + 1)] if task.sample == "hash" else []
+    return scored.select(F.concat_ws("_", *[F.col(k) for k in job.keys]).alias("_key"), "*").orderBy(*order, *job.keys).limit(SAMPLE_ROWS)
+
+
+def _sample_rows(task: TaskSpec, job: JobSpec, out: _Rows, scored: DataFrame, label: str, prediction: str) -> None:
+    """Label, prediction and absolute error of the sampled rows."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    first = scored.select(F.concat_ws("_", *[F.col(k) for k in keys]).alias("key"), *keys, y.alias("y"), p.alias("p")).orderBy(*keys).limit(SAMPLE_ROWS)
-    long = first.select("key", F.col("y").alias("actual"), F.col("p").alias("predicted"), F.abs(F.col("y") - F.col("p")).alias("abs_error"))
-    long = long.unpivot(["key"], ["actual", "predicted", "abs_error"], "what", "v")
-    out.add_frame(split, long, F.concat(F.lit("sample_"), F.col("key"), F.lit("_"), F.col("what")), F.col("v"))
+    long = _sampled(task, job, scored).select("_key", y.alias("actual"), p.alias("predicted"), F.abs(y - p).alias("abs_error"))
+    long = long.unpivot(["_key"], ["actual", "predicted", "abs_error"], "what", "v")
+    out.add_frame(task.eval_split, long, F.concat(F.lit("sample_"), F.col("_key"), F.lit("_"), F.col("what")), F.col("v"))
 
 
-def _run_clustering(task: TaskSpec, fit_x: DataFrame, eval_x: DataFrame, eval_df: DataFrame, out: _Rows) -> None:
+def _run_clustering(task: TaskSpec, job: JobSpec, fit_x: DataFrame, eval_x: DataFrame, eval_df: DataFrame, out: _Rows) -> None:
     km = M.fit_on(_estimator(task, ""), fit_x)
     scored = km.transform(eval_x)
     pred = task.params.get("predictionCol", "prediction")
@@ -185,6 +207,15 @@ def _run_clustering(task: TaskSpec, fit_x: DataFrame, eval_x: DataFrame, eval_df
             for d, v in enumerate(c):
                 metrics[f"center_rank{rank[ci] + 1}_dim{d}"] = float(v)
     out.add(task.eval_split, metrics)
+    if "fit_check" in task.reports:
+        step = P.kmeans_step(km.transform(fit_x), task.features.output, pred, centers)
+        held = step["center_shift"] if (ended := bool(M.fit_status(km)["converged"])) else step["step_gain"]
+        step["residual"] = _beyond(held, km.getTol() if ended else STEP_GAIN)
+        out.add(task.fit_scope, step)
+    if "sample_rows" in task.reports:
+        ranks = F.array(*[F.lit(rank[c] + 1) for c in range(len(centers))])
+        rows = _sampled(task, job, scored).select("_key", F.get(ranks, F.col(pred).cast("int")).alias("r"))
+        out.add_frame(task.eval_split, rows, F.concat(F.lit("sample_"), F.col("_key"), F.lit("_rank")), F.col("r"))
     if task.profile_by:
         ranks = F.array(*[F.lit(rank[c] + 1) for c in range(len(centers))])
         table = scored.groupBy(F.get(ranks, F.col(pred).cast("int")).alias("r"), F.col(task.profile_by).cast("string").alias("v")).count()
@@ -218,12 +249,16 @@ def _run_regression(task: TaskSpec, job: JobSpec, model, scored: DataFrame, eval
         for r in rep:  # one row per band of the task
             out.add(task.eval_split, {f"mae_band_{r['band']}": r["avg_abs_error"], f"n_band_{r['band']}": r["count"]})
     if "sample_rows" in task.reports:
-        _sample_rows(out, task.eval_split, scored, job.keys, label_col, pred_col)
+        _sample_rows(task, job, out, scored, label_col, pred_col)
+    if "fit_check" in task.reports and task.estimator == "forest":
+        out.add(task.eval_split, _first_row(W.walk_check(scored, model, list(job.keys), pred_col)))
 
 
-def _run_classification(task: TaskSpec, model, labels: list[str], scored: DataFrame, eval_df: DataFrame, names: list[str], out: _Rows) -> None:
+def _run_classification(
+    task: TaskSpec, job: JobSpec, model, labels: list[str], fit_x: DataFrame, scored: DataFrame, eval_df: DataFrame, names: list[str], out: _Rows
+) -> None:
     label_col, pred_col = "label", task.params.get("predictionCol", "prediction")
-    auc = task.binary and "auc" in task.reports
+    whole, auc = scored, task.binary and "auc" in task.reports
     if auc:  # the rows are scored once for the confusion and the curve
         score = vector_to_array("probability")[1].alias("_score")
         scored = out.hold(scored.select(label_col, pred_col, score))
@@ -237,16 +272,30 @@ def _run_classification(task: TaskSpec, model, labels: list[str], scored: DataFr
         out.add(task.eval_split, {k: b[k] for k in ("tp", "tn", "fp", "fn", "precision", "recall", "f1")})
     if auc:
         out.add(task.eval_split, {"auc": K.area_under_roc(scored, label_col, "_score")})
-    named = F.array(*[F.lit(x) for x in labels])  # the indexer's own list
+    # class names by a table, not by a literal: there may be thousands
+    classes = fit_x.sparkSession.createDataFrame([(float(i), x) for i, x in enumerate(labels)], "_index double, _name string")
 
-    def name(c: str) -> Column:
-        return F.get(named, F.col(c).cast("int"))
+    def named(df: DataFrame, c: str, as_: str) -> DataFrame:
+        return df.join(classes.select(F.col("_index").alias(c), F.col("_name").alias(as_)), c, "left")
 
     if "contingency" in task.reports:
-        metric = F.concat(F.lit("n_actual_"), name("label"), F.lit("_predicted_"), name("prediction"))
-        out.add_frame(task.eval_split, conf, metric, F.col("count"))
+        pairs = named(named(conf, "label", "_actual"), "prediction", "_predicted")
+        out.add_frame(task.eval_split, pairs, F.concat(F.lit("n_actual_"), "_actual", F.lit("_predicted_"), "_predicted"), F.col("count"))
     if "class_balance" in task.reports:
-        out.add_frame(task.eval_split, conf.groupBy("label").agg(F.sum("count").alias("n")), F.concat(F.lit("n_label_"), name("label")), F.col("n"))
+        totals = named(conf.groupBy("label").agg(F.sum("count").alias("n")), "label", "_actual")
+        out.add_frame(task.eval_split, totals, F.concat(F.lit("n_label_"), "_actual"), F.col("n"))
+    if "sample_rows" in task.reports:  # 1 where the class is right
+        rows = _sampled(task, job, whole).select("_key", "label", F.col(pred_col).alias("prediction"))
+        rows = named(named(rows, "label", "_actual"), "prediction", "_predicted")
+        metric = F.concat(F.lit("sample_"), "_key", F.lit("_actual_"), "_actual", F.lit("_predicted_"), "_predicted")
+        out.add_frame(task.eval_split, rows, metric, (F.col("label") == F.col("prediction")).cast("int"))
+    if "fit_check" in task.reports and task.estimator == "forest":
+        out.add(task.eval_split, _first_row(W.walk_check(whole, model, list(job.keys), pred_col)))
+    if "fit_check" in task.reports and task.estimator == "logistic":
+        check = P.logistic_gradient(model.transform(fit_x), task.features.output, label_col, model.getProbabilityCol(), model.numClasses)
+        ended = bool(M.fit_status(model)["converged"])
+        check["residual"] = _beyond(check["gradient"], GRADIENT) if ended else _beyond(check["newton_step"], NEWTON_STEP)
+        out.add(task.fit_scope, check)
     if "train_accuracy" in task.reports and task.estimator == "logistic":
         out.add("train", {"accuracy": I.classification_summary(model)["accuracy"]})
     if "fit_status" in task.reports and task.estimator == "logistic":
@@ -261,6 +310,12 @@ def _run_task(job: JobSpec, task: TaskSpec, parts: dict, feature_cache: dict, di
     unknown = set(task.reports) - REPORTS
     if unknown:
         raise ValueError(f"unknown reports: {', '.join(sorted(unknown))}")
+    if task.sample not in ("first", "hash"):
+        raise ValueError(f"unknown sample {task.sample!r}")
+    if task.where:
+        kept = F.coalesce(F.expr(task.where), F.lit(False))
+        out.add(task.eval_split, {"rows_trimmed": parts[task.eval_split].agg(F.count_if(~kept)).first()[0]})
+        parts = {name: df.filter(kept) for name, df in parts.items()}
     if task.top_classes:  # a k-row table, the same for every part
         top = top_k_groups(parts["all"].filter(F.col(task.target).isNotNull()), task.target, task.top_classes).select(task.target)
         parts = {name: df.join(top, task.target, "left_semi") for name, df in parts.items()}
@@ -270,7 +325,7 @@ def _run_task(job: JobSpec, task: TaskSpec, parts: dict, feature_cache: dict, di
     feature_df = parts["all"] if feature_scope == "all" else parts["train"]
 
     # Feature model: fitted once per (features, scope) within a job, on that part only.
-    fkey = (task.features, feature_scope, task.top_classes and (task.target, task.top_classes))
+    fkey = (task.features, feature_scope, task.where, task.top_classes and (task.target, task.top_classes))
     if fkey not in feature_cache:
         feature_cache[fkey] = fit_features(task.features, feature_df)
     fmodel: PipelineModel = feature_cache[fkey]
@@ -278,7 +333,7 @@ def _run_task(job: JobSpec, task: TaskSpec, parts: dict, feature_cache: dict, di
     eval_x = fmodel.transform(eval_df)
 
     if task.kind == "clustering":
-        _run_clustering(task, fit_x, eval_x, eval_df, out)
+        _run_clustering(task, job, fit_x, eval_x, eval_df, out)
         return out
 
     label_col, labels = "label", []
@@ -296,7 +351,7 @@ def _run_task(job: JobSpec, task: TaskSpec, parts: dict, feature_cache: dict, di
     if task.kind == "regression":
         _run_regression(task, job, model, scored, eval_df, parts["all"], names, out)
     else:
-        _run_classification(task, model, labels, scored, eval_df, names, out)
+        _run_classification(task, job, model, labels, fit_x, scored, eval_df, names, out)
     return out
 
 
@@ -320,13 +375,18 @@ def _job_reports(job: JobSpec, src: DataFrame, digits: int | None) -> _Rows:
         best = src.select(F.concat_ws("_", *[F.col(k) for k in job.keys]).alias("key"), *job.keys, c).orderBy(F.desc(c), *job.keys).limit(n)
         for i, r in enumerate(best.collect()):  # n rows
             out.add("all", {f"top{i + 1}_{c}_{r['key']}": r[c]})
+    if job.top_groups:
+        c, n = job.top_groups
+        for i, r in enumerate(top_k_groups(src, c, n).collect()):  # n rows
+            out.add("all", {f"top{i + 1}_n_{c}_{'NULL' if r[c] is None else r[c]}": r["count"]})
     return out
 
 
 def used_columns(job: JobSpec) -> set[str]:
-    """Columns of the source that the job reads."""
-    used = {*job.keys, *job.profile_cols} | ({job.top_report[0]} if job.top_report else set())
+    """Columns of the source that the job reads (of a task's condition: every name in it)."""
+    used = {*job.keys, *job.profile_cols} | {report[0] for report in (job.top_report, job.top_groups) if report}
     for t in job.tasks:
+        used |= set(re.findall(r"`([^`]+)`", t.where or "")) | set(re.findall(r"\w+", t.where or ""))
         used |= {*t.features.numeric, *t.features.one_hot, *t.features.indexed} | {c for c in (t.target, t.band_col, t.profile_by) if c}
     return used
 
