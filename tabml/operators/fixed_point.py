@@ -48,7 +48,7 @@ def kmeans_step(df: DataFrame, features: str, prediction: str, centers: Sequence
         "off_nearest": sum(r.off for r in got),
         "center_shift": float(np.sqrt(moved.max())),
         "step_gain": float((n * moved).sum() / cost) if cost > 0 else 0.0,
-        "total_ss": float(within + between),
+        "total_ss": float(f"{within + between:.12g}"),  # sums over clusters round in their own order
     }
 
 
@@ -64,17 +64,18 @@ def logistic_gradient(scored: DataFrame, features: str, label: str, probability:
     sums = []
     for k in classes:
         q, y = F.get("_p", F.lit(k)), (F.col("_y") == k).cast("double")
+        some = lambda weight: F.greatest(weight, F.lit(1e-300))  # noqa: E731 — a summary of no weight at all is an error
         sums += [
-            Summarizer.metrics("sum", "normL2").summary(x, q * (1 - q)).alias(f"h{k}"),
-            Summarizer.metrics("sum").summary(x, q).alias(f"p{k}"),
-            Summarizer.metrics("sum").summary(x, y).alias(f"y{k}"),
+            Summarizer.metrics("sum", "normL2").summary(x, some(q * (1 - q))).alias(f"h{k}"),
+            Summarizer.metrics("sum").summary(x, some(q)).alias(f"p{k}"),
+            Summarizer.metrics("sum").summary(x, some(y)).alias(f"y{k}"),
             F.sum(q * (1 - q)).alias(f"weight{k}"),
             F.sum(q - y).alias(f"excess{k}"),
         ]
-    r = rows.agg(total, *sums).first()
-    n = r["all"]["count"]
-    if not n:
+    r = rows.groupBy(F.lit(1).alias("_one")).agg(total, *sums).first()  # grouped: no rows give no summary
+    if r is None:
         return {"gradient": 0.0, "newton_step": 0.0}
+    n = r["all"]["count"]
     std = np.sqrt(r["all"]["variance"].toArray())
     std[std == 0] = np.inf  # a constant feature is left out by the fit
     worst, step = 0.0, 0.0

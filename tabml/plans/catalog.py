@@ -39,6 +39,7 @@ def load_all() -> None:
         evaluate_queries,
         exact_job_queries,
         feature_queries,
+        fit_check_queries,
         job_queries,
         model_queries,
         relational_queries,

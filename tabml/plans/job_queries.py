@@ -175,7 +175,7 @@ BIKE2 = JobSpec(
                  reports=("centers",)),
         TaskSpec("bike2_reg", "regression",
                  FeatureSpec(numeric=["user_id", "hour", "day_of_week", "month"], output="reg_features"), "duration_sec",
-                 "linear", {"maxIter": 10}, reports=("coefficients", "label_stats", "banded", "sample_rows"),
+                 "linear", {"maxIter": 10, "tol": 1e-12}, reports=("coefficients", "label_stats", "banded", "sample_rows"),
                  band_col="hour", band_bounds=(6, 12, 18), sample="hash"),
     ],
     profile_cols=("user_id", "duration_sec", "hour", "is_click"),

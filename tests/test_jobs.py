@@ -317,3 +317,57 @@ def test_sparse_cluster_report_does_not_expand_rows(spark):
     w = K.wssse(v, "features", "prediction", centers).first()
     want = sum(x * x for x in (i % 3 for i in range(20_000))) + sum(1 for i in range(20_000) if (i % 10_000) != 9_999)
     assert w.n == 20_000 and abs(w.wssse - want) < 3
+
+
+def test_a_condition_of_one_task_leaves_the_others_alone(spark):
+    from dataclasses import replace
+
+    job = JOB_BY_NAME["youtube"]
+    rows = run_job(spark, job, SF_SMALL).collect()
+    clu = {r.metric: r.value for r in rows if r.task == "youtube_clu"}
+    source = job.source(spark, SF_SMALL)
+    kept = source.filter("subscribers > 1000 AND subscribers < 1e8 AND views < 1e10").count()
+    assert clu["rows_trimmed"] == source.count() - kept > 0
+    assert sum(v for k, v in clu.items() if k.startswith("size_rank")) == kept
+    assert not any(r.metric == "rows_trimmed" for r in rows if r.task != "youtube_clu")
+    none = replace(task_job("youtube_clu"), tasks=[replace(task_job("youtube_clu").tasks[0], where="subscribers > NULL OR `views` > 5")])
+    got = {r.metric: r.value for r in run_job(spark, none, SF_SMALL).collect()}
+    assert got["rows_trimmed"] == source.filter("views <= 5").count()  # a condition that is NULL does not hold
+
+
+def test_top_groups_of_a_job(spark):
+    job = JOB_BY_NAME["youtube"]
+    got = [(r.metric, r.value) for r in run_job(spark, job, SF_SMALL).collect() if "_n_country_" in r.metric and r.task == "source"]
+    want = job.source(spark, SF_SMALL).groupBy("country").count().orderBy("count", ascending=False).collect()
+    assert len(got) == min(10, len(want)) and got[0][1] == want[0]["count"]
+    assert [v for _, v in got] == sorted((v for _, v in got), reverse=True)
+
+
+@pytest.mark.parametrize("task, prefix", [("iris_clf", "sample_"), ("iris_clu", "sample_"), ("medical_clf", "sample_"), ("cars_clf", "sample_")])
+def test_samples_of_classes_and_clusters(spark, task, prefix):
+    sample = [(r.metric, r.value) for r in run_job(spark, task_job(task), SF_SMALL).collect() if r.metric.startswith(prefix)]
+    assert len(sample) == 10
+    for k, v in sample:
+        if "_actual_" in k:
+            actual, predicted = k.split("_actual_")[1].split("_predicted_")
+            assert v == float(actual == predicted)
+        else:
+            assert k.endswith("_rank") and v in (1, 2, 3)
+
+
+def test_unknown_sample_is_an_error(spark):
+    from dataclasses import replace
+
+    job = task_job("iris_clf")
+    with pytest.raises(ValueError):
+        run_job(spark, replace(job, tasks=[replace(job.tasks[0], sample="random")]), SF_SMALL)
+
+
+def test_fit_check_tells_a_stopped_fit(spark):
+    from dataclasses import replace
+
+    job = task_job("medical_clf")
+    for max_iter, ok in ((100, True), (1, False)):
+        t = replace(job.tasks[0], params={"maxIter": max_iter}, reports=("fit_check", "fit_status"))
+        m = _metrics(run_job(spark, replace(job, tasks=[t]), SF_SMALL))
+        assert m[("train", "converged")] == float(ok) and (m[("train", "gradient")] < 1e-5) == ok
