@@ -10,7 +10,8 @@ shuffle), instead of one job per metric as with repeated ``Evaluator.evaluate``
                                 definitions as Spark's multiclass evaluator).
 * ``binary_metrics`` / ``binary_from_confusion``
                               — TP/TN/FP/FN and positive-class accuracy / precision / recall / F1, zero-guarded.
-* ``area_under_roc``          — AUC, exact by default (Spark's binary evaluator with ``numBins=0``).
+* ``roc_area`` / ``area_under_roc``
+                              — exact AUC by prefix sums over ranges of scores (Spark's evaluator only where binned).
 * ``silhouette``              — squared-Euclidean silhouette (Spark's clustering evaluator).
 * ``wssse`` / ``cluster_profile``
                               — squared distances to given centres from per-cluster moments; per cluster: size,
@@ -25,8 +26,9 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,12 +162,34 @@ def binary_from_confusion(conf: DataFrame, positive: float = 1.0) -> DataFrame:
     return _binary_from_counts(counts)
 
 
+def roc_area(df: DataFrame, label: str, score: str, ranges: int | None = None) -> DataFrame:
+    """(n_pos, n_neg, auc): exact area under the ROC curve as a plan, ties counted one half (Mann-Whitney).
+
+    Rows are counted by distinct score (a hot score is one row); sketched quantiles cut the scores into ranges, each range
+    is summed in order by one task, and what lies below a range is a sum over the ranges.  One label only: 0 without
+    positives, 1 without negatives; no rows: NULL.  NULL scores are left out."""
+    n_ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select((F.col(label).cast("double") > 0.5).alias("_pos"), F.col(score).cast("double").alias("_s")).filter("_s IS NOT NULL")
+    cuts = rows.agg(F.percentile_approx("_s", F.lit([i / n_ranges for i in range(1, n_ranges)] or [0.5]), 10_000)).first()[0] or []
+    edges = sorted({c for c in cuts if c == c and abs(c) != float("inf")}) or [0.0]
+    cut = Bucketizer(splits=[float("-inf"), *edges, float("inf")], inputCol="_s", outputCol="_range", handleInvalid="keep")
+    by_score = rows.groupBy("_s").agg(F.count_if("_pos").alias("p"), F.count_if(~F.col("_pos")).alias("q"))
+    placed = cut.transform(by_score).select(F.col("_range").cast("int").alias("_range"), "_s", "p", "q")  # NaN: a range after all
+    before = Window.partitionBy("_range").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("q").over(before), F.lit(0))
+    part = placed.select("_range", "p", "q", (F.col("p") * (below + F.col("q") / 2)).alias("won"))
+    part = part.groupBy("_range").agg(F.sum("p").alias("p"), F.sum("q").alias("q"), F.sum("won").alias("won"))
+    earlier = F.coalesce(F.sum("q").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each range
+    total = part.select("p", "q", (F.col("won") + F.col("p") * earlier).alias("won")).agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"), F.sum("won").alias("won"))
+    area = F.when(F.col("n_pos") == 0, 0.0).when(F.col("n_neg") == 0, 1.0).otherwise(F.col("won") / F.col("n_pos").cast("double") / F.col("n_neg"))
+    return total.select(F.coalesce("n_pos", F.lit(0)).alias("n_pos"), F.coalesce("n_neg", F.lit(0)).alias("n_neg"), area.alias("auc"))
+
+
 def area_under_roc(df: DataFrame, label: str, score: str, num_bins: int = 0) -> float:
-    """Area under the ROC curve.  Scores are grouped by distinct value and range-sorted across the cluster by
-    Spark's evaluator.  ``num_bins=0`` (default) keeps every distinct score, so the area is exact; ties count
-    one half, as in the Mann-Whitney statistic.  A positive ``num_bins`` down-samples the curve to about that
-    many points (the evaluator's own default is 1000), which bounds the curve when there are billions of
-    distinct scores, at the cost of a small approximation."""
+    """Area under the ROC curve.  ``num_bins=0`` (default) is exact: ``roc_area``.  A positive ``num_bins`` is Spark's
+    evaluator with the curve down-sampled to about that many points (its own default is 1000)."""
+    if num_bins == 0:
+        return roc_area(df, label, score).first()["auc"]
     ev = BinaryClassificationEvaluator(
         labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=num_bins
     )

@@ -56,6 +56,35 @@ def string_indexer(
     )
 
 
+def level_table(df: DataFrame, c: str) -> DataFrame:
+    """(level, index) by descending frequency, equal counts by value: ``StringIndexer``'s order for a column of any
+    cardinality.  Levels are ranked by a range sort and never reach the driver; NULL is no level."""
+    from tabml.operators.ranking import global_rank
+    from tabml.operators.relational import col
+
+    counts = df.groupBy(col(c).cast("string").alias("level")).agg(F.count("*").alias("_count")).filter("level IS NOT NULL")
+    return global_rank(counts, [F.desc("_count"), F.asc("level")], "index").select("level", F.col("index").cast("double").alias("index"))
+
+
+def index_by_table(df: DataFrame, c: str, levels: DataFrame, handle_invalid: str = "error", suffix: str = "_index") -> DataFrame:
+    """``df`` with the index of column ``c`` from a level table, by a join that adaptive execution can broadcast or split.
+
+    NULL and unseen values: an error when the row is computed, or ``skip`` drops them, or ``keep`` gives them the next index."""
+    from tabml.operators.relational import col
+
+    if handle_invalid not in ("error", "skip", "keep"):
+        raise ValueError(f"unknown handle_invalid {handle_invalid!r}")
+    out, key = c + suffix, col(c).cast("string")
+    joined = df.join(levels.select(F.col("level").alias("_level"), F.col("index").alias(out)), key == F.col("_level"), "inner" if handle_invalid == "skip" else "left").drop("_level")
+    if handle_invalid == "error":
+        bad = F.raise_error(F.concat(F.lit(f"unseen or NULL level in {c}: "), F.coalesce(key, F.lit("NULL")))).cast("double")
+        joined = joined.withColumn(out, F.coalesce(col(out), bad))
+    elif handle_invalid == "keep":
+        size = levels.agg(F.count(F.lit(1)).cast("double").alias("_size"))  # one row
+        joined = joined.crossJoin(F.broadcast(size)).withColumn(out, F.coalesce(col(out), F.col("_size"))).drop("_size")
+    return joined
+
+
 def label_indexer(col: str, out: str = "label", handle_invalid: str = "error") -> StringIndexer:
     return StringIndexer(inputCol=col, outputCol=out, handleInvalid=handle_invalid)
 

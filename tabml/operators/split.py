@@ -76,3 +76,25 @@ def split(
     if mode == "random":
         return random_split(df, weights, seed)
     raise ValueError(f"unknown split mode {mode!r}")
+
+
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row (rows, sum, xor) that tells a multiset of rows whatever their order and partitions: counts, sums and xors of
+    two 64-bit hashes.  Parts of a table cover it exactly when their rows and sums add up, and their xors combine, to its own."""
+    columns = list(columns or df.columns)
+    a, b = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    total = [F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)") for h in (a, b)]
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.array(*total).alias("sums"), F.array(*[F.coalesce(F.bit_xor(h), F.lit(0)) for h in (a, b)]).alias("xors"))
+
+
+def covers(parts: Sequence[DataFrame], whole: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row: ``rows`` of the parts together, and whether they are the rows of ``whole``, each once."""
+    each = None
+    for part in parts:
+        f = fingerprint(part, columns)
+        each = f if each is None else each.unionByName(f)
+    sums = [F.sum(F.col("sums")[i]).cast("decimal(38,0)") for i in (0, 1)]
+    found = each.agg(F.sum("rows").alias("rows"), F.array(*sums).alias("sums"), F.array(*[F.bit_xor(F.col("xors")[i]) for i in (0, 1)]).alias("xors"))
+    want = fingerprint(whole, columns).select(F.struct("*").alias("want"))
+    same = F.struct("rows", "sums", "xors") == F.col("want")
+    return found.crossJoin(want).select("rows", same.alias("covered"))  # one row each

@@ -43,4 +43,5 @@ def load_all() -> None:
         job_queries,
         model_queries,
         relational_queries,
+        scale_queries,
     )
