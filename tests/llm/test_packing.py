@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabml.llm import packing
@@ -84,12 +85,25 @@ def test_knapsack_is_exact():
         assert abs(sum(worth[n] * c for n, c in got.items()) - best) < 1e-9
 
 
-def test_weighted_rounds_alone_fill_sequences():
+def test_the_fractional_solution_covers_no_more_than_there_is_and_its_bound_holds():
     rng = random.Random(5)
-    hist = dict(Counter(rng.randint(5, 60) for _ in range(20_000)))
-    plan, left = packing.weighted_rounds(hist, 100, 40, 64, 0.5, 0)
-    assert sum(left.values()) < 0.2 * 20_000
-    assert sum(t * sum(n * k for n, k in c.items()) for c, t in plan) > 0.99 * 100 * sum(t for _, t in plan)
+    for hist in (dict(Counter(rng.randint(5, 60) for _ in range(20_000))), {7: 1000}, {60: 500, 41: 300, 39: 10}, dict(Counter(rng.randint(1, 100) for _ in range(5000)))):
+        found = packing.fractional(hist, 100)
+        used = Counter()
+        for column, weight in found.weights.items():
+            assert weight > 0 and sum(n * c for n, c in column) <= 100
+            for n, c in column:
+                used[n] += c * weight
+        assert found.weights and all(used[n] <= k * (1 + 1e-9) for n, k in hist.items())
+        plain = sum(t for _, t in packing.best_fit(hist, 100))
+        best = sum(t for _, t in packing.solve(hist, 100))
+        assert found.bound <= best + 1e-6 and found.bound <= plain + 1e-6 and best <= 1.001 * plain + 1
+        assert found.bound >= sum(n * k for n, k in hist.items()) / 100 - 1e-6 or len(hist) < 4
+
+
+def test_the_bound_sees_more_than_the_volume():
+    assert packing.fractional({60: 500}, 100).bound > 499  # no two fit: 300 by volume
+    assert sum(t for _, t in packing.solve({60: 500}, 100)) == 500
 
 
 def test_empty_table_null_ids_and_small_cache(spark, docs_of):
@@ -97,6 +111,10 @@ def test_empty_table_null_ids_and_small_cache(spark, docs_of):
     rows = packing.pack_documents(df, tokenizer_path()).collect()
     assert len(rows) == 2 and check_places(rows, 4096) == 1
     assert packing.pack_documents(df.limit(0), tokenizer_path()).count() == 0
-    small, large = (packing.WordIds(packing.word_ids(tokenizer_path()).tokenizer, limit) for limit in (5, 10**6))
+    small, large = (packing.WordIds(packing.word_ids(tokenizer_path(), limit).tokenizer, limit) for limit in (5, 10**6))
     texts = [f"w{i % 7} the x{i}." for i in range(300)]
-    assert list(small.encode(texts)) == list(large.encode(texts))
+    for at in range(0, 300, 10):
+        ids, places = small.encode(pa.array(texts[at : at + 10]))
+        want, same = large.encode(pa.array(texts[at : at + 10]))
+        assert ids.tolist() == want.tolist() and places.tolist() == same.tolist()
+    assert len(small.old) < 60 < len(large.young)
