@@ -2,8 +2,10 @@
 
 Each text is scanned once (Arrow batches, nothing of it is shuffled); its candidates are kept with a hash of the secret.
 Candidate hashes are then aggregated over the corpus by distinct owners and repositories: a value that several owners have
-in more than a few repositories, or that very many repositories have under whatever owners, is a widely copied example; any
-other that looks random is a live-looking credential.
+in more than a few repositories is a widely copied example, and so is one that very many repositories have whose owner is
+unknown, no owner in particular (a hot source that holds a large share of all rows) or not the only one.  What one known
+owner has, in however many repositories, is specific to that owner: like any other that looks random it is a live-looking
+credential.
 
 Base spans (assignments, access keys, hexadecimal keys) are always reported.  The method adds ``token`` spans (mixed
 random-looking strings) and ``pem`` spans (private key blocks) where the ownership says they are live.
@@ -86,41 +88,53 @@ def _scanned(df: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col
     return written(rows.mapInArrow(_scan, f"id bigint, owner string, repo string, a bigint, b bigint, found array<{CANDIDATE}>"), "secrets")
 
 
-def ownership(scanned: DataFrame) -> DataFrame:
-    """(hash, owners, repos): distinct owners and repositories of each candidate over the corpus."""
+def hot_owners(scanned: DataFrame, share: float, rows: int) -> list[str]:
+    """Owners that hold more than ``share`` of all rows and at least ``rows``: at most 1 / share of them."""
+    sizes = scanned.groupBy("owner").agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    return [r.owner for r in sizes.filter((F.col("n") > share * total) & (F.col("n") >= rows)).collect()]
+
+
+def ownership(scanned: DataFrame, unspecific: list[str] | None = None) -> DataFrame:
+    """(hash, owners, repos, specific): distinct owners and repositories of each candidate over the corpus, and how many
+    of the owners are known and none of ``unspecific``."""
     held = scanned.select("owner", "repo", F.explode("found.hash").alias("hash")).distinct()
-    return held.groupBy("hash").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"))
+    known = F.when((F.col("owner") != "") & ~F.col("owner").isin(unspecific or [""]), F.col("owner"))
+    return held.groupBy("hash").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"), F.count_distinct(known).alias("specific"))
 
 
-def _spans(scanned: DataFrame, max_owners: int, max_repos: int, many_repos: int) -> DataFrame:
+def _spans(scanned: DataFrame, max_owners: int, max_repos: int, many_repos: int, hot_share: float, hot_rows: int) -> DataFrame:
     """(a, b, spans): by text, the sorted spans that hold, each with ``label``."""
     held = scanned.select("a", "b", F.explode("found").alias("c")).distinct()
-    common = written(ownership(scanned), "owners")
+    common = written(ownership(scanned, hot_owners(scanned, hot_share, hot_rows)), "owners")
     joined = held.select("a", "b", "c", F.col("c.hash").alias("hash")).join(common, "hash")
-    copied = (F.col("owners") > max_owners) & (F.col("repos") > max_repos) | (F.col("repos") > many_repos)
+    one_owner = (F.col("owners") == 1) & (F.col("specific") == 1)
+    copied = (F.col("owners") > max_owners) & (F.col("repos") > max_repos) | (F.col("repos") > many_repos) & ~one_owner
     label = F.when(copied, "example").when(F.col("c.random") | (F.col("c.kind") >= 3), "live").otherwise("weak")
     stays = (F.col("c.kind") < 3) | ~copied
     spans = F.sort_array(F.collect_list(F.struct("c.start", "c.kind", "c.stop", label.alias("label"))))
     return joined.filter(stays).groupBy("a", "b").agg(spans.alias("spans"))
 
 
-def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, max_repos: int = 4, many_repos: int = 10) -> DataFrame:
+def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, max_repos: int = 4, many_repos: int = 10, hot_share: float = 0.2, hot_rows: int = 1000) -> DataFrame:
     """One row per row of ``df``: id and ``spans``, an array of (start, kind, stop, label) sorted by start, then kind.
 
     ``kind`` indexes ``KINDS``; offsets are code points, the end exclusive; the span is the whole match.  ``label`` is
     ``example`` where more than ``max_owners`` owners hold the same secret in more than ``max_repos`` repositories, or
-    more than ``many_repos`` repositories do under any owners; else ``live`` where it looks random, else ``weak``.  Method spans that are examples are left out; base spans always stay.  Null and empty texts have no
-    spans; a null owner or repository is one of its own; repeated rows are reported each; an empty table gives no row;
-    other columns are not looked at.
+    more than ``many_repos`` repositories do, unless all are of one owner that is known and no hot one (more than
+    ``hot_share`` of all rows, at least ``hot_rows``); else ``live`` where it looks random, else ``weak``.  Method spans
+    that are examples are left out; base spans always stay.  Null and empty texts have no spans; texts of any length are
+    scanned whole, a row at a time; a null owner or repository is one of its own; repeated rows are reported each; an
+    empty table gives no row; other columns are not looked at.
     """
     scanned = _scanned(df, id_col, text_col, owner_col, repo_col)
-    spans = written(_spans(scanned, max_owners, max_repos, many_repos), "spans")
+    spans = written(_spans(scanned, max_owners, max_repos, many_repos, hot_share, hot_rows), "spans")
     joined = scanned.join(spans, ["a", "b"], "left")
     none = F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,label:string>>")
     return joined.select(F.col("id").alias(id_col), F.coalesce("spans", none).alias("spans"))
 
 
-def redact_secrets(df: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, mask: str = "[SECRET]", max_repos: int = 4, many_repos: int = 10, labels: tuple[str, ...] = ("live",)) -> DataFrame:
+def redact_secrets(df: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, mask: str = "[SECRET]", max_repos: int = 4, many_repos: int = 10, labels: tuple[str, ...] = ("live",), hot_share: float = 0.2, hot_rows: int = 1000) -> DataFrame:
     """All rows and columns of ``df``; in the text the spans with one of ``labels`` are replaced by ``mask`` (overlapping spans by one).
 
     An access key is a credential by its form, so among ``live`` ones it counts unless it is an example; other examples
@@ -129,7 +143,7 @@ def redact_secrets(df: DataFrame, text_col: str = "text", owner_col: str = "sour
     scanned = _scanned(df, repo_col, text_col, owner_col, repo_col)
     wanted = F.filter("spans", lambda s: s.label.isin(*labels) | F.lit("live" in labels) & (s.kind == KINDS.index("access")) & (s.label == "weak"))
     edges = F.array_join(F.transform(wanted, lambda s: F.concat_ws(":", s.start, s.stop)), ",")
-    spans = written(_spans(scanned, max_owners, max_repos, many_repos).select("a", "b", edges.alias("edges")).filter("edges <> ''"), "spans")
+    spans = written(_spans(scanned, max_owners, max_repos, many_repos, hot_share, hot_rows).select("a", "b", edges.alias("edges")).filter("edges <> ''"), "spans")
     keyed = pack(df, text=text_col)
     key = text_key(empty_if_null(F.col("text")))
     joined = keyed.select("row", "text", key["a"].alias("a"), key["b"].alias("b")).join(spans, ["a", "b"], "left")
