@@ -1,7 +1,8 @@
 """Main text of web pages by two-pass block rules.
 
 Pass 1 decides each block by itself: boilerplate containers (navigation, headers, footers, sidebars, forms, notices,
-adverts, comments) are bad; blocks of the article container are good unless they are links for the most part: several
+adverts, comments, by element, role or a name of such words alone) are bad; a boilerplate word within a longer name is only
+a suspicion, against which long prose without links wins; blocks of the article container are good unless they are links for the most part: several
 links are bad, a single one stays open; elsewhere length, link density and stop-word density decide, and short or
 half-dense blocks stay open.  Pass 2 gives open blocks the label of the nearest decided blocks (of the article, for the
 article's): good only if both sides, or the only side, are good; headings look forward.
@@ -31,13 +32,17 @@ STOP_WORDS = frozenset(
     """.split()
 )
 #: Elements without text of their own.
-RAW = frozenset("script style noscript template textarea svg math iframe object select canvas audio video title".split())
+RAW = frozenset("script style noscript template textarea svg math iframe object select canvas audio video title button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-BOILERPLATE = frozenset("nav header footer aside form menu dialog button head".split())
+BOILERPLATE = frozenset("nav footer menu head".split())
+#: Boilerplate too, unless the page's article is inside.
+ENCLOSING = frozenset("header aside form dialog".split())
+#: Raw elements that can hold others of their name, and those that may end in their own tag.
+NESTED, FOREIGN = frozenset("template svg math object".split()), frozenset("svg math".split())
 BOILERPLATE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar".split())
 ARTICLE = frozenset("article main".split())
 #: Words of a class or id that name boilerplate.
@@ -50,11 +55,20 @@ BOILERPLATE_NAME = frozenset(
 )
 #: Of these, what names other texts than the page's own, also where they are articles.
 OTHER_NAME = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments commentlist disqus respond reply replies related recommended recommendations".split())
+#: Words that leave a name's meaning as it is: with boilerplate words and these alone a name names boilerplate outright.
+GENERIC = frozenset(
+    """
+    area bar block bottom box col column container footer form group header heading holder inner item items left line link links list menu meta module outer
+    panel reader region right row section slot thread title top unit user wrap wrapper zone
+    """.split()
+)
+#: Words that do so only beside those for other texts ("comment-content"): alone they may name the page's own.
+GENERIC_OTHER = frozenset("body content main post posts text".split())
 #: A class with one of these tells the state of a container ("no-sidebar", "has-comments"), not what it is.
 STATE = frozenset("no not has have with without free".split())
 MAIN_ID = frozenset("main content main-content maincontent main_content".split())
 NONE, ARTICLE_PART, MAIN_PART = range(3)  # what of the page's content an element is
-LOOSE, NAMED, OTHER = range(3)  # a boilerplate word within a longer name, as the whole name, a name of other texts
+LOOSE, NAMED, OTHER = range(3)  # a boilerplate word within a longer name (a suspicion), as the whole name, a name of other texts
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -73,22 +87,22 @@ LOW_STOPS, HIGH_STOPS = 0.15, 0.30
 
 
 class Block:
-    __slots__ = ("text", "link_chars", "links", "heading", "bad", "mark", "article", "listed", "good")
+    __slots__ = ("text", "link_chars", "links", "heading", "bad", "mark", "article", "listed", "good", "suspect")
 
     def __init__(self, text: str, link_chars: int, links: int, heading: bool, bad: bool, mark: Mark | None, article: bool, listed: bool) -> None:
         self.text, self.link_chars, self.links, self.heading = text, link_chars, links, heading
-        self.bad, self.mark, self.article, self.listed, self.good = bad, mark, article, listed, None
+        self.bad, self.mark, self.article, self.listed, self.good, self.suspect = bad, mark, article, listed, None, False
 
 
 class Mark:
     """A container that its class or id calls boilerplate; an article or main inside may clear it."""
 
-    __slots__ = ("level", "parent", "named", "mains", "holds", "clear", "bad")
+    __slots__ = ("level", "parent", "named", "mains", "holds", "clear", "bad", "suspect")
 
     def __init__(self, level: int, parent: Mark | None, mains: int) -> None:
         self.level, self.parent, self.mains = level, parent, mains
         self.named = level != LOOSE or parent is not None and parent.named
-        self.holds, self.clear, self.bad = NONE, False, True
+        self.holds, self.clear, self.bad, self.suspect = NONE, False, True, False
 
 
 def _names(named: str) -> tuple[set[str], int | None]:
@@ -101,8 +115,9 @@ def _names(named: str) -> tuple[set[str], int | None]:
         whole = name.lower().replace("-", "").replace("_", "")
         found = (own | {whole}) & BOILERPLATE_NAME
         if found:
-            exact = whole in found or own <= BOILERPLATE_NAME or all(w in BOILERPLATE_NAME or w.isdigit() for w in own)
-            level = max(level or LOOSE, OTHER if found & OTHER_NAME else NAMED if exact else LOOSE)
+            generic = GENERIC | GENERIC_OTHER if found & OTHER_NAME else GENERIC
+            exact = whole in found or all(w in BOILERPLATE_NAME or w in generic or w.isdigit() for w in own)
+            level = max(level or LOOSE, LOOSE if not exact else OTHER if found & OTHER_NAME else NAMED)
         words |= own | {whole}
     return words, level
 
@@ -117,6 +132,8 @@ def _kind(name: str, attrs: str, in_article: bool) -> tuple[bool, int | None, in
         found.setdefault(k.lower(), a or b or c)
     if "hidden" in found or NOT_SHOWN.search(found.get("style", "")) or found.get("aria-hidden") == "true" or found.get("role", "").lower() in BOILERPLATE_ROLE:
         return True, None, NONE
+    if name in ENCLOSING and not own_header:
+        return False, NAMED, NONE
     if name not in ("html", "body") and not own_header:
         words, level = _names(f"{found.get('class', '')} {found.get('id', '')}")
         if name == "main" or found.get("role") == "main":
@@ -160,7 +177,8 @@ def blocks_of(page: str) -> list[Block]:
             if whole:
                 _, bad, mark, article, _ = stack[-1] if stack else NO_ELEMENT
                 listed = any(s[0] in ("ul", "ol", "menu") for s in stack[-4:])
-                bad |= open_names["header"] > 0 and not heading  # of an article's own header, the headings
+                if open_names["header"] and not heading:  # of an article's own header, the headings
+                    bad |= any(s[0] == "header" and k and stack[k - 1][3] for k, s in enumerate(stack))
                 blocks.append(Block(whole, link_chars, links, heading, bad, mark, article, listed))
             parts.clear()
         link_chars, links = 0, 1 if link_from is not None else 0
@@ -193,6 +211,14 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in BLOCK:
             flush()
+        if name in FOREIGN and m["attrs"].endswith("/"):
+            continue
+        if name in NESTED and name not in unclosed:
+            at = _past(page, at, name)
+            if at < 0:
+                unclosed.add(name)
+                at = m.end()
+            continue
         if name in RAW:
             closing = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             if closing is None:
@@ -230,6 +256,16 @@ def blocks_of(page: str) -> list[Block]:
     return blocks
 
 
+def _past(page: str, at: int, name: str) -> int:
+    """The place behind the end of an element that is open at ``at``, others of its name inside counted; -1 without end."""
+    depth = 1
+    for m in re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I).finditer(page, at):
+        depth += -1 if m[1] else 0 if name in FOREIGN and m[0].endswith("/>") else 1
+        if not depth:
+            return m.end()
+    return -1
+
+
 def _clear(blocks: list[Block], marks: list[Mark], outside: int) -> None:
     """Names do not count against a container around the page's article.
 
@@ -244,11 +280,13 @@ def _clear(blocks: list[Block], marks: list[Mark], outside: int) -> None:
     for last in (False, True):
         for mark in marks:
             mark.clear |= last and mark.holds != NONE
-            mark.bad = not mark.clear or mark.parent is not None and mark.parent.bad
+            mark.bad = not mark.clear and mark.level != LOOSE or mark.parent is not None and mark.parent.bad
+            mark.suspect = not mark.clear and mark.level == LOOSE or mark.parent is not None and mark.parent.suspect
         if any(not b.bad and (b.mark is None or not b.mark.bad) for b in blocks):
             break
     for b in blocks:
         b.bad |= b.mark is not None and b.mark.bad
+        b.suspect = b.mark is not None and b.mark.suspect and not b.bad
 
 
 def _density(text: str) -> float:
@@ -262,6 +300,9 @@ def decide(blocks: list[Block]) -> None:
         share = b.link_chars / len(b.text)
         if b.bad or (b.article and b.listed and b.links and share > HIGH_LINKS):
             b.good = False
+        elif b.suspect:  # a name alone decides nothing: long prose without links wins, the rest goes by it
+            prose = len(b.text) > LONG and share <= LOW_LINKS and _density(b.text) >= HIGH_STOPS
+            b.good = True if prose else False if share > HIGH_LINKS else None
         elif b.article:  # the container is the prior: only what is links for the most part is judged
             b.good = True if b.heading or share <= HIGH_LINKS else False if b.links > 1 else None
         elif share > HIGH_LINKS or b.text.startswith("©"):
@@ -276,6 +317,16 @@ def decide(blocks: list[Block]) -> None:
                 b.good = True if len(b.text) > LONG and share <= LOW_LINKS else None
             else:
                 b.good = None if len(b.text) > LONG and not share else False
+    groups: dict[int, list[Block]] = {}
+    for b in blocks:
+        if b.suspect:
+            groups.setdefault(id(b.mark), []).append(b)
+    for group in groups.values():
+        if any(b.good for b in group):
+            _settle(group)
+        elif not group[0].article:  # nothing speaks against the name
+            for b in group:
+                b.good = False
     _settle([b for b in blocks if b.article and not b.bad])
     _settle(blocks)
 

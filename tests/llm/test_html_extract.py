@@ -104,3 +104,58 @@ def test_null_repeated_and_clashing_rows(spark):
     df = spark.createDataFrame([(1, None, None, "x"), (None, "u", "<p>a", "y"), (None, "u", "<p>a", "y")], "page_id bigint, url string, html string, text string").repartition(2)
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in extract_pages(df).collect()) == [("1", "", 0), ("None", "a", 1), ("None", "a", 1)]
     assert extract_pages(df.limit(0)).count() == 0
+
+
+PROSE = [
+    "The people of the town have been in the habit of going to the river with all of their boats, and this is what they did on the first day of the year, as it was the custom of the land and of the people who were there before them.",
+    "It was not until the end of the week that the news came to the house on the hill, and by then there was no one in it who had the time to read what was in the letter or to ask from whom it had been sent to them in the first place.",
+]
+BODY = "".join(f"<p>{p}</p>" for p in PROSE)
+
+
+def test_a_form_header_aside_or_dialog_around_the_only_article_is_no_boilerplate():
+    for name in ("form", "header", "aside", "dialog"):
+        page = f'<body><{name} id="aspnetForm"><nav>Menu</nav><article>{BODY}</article><button>Send now</button></{name}></body>'
+        assert main_text(page) == "\n".join(PROSE), name
+    assert main_text(f"<body><article>{BODY}</article><form>{BODY}</form><aside>{BODY}</aside></body>") == "\n".join(PROSE)
+
+
+def test_a_boilerplate_word_within_a_longer_name_leaves_the_passes_to_decide():
+    assert main_text(f'<body><div class="ad-hoc-report"><h1>Title</h1>{BODY}<p>Short end.</p></div></body>') == "\n".join(["Title", *PROSE, "Short end."])
+    assert main_text(f'<body><p>{PROSE[0]}</p><div class="notice-period-guide"><p>{PROSE[1]}</p></div></body>') == "\n".join(PROSE)
+    for kind in ('section id="related-work"', 'div class="share-price-history"'):
+        tag = kind.split()[0]
+        page = f"<article><p>{PROSE[0]}</p><{kind}><h2>More</h2><p>{PROSE[1]}</p></{tag}><p>{PROSE[0]}</p></article>"
+        assert main_text(page) == "\n".join([PROSE[0], "More", PROSE[1], PROSE[0]])
+    for name in ("comment-body", "reader-comments", "ad-container", "cookie-banner-2", "comments"):  # such words alone
+        assert main_text(f'<body><article>{BODY}</article><div class="{name}"><p>{PROSE[1]}</p></div></body>') == "\n".join(PROSE), name
+    assert main_text(f'<body><article>{BODY}</article><div class="promo-tile-x"><p>Buy now.</p></div></body>') == "\n".join(PROSE)
+
+
+def test_foreign_elements_that_end_themselves_and_nested_templates():
+    assert main_text('<p>A<svg class="i"/><p>B is here.</p><svg></svg><math/>') == "A\nB is here."
+    assert main_text(f"<article><p>{PROSE[0]}</p><template><p>x</p><template>y</template><p>z</p></template><p>{PROSE[1]}</p></article>") == "\n".join(PROSE)
+    assert main_text(f"<article><p>{PROSE[0]}<svg><g><svg/></g><svg><text>t</text></svg>u</svg></p><object><object>a</object>b</object></article>") == PROSE[0]
+    assert main_text(f"<article><template><p>{PROSE[0]}</p></article>") == PROSE[0]
+
+
+def test_pages_without_an_article_are_decided_by_the_passes():
+    """Token precision and recall over pages whose containers say nothing (or mislead)."""
+    import random
+
+    rng = random.Random(4)
+    hit = got = want = 0
+    for i in range(200):
+        body = [" ".join(rng.sample(PROSE[0].split() + PROSE[1].split(), 60)) for _ in range(rng.randint(2, 5))]
+        menu = "".join(f'<li><a href="/{k}">Entry {k}</a></li>' for k in range(8))
+        junk = [f"<ul>{menu}</ul>", '<div><a href="/x">Home</a> | <a href="/y">Contact us</a></div>', f"<p>© {1990 + i} Company</p>", '<p><a href="/z">Read the next story of the series here</a></p>']
+        box = rng.choice(["div", 'div class="wrap"', 'div class="ad-hoc-report"', "td", 'div class="page-banner-history"'])
+        page = f"<body>{junk[0]}{junk[1]}<{box}><h1>A title of some words</h1>{''.join(f'<p>{b}</p>' for b in body)}</{box.split()[0]}>{junk[3]}{junk[2]}</body>"
+        found, truth = main_text(page).split(), ["A", "title", "of", "some", "words", *" ".join(body).split()]
+        left = list(truth)
+        for w in found:
+            if w in left:
+                left.remove(w)
+                hit += 1
+        got, want = got + len(found), want + len(truth)
+    assert hit / got > 0.97 and hit / want > 0.97, (hit / got, hit / want)
