@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm._common import col, pack, unpack
+from tabml.llm._common import col, pack, unpack, written
 
 #: Fixed values of the contract.
 SYMBOLS = "#*$%&|<>"
@@ -212,7 +212,8 @@ def keep_good(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """
     chosen = sample_labels(labels, id_col, label_col, max_rows).select(F.col("id").alias("wanted"))
     mine = df.select(col(id_col).alias(id_col), col(text_col).alias("text"))
-    sampled = mine.join(F.broadcast(chosen), col(id_col) == F.col("wanted"), "left_semi")
+    # written before the statistics: the optimiser would else move them, and the base rules, below the semi-join
+    sampled = written(mine.join(F.broadcast(chosen), col(id_col) == F.col("wanted"), "left_semi"), "sampled")
     rules = fit(sampled.select(col(id_col), text_stats(F.col("text")).alias("stats")), labels, id_col, label_col, max_rows)
     judged = judge(pack(df, text=text_col).withColumn("stats", text_stats(F.col("text"))), rules)
     return unpack(judged.filter("kept"), df.columns)
