@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tabml.llm.line_dedup import LineRuns, drop_common_lines
+from tabml.llm.line_dedup import LineRuns, drop_common_lines, merge_settings
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -73,6 +73,26 @@ def test_another_instance_goes_on_from_the_runs(spark, tmp_path):
         LineRuns(spark, folder, min_docs=4)
 
 
+def test_the_anti_join_merges_the_settled_run_in_its_order(spark):
+    runs = LineRuns(spark, min_docs=2, fanout=2)
+    batch = spark.range(4000).selectExpr("id % 50 AS a", "id % 50 AS b").repartition(3)
+    runs.add(batch)
+    runs.add(batch)
+    assert runs.settled and spark.table(runs.table).count() == 50
+    rules = "spark.sql.optimizer.excludedRules"
+    before = spark.conf.get(rules, None)
+    with merge_settings(spark):
+        plan = runs.unsettled(spark.range(100).selectExpr("id AS a", "id AS b").groupBy("a", "b").count())
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get(rules, None) == before
+    assert text.index("SortMergeJoin") < text.index("HashAggregate")  # a hot line is counted before it is dealt
+    assert "SortMergeJoin" in text and "LeftAnti" in text and "Broadcast" not in text
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Sort [") == 1  # of the batch; none for the run
+    settled_side = text[text.index("Scan parquet") - 200 :]
+    assert "Exchange" not in settled_side and sorted(r.a for r in plan.collect()) == list(range(50, 100))
+    runs.close()
+
+
 def test_no_python_in_the_plan(spark, docs_of):
     plan = drop_common_lines(docs_of(["a\nb"] * 3))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
