@@ -22,6 +22,10 @@ from tabml.llm.simhash import keep_one_of_each
 from tabml.session import scratch_dir
 
 
+#: Chunks whose ids a packing worker keeps in each generation: fewer than by itself, as the stages share their executors.
+KEPT_WORDS = 100_000
+
+
 def _recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
     """The columns of ``documents``, with ``n_chars`` of the texts as they are now."""
     if "n_chars" in docs.columns:
@@ -49,7 +53,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return pack_documents(docs, tokenizer_path(), end_id=END_ID, capacity=SEQUENCE_TOKENS).drop("ids")
+    return pack_documents(docs, tokenizer_path(), end_id=END_ID, capacity=SEQUENCE_TOKENS, kept_words=KEPT_WORDS).drop("ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
