@@ -146,7 +146,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Texts are equal when identical after deleting ASCII white space; null, empty and blank texts are equal to each
     other.  Of equal texts the row with the most code points in its original text stays, then the smallest id (nulls
-    last), then the first in the table, so that of rows repeated whole exactly one stays.  An empty table gives no
+    last), then the first in the table, so that of rows repeated whole exactly one stays.  Texts of any length are compared whole, one at a
+    time in a task.  An empty table gives no
     row; other columns are not looked at.  ``table_bytes`` bounds each task's table.
     """
     rows = df.select(F.monotonically_increasing_id().alias("rid"), col(id_col).cast("bigint").alias("id"), col(text_col).alias("text"))

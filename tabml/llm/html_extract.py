@@ -364,7 +364,8 @@ def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page, repeated rows included: page_id, url, ``text``, ``n_chars`` (its code points).
 
-    A null or empty page has the empty text.  Other columns are not looked at; null ids and URLs pass through; an empty
+    A null or empty page has the empty text; pages of any length are read whole, in time that follows their length.  Other
+    columns are not looked at; null ids and URLs pass through; an empty
     table gives no row.  A page where nothing is decided (bare text) is its own text.
     """
     rows = pages.select(col(id_col).cast("bigint").alias("page_id"), col(url_col).cast("string").alias("url"), col(html_col).alias("html"))

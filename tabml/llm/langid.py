@@ -184,7 +184,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: id, ``lang_pred``, ``score`` (0 to 1); looks at the text alone.
 
-    A null text or one without a letter is ``und`` with score 0; repeated rows are judged alike; an empty table gives
+    A null text or one without a letter is ``und`` with score 0; texts of any length are read whole; of languages of equal
+    score the first by name is taken; repeated rows are judged alike; an empty table gives
     no row; without a trained language all rows are ``und``.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)  # slots of the landmarks times languages: bounded

@@ -207,7 +207,8 @@ def judge(stats: DataFrame, rules: list[Rule]) -> DataFrame:
 def keep_good(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = 20_000) -> DataFrame:
     """The rows of ``df`` that pass the base rules and the learned list, all columns; learned from ``df``'s own labelled rows.
 
-    A null or empty text has no words and fails the base rules; repeated rows are judged alike; without usable labels
+    A null or empty text has no words and fails the base rules; texts of any length are counted whole; of conditions of equal
+    gain the first feature (as listed), then the first threshold is taken; repeated rows are judged alike; without usable labels
     the list is empty.  Null ids are never labelled.
     """
     chosen = sample_labels(labels, id_col, label_col, max_rows).select(F.col("id").alias("wanted"))

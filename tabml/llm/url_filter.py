@@ -99,7 +99,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
 
     ``rules`` has the columns ``host, path, verdict`` (``allow`` or ``block``); a null host or path counts as empty,
     a rule without verdict is left out.  A null URL or one without ``://`` has an empty host and path and is judged
-    like any other.  ``default_verdict`` is given where no rule fits.  Repeated rows are kept; equal URLs are judged
+    like any other, as is one of any length.  ``default_verdict`` is given where no rule fits.  Repeated rows are kept; equal URLs are judged
     once.  Input columns named like an added one are replaced.
     """
     url = empty_if_null(F.col("url"))
