@@ -44,12 +44,12 @@ ROWS = [
     ("D09", "sum over mapped rows (re-aimed)", ["eval_wssse"], "evaluate.wssse"),
     ("F01", "sort by one key", ["sort_single"], "DataFrame.orderBy"),
     ("F02", "sort by two keys", ["sort_multi"], "DataFrame.orderBy"),
-    ("F03", "sort descending, tie by key", ["topk_groups"], "relational.top_k_groups"),
-    ("F04", "limit rows (ordered)", ["limit_rows"], "relational.ordered_limit"),
-    ("F05", "top-k groups as a filter", ["topk_semi_filter", "topk_semi_filter_nulls"], "relational.top_k_semi_filter"),
+    ("F03", "sort descending, tie by key", ["topk_groups", "topk_groups_sketch"], "relational.top_k_groups"),
+    ("F04", "limit rows (ordered)", ["limit_rows", "limit_rows_100k", "limit_rows_ties"], "relational.ordered_limit"),
+    ("F05", "top-k groups as a filter", ["topk_semi_filter", "topk_semi_filter_nulls", "topk_groups_flat"], "relational.top_k_semi_filter"),
     ("F06", "top-n report", ["topn_report"], "relational.top_k_groups"),
     ("F07", "random row sample (repeatable)", ["random_sample_n"], "relational.hash_sample"),
-    ("F08", "train/test split", ["split_hash_counts", "split_small_holdout", "split_random"], "split.hash_split, split.random_split"),
+    ("F08", "train/test split", ["split_hash_counts", "split_small_holdout", "split_random", "split_cover"], "split.hash_split, split.random_split"),
     ("H01-H05", "duration text -> seconds", ["parse_duration", "duration_parse_report"], "functions.parse_duration"),
     ("H06-H08", "hour / dayofweek / month", ["time_features"], "functions.time_parts"),
     ("H09-H10", "safe numeric cast", ["safe_numeric_cast"], "functions.safe_double"),
@@ -61,8 +61,8 @@ ROWS = [
     ("H16", "col / desc / count / literals", ["(all)"], "pyspark.sql.functions"),
     ("G01", "assemble numeric columns", ["assemble_numeric"], "features.assembler"),
     ("G02", "assemble numeric + encoded", ["assemble_mixed"], "features.feature_stages"),
-    ("G03", "index by frequency, error on unseen", ["string_index"], "features.string_indexer"),
-    ("G04", "index, skip unseen / NULL", ["string_index_skip"], "features.string_indexer(handle_invalid='skip')"),
+    ("G03", "index by frequency, error on unseen", ["string_index", "string_index_wide"], "features.string_indexer"),
+    ("G04", "index, skip unseen / NULL", ["string_index_skip", "string_index_wide_skip"], "features.string_indexer(handle_invalid='skip')"),
     ("G05", "index a list of columns", ["string_index_multi"], "features.string_indexer (multi-column)"),
     ("G06", "fit on train, apply to both", ["index_fit_train_apply_test"], "features.string_indexer"),
     ("G07", "one-hot, last level dropped", ["one_hot"], "features.one_hot_encoder"),
@@ -71,19 +71,19 @@ ROWS = [
     ("G10-G11", "pipeline of stages", ["pipeline_features"], "features.FeatureSpec / feature_stages"),
     ("G12", "transformer outside a pipeline", ["assemble_numeric", "string_index"], "Transformer.transform"),
     ("G13", "target never a feature", ["(tests)"], "FeatureSpec.check_target"),
-    ("J01", "binary logistic regression", ["logit_binary_rates", "logit_binary_score_eq", "job_medical_clf"],
+    ("J01", "binary logistic regression", ["logit_binary_rates", "logit_binary_score_eq", "job_medical_clf", "job_medical_clf_checked", "job_bike_clf_checked"],
      "models.logistic_regression"),
-    ("J02", "multinomial logistic regression", ["logit_multi_rates", "logit_multi_score_eq", "job_iris_clf"],
+    ("J02", "multinomial logistic regression", ["logit_multi_rates", "logit_multi_score_eq", "job_iris_clf", "job_iris_clf_checked", "job_youtube_clf_checked"],
      "models.logistic_regression(family='multinomial')"),
     ("J03", "linear regression, defaults", ["ols_multi_coefficients", "job_avocado_reg", "job_medical_reg"],
      "models.linear_regression"),
     ("J04", "linear regression, maxIter 10, custom prediction column",
      ["ols_single_coefficients", "job_youtube_reg", "job_bike_reg"], "models.linear_regression"),
-    ("J05", "random-forest regressor", ["rf_stump_regress", "rf_tree_mean", "rf_regress_10", "job_cars_reg"],
+    ("J05", "random-forest regressor", ["rf_stump_regress", "rf_tree_mean", "rf_regress_10", "job_cars_reg", "rf_node_walk", "rf_node_table", "rf_leaf_rows", "job_cars_reg_checked"],
      "models.random_forest_regressor"),
-    ("J06", "random-forest classifier", ["rf_class_priors", "rf_classify_10", "job_cars_clf"],
+    ("J06", "random-forest classifier", ["rf_class_priors", "rf_classify_10", "job_cars_clf", "rf_node_walk", "job_cars_clf_checked"],
      "models.random_forest_classifier"),
-    ("J07", "k-means", ["kmeans_planted_profile", "kmeans_free_k", "job_iris_clu"], "models.kmeans"),
+    ("J07", "k-means", ["kmeans_planted_profile", "kmeans_free_k", "job_iris_clu", "job_iris_clu_checked", "job_bike_clu_checked", "job_avocado_clu_checked"], "models.kmeans"),
     ("J08", "batch scoring", ["ols_score_rows"], "Model.transform"),
     ("J09", "fit on train, score held-out", ["ols_holdout_metrics"], "jobs.run_job"),
     ("J10-J11", "fit and score full table / prepared frame", ["kmeans_planted_profile"], "models.fit_on"),
@@ -100,7 +100,7 @@ ROWS = [
     ("K04", "TP/TN/FP/FN, positive-class metrics", ["eval_confusion_binary"], "evaluate.binary_metrics"),
     ("K05", "RMSE, R², MAE, MSE", ["eval_regression"], "evaluate.regression_metrics"),
     ("K06", "MAPE, zero labels counted", ["eval_mape"], "evaluate.regression_metrics"),
-    ("K07", "area under ROC (exact)", ["eval_auc"], "evaluate.area_under_roc"),
+    ("K07", "area under ROC (exact)", ["eval_auc", "eval_auc_plan"], "evaluate.area_under_roc"),
     ("K08", "silhouette", ["eval_silhouette"], "evaluate.silhouette"),
     ("K09", "WSSSE", ["eval_wssse"], "evaluate.wssse / cluster_profile"),
     ("K10", "RMSE / stddev ratio", ["eval_rmse_ratio"], "one aggregate"),
