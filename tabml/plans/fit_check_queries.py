@@ -163,7 +163,7 @@ WITH stump AS ({_STUMP_SQL}),
 side AS (SELECT *, unnest([0, 1, 2]) AS node FROM stump)
 SELECT 0 AS tree, node, CASE WHEN node = 0 THEN 0 END AS feature, CASE WHEN node = 0 THEN threshold END AS threshold,
        CASE WHEN node = 0 THEN 1 END AS "left", CASE WHEN node = 0 THEN 2 END AS "right",
-       round(CASE node WHEN 0 THEN (n_left * left_mean + n_right * right_mean) / (n_left + n_right) WHEN 1 THEN left_mean ELSE right_mean END, 4) AS prediction,
+       round(CASE node WHEN 0 THEN (n_left * left_mean + n_right * right_mean) / (n_left + n_right) WHEN 1 THEN left_mean ELSE right_mean END, 2) AS prediction,
        CASE node WHEN 0 THEN n_left + n_right WHEN 1 THEN n_left ELSE n_right END AS rows
 FROM side
 """,
@@ -173,7 +173,7 @@ def rf_node_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = load_table(spark, sf_dir, "part").select(F.col("p_size").cast("double").alias("x"), "p_retailprice")
     rf = random_forest_regressor(label="p_retailprice", num_trees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", maxBins=64)
     nodes = forest_nodes(part, fit_on(Pipeline(stages=[assembler(["x"]), rf]), part))
-    return nodes.select("tree", "node", "feature", "threshold", "left", "right", F.round("prediction", 4).alias("prediction"), "rows")
+    return nodes.select("tree", "node", "feature", "threshold", "left", "right", F.round("prediction", 2).alias("prediction"), "rows")
 
 
 @query("rf_leaf_rows", kind="S", sql="SELECT 0 AS tree, count(*) AS rows, 0::BIGINT AS leaves_differ FROM part")
