@@ -64,7 +64,10 @@ class Landmarks:
 
     @classmethod
     def of(cls, texts: list[str]) -> Landmarks:
-        sets = [s for s in map(spectrum, texts) if s is not None]
+        return cls.of_spectra([s for s in map(spectrum, texts) if s is not None])
+
+    @classmethod
+    def of_spectra(cls, sets: list[list[np.ndarray]]) -> Landmarks:
         slots, scaled = [], []
         for n in range(len(ORDERS)):
             used = np.unique(np.concatenate([s[n] for s in sets])) if sets else np.zeros(0, np.int64)
@@ -151,6 +154,28 @@ def _batched(batches: Iterable[pa.RecordBatch], size: int = 128) -> Iterator[pa.
             yield batch.slice(at, size)
 
 
+def _spectra(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, place, presence bits of all orders' slots) of the texts that have a letter."""
+    for part in _batched(batches):
+        sets = [spectrum(t) for t in part.column("text").to_pylist()]
+        known = [i for i, s in enumerate(sets) if s is not None]
+        rows = part.take(pa.array(known, pa.int64()))
+        bits = pa.array([_to_bits(sets[i]) for i in known], pa.binary())
+        yield pa.RecordBatch.from_arrays([rows.column("lang"), rows.column("place"), bits], names=["lang", "place", "bits"])
+
+
+def _to_bits(slots: list[np.ndarray]) -> bytes:
+    seen = np.zeros((len(ORDERS), 1 << SLOT_BITS), bool)
+    for n, s in enumerate(slots):
+        seen[n, s] = True
+    return pa.compress(np.packbits(seen).tobytes(), codec="zstd", asbytes=True)
+
+
+def _from_bits(bits: bytes) -> list[np.ndarray]:
+    raw = pa.decompress(bits, len(ORDERS) << SLOT_BITS >> 3, codec="zstd", asbytes=True)
+    return [np.flatnonzero(order) for order in np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(len(ORDERS), -1)]
+
+
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 3000, n_landmarks: int = 192, ridge: float = 1e-3) -> Model:
     """Train on a sample of ``df``'s labelled rows (``max_rows`` texts, ``n_landmarks`` of them landmarks).
 
@@ -159,7 +184,9 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     sample = written(training_sample(df, id_col, text_col, lang_col, max_rows), "languages")
     classes = sorted(r.lang for r in sample.select("lang").distinct().collect())
     each = max(1, n_landmarks // max(1, len(classes)))
-    marks = Landmarks.of([r.text for r in sample.filter(F.col("place") <= each).orderBy("lang", "place").collect()])  # at most n_landmarks texts, or one per language
+    # spectra are computed in tasks: a landmark's text may be long, its slots are at most three times 2^SLOT_BITS bits
+    found = sample.filter(F.col("place") <= each).mapInArrow(_spectra, "lang string, place int, bits binary")
+    marks = Landmarks.of_spectra([_from_bits(r.bits) for r in found.orderBy("lang", "place").collect()])  # at most n_landmarks rows, or one per language
     if not marks.scaled[0].shape[1]:
         return Model([], [], [])
     shared = df.sparkSession.sparkContext.broadcast((marks.slots, marks.scaled))

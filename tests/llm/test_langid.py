@@ -61,3 +61,28 @@ def test_no_labels_gives_und(spark):
     df = spark.createDataFrame([(1, "some text", None), (2, None, "en"), (3, "77", "en")], "doc_id bigint, text string, lang string")
     for part in (df, df.limit(0), df.filter("doc_id = 1")):
         assert all(r.lang_pred == "und" and r.score == 0 for r in langid.predict(df, langid.fit(part)).collect())
+
+
+def test_spectra_from_tasks_are_those_of_the_texts():
+    for text in ("The cat's hat.", "a", "über  die Brücke, 12" * 500, "Ñandú\nñandú"):
+        want = langid.spectrum(text)
+        got = langid._from_bits(langid._to_bits(want))
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(got, want, strict=True))
+
+
+def test_equal_scores_take_the_first_language_by_name(spark):
+    """The same texts under both names: every score ties."""
+    rows = [(i, f"same words here {i % 7}", lang) for i in range(14) for lang in ("zz", "aa")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(df, max_rows=200, n_landmarks=20)
+    model.matrices = [np.repeat(m.mean(axis=1, keepdims=True), 2, axis=1) for m in model.matrices]  # rounding of the fit aside
+    got = langid.predict(df, model).collect()
+    assert model.classes == ["aa", "zz"] and {r.lang_pred for r in got} == {"aa"} and all(abs(r.score - 0.5) < 1e-6 for r in got)
+
+
+def test_very_long_landmark_texts(spark):
+    """Landmarks much longer than other texts: the fit gathers their slots, not their characters."""
+    rows = [(i, "alpha beta gamma " * (40_000 if i == 0 else 3), "x1") for i in range(20)] + [(100 + i, "zouk quiz xylo " * 3, "x2") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(df, max_rows=40, n_landmarks=40)
+    assert {(r.doc_id >= 100, r.lang_pred) for r in langid.predict(df, model).collect()} == {(False, "x1"), (True, "x2")}
