@@ -47,6 +47,15 @@ def test_list_recovers_planted_rules_and_prunes_noise():
     assert quality.learn_rules(x[:0], bad[:0]) == [] == quality.learn_rules(x, np.zeros(6000, bool))
 
 
+def test_equal_gains_take_the_first_feature():
+    """Two features that are the same numbers gain alike: the rule names the first."""
+    rng = np.random.default_rng(2)
+    x = rng.random((3000, len(quality.FEATURES)))
+    x[:, 5] = x[:, 2]
+    rules = quality.learn_rules(x, x[:, 2] > 0.7)
+    assert rules and all(c.feature == quality.FEATURES[2] for rule in rules for c in rule)
+
+
 def test_held_out_accuracy_and_clean_documents_stay(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
