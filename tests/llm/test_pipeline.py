@@ -70,3 +70,18 @@ def test_run_and_odd_rows(spark, tmp_path):
     spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.read.parquet(f"{tmp_path}/labels.parquet").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_labels_decide_what_the_secret_stage_masks(spark):
+    """A key copied over sources stays, one owner's key goes wherever it stands, so does one of a single document."""
+    prose = " ".join(f"word{i}" for i in range(60))
+    spread, owned, single = "api_key = Qx71bV93KtZ5mm2Rw8Lc", "api_key = Zk39fQ81LmX0aa7Tq2Pw", "token: Hd82nS64PyW1cc9Ve3Gb"
+    rows = [(i, f"{prose} {spread} {i}", "en", f"s{i % 6}", 0) for i in range(12)]
+    rows += [(100 + i, f"{prose} {owned} {i}", "en", "mine", 0) for i in range(12)]
+    rows += [(200, f"{prose} {single} and {spread}", "en", "s9", 0), (201, None, None, None, None), (202, prose, "en", None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: r for r in pipeline.secret_scan(spark, docs, SF).collect()}
+    assert len(got) == len(rows) and got[201].text is None and got[202].text == prose
+    assert all(got[i].text == f"{prose} {spread} {i}" for i in range(12))
+    assert all(got[100 + i].text == f"{prose} [SECRET] {i}" for i in range(12))
+    assert got[200].text == f"{prose} [SECRET] and {spread}" and got[200].n_chars == len(got[200].text)
