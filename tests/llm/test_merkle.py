@@ -99,3 +99,16 @@ def test_a_climb_has_no_python_and_uses_the_recursive_plan(spark):
     assert len(root) == 32 and nodes.filter("p_tree IS NULL").count() == 1
     found = merkle.climb(spark, starts, nodes)
     assert found.count() == 4 and "Python" not in found._jdf.queryExecution().toString()
+
+
+def test_untampered_leaves_are_folded_along_their_proof(spark):
+    """A node that is not what its leaves make shows in the folded digest of every leaf above whose path it lies."""
+    from tabml.llm import merkle
+
+    rows = spark.createDataFrame([(i, "s", "en" if i < 70 else "de", 1, "Ab") for i in range(90)], FIELDS)
+    leaves = rows.select(merkle.group_key(F.col("lang")).alias("key"), F.col("doc_id").alias("id"), merkle.leaf_digest([F.col("doc_id")]).alias("leaf"), F.lit(None).cast("binary").alias("tampered"))
+    starts, nodes, root = merkle.build_tree(leaves)
+    ends = lambda n: {r.id: r.folded and bytes(r.folded) for r in merkle.climb(spark, starts, n).selectExpr("inline(leaves)").collect()}
+    assert ends(nodes) == dict.fromkeys(range(90), root)
+    bad = nodes.withColumn("children", F.when((F.col("tree") == "=en") & (F.col("level") == 2) & (F.col("idx") == 0), F.reverse("children")).otherwise(F.col("children")))
+    assert {i for i, x in ends(bad).items() if x != root} == set(range(64))
