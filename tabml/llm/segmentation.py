@@ -23,7 +23,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -145,6 +144,30 @@ class Pieces:
     def decode(self, ids: Iterable[int]) -> str:
         return self.decoded(ids).decode("utf-8", "replace")
 
+    def decoded_rows(self, ids: pa.ListArray) -> pa.Array:
+        """Texts of many rows of ids (null: null) by one gather; rows that are no UTF-8 are decoded one by one."""
+        rows = pc.fill_null(pc.list_value_length(ids), 0).to_numpy().astype(np.int64)
+        flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(flat):
+            size = self.size[flat]
+            ends = np.cumsum(size)
+            data = self.blob[np.arange(ends[-1]) + np.repeat(self.offset[flat] - (ends - size), size)]
+        else:
+            ends, data = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        at = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(rows)))]
+        lead = np.zeros(len(data) + 1, bool)
+        lead[at[:-1][np.diff(at) > 0]] = True
+        lead[:-1] &= data == 32  # the leading mark's space
+        at -= np.concatenate(([0], np.cumsum(lead)))[at]
+        data = data[~lead[:-1]]
+        texts = pa.LargeStringArray.from_buffers(len(rows), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data.tobytes()))
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            parts = np.split(data, at[1:-1])
+            texts = pa.array([x.tobytes().decode("utf-8", "replace") for x in parts][: len(rows)], pa.large_string())
+        return pc.if_else(ids.is_valid(), texts, pa.scalar(None, pa.large_string())).cast(pa.string())
+
 
 _MODELS: dict[str, Pieces] = {}
 
@@ -468,9 +491,8 @@ def sample_segmentations(df: DataFrame, model_path: str, k: int = 2, id_col: str
 
 def decode_ids(df: DataFrame, model_path: str, ids_col: str = "ids", to: str = "text") -> DataFrame:
     """All rows of ``df`` with the text of their ids added as ``to``; null ids decode to null."""
-    @F.pandas_udf("string")
-    def decoded(ids: pd.Series) -> pd.Series:
-        pieces = load_pieces(model_path)
-        return pd.Series([None if x is None else pieces.decode(x) for x in ids], dtype="object")
+    @F.arrow_udf("string")
+    def decoded(ids: pa.Array) -> pa.Array:
+        return load_pieces(model_path).decoded_rows(ids)
 
-    return df.withColumn(to, decoded(col(ids_col)))
+    return df.withColumn(to, decoded(col(ids_col).cast("array<int>")))

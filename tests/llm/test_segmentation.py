@@ -1,8 +1,11 @@
+import hashlib
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabml.llm import segmentation as S
@@ -138,3 +141,22 @@ def test_equal_scores_take_the_first_found(pieces):
         rows.setdefault(t, []).append((s, tuple(ids.tolist()), score))
     assert len(rows) == 4 and all(r == rows[0] for r in rows.values())
     assert len({ids for _, ids, _ in rows[0]}) == 3 and [g for _, _, g in rows[0]] == sorted((g for _, _, g in rows[0]), reverse=True)
+
+
+def test_query_returns_every_segmentation_and_the_digest_of_its_decoded_text(spark, model):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    for r in op6_sentencepiece(spark, sf).collect():
+        assert len(r.ids) == r.n_ids and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        assert model.decode(list(r.ids)) == texts[r.doc_id]
+        assert r.text_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_rows_decode_as_one_by_one(pieces, model):
+    rng = random.Random(5)
+    rows = [None, [], [pieces.byte_id[0xC3]], [int(pieces.byte_id[0x20])] * 2, *[model.encode(t) for t in ("a b", " x", "wörld 🙂", "")]]
+    rows += [[rng.randrange(3, len(pieces.size)) for _ in range(rng.randint(0, 9))] for _ in range(300)]
+    for some in (rows, rows[:2], [None], [], [model.encode("plain text")] * 3):
+        ids = pa.array([r and [int(x) for x in r] if r else r for r in some], pa.list_(pa.int32()))
+        assert pieces.decoded_rows(ids).to_pylist() == [None if r is None else pieces.decode(r) for r in some]
+        assert pieces.decoded_rows(ids.slice(1)).to_pylist() == [None if r is None else pieces.decode(r) for r in some[1:]]
