@@ -90,6 +90,7 @@ class Pieces:
         self.size = np.array([len(x) for x in self.bytes], np.int64)
         self.offset = np.cumsum(self.size) - self.size
         self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.table = pa.array(self.bytes, pa.large_binary())
         bits = max(8, (4 * len(children)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
@@ -147,14 +148,10 @@ class Pieces:
     def decoded_rows(self, ids: pa.ListArray) -> pa.Array:
         """Texts of many rows of ids (null: null) by one gather; rows that are no UTF-8 are decoded one by one."""
         rows = pc.fill_null(pc.list_value_length(ids), 0).to_numpy().astype(np.int64)
-        flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        if len(flat):
-            size = self.size[flat]
-            ends = np.cumsum(size)
-            data = self.blob[np.arange(ends[-1]) + np.repeat(self.offset[flat] - (ends - size), size)]
-        else:
-            ends, data = np.zeros(0, np.int64), np.zeros(0, np.uint8)
-        at = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(rows)))]
+        found = self.table.take(ids.flatten())
+        ends = np.frombuffer(found.buffers()[1] or b"\0" * 8, np.int64, len(found) + 1)
+        data = np.frombuffer(found.buffers()[2] or b"", np.uint8)
+        at = ends[np.concatenate(([0], np.cumsum(rows)))]
         lead = np.zeros(len(data) + 1, bool)
         lead[at[:-1][np.diff(at) > 0]] = True
         lead[:-1] &= data == 32  # the leading mark's space
@@ -456,6 +453,19 @@ def _grouped(batches: Iterable[pa.RecordBatch], max_chars: int) -> Iterator[pa.R
 SCHEMA = "doc_id bigint, sample int, n_ids bigint, ids_crc32 bigint, log_prob double, score double, log_inclusion double, round_trip boolean, ids array<int>"
 
 
+def _columns(part: pa.RecordBatch, rows: list[tuple], pieces: Pieces, with_ids: bool) -> list[pa.Array]:
+    """The columns of ``SCHEMA`` for samples of a batch; their ids are decoded together."""
+    at, sample, found, *scores = zip(*rows)
+    size = np.fromiter(map(len, found), np.int64, len(found))
+    ends = np.concatenate(([0], np.cumsum(size)))
+    flat = np.concatenate(found).astype("<i4")
+    crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+    same = pc.equal(pieces.decoded_rows(ids), part.column("text").take(pa.array(at)).cast(pa.string()))
+    numbers = [pa.array(c, pa.float64()) for c in scores]
+    return [part.column("id").take(pa.array(at)), pa.array(sample, pa.int32()), pa.array(size), pa.array(crc, pa.int64()), *numbers, same, ids if with_ids else pa.nulls(len(rows), pa.list_(pa.int32()))]
+
+
 def sample_segmentations(df: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text", seed: int = 0, with_ids: bool = True, max_chars: int = 1_000_000) -> DataFrame:
     """Up to ``k`` rows per row of ``df``: distinct segmentations of its whole text, sampled without replacement.
 
@@ -470,19 +480,17 @@ def sample_segmentations(df: DataFrame, model_path: str, k: int = 2, id_col: str
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load_pieces(model_path)
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.list_(pa.int32()))
         names = [f.split()[0] for f in SCHEMA.split(", ")]
         for part in _grouped(batches, max_chars):
-            ids, texts, rows = part.column("id").to_pylist(), part.column("text").to_pylist(), []
+            texts, rows = part.column("text").to_pylist(), []
             keys = part.column("key").to_numpy().view(np.uint64)
-            for t, sample, found, logp, score, inclusion in sample_texts(texts, keys, pieces, k):
-                same = pieces.decoded(found) == texts[t].encode("utf-8", "surrogatepass")
-                rows.append((ids[t], sample, len(found), zlib.crc32(found.astype("<u4").tobytes()), logp, score, inclusion, same, found.astype(np.int32) if with_ids else None))
+            for row in sample_texts(texts, keys, pieces, k):
+                rows.append(row)
                 if len(rows) >= 2000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=names)
+                    yield pa.RecordBatch.from_arrays(_columns(part, rows, pieces, with_ids), names=names)
                     rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=names)
+                yield pa.RecordBatch.from_arrays(_columns(part, rows, pieces, with_ids), names=names)
 
     rows = df.select(col(id_col).cast("bigint").alias("id"), F.xxhash64(F.lit(seed), col(id_col).cast("bigint")).alias("key"), empty_if_null(col(text_col)).alias("text"))
     found = rows.mapInArrow(search, SCHEMA)

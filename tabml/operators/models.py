@@ -6,16 +6,22 @@ spills instead of failing) for the duration of a multi-stage fit and releases it
 recomputed from lineage.  Forests cache node ids (instead of shipping the growing trees to executors at every
 level) and checkpoint that cache to the shared checkpoint directory every ``checkpointInterval`` iterations, so
 deep forests keep a short lineage.
+
+Forests and k-means hold every row as a dense array of its features, many times what a scan's task read for it; ``dealt``
+spreads the rows of a fit so that no task holds more than ``FIT_BYTES`` of them.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabml.session import ensure_checkpoint_dir
 
@@ -70,19 +76,62 @@ def _has_forest(estimator) -> bool:
     return any(isinstance(st, _FORESTS) for st in stages)
 
 
+#: Prepared rows (bytes) that a task of a forest or k-means fit holds at most, and the bytes of a row beside its numbers.
+FIT_BYTES, ROW_BYTES = 128 << 20, 128
+
+
+def _width(df: DataFrame, features: str) -> int:
+    """Slots of a vector column: by its metadata, else by a row."""
+    known = df.schema[features].metadata.get("ml_attr", {}).get("num_attrs")
+    row = None if known else df.select(features).filter(F.col(features).isNotNull()).first()
+    return known or (row[0].size if row else 0)
+
+
+def held_bytes(estimator, width: int) -> int:
+    """Bytes a fit holds for a row: a forest a bin for each feature and a count for each tree, k-means its numbers."""
+    return ROW_BYTES + (4 * (width + estimator.getNumTrees()) if isinstance(estimator, _FORESTS) else 8 * width)
+
+
+def dealt(df: DataFrame, estimator) -> DataFrame:
+    """The columns a fit reads, in partitions that it holds in at most ``FIT_BYTES`` each.
+
+    ``df`` as it is where its partitions are small enough.  Else rows are dealt evenly, whatever they hold, and ordered
+    by a hash of the row, so that a partition computed again has its rows in the same places."""
+    size = held_bytes(estimator, _width(df, estimator.getFeaturesCol()))
+    per = df.groupBy(F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    found = per.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()  # one row
+    if (found["most"] or 0) * size <= FIT_BYTES:
+        return df
+    named = [estimator.getOrDefault(p) for p in ("featuresCol", "labelCol", "weightCol") if estimator.hasParam(p) and estimator.isDefined(p)]
+    rows = df.select(*[c for c in dict.fromkeys(named) if c in df.columns])
+    rows = rows.withColumn("_place", F.xxhash64(*rows.columns)).repartition(ceil(found["all"] * size / FIT_BYTES))
+    return rows.sortWithinPartitions("_place").drop("_place")
+
+
+def _fit(estimator, df: DataFrame):
+    last = estimator.getStages()[-1] if isinstance(estimator, Pipeline) and estimator.getStages() else estimator
+    if not isinstance(last, (*_FORESTS, KMeans)):
+        return estimator.fit(df)
+    if last is estimator:
+        return estimator.fit(dealt(df, estimator))
+    prepared = Pipeline(stages=estimator.getStages()[:-1]).fit(df)
+    return PipelineModel(stages=[*prepared.stages, last.fit(dealt(prepared.transform(df), last))])
+
+
 def fit_on(estimator, df: DataFrame, persist: bool = False):
     """Fit ``estimator`` on ``df``; with ``persist``, keep ``df`` persisted only while the fit runs.
 
     Spark's iterative estimators already cache their own compact training instances when the input is not
     persisted, so ``persist`` is for inputs read by several stages (e.g. indexers plus a forest).  Forests checkpoint
-    their node ids and need the shared checkpoint folder; other fits need none."""
+    their node ids and need the shared checkpoint folder; other fits need none.  Large partitions are dealt anew for a
+    forest or k-means that is fitted by itself or ends a pipeline."""
     if _has_forest(estimator):
         ensure_checkpoint_dir(df.sparkSession)
     if not persist or df.storageLevel != StorageLevel.NONE:
-        return estimator.fit(df)
+        return _fit(estimator, df)
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator.fit(df)
+        return _fit(estimator, df)
     finally:
         df.unpersist()
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from tabml.operators.features import FeatureSpec, feature_stages
 from tabml.operators.forest import NODES, forest_nodes, walk, walk_check, walked_scores
 from tabml.operators.inspect import last_stage
-from tabml.operators.models import fit_on, random_forest_classifier, random_forest_regressor
+from tabml.operators import models as M
+from tabml.operators.models import fit_on, kmeans, random_forest_classifier, random_forest_regressor
 
 
 def _table(spark, n=400):
@@ -78,3 +79,25 @@ def test_one_join_a_level_and_no_shuffle_below_the_threshold(spark):
     scored, nodes = model.transform(df), forest_nodes(df, model)
     plan = walk(scored, nodes, ["id"], "features", 3)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("kind", ["forest", "pipeline", "kmeans"])
+def test_a_fit_holds_few_rows_a_task(spark, kind, monkeypatch):
+    """One large partition, many equal rows among them: each task of the fit gets at most its share, and no row is lost."""
+    df = _table(spark).union(_table(spark).filter("id = 0").crossJoin(spark.range(200)).drop("id").selectExpr("0 as id", "x", "c", "y", "label")).coalesce(1)
+    stages = feature_stages(FeatureSpec(numeric=["x"], one_hot=["c"]))
+    x = Pipeline(stages=stages).fit(df).transform(df)
+    est = kmeans() if kind == "kmeans" else random_forest_regressor(label="y", num_trees=4)
+    seen = []
+    for cls in {type(est)}:
+        fit = cls._fit
+        monkeypatch.setattr(cls, "_fit", lambda self, data, fit=fit: (seen.append(data), fit(self, data))[1])
+    wanted = sorted(r[0].toArray().tolist() for r in x.select("features").collect())
+    fit_on(Pipeline(stages=[*stages, est]) if kind == "pipeline" else est, df if kind == "pipeline" else x)
+    assert seen.pop().rdd.getNumPartitions() == 1  # small enough: as it is
+    monkeypatch.setattr(M, "FIT_BYTES", 50 * M.held_bytes(est, 5))
+    model = fit_on(Pipeline(stages=[*stages, est]) if kind == "pipeline" else est, df if kind == "pipeline" else x)
+    parts = seen.pop().select("features").rdd.glom().collect()
+    assert len(parts) == 12 and max(map(len, parts)) <= 55
+    assert sorted(r[0].toArray().tolist() for p in parts for r in p) == wanted
+    assert model.transform(df if kind == "pipeline" else x).count() == 600
