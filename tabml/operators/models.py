@@ -77,7 +77,7 @@ def _has_forest(estimator) -> bool:
 
 
 #: Prepared rows (bytes) that a task of a forest or k-means fit holds at most, and the bytes of a row beside its numbers.
-FIT_BYTES, ROW_BYTES = 128 << 20, 128
+FIT_BYTES, ROW_BYTES = 128 << 20, 288
 
 
 def _width(df: DataFrame, features: str) -> int:
@@ -88,8 +88,8 @@ def _width(df: DataFrame, features: str) -> int:
 
 
 def held_bytes(estimator, width: int) -> int:
-    """Bytes a fit holds for a row: a forest a bin for each feature and a count for each tree, k-means its numbers."""
-    return ROW_BYTES + (4 * (width + estimator.getNumTrees()) if isinstance(estimator, _FORESTS) else 8 * width)
+    """Bytes a fit holds for a row: a forest a bin for each feature and counts and nodes for each tree, k-means its numbers."""
+    return ROW_BYTES + (4 * width + 16 * estimator.getNumTrees() if isinstance(estimator, _FORESTS) else 8 * width)
 
 
 def dealt(df: DataFrame, estimator) -> DataFrame:
