@@ -15,6 +15,7 @@ ROWS, FIT_BYTES, MOST = 600, 20_000, 75
 #: Query -> the forests and k-means that it fits, in order.
 FITS = {
     "job_cars_all": (RandomForestRegressor, RandomForestClassifier, KMeans),
+    "job_cars_reg": (RandomForestRegressor,),
 }
 
 
