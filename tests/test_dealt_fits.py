@@ -16,6 +16,7 @@ ROWS, FIT_BYTES, MOST = 600, 20_000, 75
 FITS = {
     "job_cars_all": (RandomForestRegressor, RandomForestClassifier, KMeans),
     "job_cars_reg": (RandomForestRegressor,),
+    "job_cars_reg_checked": (RandomForestRegressor,),
 }
 
 
