@@ -17,6 +17,7 @@ FITS = {
     "job_cars_all": (RandomForestRegressor, RandomForestClassifier, KMeans),
     "job_cars_reg": (RandomForestRegressor,),
     "job_cars_reg_checked": (RandomForestRegressor,),
+    "rf_regress_10": (RandomForestRegressor,),
 }
 
 
