@@ -18,6 +18,7 @@ FITS = {
     "job_cars_reg": (RandomForestRegressor,),
     "job_cars_reg_checked": (RandomForestRegressor,),
     "rf_regress_10": (RandomForestRegressor,),
+    "job_cars_clf": (RandomForestClassifier,),
 }
 
 
