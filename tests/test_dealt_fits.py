@@ -19,6 +19,7 @@ FITS = {
     "job_cars_reg_checked": (RandomForestRegressor,),
     "rf_regress_10": (RandomForestRegressor,),
     "job_cars_clf": (RandomForestClassifier,),
+    "job_cars_clf_checked": (RandomForestClassifier,),
 }
 
 
