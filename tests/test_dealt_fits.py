@@ -20,6 +20,7 @@ FITS = {
     "rf_regress_10": (RandomForestRegressor,),
     "job_cars_clf": (RandomForestClassifier,),
     "job_cars_clf_checked": (RandomForestClassifier,),
+    "rf_classify_10": (RandomForestClassifier,),
 }
 
 
