@@ -21,6 +21,7 @@ FITS = {
     "job_cars_clf": (RandomForestClassifier,),
     "job_cars_clf_checked": (RandomForestClassifier,),
     "rf_classify_10": (RandomForestClassifier,),
+    "rf_leaf_rows": (RandomForestRegressor,),
 }
 
 
