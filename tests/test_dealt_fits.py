@@ -22,6 +22,7 @@ FITS = {
     "job_cars_clf_checked": (RandomForestClassifier,),
     "rf_classify_10": (RandomForestClassifier,),
     "rf_leaf_rows": (RandomForestRegressor,),
+    "job_avocado_all": (KMeans,),
 }
 
 
