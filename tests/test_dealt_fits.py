@@ -23,6 +23,7 @@ FITS = {
     "rf_classify_10": (RandomForestClassifier,),
     "rf_leaf_rows": (RandomForestRegressor,),
     "job_avocado_all": (KMeans,),
+    "job_avocado_clu": (KMeans,),
 }
 
 
