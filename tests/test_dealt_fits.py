@@ -24,6 +24,7 @@ FITS = {
     "rf_leaf_rows": (RandomForestRegressor,),
     "job_avocado_all": (KMeans,),
     "job_avocado_clu": (KMeans,),
+    "job_avocado_clu_checked": (KMeans,),
 }
 
 
