@@ -37,19 +37,31 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MOST = 54 * np.log(2) + 1  # above any Gumbel or -log(u) of ``uniform``
 
 
+def spaced_words(text: str) -> str:
+    """The text with spaces marked, and a space where no piece goes on: before each run of marks (and around line ends).
+
+    Between single spaces a plain replacement does it; the line ends within are no part of any piece either way."""
+    if text and text[0] != " " and "  " not in text and SPACE not in text:
+        return SPACE + text.replace(" ", " " + SPACE)
+    return " ".join(WORD.findall(SPACE + text.replace(" ", SPACE))) if text else ""
+
+
 def split_words(text: str) -> list[str]:
-    """The text with spaces marked, cut where no piece goes on: before each run of marks (and around line ends).
+    """The text's words, spaces marked: what ``spaced_words`` keeps apart."""
+    return spaced_words(text).split(" ") if text else []
 
-    Between single spaces a plain split does it; the line ends within are no part of any piece either way."""
-    if not text:
-        return []
-    if text[0] != " " and "  " not in text and SPACE not in text:
-        return (SPACE + text.replace(" ", " " + SPACE)).split(" ")
-    return WORD.findall(SPACE + text.replace(" ", SPACE))
+
+def coded_words(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words (UTF-8) of many texts by first place, the number of each occurrence's word, occurrences of each text."""
+    spaced = [spaced_words(t) for t in texts]
+    counts = np.array([t.count(" ") + 1 if t else 0 for t in spaced], np.int64)
+    whole = pa.array([" ".join(filter(None, spaced)).encode("utf-8", "surrogatepass")] if counts.any() else [], pa.large_binary())
+    found = pc.split_pattern(whole, " ").flatten().dictionary_encode()
+    return found.dictionary, found.indices.to_numpy().astype(np.int64), counts
 
 
 class Pieces:
-    """Vocabulary of a model file: trie in a hash table, log-probabilities, bytes of each id."""
+    """Vocabulary of a model file: trie in a hash table (a node is its slot), log-probabilities, bytes of each id."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -81,8 +93,6 @@ class Pieces:
                     nodes += 1
                 node = children[key]
             at_node[node] = k
-        self.piece_at = np.full(nodes, -1, np.int64)
-        self.piece_at[list(at_node)] = list(at_node.values())
         weight = np.where(np.isfinite(ranks), 1 / (ranks + 2.0), 0.0)
         with np.errstate(divide="ignore"):
             self.logp = np.log(weight / weight.sum())
@@ -92,44 +102,56 @@ class Pieces:
         self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.table = pa.array(self.bytes, pa.large_binary())
         bits = max(8, (4 * len(children)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
-        keys, values = np.array(list(children), np.int64), np.array(list(children.values()), np.int64)
+        self.shift, self.mask, self.root = np.uint64(64 - bits), (1 << bits) - 1, 1 << bits
+        self.keys = np.full(1 << bits, -1, np.int64)
+        slot_of = np.full(nodes, self.root, np.int64)  # the nodes' slots, by the order in which they came
+        parent, char = np.divmod(np.array(list(children), np.int64), 1 << 21)
+        child = np.array(list(children.values()), np.int64)
+        waiting = np.ones(len(child), bool)
+        while waiting.any():  # a level at a time: a child's key holds its parent's slot
+            level = np.flatnonzero(waiting & ~np.isin(parent, child[waiting]))
+            self._place(slot_of, child[level], slot_of[parent[level]] << 21 | char[level])
+            waiting[level] = False
+        self.piece_at = np.full(self.root + 1, -1, np.int32)  # -1, no node, is the last entry like the root
+        self.piece_at[slot_of[list(at_node)]] = list(at_node.values())
+
+    def _place(self, slot_of: np.ndarray, nodes: np.ndarray, keys: np.ndarray) -> None:
         slot = ((keys.astype(np.uint64) * GOLDEN) >> self.shift).astype(np.int64)
         while len(keys):  # each free slot takes one key a round, the others try the next slot
             free = self.keys[slot] < 0
             first = np.unique(slot[free], return_index=True)[1]
             took = np.flatnonzero(free)[first]
-            self.keys[slot[took]], self.values[slot[took]] = keys[took], values[took]
+            self.keys[slot[took]], slot_of[nodes[took]] = keys[took], slot[took]
             rest = np.ones(len(keys), bool)
             rest[took] = False
-            keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & self.mask
+            keys, nodes, slot = keys[rest], nodes[rest], (slot[rest] + 1) & self.mask
 
     def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
         """Child nodes, -1 where there is none."""
         key = node << 21 | char
         slot = ((key.astype(np.uint64) * GOLDEN) >> self.shift).astype(np.int64)
         there = self.keys[slot]
-        out = np.where(there == key, self.values[slot], -1)
+        out = np.where(there == key, slot, -1)
         open_ = np.flatnonzero((there != key) & (there >= 0))
         while len(open_):
             slot[open_] = (slot[open_] + 1) & self.mask
             there = self.keys[slot[open_]]
             hit = there == key[open_]
-            out[open_[hit]] = self.values[slot[open_[hit]]]
+            out[open_[hit]] = slot[open_[hit]]
             open_ = open_[~hit & (there >= 0)]
         return out
 
-    def ids(self, pieces: np.ndarray, chars: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    def ids(self, lattice: Lattice, edge: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
         """Ids of each path; a byte edge (piece -1) becomes the bytes of its character."""
-        plain = (pieces < 0) & (chars < 0x80)
-        flat = np.where(plain, self.byte_id[np.where(plain, chars, 0)], pieces)
+        flat = lattice.piece[edge]
+        as_bytes = np.flatnonzero(flat < 0)
+        code = lattice.chars[lattice.source[edge[as_bytes]]]
+        flat[as_bytes[code < 0x80]] = self.byte_id[code[code < 0x80]]
         out = np.split(flat, begin[1:-1])
-        rare = np.flatnonzero(flat < 0)
-        for t in np.unique(np.searchsorted(begin, rare, side="right") - 1).tolist():
+        for t in np.unique(np.searchsorted(begin, as_bytes[code >= 0x80], side="right") - 1).tolist():
             a, b = begin[t], begin[t + 1]
             some = []
-            for p, c in zip(flat[a:b].tolist(), chars[a:b].tolist()):
+            for p, c in zip(flat[a:b].tolist(), lattice.chars[lattice.source[edge[a:b]]].tolist()):
                 some += [p] if p >= 0 else self.byte_id[np.frombuffer(chr(c).encode("utf-8", "surrogatepass"), np.uint8)].tolist()
             out[t] = np.array(some, np.int64)
         return out
@@ -179,48 +201,55 @@ def load_pieces(path: str) -> Pieces:
 class Lattice:
     """Edges of many words at once, grouped by their start position; word w starts at ``start[w]``, ends at ``stop[w]``."""
 
-    def __init__(self, words: list[str], pieces: Pieces) -> None:
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
+    def __init__(self, words: pa.Array, pieces: Pieces) -> None:
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(words).to_numpy())))
+        text = words.buffers()[2].to_pybytes()[: ends[-1]] if len(words) else b""
+        begins = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))  # characters before each byte
+        sizes = np.diff(begins[ends])
         self.start = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))[: len(words)]
         self.stop = self.start + sizes
         total = int(sizes.sum()) + len(words)
         self.chars = np.full(total, NO_CHAR, np.int64)
         inside = np.ones(total, bool)
         inside[self.stop] = False
-        self.chars[inside] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.chars[inside] = np.frombuffer(text.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
         layers, count = [], np.zeros(total, np.int32)
-        at = np.flatnonzero(inside).astype(np.int32)
-        node, depth = np.zeros(len(at), np.int64), 0
+        at = np.flatnonzero(inside)
+        node, depth = np.full(len(at), pieces.root), 0
         while len(at):
             node = pieces.step(node, self.chars[at + depth])
-            piece = np.where(node >= 0, pieces.piece_at[node], -1)
-            full = piece >= 0
-            if depth == 0:
-                full[:] = True  # a character without a piece of its own has a byte edge
+            piece = pieces.piece_at[node]
+            full = np.flatnonzero(piece >= 0) if depth else np.arange(len(at))  # a character without a piece of its own has a byte edge
             source = at[full]
-            layers.append((source, count[source].copy(), piece[full], depth + 1))
-            count[source] += 1
-            go = node >= 0
+            place = count[source]
+            layers.append((source, place, piece[full], depth + 1))
+            count[source] = place + 1
+            go = np.flatnonzero(node >= 0)
             at, node, depth = at[go], node[go], depth + 1
         self.degree = count
-        self.first = (np.cumsum(count) - count).astype(np.int32)
+        self.first = np.cumsum(count, dtype=np.int64) - count
         self.last = self.first + count - 1
         n = int(count.sum())
-        self.source, self.target, self.piece = np.empty(n, np.int32), np.empty(n, np.int32), np.empty(n, np.int32)
+        self.source = np.repeat(np.arange(total, dtype=np.int32), count)
+        self.target, self.piece = np.empty(n, np.int32), np.empty(n, np.int32)
         for source, place, piece, size in layers:
             place = self.last[source] - place  # the longest piece first: it is the likeliest, so draws end early
-            self.source[place], self.target[place], self.piece[place] = source, source + size, piece
+            self.target[place], self.piece[place] = source + size, piece
         logp = pieces.logp[self.piece]
         as_bytes = np.flatnonzero(self.piece < 0)
         code = self.chars[self.source[as_bytes]]
         logp[as_bytes] = pieces.byte_logp * (1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000))
         mass = self._masses(logp, np.repeat(self.stop, sizes + 1) - np.arange(total))
-        self.logq = np.minimum(0.0, logp + mass[self.target] - mass[self.source])
+        self.logq = np.minimum(0.0, logp + mass[self.target] - np.repeat(mass, count))
         self.q = np.exp(self.logq)
+        run = np.concatenate(([0.0], np.cumsum(self.q)))
+        self.cdf = run[1:] - np.repeat(run[self.first], count)
+        self.cdf[self.last[count > 0]] = np.inf  # whatever rounding left, the last edge takes the rest
+
+    def log_rest(self, edge: np.ndarray) -> np.ndarray:
+        """Log-probability that an edge's position is left by another one."""
         with np.errstate(divide="ignore"):
-            self.log_rest = np.where(self.degree[self.source] > 1, np.log(np.maximum(0.0, 1 - self.q)), -np.inf)
-        run = np.cumsum(self.q)
-        self.cdf = run - (run - self.q)[self.first[self.source]]
+            return np.where(self.degree[self.source[edge]] > 1, np.log(np.maximum(0.0, 1 - self.q[edge])), -np.inf)
 
     def _masses(self, logp: np.ndarray, to_stop: np.ndarray) -> np.ndarray:
         """Log-mass of all ways from each position to its word's end: positions at the same distance at a time."""
@@ -233,18 +262,19 @@ class Lattice:
             while len(more):
                 edge[more] += 1
                 e = edge[more]
-                total[more] = np.logaddexp(total[more], logp[e] + mass[self.target[e]])
+                a, b = total[more], logp[e] + mass[self.target[e]]
+                total[more] = np.maximum(a, b) + np.log1p(np.exp(-np.abs(a - b)))
                 more = more[e < last[more]]
             mass[at] = total
         return mass
 
     def draw(self, position: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge from each position by its probability."""
-        edge, last = self.first[position], self.last[position]
-        open_ = np.flatnonzero((u >= self.cdf[edge]) & (edge < last))
+        edge = self.first[position]
+        open_ = np.flatnonzero(u >= self.cdf[edge])
         while len(open_):
             edge[open_] += 1
-            open_ = open_[(u[open_] >= self.cdf[edge[open_]]) & (edge[open_] < last[open_])]
+            open_ = open_[u[open_] >= self.cdf[edge[open_]]]
         return edge
 
 
@@ -291,15 +321,9 @@ class Search:
     """Gumbel top-k over a batch of texts."""
 
     def __init__(self, texts: list[str], keys: np.ndarray, pieces: Pieces) -> None:
-        words, counts = [], []
-        for t in texts:
-            found = split_words(t)
-            words += found
-            counts.append(len(found))
-        known = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        known, word, counts = coded_words(texts)
         self.keys = keys
-        self.lattice = Lattice(list(known), pieces)
-        word = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        self.lattice = Lattice(known, pieces)
         self.text = np.repeat(np.arange(len(texts)), counts)  # of each occurrence
         self.start, self.stop = self.lattice.start[word], self.lattice.stop[word]
         self.begin = np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
@@ -347,7 +371,7 @@ class Search:
         at = np.minimum(p.begin[:-1, None] + head, max(0, len(p.edge) - 1))
         if not len(p.edge):
             return
-        rest = np.where(head < length[:, None], p.before[at] + self.lattice.log_rest[p.edge[at]], -np.inf)
+        rest = np.where(head < length[:, None], p.before[at] + self.lattice.log_rest(p.edge[at]), -np.inf)
         known = np.partition(rest, 31 - k, axis=1)[:, 31 - k] if k < 32 else np.full(n, -np.inf)
         gap = np.where(np.isneginf(known), 0.0, known) - np.where(np.isneginf(top), 0.0, top)
         floor = known - np.logaddexp(gap, np.log(MOST)) - MOST
@@ -355,7 +379,7 @@ class Search:
         live = np.flatnonzero((p.before >= floor[text]) & (np.arange(len(p.edge)) - p.begin[text] > after[text]))
         word, edge, text = p.word[live], p.edge[live], text[live]
         u = uniform(self.keys[text], 2 * sample + 1, self.nth[word], p.step[live])
-        p.open[live] = truncated_gumbel(p.before[live] + self.lattice.log_rest[edge], top[text], u)
+        p.open[live] = truncated_gumbel(p.before[live] + self.lattice.log_rest(edge), top[text], u)
 
     def run(self, k: int) -> Iterator[tuple[np.ndarray, Paths, np.ndarray, np.ndarray, np.ndarray]]:
         """For each of up to k samples: (texts that have it, paths, log-probability, score, threshold after k samples)."""
@@ -434,7 +458,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int) ->
         # log(1 - exp(-exp(gap))); far below the threshold it is the gap itself
         near = np.log(-np.expm1(-np.exp(np.clip(gap, -30, 700))))
         inclusion = np.where(gap < -30, gap, near)
-        ids = pieces.ids(lat.piece[p.edge], lat.chars[lat.source[p.edge]], p.begin)
+        ids = pieces.ids(lat, p.edge, p.begin)
         for t in np.flatnonzero(there).tolist():
             yield t, sample, ids[t], float(logp[t]), float(score[t]), float(inclusion[t])
 

@@ -134,6 +134,33 @@ def test_plain_split_equals_the_pattern():
         assert S.split_words(t) == (S.WORD.findall(S.SPACE + t.replace(" ", S.SPACE)) if t else []), repr(t)
 
 
+def test_words_are_coded_in_columns_as_they_are_split():
+    rng = random.Random(12)
+    bits = ["a", "bc", " ", "  ", "é", "🙂", "\n", "\0", S.SPACE, "\ud800"]
+    texts = ["", " ", "a", *["".join(rng.choices(bits, [5, 5, 5, 1, 1, 1, 1, 0.1, 0.2, 0.1], k=rng.randint(0, 14))) for _ in range(2000)], ""]
+    for some in (texts, texts[:1], [], ["plain text", "plain text"]):
+        words, number, counts = S.coded_words(some)
+        split = [S.split_words(t) for t in some]
+        flat = [w for found in split for w in found]
+        known = [w.decode("utf-8", "surrogatepass") for w in words.to_pylist()]
+        assert known == list(dict.fromkeys(flat)) and [known[k] for k in number] == flat and counts.tolist() == [*map(len, split)]
+
+
+def test_lattice_of_coded_words(pieces):
+    """Every piece of the vocabulary is found in the trie; draws never leave a position's edges."""
+    normal = [k for k in range(len(pieces.bytes)) if pieces.logp[k] > -math.inf]
+    words = [pieces.bytes[k].decode().replace(" ", S.SPACE) for k in normal]
+    lat = S.Lattice(pa.array([w.encode() for w in words], pa.large_binary()), pieces)
+    assert lat.stop.tolist() == [a + len(w) for a, w in zip(lat.start.tolist(), words)]
+    whole = lat.first[lat.start]  # the longest piece comes first
+    assert lat.piece[whole].tolist() == normal and (lat.target[whole] == lat.stop).all()
+    inside = np.flatnonzero(lat.degree > 0)
+    for u in (0.0, 0.5, 1 - 2**-53):
+        edge = lat.draw(inside, np.full(len(inside), u))
+        assert (lat.source[edge] == inside).all()
+    assert np.allclose(np.bincount(lat.source, lat.q)[inside], 1, rtol=1e-12)
+
+
 def test_equal_scores_take_the_first_found(pieces):
     """Equal keys and texts tie in every score; each text still has its k distinct samples, in falling order."""
     rows = {}
