@@ -7,8 +7,8 @@ recomputed from lineage.  Forests cache node ids (instead of shipping the growin
 level) and checkpoint that cache to the shared checkpoint directory every ``checkpointInterval`` iterations, so
 deep forests keep a short lineage.
 
-Forests and k-means hold every row as a dense array of its features, many times what a scan's task read for it; ``dealt``
-spreads the rows of a fit so that no task holds more than ``FIT_BYTES`` of them.
+Forests, k-means and logistic regression hold every row as a dense array of its features, many times what a scan's task
+read for it; ``dealt`` spreads the rows of a fit so that no task holds more than ``FIT_BYTES`` of them.
 """
 
 from __future__ import annotations
@@ -76,7 +76,7 @@ def _has_forest(estimator) -> bool:
     return any(isinstance(st, _FORESTS) for st in stages)
 
 
-#: Prepared rows (bytes) that a task of a forest or k-means fit holds at most, and the bytes of a row beside its numbers.
+#: Prepared rows (bytes) that a task of an iterative fit holds at most, and the bytes of a row beside its numbers.
 FIT_BYTES, ROW_BYTES = 128 << 20, 288
 
 
@@ -88,7 +88,10 @@ def _width(df: DataFrame, features: str) -> int:
 
 
 def held_bytes(estimator, width: int) -> int:
-    """Bytes a fit holds for a row: a forest a bin for each feature and counts and nodes for each tree, k-means its numbers."""
+    """Bytes a fit holds for a row: a forest a bin for each feature and counts and nodes for each tree, k-means its numbers,
+    a logistic fit its numbers, label and weight in blocks of rows."""
+    if isinstance(estimator, LogisticRegression):
+        return 8 * width + 16
     return ROW_BYTES + (4 * width + 16 * estimator.getNumTrees() if isinstance(estimator, _FORESTS) else 8 * width)
 
 
@@ -110,7 +113,7 @@ def dealt(df: DataFrame, estimator) -> DataFrame:
 
 def _fit(estimator, df: DataFrame):
     last = estimator.getStages()[-1] if isinstance(estimator, Pipeline) and estimator.getStages() else estimator
-    if not isinstance(last, (*_FORESTS, KMeans)):
+    if not isinstance(last, (*_FORESTS, KMeans, LogisticRegression)):
         return estimator.fit(df)
     if last is estimator:
         return estimator.fit(dealt(df, estimator))
@@ -124,7 +127,7 @@ def fit_on(estimator, df: DataFrame, persist: bool = False):
     Spark's iterative estimators already cache their own compact training instances when the input is not
     persisted, so ``persist`` is for inputs read by several stages (e.g. indexers plus a forest).  Forests checkpoint
     their node ids and need the shared checkpoint folder; other fits need none.  Large partitions are dealt anew for a
-    forest or k-means that is fitted by itself or ends a pipeline."""
+    forest, k-means or logistic regression that is fitted by itself or ends a pipeline."""
     if _has_forest(estimator):
         ensure_checkpoint_dir(df.sparkSession)
     if not persist or df.storageLevel != StorageLevel.NONE:

@@ -3,8 +3,10 @@
 import datetime as dt
 
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 
 from tabml.operators import models as M
@@ -71,3 +73,32 @@ def test_every_fit_of_a_query_holds_little_in_a_task(spark, tables, name, monkey
     assert [cls for cls, _ in dealt] == list(FITS[name])
     assert all(max(rows) <= MOST for _, rows in dealt)
     assert [sum(rows) for _, rows in dealt] == [sum(rows) for _, rows in whole]  # no row is lost or doubled
+
+
+def test_every_fit_of_the_avocado_job_holds_little_in_a_task(spark, tables, monkeypatch):
+    """Its logistic fit, too: by itself it holds 48 bytes a row or more, so 10,000 bytes are at most 208 rows."""
+    catalog.load_all()
+    seen = []
+
+    def fit(self, data, dataset_fit=LogisticRegression._fit):
+        seen.append([len(p) for p in data.select(self.getFeaturesCol(), self.getLabelCol()).rdd.glom().collect()])
+        return dataset_fit(self, data)
+
+    monkeypatch.setattr(LogisticRegression, "_fit", fit)
+    catalog.QUERIES["job_avocado_all"](spark, tables).collect()
+    monkeypatch.setattr(M, "FIT_BYTES", 10_000, raising=False)
+    catalog.QUERIES["job_avocado_all"](spark, tables).collect()
+    (whole,), (dealt,) = seen[: len(seen) // 2], seen[len(seen) // 2 :]
+    assert max(whole) == sum(whole) and sum(dealt) == sum(whole) and max(dealt) <= 10_000 // 48
+    assert max(dealt) - min(dealt) <= 1
+
+
+def test_a_dealt_logistic_fit_is_the_same_fit(spark, monkeypatch):
+    rows = [(float(i % 7), float(i * 3 % 11), float((i * 5 % 13) + (i % 7) > 8)) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, label double").coalesce(1)
+    estimator = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"), M.logistic_regression()])
+    whole = M.fit_on(estimator, df, persist=True).stages[-1]
+    monkeypatch.setattr(M, "FIT_BYTES", 1_000)
+    dealt = M.fit_on(estimator, df, persist=True).stages[-1]
+    assert dealt.coefficients.toArray().tolist() == pytest.approx(whole.coefficients.toArray().tolist(), rel=1e-4)
+    assert dealt.intercept == pytest.approx(whole.intercept, rel=1e-4) and dealt.numClasses == 2
